@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, QualityParams
-from ..operators import dedup, encoding, ordinal, profile, quality
+from ..operators import batches, dedup, encoding, ordinal, packing, profile, quality
 from ..operators.dedup import order_key
 from ..sources import registry as reg
 from ..sources.synthetic import synthetic_rows
@@ -247,3 +247,168 @@ def q_synthetic_corpus(spark, d):
 
 
 _ = order_key  # re-exported for callers building their own order keys
+
+
+# ---------------------------------------------------------------- packing --
+def _prepared(spark, d, **kw):
+    return prepare(_docs(spark, d), PrepareParams(**kw))
+
+
+def _greedy(spark, d):
+    prep = _prepared(spark, d)
+    segs = packing.segments(prep.encoded, ("split", "shuffle_rank"), eos=DEFAULT_IDS.eos)
+    plan = packing.greedy_plan(segs, MAX_LENGTH)
+    return prep, segs, plan
+
+
+_WALK = sql.with_encoded(recursive=True) + ",\n" + sql.greedy_walk_ctes() + "\n"
+
+
+@register("pack_plan", _WALK + """
+SELECT split, shuffle_rank, CAST(0 AS BIGINT) AS seg_no, n, chunk_id, start, take, n - take AS lost FROM walk""")
+def q_pack_plan(spark, d):
+    _, _, plan = _greedy(spark, d)
+    return plan
+
+
+@register("pack_greedy", _WALK + "SELECT split, chunk_id, input_ids FROM chunks")
+def q_pack_greedy(spark, d):
+    _, segs, plan = _greedy(spark, d)
+    return packing.greedy_chunks(segs, plan, MAX_LENGTH)
+
+
+@register("pack_report", _WALK + f"""
+SELECT split, max(chunk_id) + 1 AS sequences, CAST(sum(n) AS BIGINT) AS tokens_in,
+  CAST(sum(take) AS BIGINT) AS tokens_kept, CAST(sum(n - take) AS BIGINT) AS tokens_lost,
+  CAST((max(chunk_id) + 1) * {MAX_LENGTH} - sum(take) AS BIGINT) AS pad_tokens,
+  CAST({MAX_LENGTH} AS DOUBLE) AS mean_length
+FROM walk GROUP BY split""")
+def q_pack_report(spark, d):
+    _, _, plan = _greedy(spark, d)
+    return packing.pack_report(plan, MAX_LENGTH)
+
+
+@register("pack_concat", sql.with_encoded() + f"""
+, docs AS (SELECT split, shuffle_rank, list_concat(input_ids, [{DEFAULT_IDS.eos}]) AS ids, n_tokens + 1 AS n FROM encoded),
+offs AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY split ORDER BY shuffle_rank
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off FROM docs),
+ex AS (SELECT split, off, n, ids, unnest(range(off // {MAX_LENGTH}, (off + n - 1) // {MAX_LENGTH} + 1)) AS k FROM offs),
+pieces AS (SELECT split, k AS chunk_id, greatest(off - k * {MAX_LENGTH}, 0) AS pos,
+                  ids[greatest(k * {MAX_LENGTH} - off, 0) + 1 : least((k + 1) * {MAX_LENGTH} - off, n)] AS piece FROM ex)
+SELECT split, chunk_id, CAST(list_resize(flatten(list(piece ORDER BY pos)), {MAX_LENGTH}, {DEFAULT_IDS.pad_id}) AS INTEGER[]) AS input_ids
+FROM pieces GROUP BY split, chunk_id""")
+def q_pack_concat(spark, d):
+    return packing.pack_concat(_prepared(spark, d).encoded, MAX_LENGTH)
+
+
+# ---------------------------------------------------------------- batches --
+@register("label_mask", _WALK + f"""
+SELECT split, chunk_id, list_transform(input_ids, lambda x: CASE WHEN x = {DEFAULT_IDS.pad_id} THEN -100 ELSE x END) AS labels
+FROM chunks""")
+def q_label_mask(spark, d):
+    _, segs, plan = _greedy(spark, d)
+    chunks = packing.greedy_chunks(segs, plan, MAX_LENGTH)
+    return chunks.select("split", "chunk_id", batches.labels(F.col("input_ids"), DEFAULT_IDS.pad_id).alias("labels"))
+
+
+@register("attention_mask", _WALK + f"""
+SELECT split, chunk_id, list_transform(input_ids, lambda x: CAST(x <> {DEFAULT_IDS.pad_id} AS INTEGER)) AS attention_mask
+FROM chunks""")
+def q_attention_mask(spark, d):
+    _, segs, plan = _greedy(spark, d)
+    chunks = packing.greedy_chunks(segs, plan, MAX_LENGTH)
+    return chunks.select("split", "chunk_id",
+                         batches.attention_mask(F.col("input_ids"), DEFAULT_IDS.pad_id).alias("attention_mask"))
+
+
+def _batch_sql(id_col: str, source: str, bs: int = 2) -> str:
+    return f"""
+SELECT *, idx // {bs} AS batch_id, idx % {bs} AS pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY
+      CASE WHEN split = 'train' THEN md5('42:' || CAST({id_col} AS VARCHAR))
+           ELSE lpad(CAST({id_col} AS VARCHAR), 20, '0') END, {id_col}) - 1 AS idx
+  FROM {source})"""
+
+
+@register("batch_assign", _WALK + f"""
+SELECT split, chunk_id, batch_id, pos FROM ({_batch_sql('chunk_id', 'chunks')})""")
+def q_batch_assign(spark, d):
+    _, segs, plan = _greedy(spark, d)
+    chunk_ids = plan.select("split", "chunk_id").distinct()
+    return batches.assign_batches(chunk_ids, "chunk_id").select("split", "chunk_id", "batch_id", "pos")
+
+
+@register("ragged_batches", sql.with_encoded() + f"""
+SELECT split, batch_id, count(*) AS rows, min(n_tokens) AS min_len, max(n_tokens) AS max_len
+FROM ({_batch_sql('doc_id', 'encoded')}) GROUP BY split, batch_id HAVING min(n_tokens) <> max(n_tokens)""")
+def q_ragged_batches(spark, d):
+    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    return batches.ragged_batches(batches.assign_batches(enc, "doc_id"))
+
+
+STEP_EPOCHS = 2
+
+
+@register("step_plan", sql.with_encoded() + f"""
+, b AS (SELECT DISTINCT batch_id FROM ({_batch_sql('doc_id', 'encoded')}) WHERE split = 'train'),
+s AS (SELECT (max(batch_id) + 1) // 16 AS upe FROM b),
+r AS (SELECT b.batch_id, b.batch_id // 16 AS u, s.upe, e.epoch FROM b, s, (SELECT unnest(range({STEP_EPOCHS})) AS epoch) e)
+SELECT CAST(epoch AS INTEGER) AS epoch, batch_id, CAST(epoch * upe + u + 1 AS BIGINT) AS update_step FROM r
+WHERE u < upe AND epoch * upe + u + 1 <= least(10000, upe * {STEP_EPOCHS})""")
+def q_step_plan(spark, d):
+    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    return batches.step_plan(batches.assign_batches(enc, "doc_id"), epochs=STEP_EPOCHS)
+
+
+@register("length_grouped_batches", sql.with_encoded() + """
+, sh AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS s
+         FROM encoded),
+g AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY s // 100, n_tokens DESC, s) - 1 AS idx FROM sh)
+SELECT split, idx // 2 AS batch_id, count(*) AS rows, max(n_tokens) AS max_len,
+       CAST(max(n_tokens) * count(*) - sum(n_tokens) AS BIGINT) AS pad_waste
+FROM g GROUP BY split, idx // 2""")
+def q_length_grouped_batches(spark, d):
+    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    return batches.length_grouped_batches(enc)
+
+
+# --------------------------------------------------------------- profiles --
+@register("length_histogram", sql.with_encoded() + """
+, t AS (SELECT CAST(n_tokens AS DOUBLE) AS x FROM encoded WHERE split = 'train'),
+b0 AS (SELECT min(x) AS lo, max(x) AS hi FROM t),
+b AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM b0),
+c AS (SELECT CAST(least(floor((t.x - b.lo) * 100.0 / (b.hi - b.lo)), 99) AS INTEGER) AS bin, count(*) AS n FROM t, b GROUP BY 1),
+g AS (SELECT CAST(unnest(range(100)) AS INTEGER) AS bin)
+SELECT g.bin, round(b.lo + g.bin * (b.hi - b.lo) / 100.0, 6) AS bin_start,
+       round(b.lo + (g.bin + 1) * (b.hi - b.lo) / 100.0, 6) AS bin_end, coalesce(c.n, 0) AS n
+FROM g CROSS JOIN b LEFT JOIN c ON g.bin = c.bin""")
+def q_length_histogram(spark, d):
+    enc = _prepared(spark, d).encoded
+    return profile.length_histogram(enc.where(F.col("split") == "train"))
+
+
+@register("train_summary", sql.with_encoded() + """
+SELECT round(avg(n_tokens), 6) AS mean_length, round(median(n_tokens), 6) AS median_length,
+       max(n_tokens) AS max_length, CAST(sum(n_tokens) AS BIGINT) AS total_tokens
+FROM encoded WHERE split = 'train'""")
+def q_train_summary(spark, d):
+    return profile.train_summary(_prepared(spark, d).encoded)
+
+
+@register("language_distribution", sql.with_encoded() + """
+, a AS (SELECT lang, source, count(*) AS n_docs, CAST(sum(n_tokens) AS BIGINT) AS n_tokens FROM encoded GROUP BY lang, source)
+SELECT *, round(n_tokens / greatest(sum(n_tokens) OVER (), 1), 6) AS token_share FROM a""")
+def q_language_distribution(spark, d):
+    return profile.language_distribution(_prepared(spark, d).encoded)
+
+
+@register("expected_vs_actual", f"""
+WITH {sql.ranked_cte()},
+a AS (SELECT lang, source, count(*) AS actual_docs, CAST(sum(length(text)) AS BIGINT) AS actual_chars
+      FROM documents GROUP BY lang, source)
+SELECT reg.lang, reg.source, CAST(100000000 AS BIGINT) AS expected_size, coalesce(a.actual_docs, 0) AS actual_docs,
+       coalesce(a.actual_chars, 0) AS actual_chars, round(coalesce(a.actual_chars, 0) / 100000000, 6) AS fill_ratio
+FROM reg LEFT JOIN a ON reg.lang = a.lang AND reg.source = a.source""")
+def q_expected_vs_actual(spark, d):
+    docs = _docs(spark, d)
+    return profile.expected_vs_actual(reg.registry_from_table(docs), docs)

@@ -119,5 +119,35 @@ encoded AS (
 )"""
 
 
-def with_encoded(max_length: int = MAX_LENGTH, **kw) -> str:
-    return f"WITH {prepared_ctes(**kw)},\n{vocab_ctes()},\n{encoded_ctes(max_length)}\n"
+def with_encoded(max_length: int = MAX_LENGTH, recursive: bool = False, **kw) -> str:
+    head = "WITH RECURSIVE" if recursive else "WITH"
+    return f"{head} {prepared_ctes(**kw)},\n{vocab_ctes()},\n{encoded_ctes(max_length)}\n"
+
+
+def greedy_walk_ctes(M: int = MAX_LENGTH, eos: int = DEFAULT_IDS.eos) -> str:
+    """walk(split, shuffle_rank, n, start, chunk_id, take): the greedy packer as a recursive walk per split."""
+    return f"""segs AS (
+  SELECT split, shuffle_rank, n_tokens + 1 AS n,
+         row_number() OVER (PARTITION BY split ORDER BY shuffle_rank) AS rn FROM encoded
+),
+walk AS (
+  SELECT split, rn, shuffle_rank, n, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS chunk_id,
+         CAST(CASE WHEN n >= {M} THEN 0 ELSE n END AS BIGINT) AS cur,
+         CAST(CASE WHEN n >= {M} THEN 1 ELSE 0 END AS BIGINT) AS flushes,
+         CAST(least(n, {M}) AS BIGINT) AS take
+  FROM segs WHERE rn = 1
+  UNION ALL
+  SELECT s.split, s.rn, s.shuffle_rank, s.n, w.cur, w.flushes,
+         CASE WHEN w.cur + s.n >= {M} THEN 0 ELSE w.cur + s.n END,
+         w.flushes + CASE WHEN w.cur + s.n >= {M} THEN 1 ELSE 0 END,
+         CASE WHEN w.cur + s.n >= {M} THEN {M} - w.cur ELSE s.n END
+  FROM walk w JOIN segs s ON s.split = w.split AND s.rn = w.rn + 1
+),
+greedy AS (
+  SELECT w.split, w.chunk_id, flatten(list(list_concat(e.input_ids, [{eos}])[1:w.take] ORDER BY w.start)) AS ids
+  FROM walk w JOIN encoded e ON e.split = w.split AND e.shuffle_rank = w.shuffle_rank
+  GROUP BY w.split, w.chunk_id
+),
+chunks AS (
+  SELECT split, chunk_id, CAST(list_resize(ids, {M}, {DEFAULT_IDS.pad_id}) AS INTEGER[]) AS input_ids FROM greedy
+)"""
