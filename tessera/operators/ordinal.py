@@ -27,6 +27,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,3 +121,57 @@ def three_way_split(df: DataFrame, id_col: str = "doc_id", seed: int = SEED,
     """SPL1: exact sizes; the first t shuffled rows are test, the next m-t validation."""
     ranked = seeded_shuffle(df, id_col, seed, out="shuffle_rank", total="_n")
     return ranked.withColumn("split", split_of(F.col("shuffle_rank"), F.col("_n"), holdout_pct)).drop("_n")
+
+
+def with_running(df: DataFrame, order_by: Sequence[str], value: str, group_by: Sequence[str] = (),
+                 op: str = "sum", out: str = "running", num_partitions: int | None = None) -> DataFrame:
+    """Exclusive prefix ``sum`` or ``min`` of ``value`` by ``order_by`` within ``group_by``.
+
+    Same plan as ``with_ordinal``: range partitions (a hot group spans many),
+    a checkpoint, per-partition partials (a few rows per partition) combined by
+    a running window over that small table, and a numpy scan inside each
+    partition.  ``min`` starts from null (nothing before the first row).
+    """
+    assert op in ("sum", "min")
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
+    keys = [*group_by, *order_by]
+    ranged = reliable_checkpoint(
+        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id()))
+    groups = list(group_by)
+    agg = F.sum if op == "sum" else F.min
+    partial = ranged.groupBy("_pid", *groups).agg(agg(value).alias("_p"))
+    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    base_val = agg("_p").over(before)
+    if op == "sum":
+        base_val = F.coalesce(base_val, F.lit(0))
+    base = partial.select("_pid", *groups, base_val.alias("_base"))
+    vtype = ranged.schema[value].dataType.simpleString()
+
+    def local(batches):
+        frames = list(batches)
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        v = pdf[value].astype("float64")
+        if groups:
+            g = pdf.groupby(groups, sort=False)[value]
+            cum = g.cumsum() if op == "sum" else g.cummin()
+        else:
+            cum = v.cumsum() if op == "sum" else v.cummin()
+        if op == "sum":
+            prev = cum - v
+        else:  # exclusive running min: shift the inclusive one by one row inside each group
+            prev = cum.groupby([pdf[c] for c in groups]).shift(1) if groups else cum.shift(1)
+        pdf["_local"] = prev.astype("float64")
+        yield pdf
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.schema.fields) + ", _local double"
+    local_df = ranged.mapInPandas(local, schema)
+    side = F.broadcast(base) if not groups else base  # no groups: at most n rows; else AQE decides by size
+    joined = local_df.join(side, on=["_pid", *groups])
+    if op == "sum":
+        res = (F.col("_base") + F.col("_local")).cast(vtype)
+    else:
+        res = F.least(F.col("_base"), F.col("_local")).cast(vtype)  # least ignores nulls
+    return joined.withColumn(out, res).drop("_pid", "_base", "_local")

@@ -35,11 +35,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, SpecialIds
 from ..session import reliable_checkpoint, shuffle_partitions
+from .ordinal import with_running
 
 
 # ----------------------------------------------------------------- PCK1 ----
@@ -225,45 +226,13 @@ def pack_report(plan: DataFrame, max_length: int = MAX_LENGTH, group: str = "spl
 
 
 # ----------------------------------------------------------------- PCK6 ----
-def with_running_total(df: DataFrame, order_by: Sequence[str], weight: str, group_by: Sequence[str] = (),
-                       out: str = "offset", num_partitions: int | None = None) -> DataFrame:
-    """Exclusive running sum of ``weight`` by ``order_by`` within ``group_by`` (distributed).
-
-    Partition totals (a few rows per partition) give each partition's base;
-    inside a partition the sum runs over sorted rows with numpy.
-    """
-    keys = [*group_by, *order_by]
-    ranged = _ranged(df, keys, num_partitions)
-    groups = list(group_by)
-    totals = ranged.groupBy("_pid", *groups).agg(F.sum(weight).alias("_w"))
-    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("_pid", *groups, F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_base"))
-
-    def local(batches):
-        pdf = _partition_frames(batches)
-        if pdf is None or pdf.empty:
-            return
-        w = pdf[weight].to_numpy(dtype=np.int64)
-        if groups:
-            cum = pdf.groupby(groups, sort=False)[weight].cumsum().to_numpy(dtype=np.int64)
-        else:
-            cum = np.cumsum(w)
-        pdf["_local"] = cum - w
-        yield pdf
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.schema.fields) + ", _local long"
-    local_df = ranged.mapInPandas(local, schema)
-    joined = local_df.join(F.broadcast(base) if len(groups) <= 1 else base, on=["_pid", *groups])
-    return joined.withColumn(out, (F.col("_base") + F.col("_local")).cast("bigint")).drop("_pid", "_base", "_local")
-
-
 def pack_concat(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialIds = DEFAULT_IDS,
                 order: str = "shuffle_rank", group: str = "split") -> DataFrame:
     """PCK6: lossless concat-and-chunk; every token kept, the last chunk padded."""
     M = int(max_length)
     docs = encoded.select(group, order, with_eos(F.col("input_ids"), ids.eos).alias("_ids"))
     docs = docs.withColumn("n", F.size("_ids").cast("bigint"))
-    offs = with_running_total(docs.select(group, order, "n"), [order], "n", [group])
+    offs = with_running(docs.select(group, order, "n"), [order], "n", [group], op="sum", out="offset")
     placed = offs.join(docs, on=[group, order, "n"], how="inner")
     k = F.col("k")
     exploded = placed.select(

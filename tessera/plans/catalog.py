@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, QualityParams
-from ..operators import batches, dedup, encoding, ordinal, packing, profile, quality
+from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER
+from ..operators import batches, dedup, encoding, evaluation, ordinal, packing, profile, prompts, quality, runlog
 from ..operators.dedup import order_key
 from ..sources import registry as reg
 from ..sources.synthetic import synthetic_rows
 from ..sources.tables import table
+from . import derived
 from . import oracle_sql as sql
 from .prepare import PrepareParams, prepare, prepared_documents, ranked_documents
 
@@ -412,3 +414,375 @@ FROM reg LEFT JOIN a ON reg.lang = a.lang AND reg.source = a.source""")
 def q_expected_vs_actual(spark, d):
     docs = _docs(spark, d)
     return profile.expected_vs_actual(reg.registry_from_table(docs), docs)
+
+
+# ------------------------------------------------------------- evaluation --
+def _lit(s: str) -> str:
+    """A SQL expression for a Python string (newlines as chr(10))."""
+    parts = [("'" + p.replace("'", "''") + "'") for p in s.split("\n")]
+    return " || chr(10) || ".join(parts)
+
+
+_WORDS = sql.words_sql("text")
+_MCQ_ITEMS = f"""items AS (
+  SELECT item_id, substr(text, 1, 80) AS question, {_WORDS}[1:4] AS choices,
+         ['A', 'B', 'C', 'D'][item_id % 4 + 1] AS answer
+  FROM benchmark
+)"""
+_STRIP = "regexp_replace({x}, '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g')"
+
+
+def _strip(x: str) -> str:
+    return _STRIP.format(x=x)
+
+
+@register("mcq_prompt", f"""
+WITH {_MCQ_ITEMS}
+SELECT item_id, {_lit(MCQ_HEADER)} || question || {_lit(MCQ_CHOICES_HEADER)}
+       || array_to_string(list_transform(choices, lambda c, i: chr(CAST(64 + i AS INTEGER)) || '. ' || c || chr(10)), '')
+       || {_lit(MCQ_FOOTER)} AS prompt
+FROM items""")
+def q_mcq_prompt(spark, d):
+    items = derived.mcq_items(table(spark, d, "benchmark"))
+    return items.select("item_id", evaluation.prompt(items).alias("prompt"))
+
+
+_ACC_SQL = f"""
+WITH {_MCQ_ITEMS},
+mcq AS (
+  SELECT 'indommlu' AS benchmark, upper({_strip('answer')}) AS k,
+         upper({_strip("CASE WHEN item_id % 2 = 0 THEN lower(r) ELSE r END")}) AS resp
+  FROM (SELECT *, ' ' || ['A', 'B', 'C', 'D'][(item_id + item_id % 3) % 4 + 1] || '. …' AS r FROM items)
+),
+lab AS (
+  SELECT 'nusax' AS benchmark, upper({_strip('CAST(l.quality AS VARCHAR)')}) AS k,
+         upper({_strip("CAST(l.doc_id % 2 AS VARCHAR) || ' …'")}) AS resp
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE d.text IS NOT NULL
+),
+scored AS (SELECT benchmark, length(k) > 0 AND starts_with(resp, substr(k, 1, 1)) AS hit FROM mcq
+           UNION ALL SELECT benchmark, length(k) > 0 AND starts_with(resp, substr(k, 1, 1)) FROM lab),
+acc AS (SELECT benchmark, count(*) FILTER (WHERE hit) AS correct, count(*) AS total FROM scored GROUP BY benchmark)
+"""
+
+
+@register("answer_accuracy", _ACC_SQL + """
+SELECT benchmark, correct, total, round(correct / greatest(total, 1), 6) AS accuracy FROM acc""")
+def q_answer_accuracy(spark, d):
+    return _accuracy(spark, d)
+
+
+def _accuracy(spark, d):
+    bench = table(spark, d, "benchmark")
+    labels, docs = table(spark, d, "labels"), _docs(spark, d)
+    mcq = evaluation.accuracy(derived.mcq_items(bench), derived.mcq_responses(bench), "indommlu")
+    lab = evaluation.accuracy(derived.label_items(labels, docs), derived.label_responses(labels), "nusax")
+    return mcq.unionByName(lab)
+
+
+def _rouge_tokens_sql(x: str) -> str:
+    return f"list_filter(string_split(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')"
+
+
+def _ngrams_sql(t: str, n: int) -> str:
+    if n == 1:
+        return t
+    return f"list_transform(range(1, len({t})), lambda i: {t}[i] || ' ' || {t}[i + 1])"
+
+
+def _rouge_sql(n: int) -> str:
+    return f"""
+g{n} AS (SELECT item_id, {_ngrams_sql('tp', n)} AS gp, {_ngrams_sql('tr', n)} AS gr FROM toks),
+sp{n} AS (SELECT item_id, unnest(gp) AS g, 1 AS p, 0 AS r FROM g{n}
+         UNION ALL SELECT item_id, unnest(gr) AS g, 0 AS p, 1 AS r FROM g{n}),
+ov{n} AS (SELECT item_id, sum(least(cp, cr)) AS overlap
+         FROM (SELECT item_id, g, sum(p) AS cp, sum(r) AS cr FROM sp{n} GROUP BY item_id, g) GROUP BY item_id),
+f{n} AS (SELECT s.item_id, coalesce(o.overlap, 0) / greatest(len(s.gp), 1) AS pr,
+               coalesce(o.overlap, 0) / greatest(len(s.gr), 1) AS rc
+        FROM g{n} s LEFT JOIN ov{n} o ON s.item_id = o.item_id)"""
+
+
+_PAIRS_SQL = f"""pairs AS (
+  SELECT item_id, array_to_string(list_filter({_WORDS}, lambda w, i: i % 3 <> 0), ' ') AS prediction,
+         text AS reference FROM benchmark
+),
+toks AS (SELECT item_id, {_rouge_tokens_sql('prediction')} AS tp, {_rouge_tokens_sql('reference')} AS tr
+         FROM pairs WHERE length(prediction) > 0 AND length(reference) > 0),"""
+
+
+def _rouge_metric_sql(n: int) -> str:
+    return (f"SELECT 'rouge{n}' AS metric, round(avg(CASE WHEN pr + rc > 0 THEN 2.0 * pr * rc / (pr + rc) "
+            f"ELSE 0.0 END), 6) AS value FROM f{n}")
+
+
+_ROUGE_CTES = _PAIRS_SQL + _rouge_sql(1) + "," + _rouge_sql(2)
+
+
+@register("rouge_n", f"""
+WITH {_ROUGE_CTES}
+{_rouge_metric_sql(1)} UNION ALL {_rouge_metric_sql(2)}""")
+def q_rouge_n(spark, d):
+    return evaluation.rouge_n(derived.summary_pairs(table(spark, d, "benchmark")))
+
+
+@register("rouge_l")
+def q_rouge_l(spark, d):
+    # LCS per pair: no SQL form; checked against a plain-Python LCS in tests.
+    return evaluation.rouge_l_scores(derived.summary_pairs(table(spark, d, "benchmark")))
+
+
+def _bigram_sql(src: str, alias: str, extra: str = "") -> str:
+    return f"""{alias} AS (
+  SELECT {extra} CASE WHEN i = 1 THEN '<s>' ELSE w[i - 1] END AS prev, w[i] AS word
+  FROM (SELECT {extra} w, generate_subscripts(w, 1) AS i FROM (SELECT {extra} {_WORDS} AS w FROM {src}))
+)"""
+
+
+_NGRAM_SQL = sql.with_encoded() + f""",
+{_bigram_sql("(SELECT text FROM prepared WHERE split = 'train')", 'tb')},
+bi AS (SELECT prev, word, count(*) AS c_bi FROM tb GROUP BY prev, word),
+ctx AS (SELECT prev, count(*) AS c_ctx FROM tb GROUP BY prev),
+v AS (SELECT count(DISTINCT word) + 1 AS vsize FROM tb),
+held AS (SELECT doc_id, lang, text FROM documents
+         WHERE doc_id NOT IN (SELECT doc_id FROM prepared WHERE split = 'train')),
+{_bigram_sql('held', 'eb', 'doc_id, lang,')},
+nll AS (
+  SELECT e.doc_id, e.lang,
+         round(sum(-ln((coalesce(b.c_bi, 0) + 0.5) / (coalesce(c.c_ctx, 0) + 0.5 * v.vsize))) / count(*), 6) AS nll,
+         count(*) AS n
+  FROM eb e LEFT JOIN bi b ON e.prev = b.prev AND e.word = b.word LEFT JOIN ctx c ON e.prev = c.prev, v
+  GROUP BY e.doc_id, e.lang
+)
+"""
+
+
+def _ngram_losses(spark, d):
+    docs = _docs(spark, d)
+    prep = _prepared(spark, d)
+    train = prep.documents.where(F.col("split") == "train")
+    bigrams, contexts, vsize = evaluation.bigram_model(train)
+    held = docs.join(train.select("doc_id"), "doc_id", "left_anti")
+    return evaluation.ngram_nll(held, bigrams, contexts, vsize)
+
+
+@register("ngram_nll", _NGRAM_SQL + "SELECT doc_id, lang, nll, n FROM nll")
+def q_ngram_nll(spark, d):
+    return _ngram_losses(spark, d)
+
+
+_PPL = ("CAST(sum(n) AS BIGINT) AS n_tokens, round(sum(nll * n) / greatest(sum(n), 1), 6) AS avg_loss, "
+        "round(exp(least(sum(nll * n) / greatest(sum(n), 1), 20)), 6) AS perplexity")
+
+
+@register("perplexity_weighted", _NGRAM_SQL + f"SELECT {_PPL} FROM nll")
+def q_perplexity_weighted(spark, d):
+    return evaluation.perplexity(_ngram_losses(spark, d))
+
+
+@register("perplexity_by_lang", _NGRAM_SQL + f"SELECT coalesce(lang, 'ALL') AS lang, {_PPL} FROM nll GROUP BY ROLLUP (lang)")
+def q_perplexity_by_lang(spark, d):
+    return evaluation.perplexity_by(_ngram_losses(spark, d))
+
+
+_REQUESTED = ["indommlu", "indonlg", "nusax", "indo4b", "unknown-benchmark"]
+
+
+@register("eval_results", _ACC_SQL.rstrip() + ",\n" + _ROUGE_CTES + """,
+simple AS (SELECT (doc_id % 50) / 10.0 AS nll, length(text) AS n FROM documents),
+ppl AS (SELECT sum(nll * n) / greatest(sum(n), 1) AS a FROM simple)
+SELECT benchmark, 'accuracy' AS metric, round(correct / greatest(total, 1), 6) AS value, NULL AS error FROM acc
+UNION ALL SELECT benchmark, 'correct', CAST(correct AS DOUBLE), NULL FROM acc
+UNION ALL SELECT benchmark, 'total', CAST(total AS DOUBLE), NULL FROM acc
+UNION ALL SELECT 'indonlg', metric, value, NULL FROM (""" + _rouge_metric_sql(1) + " UNION ALL " + _rouge_metric_sql(2) + """)
+UNION ALL SELECT 'perplexity', 'perplexity', round(exp(least(a, 20)), 6), NULL FROM ppl
+UNION ALL SELECT 'perplexity', 'avg_loss', round(a, 6), NULL FROM ppl
+UNION ALL SELECT 'indo4b', NULL, NULL, 'dataset not available: indonlp/indo4b'""")
+def q_eval_results(spark, d):
+    return _eval_results(spark, d)
+
+
+def _eval_results(spark, d):
+    """EV8 + EV9: run the requested benchmarks that exist; one long result table."""
+    chosen = {r["name"]: r for r in evaluation.select_benchmarks(
+        evaluation.benchmark_registry(spark), _REQUESTED).collect()}  # registry rows: a handful
+    acc = _accuracy(spark, d)
+    parts = []
+    for name in ("indommlu", "nusax"):
+        if name in chosen:
+            one = acc.where(F.col("benchmark") == name)
+            parts.append(evaluation.result_rows(name, one.select("accuracy", "correct", "total")))
+    if "indonlg" in chosen:
+        r = evaluation.rouge_n(derived.summary_pairs(table(spark, d, "benchmark")))
+        parts.append(r.select(F.lit("indonlg").alias("benchmark"), "metric", "value",
+                              F.lit(None).cast("string").alias("error")))
+    if "indo4b" in chosen:
+        parts.append(evaluation.error_row(spark, "indo4b", f"dataset not available: {chosen['indo4b']['dataset']}"))
+    ppl = evaluation.perplexity(derived.doc_losses_simple(_docs(spark, d)))
+    parts.append(evaluation.result_rows("perplexity", ppl.select("perplexity", "avg_loss")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------- prompts --
+_BLOCK = "'<|' || upper(substr(role, 1, 1)) || lower(substr(role, 2)) || '|>' || chr(10) || text || chr(10)"
+
+
+@register("chat_prompt", f"""
+SELECT conv_id, string_agg({_BLOCK}, '' ORDER BY turn) || '<|Assistant|>' || chr(10) AS prompt
+FROM conversations GROUP BY conv_id""")
+def q_chat_prompt(spark, d):
+    return prompts.chat_prompt(table(spark, d, "conversations"))
+
+
+@register("frame_conversation", f"""
+SELECT conv_id, turn, role, text FROM conversations
+UNION ALL
+SELECT conv_id, CAST(-1 AS BIGINT), 'system', {_lit(prompts.DEFAULT_SYSTEM)} FROM conversations
+GROUP BY conv_id HAVING max(CAST(lower(role) = 'system' AS INTEGER)) = 0""")
+def q_frame_conversation(spark, d):
+    return prompts.frame_conversation(table(spark, d, "conversations"))
+
+
+@register("request_payloads", f"""
+WITH p AS (SELECT conv_id, string_agg({_BLOCK}, '' ORDER BY turn) || '<|Assistant|>' || chr(10) AS prompt,
+                  list(struct_pack(role := role, content := text) ORDER BY turn) AS messages
+           FROM conversations GROUP BY conv_id)
+SELECT conv_id,
+  CAST(to_json(struct_pack(model := 'nusantara-llm', prompt := prompt, max_tokens := 1024, temperature := 0.7,
+                           stream := false)) AS VARCHAR) AS completion_payload,
+  CAST(to_json(struct_pack(model := 'nusantara-llm', messages := messages, temperature := 0.7,
+                           max_tokens := 1024)) AS VARCHAR) AS chat_payload
+FROM p""")
+def q_request_payloads(spark, d):
+    conv = table(spark, d, "conversations")
+    comp = prompts.chat_prompt(conv).select("conv_id", prompts.completion_payload(F.col("prompt")).alias("completion_payload"))
+    return comp.join(prompts.chat_payloads(conv), "conv_id")
+
+
+_STREAM_SQL = """
+WITH lines AS (
+  SELECT conv_id AS request_id, turn AS seq,
+         'data: ' || CAST(to_json(struct_pack(choices := [struct_pack(text := text)])) AS VARCHAR) AS line
+  FROM conversations
+  UNION ALL SELECT conv_id, max(turn) + 1, '' FROM conversations GROUP BY conv_id
+  UNION ALL SELECT conv_id, max(turn) + 2, 'data: [DONE]' FROM conversations GROUP BY conv_id
+),
+parsed AS (
+  SELECT request_id, seq, regexp_replace(regexp_replace(line, '^data: ', ''), '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g') AS data
+  FROM lines
+)
+SELECT request_id, string_agg(coalesce(json_extract_string(data, '$.choices[0].text'), ''), '' ORDER BY seq) AS text
+FROM parsed WHERE data <> '' AND data <> '[DONE]' GROUP BY request_id"""
+
+
+@register("stream_reassembly", _STREAM_SQL)
+def q_stream_reassembly(spark, d):
+    return prompts.reassemble(derived.stream_log(table(spark, d, "conversations")))
+
+
+@register("response_extract", f"""
+WITH r AS (
+  SELECT conv_id, turn,
+    CAST(to_json(struct_pack(choices := [struct_pack(text := ' ' || text || ' ')])) AS VARCHAR) AS completion_body,
+    CAST(to_json(struct_pack(choices := [struct_pack(message := struct_pack(content := text))])) AS VARCHAR) AS chat_body
+  FROM conversations WHERE role = 'assistant'
+)
+SELECT conv_id, turn,
+  {_strip("coalesce(json_extract_string(completion_body, '$.choices[0].text'), '')")} AS completion_text,
+  coalesce(json_extract_string(chat_body, '$.choices[0].message.content'), '') AS chat_text
+FROM r""")
+def q_response_extract(spark, d):
+    conv = table(spark, d, "conversations").where(F.col("role") == "assistant")
+    bodies = conv.select(
+        "conv_id", "turn",
+        F.to_json(F.struct(F.array(F.struct(F.concat(F.lit(" "), F.col("text"), F.lit(" ")).alias("text")))
+                           .alias("choices"))).alias("completion_body"),
+        F.to_json(F.struct(F.array(F.struct(F.struct(F.col("text").alias("content")).alias("message")))
+                           .alias("choices"))).alias("chat_body"))
+    return bodies.select("conv_id", "turn", prompts.completion_text(F.col("completion_body")).alias("completion_text"),
+                         prompts.chat_text(F.col("chat_body")).alias("chat_text"))
+
+
+# ---------------------------------------------------------------- run log --
+_LOG = """
+WITH rl AS (SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step,
+                   ts, value AS loss FROM events),
+log AS (SELECT *, CASE WHEN step % 5 = 0 THEN loss END AS eval_loss FROM rl)
+"""
+CADENCE_EVAL, CADENCE_SAVE, RETAIN = 5, 20, 5
+
+
+def _log(spark, d):
+    return derived.run_log(table(spark, d, "events"))
+
+
+@register("loss_every_n", _LOG + """
+SELECT run_id, (b + 1) * 10 AS step, round(sum(loss) / 10, 6) AS mean_loss
+FROM (SELECT run_id, (step - 1) // 10 AS b, loss FROM log) GROUP BY run_id, b HAVING count(*) = 10""")
+def q_loss_every_n(spark, d):
+    return runlog.loss_every_n(_log(spark, d))
+
+
+@register("running_best", _LOG + """
+SELECT run_id, step, eval_loss,
+  coalesce(eval_loss < min(eval_loss) OVER (PARTITION BY run_id ORDER BY step
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new_best
+FROM log WHERE eval_loss IS NOT NULL""")
+def q_running_best(spark, d):
+    return runlog.running_best(_log(spark, d))
+
+
+@register("throughput", _LOG + """
+SELECT run_id, step, round(secs, 6) AS elapsed_sec, round(CASE WHEN secs > 0 THEN step * 32 / secs END, 6) AS samples_per_sec
+FROM (SELECT run_id, step, (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY run_id))) / 1e6 AS secs FROM log)
+WHERE step % 10 = 0""")
+def q_throughput(spark, d):
+    return runlog.throughput(_log(spark, d))
+
+
+@register("cadence", _LOG + f"""
+SELECT run_id, step, step % {CADENCE_EVAL} = 0 AS is_eval, step % {CADENCE_SAVE} = 0 AS is_save FROM log
+WHERE step % {CADENCE_EVAL} = 0 OR step % {CADENCE_SAVE} = 0""")
+def q_cadence(spark, d):
+    return runlog.cadence(_log(spark, d), CADENCE_EVAL, CADENCE_SAVE)
+
+
+@register("retention_topk", _LOG + f"""
+SELECT run_id, step, newest_rank FROM (
+  SELECT run_id, step, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) - 1 AS newest_rank
+  FROM log WHERE step % {CADENCE_SAVE} = 0) WHERE newest_rank < {RETAIN}""")
+def q_retention_topk(spark, d):
+    return runlog.retention(_log(spark, d), CADENCE_SAVE, RETAIN)
+
+
+@register("validation_perplexity", _LOG + """
+SELECT run_id, eval_step, count(*) AS batches, round(avg(loss), 6) AS eval_loss,
+       round(exp(least(avg(loss), 20)), 6) AS eval_perplexity
+FROM (SELECT run_id, CAST(ceil(step / 5) * 5 AS BIGINT) AS eval_step, loss FROM log) GROUP BY run_id, eval_step""")
+def q_validation_perplexity(spark, d):
+    return runlog.validation_perplexity(runlog.eval_batches(_log(spark, d)))
+
+
+@register("run_summary", _LOG + """
+SELECT run_id, max(step) AS total_steps, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 3.6e9, 6) AS total_time_hours,
+       min(eval_loss) AS best_eval_loss
+FROM log GROUP BY run_id""")
+def q_run_summary(spark, d):
+    return runlog.run_summary(_log(spark, d))
+
+
+# ----------------------------------------------------------- decode / LIM2 --
+@register("decode", sql.with_encoded(TRUNCATE_QUERY) + f"""
+SELECT doc_id, array_to_string({_WORDS}[1:{TRUNCATE_QUERY}], ' ') AS text FROM prepared""")
+def q_decode(spark, d):
+    prep = _prepared(spark, d, max_length=TRUNCATE_QUERY)
+    return encoding.decode(prep.encoded, prep.vocab)
+
+
+@register("eval_subset", f"""
+WITH {sql.prepared_ctes()}
+SELECT doc_id, shuffle_rank FROM prepared WHERE split = 'train' ORDER BY shuffle_rank LIMIT 500""")
+def q_eval_subset(spark, d):
+    train = prepared_documents(_docs(spark, d)).where(F.col("split") == "train")
+    return ordinal.eval_subset(train.select("doc_id", "shuffle_rank"), ["shuffle_rank"], 500)
