@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, QualityParams
-from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER
+from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PLAN_QUALITY
 from ..operators import batches, dedup, encoding, evaluation, ordinal, packing, profile, prompts, quality, runlog
 from ..operators.dedup import order_key
 from ..sources import registry as reg
 from ..sources.synthetic import synthetic_rows
 from ..sources.tables import table
+from ..streaming import common as stream_common
+from ..streaming import completions as stream_completions
+from ..streaming import intake as stream_intake
+from ..streaming import runlog as stream_runlog
 from . import derived
 from . import oracle_sql as sql
 from .prepare import PrepareParams, prepare, prepared_documents, ranked_documents
@@ -786,3 +790,50 @@ SELECT doc_id, shuffle_rank FROM prepared WHERE split = 'train' ORDER BY shuffle
 def q_eval_subset(spark, d):
     train = prepared_documents(_docs(spark, d)).where(F.col("split") == "train")
     return ordinal.eval_subset(train.select("doc_id", "shuffle_rank"), ["shuffle_rank"], 500)
+
+
+# -------------------------------------------------------------- streaming --
+@register("stream_intake", f"""
+WITH {sql.ranked_cte()},
+filtered AS (SELECT * FROM ranked WHERE ({sql.reason_sql('text', PLAN_QUALITY)}) IS NULL),
+w AS (SELECT lang, min(ord) AS ord FROM filtered GROUP BY lang, {sql.key_sql('text', 1000)})
+SELECT f.doc_id, f.lang, f.source, CAST(0 AS BIGINT) AS batch_id FROM filtered f JOIN w ON f.ord = w.ord""")
+def q_stream_intake(spark, d):
+    docs = _docs(spark, d)
+    out = stream_intake.incremental_intake(spark, f"{d.rstrip('/')}/documents.parquet", docs.schema,
+                                           reg.registry_from_table(docs))
+    return out.select("doc_id", "lang", "source", "batch_id")
+
+
+ROLLUP_WINDOW_US = 3600 * 1_000_000
+ROLLUP_DELAY_US = 2 * 3600 * 1_000_000
+
+
+@register("stream_runlog_rollup", f"""
+WITH e AS (SELECT user_id AS run_id, ts, value AS loss, epoch_us(ts) // {ROLLUP_WINDOW_US} * {ROLLUP_WINDOW_US} AS ws FROM events),
+a AS (SELECT run_id, ws, count(*) AS records, round(avg(loss), 6) AS mean_loss,
+             (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS span FROM e GROUP BY run_id, ws)
+SELECT run_id, make_timestamp(ws) AS window_start, make_timestamp(ws + {ROLLUP_WINDOW_US}) AS window_end, records, mean_loss,
+       round(CASE WHEN span > 0 THEN records / span END, 6) AS records_per_sec
+FROM a WHERE ws + {ROLLUP_WINDOW_US} <= (SELECT epoch_us(max(ts)) FROM events) - {ROLLUP_DELAY_US}""")
+def q_stream_runlog_rollup(spark, d):
+    events = table(spark, d, "events")
+
+    def to_log(s):
+        return s.select(F.col("user_id").alias("run_id"), F.col("ts").cast("timestamp").alias("ts"),
+                        F.col("value").alias("loss"))
+
+    out = stream_runlog.live_rollup(spark, f"{d.rstrip('/')}/events.parquet", events.schema, "1 hour", "2 hours", to_log)
+    return out.select("run_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "records", "mean_loss", "records_per_sec")
+
+
+@register("stream_reassembly_live", _STREAM_SQL.replace(
+    "AS text\nFROM parsed", "AS text, true AS complete\nFROM parsed"))
+def q_stream_reassembly_live(spark, d):
+    # The stream log is derived from ``conversations`` by Spark and written as files, then streamed.
+    folder = stream_common.work_dir(spark, "stream-log-source")
+    log = derived.stream_log(table(spark, d, "conversations"))
+    log.write.parquet(folder)
+    return stream_completions.live_reassembly(spark, folder, log.schema)
