@@ -22,6 +22,7 @@ from pyspark.sql.types import DoubleType
 
 from ..config import BENCHMARKS, MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PERPLEXITY_CAP
 from ..functions.text import py_strip, words
+from ..session import reliable_checkpoint
 
 # Fixed value: the ROUGE tokenizer keeps lower-case ASCII letters and digits only.
 ROUGE_TOKEN_SPLIT = r"[^a-z0-9]+"
@@ -75,6 +76,7 @@ def rouge_tokens(text: Column) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
+    """n-grams of a token-array *column* (pass a column reference, not an expression: it is read per element)."""
     if n == 1:
         return tokens
     grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1),
@@ -89,8 +91,9 @@ def _f(p: Column, r: Column) -> Column:
 def rouge_n_scores(pairs: DataFrame, n: int) -> DataFrame:
     """Per pair (item_id): ROUGE-n precision, recall, F from n-gram multiset overlap."""
     valid = pairs.where((F.length("prediction") > 0) & (F.length("reference") > 0))
-    toks = valid.select("item_id", ngrams(rouge_tokens(F.col("prediction")), n).alias("_p"),
-                        ngrams(rouge_tokens(F.col("reference")), n).alias("_r"))
+    tokenized = valid.select("item_id", rouge_tokens(F.col("prediction")).alias("_tp"),
+                             rouge_tokens(F.col("reference")).alias("_tr"))
+    toks = tokenized.select("item_id", ngrams(F.col("_tp"), n).alias("_p"), ngrams(F.col("_tr"), n).alias("_r"))
     sides = (toks.select("item_id", F.explode("_p").alias("g"), F.lit(1).alias("p"), F.lit(0).alias("r"))
              .unionByName(toks.select("item_id", F.explode("_r").alias("g"), F.lit(0).alias("p"), F.lit(1).alias("r"))))
     per_gram = sides.groupBy("item_id", "g").agg(F.sum("p").alias("cp"), F.sum("r").alias("cr"))
@@ -201,18 +204,24 @@ def score_partitions(items: DataFrame, scorer_factory: Callable, schema: str) ->
     return items.mapInPandas(run, schema)
 
 
-def _bigrams(text: Column) -> Column:
-    ws = words(text)
-    prev = F.concat(F.array(F.lit("<s>")), F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))))
-    return F.arrays_zip(prev.alias("prev"), ws.alias("word"))
+def _bigrams(ws: Column) -> Column:
+    """array<struct<prev, word>> over a word-array *column*: each word with the one before ('<s>' first)."""
+    return F.transform(ws, lambda w, i: F.struct(
+        F.when(i == 0, F.lit("<s>")).otherwise(F.element_at(ws, i)).alias("prev"), w.alias("word")))
 
 
 def bigram_model(train_docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame, int]:
-    """(bigram counts, context counts, vocabulary size) — counted with partial aggregation."""
-    pairs = train_docs.select(F.explode(_bigrams(F.col(text_col))).alias("b")).select("b.prev", "b.word")
-    bigrams = pairs.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("c_bi"))
-    contexts = pairs.groupBy("prev").agg(F.count(F.lit(1)).alias("c_ctx"))
-    vocab = pairs.select("word").distinct().count() + 1  # + unknown
+    """(bigram counts, context counts, vocabulary size) — the trained model, written once.
+
+    Counts use partial aggregation (a hot bigram collapses map-side); the
+    bigram table is checkpointed, and the context counts and vocabulary size
+    are derived from it instead of re-reading the corpus.
+    """
+    pairs = (train_docs.select(words(F.col(text_col)).alias("_w"))
+             .select(F.explode(_bigrams(F.col("_w"))).alias("b")).select("b.prev", "b.word"))
+    bigrams = reliable_checkpoint(pairs.groupBy("prev", "word").agg(F.count(F.lit(1)).alias("c_bi")))
+    contexts = bigrams.groupBy("prev").agg(F.sum("c_bi").alias("c_ctx"))
+    vocab = bigrams.select("word").distinct().count() + 1  # + unknown
     return bigrams, contexts, vocab
 
 
@@ -222,8 +231,13 @@ def _sized(df: DataFrame, limit: int = BROADCAST_COUNTS_ROWS) -> DataFrame:
 
 def ngram_nll(docs: DataFrame, bigrams: DataFrame, contexts: DataFrame, vocab: int, k: float = 0.5,
               keys: Sequence[str] = ("doc_id", "lang"), text_col: str = "text") -> DataFrame:
-    """EV10 built-in scorer: mean negative log-likelihood per document under add-k bigrams."""
-    toks = docs.select(*keys, F.explode(_bigrams(F.col(text_col))).alias("b")).select(*keys, "b.prev", "b.word")
+    """EV10 built-in scorer: mean negative log-likelihood per document under add-k bigrams.
+
+    The count tables join with a broadcast when their (checkpointed) row
+    count is under the limit; otherwise a shuffle join (AQE splits a hot key).
+    """
+    toks = (docs.select(*keys, words(F.col(text_col)).alias("_w"))
+            .select(*keys, F.explode(_bigrams(F.col("_w"))).alias("b")).select(*keys, "b.prev", "b.word"))
     j = (toks.join(_sized(bigrams), ["prev", "word"], "left")
          .join(_sized(contexts), ["prev"], "left"))
     logp = F.log((F.coalesce("c_bi", F.lit(0)) + F.lit(k)) / (F.coalesce("c_ctx", F.lit(0)) + F.lit(k * vocab)))

@@ -84,27 +84,24 @@ def train_summary(df: DataFrame, n_col: str = "n_tokens") -> DataFrame:
 def length_histogram(df: DataFrame, n_col: str = "n_tokens", bins: int = 100) -> DataFrame:
     """AGG5: equal-width bins between min and max, last bin closed, empty bins kept.
 
-    Two passes over one narrow column: the bounds (two numbers) come to the
-    driver, then bin counts aggregate map-side.  Equal bounds widen by 0.5 on
-    each side (numpy's rule).
+    The bounds are a scalar subquery (one row) that Catalyst plans next to the
+    bin count; equal bounds widen by 0.5 on each side (numpy's rule).  Bin
+    counts aggregate map-side; the ``bins``-row grid keeps empty bins.
     """
     n = F.col(n_col).cast("double")
-    lo_hi = df.agg(F.min(n).alias("lo"), F.max(n).alias("hi")).first()
-    spark = df.sparkSession
-    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    if lo_hi is None or lo_hi["lo"] is None:
-        return grid.select("bin", F.lit(None).cast("double").alias("bin_start"),
-                           F.lit(None).cast("double").alias("bin_end"), F.lit(0).cast("bigint").alias("n"))
-    lo, hi = float(lo_hi["lo"]), float(lo_hi["hi"])
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    width = F.lit(hi - lo)
-    idx = F.least(F.floor((n - F.lit(lo)) * F.lit(float(bins)) / width), F.lit(bins - 1)).cast("int")
+    lo0, hi0 = F.min(n), F.max(n)
+    bounds = df.agg(F.struct(
+        F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0).alias("lo"),
+        F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0).alias("hi")).alias("b")).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
+    width = hi - lo
+    idx = F.least(F.floor((n - lo) * F.lit(float(bins)) / width), F.lit(bins - 1)).cast("int")
     counts = df.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (grid.join(counts, "bin", "left")
             .select("bin",
-                    _r6(F.lit(lo) + F.col("bin") * width / F.lit(float(bins))).alias("bin_start"),
-                    _r6(F.lit(lo) + (F.col("bin") + 1) * width / F.lit(float(bins))).alias("bin_end"),
+                    _r6(lo + F.col("bin") * width / F.lit(float(bins))).alias("bin_start"),
+                    _r6(lo + (F.col("bin") + 1) * width / F.lit(float(bins))).alias("bin_end"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 

@@ -561,8 +561,7 @@ nll AS (
 
 def _ngram_losses(spark, d):
     docs = _docs(spark, d)
-    prep = _prepared(spark, d)
-    train = prep.documents.where(F.col("split") == "train")
+    train = prepared_documents(docs).where(F.col("split") == "train")
     bigrams, contexts, vsize = evaluation.bigram_model(train)
     held = docs.join(train.select("doc_id"), "doc_id", "left_anti")
     return evaluation.ngram_nll(held, bigrams, contexts, vsize)

@@ -53,10 +53,15 @@ def decisions(filtered: DataFrame, p: PrepareParams) -> DataFrame:
 
 
 def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> DataFrame:
-    """(doc_id, lang, source, text, split, shuffle_rank, lang_rank) after filter, dedup, cap, split."""
-    filtered = quality_filter(ranked_documents(docs), p.quality)
-    keep = decisions(filtered, p).select("ord", "split", "shuffle_rank", "lang_rank")
-    return (filtered.join(keep, on="ord", how="inner")
+    """(doc_id, lang, source, text, split, shuffle_rank, lang_rank) after filter, dedup, cap, split.
+
+    The decision table holds only rows that passed the filter, so the text
+    joins back from the plain scan: the quality rules run once, inside the
+    (checkpointed) decision step.
+    """
+    ranked = ranked_documents(docs)
+    keep = decisions(quality_filter(ranked, p.quality), p).select("ord", "split", "shuffle_rank", "lang_rank")
+    return (ranked.join(keep, on="ord", how="inner")
             .select("doc_id", "lang", "source", "text", "split", "shuffle_rank", "lang_rank"))
 
 
