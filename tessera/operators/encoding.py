@@ -30,6 +30,7 @@ from pyspark.sql.functions import pandas_udf
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, SpecialIds
 from ..functions.text import py_strip, words
+from ..session import reliable_checkpoint
 from .ordinal import with_ordinal
 
 # Vocabularies up to this many rows are broadcast (about 40 bytes a row).
@@ -39,8 +40,9 @@ BROADCAST_VOCAB_ROWS = 2_000_000
 def build_vocab(docs: DataFrame, text_col: str = "text", ids: SpecialIds = DEFAULT_IDS,
                 vocab_size: int | None = None) -> DataFrame:
     """TOK1(a): (word, n, token_id); ids start after the special ids, most frequent first."""
-    counts = (docs.select(F.explode(words(F.col(text_col))).alias("word"))
-              .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    counts = reliable_checkpoint(  # counted once; ranking samples and reads this table
+        docs.select(F.explode(words(F.col(text_col))).alias("word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     ranked = with_ordinal(counts, [F.col("n").desc(), F.col("word")], out="_rank")
     if vocab_size:
         ranked = ranked.where(F.col("_rank") < F.lit(vocab_size))

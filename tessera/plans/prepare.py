@@ -22,6 +22,7 @@ from ..operators import encoding, profile
 from ..operators.dedup import ORDER_SHIFT, order_key
 from ..operators.ordinal import head_per_group, three_way_split
 from ..operators.quality import quality_filter
+from ..session import reliable_checkpoint
 from ..sources.registry import docs_with_rank, registry_from_table
 
 
@@ -43,26 +44,36 @@ def ranked_documents(docs: DataFrame) -> DataFrame:
 
 
 def decisions(filtered: DataFrame, p: PrepareParams) -> DataFrame:
-    """Narrow (ord, doc_id, lang, lang_rank, shuffle_rank, split) for the kept rows."""
-    winners = (filtered.select("lang", text_key(F.col("text"), p.prefix_chars).alias("_key"), "ord")
-               .groupBy("lang", "_key").agg(F.min("ord").alias("ord"))
-               .select("lang", "ord"))
-    capped = head_per_group(winners, ["lang"], ["ord"], p.lang_cap, out="lang_rank")
-    keyed = capped.withColumn("doc_id", (F.col("ord") % F.lit(1 << ORDER_SHIFT)).cast("bigint"))
+    """Narrow (ord, doc_id, lang, shuffle_rank, split) for the kept rows.
+
+    The dedup winners (lang, ord) are checkpointed once, so the range
+    sampling and the writes of the later ordinals read that small table
+    instead of re-running the quality rules.  The per-language cap runs only
+    when some language exceeds it (per-language counts are a few rows).
+    """
+    winners = reliable_checkpoint(
+        filtered.select("lang", text_key(F.col("text"), p.prefix_chars).alias("_key"), "ord")
+        .groupBy("lang", "_key").agg(F.min("ord").alias("ord"))
+        .select("lang", "ord"))
+    if p.lang_cap:
+        largest = winners.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
+        if largest > p.lang_cap:
+            winners = head_per_group(winners, ["lang"], ["ord"], p.lang_cap, out="lang_rank").drop("lang_rank")
+    keyed = winners.withColumn("doc_id", (F.col("ord") % F.lit(1 << ORDER_SHIFT)).cast("bigint"))
     return three_way_split(keyed, "doc_id", p.seed)
 
 
 def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> DataFrame:
-    """(doc_id, lang, source, text, split, shuffle_rank, lang_rank) after filter, dedup, cap, split.
+    """(doc_id, lang, source, text, split, shuffle_rank) after filter, dedup, cap, split.
 
     The decision table holds only rows that passed the filter, so the text
     joins back from the plain scan: the quality rules run once, inside the
     (checkpointed) decision step.
     """
     ranked = ranked_documents(docs)
-    keep = decisions(quality_filter(ranked, p.quality), p).select("ord", "split", "shuffle_rank", "lang_rank")
+    keep = decisions(quality_filter(ranked, p.quality), p).select("ord", "split", "shuffle_rank")
     return (ranked.join(keep, on="ord", how="inner")
-            .select("doc_id", "lang", "source", "text", "split", "shuffle_rank", "lang_rank"))
+            .select("doc_id", "lang", "source", "text", "split", "shuffle_rank"))
 
 
 @dataclass
