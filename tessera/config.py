@@ -40,7 +40,7 @@ MCQ_CHOICES_HEADER = "\n\nPilihan:\n"
 MCQ_FOOTER = "\nJawaban yang benar adalah huruf:"
 
 # Request payload constants of the completion client (fixed values).
-SERVED_MODEL = "nusantara-llm"
+SERVED_MODEL = "served-model"   # name of the deployed model (a parameter)
 REQUEST_MAX_TOKENS = 1024
 REQUEST_TEMPERATURE = 0.7
 

@@ -198,10 +198,17 @@ def greedy_chunks(segs: DataFrame, plan: DataFrame, max_length: int = MAX_LENGTH
     return chunks.select(group, "chunk_id", _pad(flat, int(max_length), ids.pad_id).alias("input_ids"))
 
 
+def materialized_segments(encoded: DataFrame, order: Sequence[str] = ("split", "shuffle_rank"),
+                          eos: int = DEFAULT_IDS.eos) -> DataFrame:
+    """PCK1 output written once to the checkpoint folder: the plan and the chunk build both read it,
+    so the encode that produced it is not run twice."""
+    return reliable_checkpoint(segments(encoded, order, eos=eos))
+
+
 def pack_greedy(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialIds = DEFAULT_IDS,
                 order: str = "shuffle_rank", group: str = "split") -> DataFrame:
     """PCK1 + PCK2 + PCK3 end to end."""
-    segs = segments(encoded, (group, order), eos=ids.eos)
+    segs = materialized_segments(encoded, (group, order), eos=ids.eos)
     plan = greedy_plan(segs, max_length, (order,), group)
     return greedy_chunks(segs, plan, max_length, ids, (order,), group)
 
@@ -231,7 +238,7 @@ def pack_concat(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialId
     """PCK6: lossless concat-and-chunk; every token kept, the last chunk padded."""
     M = int(max_length)
     docs = encoded.select(group, order, with_eos(F.col("input_ids"), ids.eos).alias("_ids"))
-    docs = docs.withColumn("n", F.size("_ids").cast("bigint"))
+    docs = reliable_checkpoint(docs.withColumn("n", F.size("_ids").cast("bigint")))  # read twice below
     offs = with_running(docs.select(group, order, "n"), [order], "n", [group], op="sum", out="offset")
     placed = offs.join(docs, on=[group, order, "n"], how="inner")
     k = F.col("k")

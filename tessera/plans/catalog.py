@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, QualityParams
-from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PLAN_QUALITY
+from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PLAN_QUALITY, SERVED_MODEL
 from ..operators import batches, dedup, encoding, evaluation, ordinal, packing, profile, prompts, quality, runlog
 from ..operators.dedup import order_key
 from ..sources import registry as reg
@@ -262,7 +262,7 @@ def _prepared(spark, d, **kw):
 
 def _greedy(spark, d):
     prep = _prepared(spark, d)
-    segs = packing.segments(prep.encoded, ("split", "shuffle_rank"), eos=DEFAULT_IDS.eos)
+    segs = packing.materialized_segments(prep.encoded, ("split", "shuffle_rank"), eos=DEFAULT_IDS.eos)
     plan = packing.greedy_plan(segs, MAX_LENGTH)
     return prep, segs, plan
 
@@ -652,9 +652,9 @@ WITH p AS (SELECT conv_id, string_agg({_BLOCK}, '' ORDER BY turn) || '<|Assistan
                   list(struct_pack(role := role, content := text) ORDER BY turn) AS messages
            FROM conversations GROUP BY conv_id)
 SELECT conv_id,
-  CAST(to_json(struct_pack(model := 'nusantara-llm', prompt := prompt, max_tokens := 1024, temperature := 0.7,
+  CAST(to_json(struct_pack(model := '{SERVED_MODEL}', prompt := prompt, max_tokens := 1024, temperature := 0.7,
                            stream := false)) AS VARCHAR) AS completion_payload,
-  CAST(to_json(struct_pack(model := 'nusantara-llm', messages := messages, temperature := 0.7,
+  CAST(to_json(struct_pack(model := '{SERVED_MODEL}', messages := messages, temperature := 0.7,
                            max_tokens := 1024)) AS VARCHAR) AS chat_payload
 FROM p""")
 def q_request_payloads(spark, d):
@@ -836,3 +836,16 @@ def q_stream_reassembly_live(spark, d):
     log = derived.stream_log(table(spark, d, "conversations"))
     log.write.parquet(folder)
     return stream_completions.live_reassembly(spark, folder, log.schema)
+
+
+@register("synthetic_split", "WITH syn AS (" + _synthetic_sql() + """),
+shuf AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS shuffle_rank,
+                count(*) OVER () AS _n FROM syn)
+SELECT doc_id, text, shuffle_rank,
+  CASE WHEN shuffle_rank < ((_n + 99) // 100 + 1) // 2 THEN 'test'
+       WHEN shuffle_rank < (_n + 99) // 100 THEN 'validation' ELSE 'train' END AS split
+FROM shuf""")
+def q_synthetic_split(spark, d):
+    # SRC5: one synthetic row per documents row, split exactly, raw text kept.
+    from .prepare import synthetic_only
+    return synthetic_only(_docs(spark, d)).select("doc_id", "text", "shuffle_rank", "split")

@@ -97,3 +97,22 @@ def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
 def profile_prepared(prep: Prepared) -> DataFrame:
     """The flagship report: per-split length profile plus the all-splits row."""
     return profile.length_profile_with_totals(prep.encoded)
+
+
+def corpus_or_synthetic(docs: DataFrame | None, n: int = 200_000, seed: int = SEED) -> DataFrame:
+    """SET3: the corpus, or ``n`` synthetic rows when nothing could be loaded (one cheap emptiness probe)."""
+    from ..sources.synthetic import synthetic_corpus
+    if docs is not None and not docs.isEmpty():
+        return docs
+    spark = docs.sparkSession if docs is not None else None
+    if spark is None:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+    return synthetic_corpus(spark, n, seed=seed).withColumn("source_rank", F.lit(0))
+
+
+def synthetic_only(ids: DataFrame, seed: int = SEED) -> DataFrame:
+    """SRC5: synthetic text for each id, split with the exact three-way split; raw text kept."""
+    from ..sources.synthetic import synthetic_rows
+    rows = synthetic_rows(ids.select("doc_id", "lang"), F.col("lang"), "doc_id", seed)
+    return three_way_split(rows, "doc_id", seed)
