@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, QualityParams
+from ..functions.time import instant_to_ntz, ntz_to_instant
 from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PLAN_QUALITY, SERVED_MODEL
 from ..operators import batches, dedup, encoding, evaluation, ordinal, packing, profile, prompts, quality, runlog
 from ..operators.dedup import order_key
@@ -819,12 +820,12 @@ def q_stream_runlog_rollup(spark, d):
     events = table(spark, d, "events")
 
     def to_log(s):
-        return s.select(F.col("user_id").alias("run_id"), F.col("ts").cast("timestamp").alias("ts"),
+        return s.select(F.col("user_id").alias("run_id"), ntz_to_instant(F.col("ts")).alias("ts"),
                         F.col("value").alias("loss"))
 
     out = stream_runlog.live_rollup(spark, f"{d.rstrip('/')}/events.parquet", events.schema, "1 hour", "2 hours", to_log)
-    return out.select("run_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+    return out.select("run_id", instant_to_ntz(F.col("window_start")).alias("window_start"),
+                      instant_to_ntz(F.col("window_end")).alias("window_end"),
                       "records", "mean_loss", "records_per_sec")
 
 
