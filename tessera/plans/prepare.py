@@ -21,7 +21,7 @@ from ..functions.text import text_key
 from ..operators import encoding, profile
 from ..operators.dedup import ORDER_SHIFT, order_key
 from ..operators.ordinal import head_per_group, three_way_split
-from ..operators.quality import quality_filter
+from ..operators.quality import length_ok, quality_filter
 from ..session import reliable_checkpoint
 from ..sources.registry import docs_with_rank, registry_from_table
 
@@ -72,7 +72,9 @@ def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> D
     """
     ranked = ranked_documents(docs)
     keep = decisions(quality_filter(ranked, p.quality), p).select("ord", "split", "shuffle_rank")
-    return (ranked.join(keep, on="ord", how="inner")
+    # The length rule is nearly free: rows it rejects never enter the join's shuffle.
+    candidates = ranked.where(length_ok(F.col("text"), p.quality))
+    return (candidates.join(keep, on="ord", how="inner")
             .select("doc_id", "lang", "source", "text", "split", "shuffle_rank"))
 
 
@@ -86,8 +88,13 @@ class Prepared:
 
 
 def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
-    """Prepare + encode.  ``encoded`` keeps doc_id, lang, source, split, shuffle_rank (Q21)."""
-    prepared = prepared_documents(docs, p)
+    """Prepare + encode.  ``encoded`` keeps doc_id, lang, source, split, shuffle_rank (Q21).
+
+    The prepared documents are written once (the reference's prepared-dataset
+    step); the vocabulary and the encoder both read that copy instead of each
+    repeating the text join.
+    """
+    prepared = reliable_checkpoint(prepared_documents(docs, p))
     vocab = encoding.build_vocab(prepared, ids=p.ids, vocab_size=p.vocab_size)
     encoded = encoding.encode(prepared, vocab, keys=("doc_id", "lang", "source", "split", "shuffle_rank"),
                               max_length=p.max_length, ids=p.ids)
