@@ -50,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # not set
             configured = None
     if not configured:
-        # Local tests only: nothing configured, so take a fresh private folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS/S3/ABFS)")
+        # Local mode only (tests, bench): nothing configured, so take a fresh private folder.
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

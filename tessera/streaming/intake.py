@@ -54,3 +54,12 @@ def incremental_intake(spark: SparkSession, source: str, schema: StructType, reg
     if not dataset_exists(spark, sink):
         return spark.createDataFrame([], "doc_id bigint, lang string, source string, text string, batch_id bigint")
     return spark.read.parquet(sink).drop("_key")
+
+
+def dedup_within_watermark(stream: DataFrame, event_time: str, delay: str,
+                           prefix_chars: int | None = PREFIX_CHARS, quality: QualityParams = PLAN_QUALITY) -> DataFrame:
+    """STR1 variant with bounded state: keep the first arrival of each (lang, key) seen within
+    ``delay`` of event time (``dropDuplicatesWithinWatermark``); state older than the watermark
+    is dropped, so a copy arriving later than ``delay`` is kept again."""
+    kept = quality_filter(stream, quality).withColumn("_key", text_key(F.col("text"), prefix_chars))
+    return kept.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["lang", "_key"]).drop("_key")

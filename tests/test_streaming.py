@@ -28,3 +28,23 @@ def test_live_reassembly_equals_batch(spark):
 
 def test_rollup_runs(spark):
     assert E.queries()["stream_runlog_rollup"](spark, SF_SMALL).count() > 0
+
+
+def test_watermark_dedup_variant(spark):
+    from pyspark.sql import functions as F
+    from tessera.streaming.common import run_available_now, work_dir
+    from tessera.streaming.intake import dedup_within_watermark
+    from tessera.streaming.common import file_stream
+    src = work_dir(spark, "wm-src")
+    x = "x" * 60 + "abcdefghijklmnop"
+    rows = [(1, x, "en", "s", "2024-01-01 00:00:00"), (2, x, "en", "s", "2024-01-01 00:05:00"),
+            (3, x, "fr", "s", "2024-01-01 00:06:00")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, t string") \
+        .withColumn("ts", F.to_timestamp("t")).drop("t").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    out = work_dir(spark, "wm-out")
+    q = dedup_within_watermark(file_stream(spark, src, schema), "ts", "1 hour")
+    run_available_now(q.writeStream.format("parquet").option("path", out)
+                      .option("checkpointLocation", out + "-ckpt"))
+    got = sorted(r.lang for r in spark.read.parquet(out).collect())
+    assert got == ["en", "fr"]
