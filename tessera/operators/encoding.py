@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, SpecialIds
-from ..functions.text import py_strip, words
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+
+from ..functions.text import WORD_SPLIT, py_strip, words
 from ..session import reliable_checkpoint
 from .ordinal import with_ordinal
 
@@ -61,8 +63,26 @@ def _sized(vocab: DataFrame, limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
 
 def encode(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
            text_col: str = "text", max_length: int = MAX_LENGTH,
-           ids: SpecialIds = DEFAULT_IDS, broadcast_limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    """TOK1: keys + ``input_ids array<int>`` (truncated to ``max_length``) + ``n_tokens``."""
+           ids: SpecialIds = DEFAULT_IDS, broadcast_limit: int = BROADCAST_VOCAB_ROWS,
+           strategy: str = "auto") -> DataFrame:
+    """TOK1: keys + ``input_ids array<int>`` (truncated to ``max_length``) + ``n_tokens``.
+
+    ``strategy``: ``"arrow"`` — vectorised lookup in each task against the
+    broadcast vocabulary (no explode, no shuffle); ``"join"`` — explode, join,
+    regroup (any vocabulary size); ``"auto"`` — arrow when the vocabulary's row
+    count is within ``broadcast_limit``, else join.
+    """
+    if strategy == "auto":
+        strategy = "arrow" if vocab.count() <= broadcast_limit else "join"
+    if strategy == "arrow":
+        return encode_arrow(docs, vocab, keys, text_col, max_length, ids)
+    return encode_join(docs, vocab, keys, text_col, max_length, ids, broadcast_limit)
+
+
+def encode_join(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
+                text_col: str = "text", max_length: int = MAX_LENGTH,
+                ids: SpecialIds = DEFAULT_IDS, broadcast_limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
+    """TOK1, any vocabulary size: explode words, join the vocabulary, regroup per document."""
     keys = list(keys)
     exploded = docs.select(*keys, F.posexplode_outer(F.slice(words(F.col(text_col)), 1, max_length))
                            .alias("pos", "word"))
@@ -76,6 +96,54 @@ def encode(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
                           F.size(input_ids).cast("bigint").alias("n_tokens"))
 
 
+def encode_arrow(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
+                 text_col: str = "text", max_length: int = MAX_LENGTH,
+                 ids: SpecialIds = DEFAULT_IDS) -> DataFrame:
+    """TOK1 for a bounded vocabulary: one narrow map stage, no shuffle.
+
+    The vocabulary (checked against the broadcast bound by the caller) is
+    shipped once to every executor, as Spark's broadcast join would do; each
+    Arrow batch is split, truncated and looked up with vectorised Arrow kernels
+    (regex split, hash ``index_in``, ``take``), with no per-token Python.
+    """
+    import pyarrow as pa
+
+    table = vocab.select("word", "token_id").toArrow()
+    shipped = docs.sparkSession.sparkContext.broadcast(
+        (table.column("word").combine_chunks(), table.column("token_id").combine_chunks().cast(pa.int32())))
+    keys = list(keys)
+    unk, limit = int(ids.unk), int(max_length)
+    schema = StructType([*(docs.schema[k] for k in keys),
+                         StructField("input_ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow.compute as pc
+        words_arr, ids_arr = shipped.value
+        lookup = pc.SetLookupOptions(value_set=words_arr)
+        for rb in batches:
+            text = rb.column(rb.schema.get_field_index(text_col))
+            parts = pc.split_pattern_regex(text, pattern=WORD_SPLIT)
+            flat = pc.list_flatten(parts)
+            parent = pc.list_parent_indices(parts)
+            nonempty = pc.not_equal(flat, "")
+            flat, parent = pc.filter(flat, nonempty), pc.filter(parent, nonempty).to_numpy()
+            counts = np.bincount(parent, minlength=rb.num_rows) if len(parent) else np.zeros(rb.num_rows, np.int64)
+            starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
+            pos = np.arange(len(parent), dtype=np.int64) - starts[parent]
+            keep = pos < limit
+            flat = pc.filter(flat, pa.array(keep))
+            counts = np.minimum(counts, limit)
+            token = pc.fill_null(pc.take(ids_arr, pc.index_in(flat, options=lookup)), unk)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, token.cast(pa.int32()))
+            cols = [rb.column(rb.schema.get_field_index(k)) for k in keys]
+            yield pa.RecordBatch.from_arrays([*cols, lists, pa.array(counts.astype(np.int64))],
+                                             names=[*keys, "input_ids", "n_tokens"])
+
+    return docs.select(*keys, text_col).mapInArrow(run, schema)
+
+
 def decode(encoded: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
            ids_col: str = "input_ids", broadcast_limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
     """TOK4: ids -> text; special and unknown ids are skipped, words joined by a space, stripped."""

@@ -64,3 +64,13 @@ def test_running_sum_and_min_with_groups(spark):
         for i in range(len(vals)):
             assert s[(g, i)] == sum(vals[:i])
             assert m[(g, i)] == (min(vals[:i]) if i else None)
+
+
+def test_arrow_and_join_encoders_agree_on_edges(spark):
+    rows = [(1, "  a b\tc\n"), (2, None), (3, "   \n\t "), (4, "b b b b b b"), (5, ""), (6, "x\fy\rz a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = encoding.build_vocab(docs.where(F.col("doc_id") != 6))
+    a = {r.doc_id: list(r.input_ids) for r in encoding.encode(docs, vocab, max_length=4, strategy="join").collect()}
+    b = {r.doc_id: list(r.input_ids) for r in encoding.encode(docs, vocab, max_length=4, strategy="arrow").collect()}
+    assert a == b
+    assert a[2] == [] and a[3] == [] and a[5] == [] and len(a[4]) == 4 and a[6][:3] == [3, 3, 3]
