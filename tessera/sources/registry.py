@@ -2,8 +2,9 @@
 
 A registry is a short list of ``CorpusSource`` entries (a few rows, bounded by
 the number of configured sources).  Loading builds one lazy DataFrame per
-entry and unions them by name; filters applied later are pushed through the
-union into every scan.
+path and unions them by name; entries that select rows of the same table
+share one scan.  Filters applied later are pushed through the union into
+every scan.
 """
 
 from __future__ import annotations
@@ -98,6 +99,29 @@ def _read_one(spark: SparkSession, s: CorpusSource) -> DataFrame:
     )
 
 
+def _replacement(spark: SparkSession, s: CorpusSource, rows: int, seed: int) -> DataFrame:
+    """SRC3: synthetic rows standing in for a source that failed to load."""
+    ids = spark.range(rows).withColumnRenamed("id", "doc_id")
+    return synthetic_rows(ids, s.lang, "doc_id", seed).withColumn("source_rank", F.lit(s.rank).cast("int"))
+
+
+def _read_shared(spark: SparkSession, group: Sequence[CorpusSource]) -> DataFrame:
+    """One scan for several entries over the same table: each row is emitted once per entry whose
+    predicate it matches (exact union semantics, duplicates kept), labelled with that entry."""
+    first = group[0]
+    df = spark.read.format(first.fmt).options(**first.options).load(first.path)
+    cols = set(df.columns)
+    text = F.coalesce(*[F.col(c) for c in ("text", "content") if c in cols], F.lit(""))
+    doc_id = F.col("doc_id").cast("bigint") if "doc_id" in cols else F.monotonically_increasing_id()
+    labels = F.array(*[F.when(F.expr(s.where), F.struct(F.lit(s.lang).alias("lang"), F.lit(s.source).alias("source"),
+                                                        F.lit(s.rank).cast("int").alias("source_rank")))
+                       for s in group])
+    any_match = F.expr(" OR ".join(f"({s.where})" for s in group))
+    hits = df.where(any_match).select(doc_id.alias("doc_id"), text.alias("text"),
+                                      F.explode(F.filter(labels, lambda x: x.isNotNull())).alias("_l"))
+    return hits.select("doc_id", "text", "_l.lang", "_l.source", "_l.source_rank")
+
+
 def load_sources(spark: SparkSession, sources: Sequence[CorpusSource], replace_failed: bool = True,
                  replacement_rows: int = 100_000, seed: int = SEED,
                  report: LoadReport | None = None) -> DataFrame | None:
@@ -110,10 +134,14 @@ def load_sources(spark: SparkSession, sources: Sequence[CorpusSource], replace_f
     """
     report = report if report is not None else LoadReport()
     parts: list[DataFrame] = []
+    shared: dict = {}
     for s in sources:
         if s.fmt is None or s.fmt not in READABLE_FORMATS or s.path is None:
             report.skipped.append(s.source)
             continue
+        if s.where:  # entries that select rows of one shared table are read together below
+            shared.setdefault((s.path, s.fmt, tuple(sorted(s.options.items()))), []).append(s)
+            continue
         try:
             part = _read_one(spark, s)
             report.loaded.append(s.source)
@@ -122,10 +150,19 @@ def load_sources(spark: SparkSession, sources: Sequence[CorpusSource], replace_f
                 raise
             log.warning("source %s failed (%s); using synthetic rows", s.source, e)
             report.replaced.append(s.source)
-            ids = spark.range(replacement_rows).withColumnRenamed("id", "doc_id")
-            part = (synthetic_rows(ids, s.lang, "doc_id", seed)
-                    .withColumn("source_rank", F.lit(s.rank).cast("int")))
+            part = _replacement(spark, s, replacement_rows, seed)
         parts.append(part)
+    for group in shared.values():
+        try:
+            parts.append(_read_shared(spark, group))
+            report.loaded.extend(s.source for s in group)
+        except AnalysisException as e:
+            if not replace_failed:
+                raise
+            for s in group:
+                log.warning("source %s failed (%s); using synthetic rows", s.source, e)
+                parts.append(_replacement(spark, s, replacement_rows, seed))
+                report.replaced.append(s.source)
     if not parts:
         return None
     out = parts[0]
