@@ -18,26 +18,32 @@ def _r6(c: Column) -> Column:
     return F.round(c, 6)
 
 
-def _length_aggs(n: Column) -> list[Column]:
+def _median(n: Column, exact: bool) -> Column:
+    """Exact median (value -> count buffer) or the sketch-based ``percentile_approx``."""
+    return F.percentile(n, 0.5) if exact else F.percentile_approx(n, 0.5, 10000).cast("double")
+
+
+def _length_aggs(n: Column, exact: bool = True) -> list[Column]:
     return [
         F.count(F.lit(1)).cast("bigint").alias("samples"),
         F.sum(n).cast("bigint").alias("total_tokens"),
         _r6(F.avg(n)).alias("mean_length"),
-        _r6(F.percentile(n, 0.5)).alias("median_length"),
+        _r6(_median(n, exact)).alias("median_length"),
         F.min(n).cast("bigint").alias("min_length"),
         F.max(n).cast("bigint").alias("max_length"),
         _r6(F.stddev_pop(n)).alias("std_length"),
     ]
 
 
-def length_profile(df: DataFrame, n_col: str = "n_tokens", by: str = "split") -> DataFrame:
-    """AGG1: per split: samples, tokens, mean, exact median, min, max, population std."""
-    return df.groupBy(by).agg(*_length_aggs(F.col(n_col)))
+def length_profile(df: DataFrame, n_col: str = "n_tokens", by: str = "split", exact: bool = True) -> DataFrame:
+    """AGG1: per split: samples, tokens, mean, median (exact by default), min, max, population std."""
+    return df.groupBy(by).agg(*_length_aggs(F.col(n_col), exact))
 
 
-def length_profile_with_totals(df: DataFrame, n_col: str = "n_tokens", by: str = "split") -> DataFrame:
+def length_profile_with_totals(df: DataFrame, n_col: str = "n_tokens", by: str = "split",
+                               exact: bool = True) -> DataFrame:
     """AGG1 + AGG2 in one pass: ``rollup`` adds the all-splits row (``split = 'ALL'``)."""
-    out = df.rollup(by).agg(*_length_aggs(F.col(n_col)), F.grouping(by).alias("_g"))
+    out = df.rollup(by).agg(*_length_aggs(F.col(n_col), exact), F.grouping(by).alias("_g"))
     return out.select(F.when(F.col("_g") == 1, F.lit("ALL")).otherwise(F.col(by)).alias(by),
                       *[c for c in out.columns if c not in (by, "_g")])
 

@@ -94,3 +94,18 @@ def test_retention(spark):
     log = _log(spark, [0.0] * 3500)
     got = sorted(r.step for r in runlog.retention(log, 500, 5).collect())
     assert got == [1500, 2000, 2500, 3000, 3500]
+
+
+def test_scorer_hook_built_once_per_partition(spark):
+    import pandas as pd
+    built = spark.sparkContext.accumulator(0)
+
+    def factory():
+        built.add(1)
+        return lambda pdf: pd.DataFrame({"item_id": pdf["item_id"], "score": pdf["item_id"] * 2.0})
+
+    items = spark.range(100).withColumnRenamed("id", "item_id").repartition(4)
+    out = evaluation.score_partitions(items, factory, "item_id long, score double")
+    rows = out.collect()
+    assert sorted(r.score for r in rows) == [i * 2.0 for i in range(100)]
+    assert built.value == 4

@@ -56,3 +56,10 @@ def test_batches_cover_rows_once(spark):
     assert sorted((r.batch_id, r.pos) for r in got) == [(i // 2, i % 2) for i in range(101)]
     # eval splits keep id order
     assert all(r.batch_id == r.chunk_id // 2 for r in got)
+
+
+def test_approximate_median_option(spark):
+    df = spark.range(1, 1001).select(F.lit("train").alias("split"), F.col("id").alias("n_tokens"))
+    exact = profile.length_profile(df).collect()[0].median_length
+    approx = profile.length_profile(df, exact=False).collect()[0].median_length
+    assert exact == 500.5 and abs(approx - exact) <= 1
