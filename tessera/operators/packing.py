@@ -13,8 +13,9 @@ is never built:
   1. each partition summarises itself as a step table: for an entering fill
      level ``c`` (0 <= c < M) -> (fill level after the partition, chunks
      emitted).  After its first flush a partition no longer depends on ``c``,
-     so the table has one row per segment that starts within the first M
-     tokens (plus one), not one per ``c``;
+     so the table has at most one row per segment that starts within the
+     first M tokens (plus one), not one per ``c``; adjacent rows with the same
+     outcome are merged, typically leaving a handful;
   2. the tables (a few rows per partition) are chained per split in order, which
      gives each partition its entering level and first chunk id; each
      partition then replays its segments with those values.
@@ -90,7 +91,7 @@ def _step_rows(lengths: np.ndarray, M: int) -> list[tuple]:
             r_chunks[j] = r_chunks[k] + 1
         else:
             r_state[j] = P[K] - P[j]
-    rows = []
+    rows: list[list] = []
     # entering level c flushes first after segment k-1 where P[k-1] < M - c <= P[k]
     for k in range(1, K + 1):
         hi = M - P[k - 1]
@@ -98,10 +99,14 @@ def _step_rows(lengths: np.ndarray, M: int) -> list[tuple]:
             break
         lo = max(0, M - P[k])
         if lo < hi:
-            rows.append((int(lo), int(hi), True, int(r_state[k]), int(r_chunks[k] + 1)))
+            out = (True, int(r_state[k]), int(r_chunks[k] + 1))
+            if rows and rows[-1][0] == int(hi) and tuple(rows[-1][2:]) == out:
+                rows[-1][0] = int(lo)  # adjacent piece with the same outcome: merge (lossless)
+            else:
+                rows.append([int(lo), int(hi), *out])
     if P[K] < M:
-        rows.append((0, int(M - P[K]), False, int(P[K]), 0))
-    return rows
+        rows.append([0, int(M - P[K]), False, int(P[K]), 0])
+    return [tuple(r) for r in rows]
 
 
 def _partition_frames(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
