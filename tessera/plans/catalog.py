@@ -18,7 +18,7 @@ from ..operators import batches, dedup, encoding, evaluation, ordinal, packing,
 from ..operators.dedup import order_key
 from ..sources import registry as reg
 from ..sources.synthetic import synthetic_rows
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from ..streaming import common as stream_common
 from ..streaming import completions as stream_completions
 from ..streaming import intake as stream_intake
@@ -54,7 +54,7 @@ def oracle() -> dict[str, str]:
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 # ---------------------------------------------------------------- quality --

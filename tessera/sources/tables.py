@@ -26,6 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over the cores.
+
+    A Parquet file is read in row-group units: a file with one row group is
+    read by one task however many splits it has, and every narrow stage after
+    the scan (quality rules, encoding) then runs on one core.  When the scan
+    has fewer splits than the default parallelism, rows are redistributed
+    (deterministically, by a hash of the first column) over that many
+    partitions.  Large inputs have many row groups and are returned
+    unchanged.  Used for the document table, whose per-row text work is the
+    CPU-heavy part; inputs that go straight into a shuffle do not need it.
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.col(df.columns[0]))
+
+
 def _guard(fn, path: str):
     try:
         return fn()
