@@ -15,7 +15,6 @@ from ..config import DEFAULT_IDS, MAX_LENGTH, QualityParams
 from ..functions.time import instant_to_ntz, ntz_to_instant
 from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PLAN_QUALITY, SERVED_MODEL
 from ..operators import batches, dedup, encoding, evaluation, ordinal, packing, profile, prompts, quality, runlog
-from ..operators.dedup import order_key
 from ..sources import registry as reg
 from ..sources.synthetic import synthetic_rows
 from ..sources.tables import spread, table
@@ -253,8 +252,6 @@ def q_synthetic_corpus(spark, d):
     return synthetic_rows(docs.select("doc_id", "lang"), F.col("lang"))
 
 
-_ = order_key  # re-exported for callers building their own order keys
-
 
 # ---------------------------------------------------------------- packing --
 def _prepared(spark, d, **kw):

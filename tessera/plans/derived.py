@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import SEED
 from ..functions.text import words
 from ..operators.ordinal import with_ordinal
 
@@ -94,5 +93,3 @@ def doc_losses_simple(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "lang", ((F.col("doc_id") % 50) / 10.0).alias("nll"),
                             F.length("text").cast("bigint").alias("n"))
 
-
-_ = SEED

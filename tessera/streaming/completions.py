@@ -18,7 +18,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from ..operators.prompts import stream_chunk_text
-from .common import file_stream, run_available_now, stream_path, work_dir
+from .common import file_stream, run_available_now, work_dir
 
 OUT_SCHEMA = "request_id long, text string, complete boolean"
 STATE_SCHEMA = "chunks string"

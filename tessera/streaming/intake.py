@@ -20,7 +20,7 @@ from ..functions.text import text_key
 from ..operators.dedup import keep_first, order_key
 from ..operators.quality import quality_filter
 from ..sources.sinks import dataset_exists
-from .common import file_stream, run_available_now, stream_path, work_dir
+from .common import run_available_now, stream_path, work_dir
 
 
 def intake_batch(batch: DataFrame, batch_id: int, registry: DataFrame, sink: str,

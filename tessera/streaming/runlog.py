@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import file_stream, run_available_now, stream_path, work_dir
+from .common import file_stream, run_available_now, work_dir
 
 
 def rollup(stream: DataFrame, window: str, delay: str) -> DataFrame:

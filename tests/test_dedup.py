@@ -1,7 +1,5 @@
 """DED1-4: keep-first by registry order within language (FIXTURES 3.2), plan shape."""
 
-from pyspark.sql import functions as F
-
 from tessera.operators import dedup
 
 X = "x" * 1000
@@ -42,4 +40,3 @@ def test_text_not_in_aggregate_exchange(spark):
     agg_lines = [ln for ln in plan.splitlines() if "HashAggregate" in ln]
     assert agg_lines and all("text" not in ln.split("output=")[-1] for ln in agg_lines)
     assert "SortAggregate" not in plan
-    _ = F

@@ -1,7 +1,6 @@
 """Registered queries vs their SQL (DuckDB) on sf0.001 — the same check the driver runs at sf0.01."""
 
 import json
-import os
 
 import duckdb
 import pytest
@@ -54,4 +53,3 @@ def test_every_query_has_sql_or_is_listed():
 def test_entry_runs(spark):
     rows = E.entry(spark).collect()
     assert {r.split for r in rows} >= {"train", "ALL"}
-    _ = os

@@ -1,7 +1,5 @@
 """FLT1-5: hand-worked cases (FIXTURES 3.1) and agreement with plain Python rules."""
 
-from pyspark.sql import functions as F
-
 from tessera.config import QualityParams
 from tessera.operators import quality
 
@@ -68,4 +66,3 @@ def test_filter_is_one_narrow_stage(spark):
         .executedPlan().toString()
     assert "Exchange" not in plan
     assert "WholeStageCodegen" in plan or "*(" in plan
-    _ = F

@@ -1,9 +1,6 @@
 """SRC2-10, SNK1-3, SET3, TOK1(b), TOK2, ROUGE-Lsum."""
 
-import json
-
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.config import SpecialIds
 from tessera.sources import registry, sinks, tables
@@ -82,7 +79,6 @@ def test_supplied_tokenizer(spark):
     df = spark.createDataFrame([(1, "a b c a"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: list(r.input_ids) for r in encode_with_tokenizer(df, tok.to_str(), max_length=3).collect()}
     assert got == {1: [1, 2, 0], 2: []}
-    _ = json, F
 
 
 def test_rouge_lsum_simple(spark):
