@@ -110,3 +110,12 @@ def padding_waste(batched: DataFrame, n_col: str = "n_tokens", split_col: str =
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         F.max(n_col).cast("bigint").alias("max_len"),
         (F.max(n_col) * F.count(F.lit(1)) - F.sum(n_col)).cast("bigint").alias("pad_waste"))
+
+
+def pad_to_batch_max(batched: DataFrame, ids: SpecialIds = DEFAULT_IDS, ids_col: str = "input_ids",
+                     split_col: str = "split") -> DataFrame:
+    """BAT4 remedy: right-pad every row to the longest row of its batch (a batch is ``batch_size`` rows)."""
+    from pyspark.sql import Window
+    longest = F.max(F.size(ids_col)).over(Window.partitionBy(split_col, "batch_id"))
+    padded = F.concat(F.col(ids_col), F.array_repeat(F.lit(ids.pad_id), longest - F.size(ids_col)))
+    return batched.withColumn(ids_col, padded)

@@ -190,3 +190,19 @@ def with_running(df: DataFrame, order_by: Sequence[str], value: str, group_by: S
     else:
         res = F.least(F.col("_base"), F.col("_local")).cast(vtype)  # least ignores nulls
     return joined.withColumn(out, res).drop("_pid", "_base", "_local")
+
+
+def approximate_split(df: DataFrame, id_col: str = "doc_id", seed: int = SEED,
+                      holdout_pct: int = HOLDOUT_PERCENT, buckets: int = 10_000) -> DataFrame:
+    """SPL1, cheap variant: a narrow column expression, no ordinal and no shuffle.
+
+    Each row falls in an md5 bucket of ``buckets``; the lowest ``holdout_pct``
+    percent of buckets are held out, half of them as test.  Sizes are
+    approximate (binomial), membership is deterministic and stable as rows
+    are added.
+    """
+    from ..functions.hashing import md5_index
+    b = md5_index(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")), buckets)
+    held = buckets * holdout_pct // 100
+    return df.withColumn("split", F.when(b < F.lit(held // 2), F.lit("test"))
+                         .when(b < F.lit(held), F.lit("validation")).otherwise(F.lit("train")))

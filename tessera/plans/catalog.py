@@ -847,3 +847,20 @@ def q_synthetic_split(spark, d):
     # SRC5: one synthetic row per documents row, split exactly, raw text kept.
     from .prepare import synthetic_only
     return synthetic_only(_docs(spark, d)).select("doc_id", "text", "shuffle_rank", "split")
+
+
+@register("approx_split", """
+SELECT doc_id, CASE WHEN b < 50 THEN 'test' WHEN b < 100 THEN 'validation' ELSE 'train' END AS split
+FROM (SELECT doc_id, CAST(('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 10000 AS BIGINT) AS b
+      FROM documents)""")
+def q_approx_split(spark, d):
+    return ordinal.approximate_split(_docs(spark, d).select("doc_id"))
+
+
+@register("pad_to_batch_max", sql.with_encoded(TRUNCATE_QUERY) + f"""
+SELECT split, doc_id, batch_id,
+       CAST(list_resize(input_ids, max(len(input_ids)) OVER (PARTITION BY split, batch_id), {DEFAULT_IDS.pad_id}) AS INTEGER[]) AS input_ids
+FROM ({_batch_sql('doc_id', 'encoded')})""")
+def q_pad_to_batch_max(spark, d):
+    enc = _prepared(spark, d, max_length=TRUNCATE_QUERY).encoded.select("split", "doc_id", "input_ids")
+    return batches.pad_to_batch_max(batches.assign_batches(enc, "doc_id")).select("split", "doc_id", "batch_id", "input_ids")
