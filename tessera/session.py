@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -66,3 +67,34 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (the in-code form of ``--py-files``).
+
+    Functions defined at module level (pandas UDFs, Arrow mappers) are pickled
+    by reference, so executors must be able to import ``tessera``.  The package
+    is zipped once per SparkContext on the driver and shipped with
+    ``addPyFile``; Spark copies it to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out_dir = tempfile.mkdtemp(prefix="tessera-pkg-")  # driver-side staging; Spark ships the file
+    path = os.path.join(out_dir, "tessera.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
