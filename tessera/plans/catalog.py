@@ -796,7 +796,7 @@ filtered AS (SELECT * FROM ranked WHERE ({sql.reason_sql('text', PLAN_QUALITY)})
 w AS (SELECT lang, min(ord) AS ord FROM filtered GROUP BY lang, {sql.key_sql('text', 1000)})
 SELECT f.doc_id, f.lang, f.source, CAST(0 AS BIGINT) AS batch_id FROM filtered f JOIN w ON f.ord = w.ord""")
 def q_stream_intake(spark, d):
-    docs = _docs(spark, d)
+    docs = table(spark, d, "documents")
     out = stream_intake.incremental_intake(spark, f"{d.rstrip('/')}/documents.parquet", docs.schema,
                                            reg.registry_from_table(docs))
     return out.select("doc_id", "lang", "source", "batch_id")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import py_strip
+from ..session import reliable_checkpoint
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -32,17 +33,21 @@ def spread(df: DataFrame) -> DataFrame:
     A Parquet file is read in row-group units: a file with one row group is
     read by one task however many splits it has, and every narrow stage after
     the scan (quality rules, encoding) then runs on one core.  When the scan
-    has fewer splits than the default parallelism, rows are redistributed
+    has fewer splits than the default parallelism (so it is smaller than
+    about one ``maxPartitionBytes`` per core), rows are redistributed
     (deterministically, by a hash of the first column) over that many
-    partitions.  Large inputs have many row groups and are returned
-    unchanged.  Used for the document table, whose per-row text work is the
+    partitions and written to the checkpoint folder.  Large inputs have many
+    row groups and are returned unchanged.  Used for the document table, whose per-row text work is the
     CPU-heavy part; inputs that go straight into a shuffle do not need it.
     """
     sc = df.sparkSession.sparkContext
     target = sc.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, F.col(df.columns[0]))
+    # Written once (small by construction: fewer splits than cores).  The written
+    # copy is also an optimizer barrier: later filters would otherwise be pushed
+    # below the repartition and run in the scan's single task.
+    return reliable_checkpoint(df.repartition(target, F.col(df.columns[0])))
 
 
 def _guard(fn, path: str):
