@@ -20,12 +20,14 @@ from ..functions.text import text_key
 from ..operators.dedup import keep_first, order_key
 from ..operators.quality import quality_filter
 from ..sources.sinks import dataset_exists
+from ..sources.tables import spread
 from .common import run_available_now, stream_path, work_dir
 
 
 def intake_batch(batch: DataFrame, batch_id: int, registry: DataFrame, sink: str,
                  quality: QualityParams, prefix_chars: int | None) -> None:
     spark = batch.sparkSession
+    batch = spread(batch)  # a small micro-batch read by one task is spread over the cores
     ranked = batch.join(F.broadcast(registry.select("lang", "source", "source_rank")), ["lang", "source"])
     kept = quality_filter(ranked, quality).withColumn("ord", order_key())
     keyed = kept.withColumn("_key", text_key(F.col("text"), prefix_chars))
