@@ -21,7 +21,7 @@ from ..functions.text import text_key
 from ..operators import encoding, profile
 from ..operators.dedup import ORDER_SHIFT, order_key
 from ..operators.ordinal import head_per_group, three_way_split
-from ..operators.quality import length_ok, quality_filter
+from ..operators.quality import length_ok, quality_keep
 from ..session import reliable_checkpoint
 from ..sources.registry import docs_with_rank, registry_from_table
 
@@ -35,6 +35,7 @@ class PrepareParams:
     max_length: int = MAX_LENGTH
     ids: SpecialIds = DEFAULT_IDS
     vocab_size: int | None = None
+    filter_synthetic: bool = False   # synthetic replacement rows skip the quality rules unless asked
 
 
 def ranked_documents(docs: DataFrame) -> DataFrame:
@@ -71,9 +72,11 @@ def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> D
     (checkpointed) decision step.
     """
     ranked = ranked_documents(docs)
-    keep = decisions(quality_filter(ranked, p.quality), p).select("ord", "split", "shuffle_rank")
+    exempt = F.lit(False) if p.filter_synthetic else (F.col("source") == F.lit("synthetic"))
+    kept = ranked.where(quality_keep(F.col("text"), p.quality) | exempt)
+    keep = decisions(kept, p).select("ord", "split", "shuffle_rank")
     # The length rule is nearly free: rows it rejects never enter the join's shuffle.
-    candidates = ranked.where(length_ok(F.col("text"), p.quality))
+    candidates = ranked.where(length_ok(F.col("text"), p.quality) | exempt)
     return (candidates.join(keep, on="ord", how="inner")
             .select("doc_id", "lang", "source", "text", "split", "shuffle_rank"))
 

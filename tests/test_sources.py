@@ -89,3 +89,11 @@ def test_rouge_lsum_simple(spark):
     pairs = spark.createDataFrame([(1, "a b\nc d", "a b\nc d")], "item_id long, prediction string, reference string")
     r = evaluation.rouge_l_scores(pairs).collect()[0]
     assert r.rougeL == 1.0 and r.rougeLsum == 1.0
+
+
+def test_synthetic_rows_skip_quality_rules_by_default(spark):
+    from tessera.plans.prepare import PrepareParams, prepared_documents
+    rows = [(1, "a" * 200, "en", "synthetic"), (2, "b" * 200, "en", "src0")]  # repetition 0.005 < 0.01
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [r.doc_id for r in prepared_documents(docs).collect()] == [1]
+    assert prepared_documents(docs, PrepareParams(filter_synthetic=True)).count() == 0
