@@ -36,6 +36,7 @@ class PrepareParams:
     ids: SpecialIds = DEFAULT_IDS
     vocab_size: int | None = None
     filter_synthetic: bool = False   # synthetic replacement rows skip the quality rules unless asked
+    use_registry_cap: bool = False   # cap each language at its registry ``max_samples`` instead
 
 
 def ranked_documents(docs: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def ranked_documents(docs: DataFrame) -> DataFrame:
     return docs_with_rank(docs, registry).withColumn("ord", order_key())
 
 
-def decisions(filtered: DataFrame, p: PrepareParams) -> DataFrame:
+def decisions(filtered: DataFrame, p: PrepareParams, caps: DataFrame | None = None) -> DataFrame:
     """Narrow (ord, doc_id, lang, shuffle_rank, split) for the kept rows.
 
     The dedup winners (lang, ord) are checkpointed once, so the range
@@ -56,7 +57,13 @@ def decisions(filtered: DataFrame, p: PrepareParams) -> DataFrame:
         filtered.select("lang", text_key(F.col("text"), p.prefix_chars).alias("_key"), "ord")
         .groupBy("lang", "_key").agg(F.min("ord").alias("ord"))
         .select("lang", "ord"))
-    if p.lang_cap:
+    if caps is not None:
+        # per-language caps: one row per language (registry-sized), broadcast
+        ranked = head_per_group(winners, ["lang"], ["ord"], None, out="lang_rank")
+        winners = (ranked.join(F.broadcast(caps), "lang", "left")
+                   .where(F.col("max_samples").isNull() | (F.col("lang_rank") < F.col("max_samples")))
+                   .select("lang", "ord"))
+    elif p.lang_cap:
         largest = winners.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
         if largest > p.lang_cap:
             winners = head_per_group(winners, ["lang"], ["ord"], p.lang_cap, out="lang_rank").drop("lang_rank")
@@ -71,10 +78,13 @@ def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> D
     joins back from the plain scan: the quality rules run once, inside the
     (checkpointed) decision step.
     """
-    ranked = ranked_documents(docs)
+    registry = registry_from_table(docs)
+    ranked = docs_with_rank(docs, registry).withColumn("ord", order_key())
+    caps = (registry.groupBy("lang").agg(F.min("max_samples").alias("max_samples"))
+            if p.use_registry_cap else None)
     exempt = F.lit(False) if p.filter_synthetic else (F.col("source") == F.lit("synthetic"))
     kept = ranked.where(quality_keep(F.col("text"), p.quality) | exempt)
-    keep = decisions(kept, p).select("ord", "split", "shuffle_rank")
+    keep = decisions(kept, p, caps).select("ord", "split", "shuffle_rank")
     # The length rule is nearly free: rows it rejects never enter the join's shuffle.
     candidates = ranked.where(length_ok(F.col("text"), p.quality) | exempt)
     return (candidates.join(keep, on="ord", how="inner")

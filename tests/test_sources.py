@@ -97,3 +97,21 @@ def test_synthetic_rows_skip_quality_rules_by_default(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert [r.doc_id for r in prepared_documents(docs).collect()] == [1]
     assert prepared_documents(docs, PrepareParams(filter_synthetic=True)).count() == 0
+
+
+def test_registry_cap_only_when_asked(spark):
+    from pyspark.sql import functions as F
+    from tessera.plans import prepare as P
+    from tessera.sources import registry as R
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("doc "), F.col("id").cast("string"),
+                                  F.lit(" " + "xyzw" * 20)).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    original = R.registry_from_table
+
+    def small_cap(d):
+        return original(d).withColumn("max_samples", F.lit(7).cast("bigint"))
+    P.registry_from_table = small_cap
+    try:
+        assert P.prepared_documents(docs).count() == 40
+        assert P.prepared_documents(docs, P.PrepareParams(use_registry_cap=True)).count() == 7
+    finally:
+        P.registry_from_table = original
