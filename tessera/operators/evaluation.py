@@ -48,9 +48,15 @@ def prompt(items: DataFrame) -> Column:
 
 
 # ------------------------------------------------------------ EV3 / EV4 ----
-def answer_key(answer: Column, label: Column) -> Column:
-    """EV3: ``answer``, else ``label`` as text, else ''; stripped and upper-cased."""
-    return F.upper(py_strip(F.coalesce(answer, label.cast("string"), F.lit(""))))
+def answer_key(answer: Column, label: Column, label_to_letter: bool = False) -> Column:
+    """EV3: ``answer``, else ``label`` as text, else ''; stripped and upper-cased.
+
+    ``label_to_letter`` maps a numeric label n to the n-th letter (0 -> 'A') so it
+    can match a lettered response; off by default (numeric labels then never
+    match a letter, as in the reference).
+    """
+    lab = F.char(label.cast("int") + F.lit(65)) if label_to_letter else label.cast("string")
+    return F.upper(py_strip(F.coalesce(answer, lab, F.lit(""))))
 
 
 def is_hit(key: Column, response: Column) -> Column:
@@ -59,11 +65,12 @@ def is_hit(key: Column, response: Column) -> Column:
     return (F.length(key) > 0) & F.startswith(cleaned, F.substring(key, 1, 1))
 
 
-def accuracy(items: DataFrame, responses: DataFrame, benchmark: str) -> DataFrame:
+def accuracy(items: DataFrame, responses: DataFrame, benchmark: str, label_to_letter: bool = False) -> DataFrame:
     """EV4: correct, total (non-skipped items) and ``correct / max(total, 1)``."""
+    key = answer_key(F.col("answer"), F.col("label"), label_to_letter)
     scored = (items.where(prompt(items).isNotNull())
               .join(responses, "item_id", "left")
-              .select(is_hit(answer_key(F.col("answer"), F.col("label")), F.col("response")).alias("hit")))
+              .select(is_hit(key, F.col("response")).alias("hit")))
     agg = scored.agg(F.count_if("hit").cast("bigint").alias("correct"), F.count(F.lit(1)).cast("bigint").alias("total"))
     return agg.select(F.lit(benchmark).alias("benchmark"), "correct", "total",
                       _r6(F.col("correct") / F.greatest(F.col("total"), F.lit(1))).alias("accuracy"))

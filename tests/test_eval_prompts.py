@@ -109,3 +109,10 @@ def test_scorer_hook_built_once_per_partition(spark):
     rows = out.collect()
     assert sorted(r.score for r in rows) == [i * 2.0 for i in range(100)]
     assert built.value == 4
+
+
+def test_label_to_letter_option(spark):
+    df = spark.createDataFrame([(None, 1, "B. yes")], "answer string, label long, response string")
+    plain = df.select(evaluation.is_hit(evaluation.answer_key(F.col("answer"), F.col("label")), F.col("response")))
+    mapped = df.select(evaluation.is_hit(evaluation.answer_key(F.col("answer"), F.col("label"), True), F.col("response")))
+    assert plain.first()[0] is False and mapped.first()[0] is True
