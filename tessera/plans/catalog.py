@@ -356,7 +356,7 @@ STEP_EPOCHS = 2
 @register("step_plan", sql.with_encoded() + f"""
 , b AS (SELECT DISTINCT batch_id FROM ({_batch_sql('doc_id', 'encoded')}) WHERE split = 'train'),
 s AS (SELECT (max(batch_id) + 1) // 16 AS upe FROM b),
-r AS (SELECT b.batch_id, b.batch_id // 16 AS u, s.upe, e.epoch FROM b, s, (SELECT unnest(range({STEP_EPOCHS})) AS epoch) e)
+r AS (SELECT batch_id, batch_id // 16 AS u, (SELECT upe FROM s) AS upe, unnest(range({STEP_EPOCHS})) AS epoch FROM b)
 SELECT CAST(epoch AS INTEGER) AS epoch, batch_id, CAST(epoch * upe + u + 1 AS BIGINT) AS update_step FROM r
 WHERE u < upe AND epoch * upe + u + 1 <= least(10000, upe * {STEP_EPOCHS})""")
 def q_step_plan(spark, d):
@@ -381,11 +381,13 @@ def q_length_grouped_batches(spark, d):
 , t AS (SELECT CAST(n_tokens AS DOUBLE) AS x FROM encoded WHERE split = 'train'),
 b0 AS (SELECT min(x) AS lo, max(x) AS hi FROM t),
 b AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM b0),
-c AS (SELECT CAST(least(floor((t.x - b.lo) * 100.0 / (b.hi - b.lo)), 99) AS INTEGER) AS bin, count(*) AS n FROM t, b GROUP BY 1),
+c AS (SELECT CAST(least(floor((x - (SELECT lo FROM b)) * 100.0 / ((SELECT hi FROM b) - (SELECT lo FROM b))), 99) AS INTEGER) AS bin,
+             count(*) AS n FROM t GROUP BY 1),
 g AS (SELECT CAST(unnest(range(100)) AS INTEGER) AS bin)
-SELECT g.bin, round(b.lo + g.bin * (b.hi - b.lo) / 100.0, 6) AS bin_start,
-       round(b.lo + (g.bin + 1) * (b.hi - b.lo) / 100.0, 6) AS bin_end, coalesce(c.n, 0) AS n
-FROM g CROSS JOIN b LEFT JOIN c ON g.bin = c.bin""")
+SELECT g.bin, round((SELECT lo FROM b) + g.bin * ((SELECT hi FROM b) - (SELECT lo FROM b)) / 100.0, 6) AS bin_start,
+       round((SELECT lo FROM b) + (g.bin + 1) * ((SELECT hi FROM b) - (SELECT lo FROM b)) / 100.0, 6) AS bin_end,
+       coalesce(c.n, 0) AS n
+FROM g LEFT JOIN c ON g.bin = c.bin""")
 def q_length_histogram(spark, d):
     enc = _prepared(spark, d).encoded
     return profile.length_histogram(enc.where(F.col("split") == "train"))
@@ -549,9 +551,9 @@ held AS (SELECT doc_id, lang, text FROM documents
 {_bigram_sql('held', 'eb', 'doc_id, lang,')},
 nll AS (
   SELECT e.doc_id, e.lang,
-         round(sum(-ln((coalesce(b.c_bi, 0) + 0.5) / (coalesce(c.c_ctx, 0) + 0.5 * v.vsize))) / count(*), 6) AS nll,
+         round(sum(-ln((coalesce(b.c_bi, 0) + 0.5) / (coalesce(c.c_ctx, 0) + 0.5 * (SELECT vsize FROM v)))) / count(*), 6) AS nll,
          count(*) AS n
-  FROM eb e LEFT JOIN bi b ON e.prev = b.prev AND e.word = b.word LEFT JOIN ctx c ON e.prev = c.prev, v
+  FROM eb e LEFT JOIN bi b ON e.prev = b.prev AND e.word = b.word LEFT JOIN ctx c ON e.prev = c.prev
   GROUP BY e.doc_id, e.lang
 )
 """
