@@ -71,3 +71,41 @@ def stats_job(spark: SparkSession, dataset: str, output: str | None = None) -> D
     sinks.write_stats(prof, output or stats_path(dataset))
     sinks.write_stats(profile.corpus_totals(df), (output or stats_path(dataset)) + "_totals")
     return prof
+
+
+def evaluate_job(spark: SparkSession, runs: dict, names, output: str | None = None,
+                 losses: DataFrame | None = None) -> DataFrame:
+    """EV8/EV9: score the selected benchmarks and collate one long result table.
+
+    ``runs`` maps a benchmark name to ``(items, responses)`` DataFrames (for a
+    ROUGE benchmark: ``(pairs, None)`` with item_id, prediction, reference).
+    Names not in the registry are ignored; a registered benchmark without
+    inputs gets an error row; ``losses`` (nll, n) adds the perplexity rows.
+    """
+    from ..operators import evaluation
+    chosen = {r["name"]: r for r in evaluation.select_benchmarks(
+        evaluation.benchmark_registry(spark), list(names)).collect()}  # registry rows: a handful
+    parts = []
+    for name, row in chosen.items():
+        if name not in runs:
+            parts.append(evaluation.error_row(spark, name, f"dataset not available: {row['dataset']}"))
+        elif row["metric"] == "accuracy":
+            items, responses = runs[name]
+            acc = evaluation.accuracy(items, responses, name)
+            parts.append(evaluation.result_rows(name, acc.select("accuracy", "correct", "total")))
+        elif row["metric"] == "rouge":
+            pairs, _ = runs[name]
+            r = evaluation.rouge_n(pairs)
+            parts.append(r.select(F.lit(name).alias("benchmark"), "metric", "value",
+                                  F.lit(None).cast("string").alias("error")))
+        else:
+            parts.append(evaluation.error_row(spark, name, f"Unknown metric: {row['metric']}"))
+    if losses is not None:
+        ppl = evaluation.perplexity(losses)
+        parts.append(evaluation.result_rows("perplexity", ppl.select("perplexity", "avg_loss")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    if output:
+        sinks.write_stats(out, output)
+    return out

@@ -27,3 +27,16 @@ def test_prepare_pack_stats_round_trip(spark):
     assert prof["ALL"] == tokens.count()
     with pytest.raises(MissingDatasetError):
         jobs.stats_job(spark, f"{root}/nothing-here")
+
+
+def test_evaluate_job(spark):
+    from tessera.plans import derived
+    bench = table(spark, SF_SMALL, "benchmark")
+    runs = {"indommlu": (derived.mcq_items(bench), derived.mcq_responses(bench)),
+            "indonlg": (derived.summary_pairs(bench), None)}
+    out = jobs.evaluate_job(spark, runs, ["indommlu", "indonlg", "indo4b", "not-registered"],
+                            losses=derived.doc_losses_simple(table(spark, SF_SMALL, "documents")))
+    rows = {(r.benchmark, r.metric): (r.value, r.error) for r in out.collect()}
+    assert ("indommlu", "accuracy") in rows and ("indonlg", "rouge1") in rows
+    assert rows[("indo4b", None)][1].startswith("dataset not available")
+    assert ("perplexity", "perplexity") in rows and not any(b == "not-registered" for b, _ in rows)
