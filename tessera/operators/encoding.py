@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, SpecialIds
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.text import WORD_SPLIT, py_strip, words
 from ..session import reliable_checkpoint
@@ -145,8 +145,17 @@ def encode_arrow(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
-           ids_col: str = "input_ids", broadcast_limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    """TOK4: ids -> text; special and unknown ids are skipped, words joined by a space, stripped."""
+           ids_col: str = "input_ids", broadcast_limit: int = BROADCAST_VOCAB_ROWS,
+           strategy: str = "auto") -> DataFrame:
+    """TOK4: ids -> text; special and unknown ids are skipped, words joined by a space, stripped.
+
+    ``strategy`` as in ``encode``: a vectorised Arrow lookup for a bounded
+    vocabulary, else explode -> join -> regroup.
+    """
+    if strategy == "auto":
+        strategy = "arrow" if vocab.count() <= broadcast_limit else "join"
+    if strategy == "arrow":
+        return decode_arrow(encoded, vocab, keys, ids_col)
     keys = list(keys)
     exploded = encoded.select(*keys, F.posexplode_outer(F.col(ids_col)).alias("pos", "token_id"))
     vocab_side = _sized(vocab.select("token_id", "word"), broadcast_limit)
@@ -157,6 +166,46 @@ def decode(encoded: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id"
     return grouped.select(*keys, py_strip(text).alias("text"))
 
 
+def decode_arrow(encoded: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
+                 ids_col: str = "input_ids") -> DataFrame:
+    """TOK4 for a bounded vocabulary: ids index a broadcast word array (``take``); no shuffle."""
+    import pyarrow as pa
+
+    table = vocab.select("token_id", "word").toArrow()
+    token_ids = table.column("token_id").combine_chunks().to_numpy()
+    lo = int(token_ids.min()) if len(token_ids) else 0
+    size = int(token_ids.max()) - lo + 1 if len(token_ids) else 0
+    words_by_id = [None] * size
+    for tid, w in zip(token_ids.tolist(), table.column("word").to_pylist()):
+        words_by_id[tid - lo] = w
+    shipped = encoded.sparkSession.sparkContext.broadcast((lo, pa.array(words_by_id, pa.string())))
+    keys = list(keys)
+    schema = StructType([*(encoded.schema[k] for k in keys), StructField("text", StringType())])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow.compute as pc
+        first, words = shipped.value
+        for rb in batches:
+            lists = rb.column(rb.schema.get_field_index(ids_col))
+            flat = pc.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            parent = pc.list_parent_indices(lists).to_numpy()
+            idx = flat - first
+            ok = (idx >= 0) & (idx < len(words))
+            picked = pc.take(words, pa.array(np.where(ok, idx, 0)))
+            picked = pc.if_else(pa.array(ok), picked, pa.scalar(None, pa.string()))
+            valid = pc.is_valid(picked).to_numpy(zero_copy_only=False)
+            kept, kept_parent = pc.filter(picked, pa.array(valid)), parent[valid]
+            counts = np.bincount(kept_parent, minlength=rb.num_rows) if len(kept_parent) else \
+                np.zeros(rb.num_rows, np.int64)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            text = pc.binary_join(pa.ListArray.from_arrays(offsets, kept), " ")
+            cols = [rb.column(rb.schema.get_field_index(k)) for k in keys]
+            yield pa.RecordBatch.from_arrays([*cols, text], names=[*keys, "text"])
+
+    return encoded.select(*keys, ids_col).mapInArrow(run, schema)
+
+
 # --------------------------------------------------------------------------
 # TOK1(b): supplied tokenizer definition, Arrow-batched.
 # --------------------------------------------------------------------------

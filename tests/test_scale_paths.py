@@ -74,3 +74,14 @@ def test_arrow_and_join_encoders_agree_on_edges(spark):
     b = {r.doc_id: list(r.input_ids) for r in encoding.encode(docs, vocab, max_length=4, strategy="arrow").collect()}
     assert a == b
     assert a[2] == [] and a[3] == [] and a[5] == [] and len(a[4]) == 4 and a[6][:3] == [3, 3, 3]
+
+
+def test_arrow_and_join_decoders_agree(spark):
+    docs = table(spark, SF_SMALL, "documents").where(F.col("doc_id") < 40)
+    vocab = encoding.build_vocab(docs.where(F.col("doc_id") < 30))
+    enc = encoding.encode(docs, vocab, max_length=30)
+    extra = spark.createDataFrame([(9999, [0, 1, 2, 3, 10**6])], "doc_id long, input_ids array<int>")
+    enc = enc.select("doc_id", "input_ids").unionByName(extra)
+    a = {r.doc_id: r.text for r in encoding.decode(enc, vocab, strategy="join").collect()}
+    b = {r.doc_id: r.text for r in encoding.decode(enc, vocab, strategy="arrow").collect()}
+    assert a == b and a[9999] == ""
