@@ -11,7 +11,7 @@ from test_quality import py_reason
 # (ASCII, Latin-1, Greek, CJK, emoji outside the BMP, and the usual invisible ones).
 ALPHABET = st.sampled_from(
     [chr(c) for c in range(0x20, 0x7F)] + [chr(c) for c in range(0xC0, 0x100)] + [chr(c) for c in range(0x3B1, 0x3CA)]
-    + ["中", "文", "字", "\U0001F600", "\U0001F680", "\n", "\t", "\r", " ", "​", " ", "\x00", "\x7f"])
+    + ["\u4e2d", "\u6587", "\u5b57", "\U0001F600", "\U0001F680", "\n", "\t", "\r", " ", "\u00a0", "\u200b", "\u2028", "\x00", "\x7f"])
 TEXTS = st.lists(st.text(alphabet=ALPHABET, min_size=0, max_size=120), min_size=1, max_size=40)
 
 
