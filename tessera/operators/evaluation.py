@@ -295,17 +295,71 @@ def bigram_model(train_docs: DataFrame, text_col: str = "text") -> tuple[DataFra
     return bigrams, contexts, vocab
 
 
+def _ngram_nll_arrow(docs: DataFrame, bigrams: DataFrame, contexts: DataFrame, vocab: int, k: float,
+                     keys: Sequence[str], text_col: str) -> DataFrame:
+    import pyarrow as pa
+    from pyspark.sql.types import DoubleType as _D, LongType, StructField, StructType
+
+    sep = "\t"  # never inside a word (words are split on whitespace)
+    bi = bigrams.select(F.concat_ws(sep, "prev", "word").alias("key"), "c_bi").toArrow()
+    cx = contexts.select("prev", "c_ctx").toArrow()
+    shipped = docs.sparkSession.sparkContext.broadcast(
+        (bi.column("key").combine_chunks(), bi.column("c_bi").combine_chunks().cast(pa.float64()),
+         cx.column("prev").combine_chunks(), cx.column("c_ctx").combine_chunks().cast(pa.float64())))
+    keys = list(keys)
+    schema = StructType([*(docs.schema[c] for c in keys), StructField("nll", _D()), StructField("n", LongType())])
+    from ..functions.text import WORD_SPLIT
+
+    def run(batches):
+        import numpy as np
+        import pyarrow.compute as pc
+        bkeys, bcounts, ckeys, ccounts = shipped.value
+        bopt, copt = pc.SetLookupOptions(value_set=bkeys), pc.SetLookupOptions(value_set=ckeys)
+        for rb in batches:
+            parts = pc.split_pattern_regex(rb.column(rb.schema.get_field_index(text_col)), pattern=WORD_SPLIT)
+            flat, parent = pc.list_flatten(parts), pc.list_parent_indices(parts)
+            nonempty = pc.not_equal(flat, "")
+            flat, parent = pc.filter(flat, nonempty), pc.filter(parent, nonempty).to_numpy()
+            n = len(parent)
+            first = np.ones(n, dtype=bool)
+            first[1:] = parent[1:] != parent[:-1]
+            prev_idx = np.arange(n) - 1
+            prev = pc.take(flat, pa.array(np.where(first, 0, prev_idx)))
+            prev = pc.if_else(pa.array(first), pa.scalar("<s>"), prev)
+            pair = pc.binary_join_element_wise(prev, flat, sep)
+            c_bi = pc.fill_null(pc.take(bcounts, pc.index_in(pair, options=bopt)), 0.0).to_numpy(zero_copy_only=False)
+            c_cx = pc.fill_null(pc.take(ccounts, pc.index_in(prev, options=copt)), 0.0).to_numpy(zero_copy_only=False)
+            nll = -np.log((c_bi + k) / (c_cx + k * vocab))
+            sums = np.bincount(parent, weights=nll, minlength=rb.num_rows) if n else np.zeros(rb.num_rows)
+            counts = np.bincount(parent, minlength=rb.num_rows) if n else np.zeros(rb.num_rows, np.int64)
+            has = counts > 0
+            mean = np.round(np.where(has, sums / np.maximum(counts, 1), 0.0), 6)
+            cols = [pc.filter(rb.column(rb.schema.get_field_index(c)), pa.array(has)) for c in keys]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(mean[has]), pa.array(counts[has].astype(np.int64))],
+                                             names=[*keys, "nll", "n"])
+
+    return docs.select(*keys, text_col).mapInArrow(run, schema)
+
+
 def _sized(df: DataFrame, limit: int = BROADCAST_COUNTS_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
 def ngram_nll(docs: DataFrame, bigrams: DataFrame, contexts: DataFrame, vocab: int, k: float = 0.5,
-              keys: Sequence[str] = ("doc_id", "lang"), text_col: str = "text") -> DataFrame:
+              keys: Sequence[str] = ("doc_id", "lang"), text_col: str = "text", strategy: str = "auto",
+              limit: int = BROADCAST_COUNTS_ROWS) -> DataFrame:
     """EV10 built-in scorer: mean negative log-likelihood per document under add-k bigrams.
 
-    The count tables join with a broadcast when their (checkpointed) row
-    count is under the limit; otherwise a shuffle join (AQE splits a hot key).
+    ``strategy``: ``"arrow"`` — the (row-count checked) model tables are
+    shipped to every executor and each Arrow batch is scored with vectorised
+    lookups, no explode or shuffle; ``"join"`` — explode word pairs and join
+    the count tables (broadcast when small, otherwise a shuffle join where AQE
+    splits a hot key); ``"auto"`` picks arrow within ``limit`` rows.
     """
+    if strategy == "auto":
+        strategy = "arrow" if bigrams.count() <= limit and contexts.count() <= limit else "join"
+    if strategy == "arrow":
+        return _ngram_nll_arrow(docs, bigrams, contexts, vocab, k, keys, text_col)
     toks = (docs.select(*keys, words(F.col(text_col)).alias("_w"))
             .select(*keys, F.explode(_bigrams(F.col("_w"))).alias("b")).select(*keys, "b.prev", "b.word"))
     j = (toks.join(_sized(bigrams), ["prev", "word"], "left")

@@ -85,3 +85,12 @@ def test_arrow_and_join_decoders_agree(spark):
     a = {r.doc_id: r.text for r in encoding.decode(enc, vocab, strategy="join").collect()}
     b = {r.doc_id: r.text for r in encoding.decode(enc, vocab, strategy="arrow").collect()}
     assert a == b and a[9999] == ""
+
+
+def test_bigram_scorer_paths_agree(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    train, held = docs.where(F.col("doc_id") % 3 != 0), docs.where(F.col("doc_id") % 3 == 0)
+    bi, ctx, v = evaluation.bigram_model(train)
+    a = {r.doc_id: (r.nll, r.n) for r in evaluation.ngram_nll(held, bi, ctx, v, strategy="join").collect()}
+    b = {r.doc_id: (r.nll, r.n) for r in evaluation.ngram_nll(held, bi, ctx, v, strategy="arrow").collect()}
+    assert a.keys() == b.keys() and all(abs(a[i][0] - b[i][0]) <= 2e-6 and a[i][1] == b[i][1] for i in a)
