@@ -94,3 +94,12 @@ def test_bigram_scorer_paths_agree(spark):
     a = {r.doc_id: (r.nll, r.n) for r in evaluation.ngram_nll(held, bi, ctx, v, strategy="join").collect()}
     b = {r.doc_id: (r.nll, r.n) for r in evaluation.ngram_nll(held, bi, ctx, v, strategy="arrow").collect()}
     assert a.keys() == b.keys() and all(abs(a[i][0] - b[i][0]) <= 2e-6 and a[i][1] == b[i][1] for i in a)
+
+
+def test_arrow_encoder_is_one_narrow_stage(spark):
+    docs = table(spark, SF_SMALL, "documents").where(F.col("doc_id") < 50)
+    vocab = encoding.build_vocab(docs)
+    plan = encoding.encode(docs, vocab, strategy="arrow")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan
+    joined = encoding.encode(docs, vocab, strategy="join")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in joined  # the regroup after the join
