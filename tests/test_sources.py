@@ -115,3 +115,14 @@ def test_registry_cap_only_when_asked(spark):
         assert P.prepared_documents(docs, P.PrepareParams(use_registry_cap=True)).count() == 7
     finally:
         P.registry_from_table = original
+
+
+def test_spread_contract(spark):
+    from tessera.sources.tables import spread
+    target = spark.sparkContext.defaultParallelism
+    big = spark.range(1000).repartition(target + 2)
+    assert spread(big) is big  # enough splits: returned unchanged
+    small = spark.range(100).coalesce(1)
+    spreadd = spread(small)
+    assert spreadd.rdd.getNumPartitions() == target
+    assert sorted(r.id for r in spreadd.collect()) == list(range(100))
