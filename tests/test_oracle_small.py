@@ -12,7 +12,8 @@ import __spark_entry__ as E
 FAST = ["quality_measures", "filter_report", "dedup_prefix", "lang_cap", "three_way_split", "vocab",
         "encode_truncate", "length_profile", "synthetic_corpus", "pack_greedy", "pack_concat", "batch_assign",
         "mcq_prompt", "answer_accuracy", "rouge_n", "chat_prompt", "request_payloads", "stream_reassembly",
-        "running_best", "retention_topk", "ngram_nll"]
+        "running_best", "retention_topk", "ngram_nll", "approx_split", "union_sources", "decode",
+        "eval_results", "pad_to_batch_max"]
 
 
 def _norm(v):
