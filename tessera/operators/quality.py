@@ -54,7 +54,14 @@ def quality_reason(text: Column, p: QualityParams = DEFAULT) -> Column:
 
 
 def quality_keep(text: Column, p: QualityParams = DEFAULT) -> Column:
-    return quality_reason(text, p).isNull()
+    """FLT4 as a filter: all rules pass.  The verdict does not depend on rule
+    order, so the cheaper printable rule runs before the repetition rule (junk
+    text is rejected without the distinct-character split); ``quality_reason``
+    keeps the reference order for reporting."""
+    t = F.coalesce(text, F.lit(""))
+    return (F.when(~length_ok(t, p), F.lit(False))
+            .when(printable_ratio(t) < F.lit(p.printable_min), F.lit(False))
+            .otherwise(repetition_ratio(t) >= F.lit(p.repetition_min)))
 
 
 def with_quality(df: DataFrame, p: QualityParams = DEFAULT, text_col: str = "text") -> DataFrame:

@@ -22,6 +22,8 @@ def test_quality_rules_match_python(spark, texts, rep, pr):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.quality_reason for r in quality.with_quality(df, p).collect()}
     assert got == {i: py_reason(t, p) for i, t in enumerate(texts)}
+    kept = {r.doc_id for r in quality.quality_filter(df, p).collect()}
+    assert kept == {i for i, t in enumerate(texts) if py_reason(t, p) is None}
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
