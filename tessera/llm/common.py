@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES):
     """Sub-batches whose texts hold about ``limit`` bytes (one row at least)."""
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     start, total = 0, 0
     for i, n in enumerate(sizes):
         n = n or 0
@@ -48,3 +49,29 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
 def blocks(spark: SparkSession, total_bytes: int, per_block: int) -> int:
     """Number of partitions that hold about ``per_block`` bytes each; grows with the data."""
     return int(max(1, -(-total_bytes // per_block), spark.sparkContext.defaultParallelism))
+
+
+def label_sample(labels: DataFrame, column: str, limit: int, held_out: bool = False) -> DataFrame:
+    """At most ``limit`` labelled documents (doc_id, label), the same at every run: the smallest id hashes.
+
+    Null ids and labels are left out; an id labelled twice counts once, with its largest label.
+    ``held_out``: leave out ids whose crc32 (as text) mod 3 is 1.
+    """
+    rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label")).dropna()
+    if held_out:
+        rows = rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+    rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+
+
+def add_blocks(parts: DataFrame, width: int) -> DataFrame:
+    """Sum equally long int64 vectors, given as (block, counts) rows: one row per block."""
+
+    def add(table: pa.Table) -> pa.Table:
+        import numpy as np
+        total = np.zeros(width, np.int64)
+        for x in table.column("counts"):
+            total += np.frombuffer(x.as_buffer(), np.int64)
+        return pa.table({"block": table.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    return parts.groupBy("block").applyInArrow(add, "block int, counts binary")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BASE = np.uint64(0x9E3779B97F4A7C55)
 _POW: dict[str, np.ndarray] = {}
@@ -42,7 +43,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
     if column.null_count:
-        column = pa.compute.fill_null(column, b"")
+        column = pc.fill_null(column, b"")
     _, off, data = column.buffers()
     off = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1]
     if data is None or off[-1] == off[0]:

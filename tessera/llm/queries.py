@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_counts
+from . import packing, quality, token_counts
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +16,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_hashed_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_token_counts, op7_pack_sum_of_squares)}
+    return {f.__name__: f for f in (op1_token_counts, op2_hashed_ngram_quality, op7_pack_sum_of_squares)}
 
 
 def oracle_sql() -> dict[str, str]:
