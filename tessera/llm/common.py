@@ -13,6 +13,7 @@ from ..session import ensure_checkpoint_dir
 
 #: UTF-8 bytes handled at once by the numpy kernels; one longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
+SLICE_ROWS = 1 << 13
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +34,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES):
-    """Sub-batches whose texts hold about ``limit`` bytes (one row at least)."""
+    """Sub-batches whose texts hold about ``limit`` bytes (one row at least, ``SLICE_ROWS`` at most)."""
     sizes = pc.binary_length(batch.column(column)).to_pylist()
     start, total = 0, 0
     for i, n in enumerate(sizes):
         n = n or 0
-        if i > start and total + n > limit:
+        if i > start and (total + n > limit or i - start == SLICE_ROWS):
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, token_counts
+from . import decontamination, near_duplicates, packing, quality, token_counts
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,21 @@ def op2_hashed_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_token_counts, op2_hashed_ngram_quality, op7_pack_sum_of_squares)}
+    return {f.__name__: f for f in (op1_token_counts, op2_hashed_ngram_quality, op5_simhash_decontamination, op6_weighted_minhash,
+                                     op7_pack_sum_of_squares)}
 
 
 def oracle_sql() -> dict[str, str]:
