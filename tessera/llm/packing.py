@@ -119,8 +119,10 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
         stream = Stream(capacity, TaskContext.get().partitionId() << 40)
         for batch in batches:
             for part in text_slices(batch):
-                for doc, ids in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text").to_pylist())):
-                    stream.add(doc, ids + end)
+                ids, borders = enc.encode(part.column("text"))
+                ids, borders = ids.tobytes(), (4 * borders).tolist()
+                for doc, a, b in zip(part.column("doc_id").to_pylist(), borders, borders[1:]):
+                    stream.add(doc, ids[a:b] + end)
                 yield stream.take()
         stream.close()
         yield stream.take()

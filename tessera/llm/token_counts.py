@@ -4,7 +4,7 @@ A text of at most ``chunk_chars`` code points is encoded as it is.  A longer one
 cut into chunks that overlap by at least ``overlap_chars``; each chunk is encoded
 by itself, in any task, with offsets, and neighbours are spliced at the first
 proven stable boundary of their overlap: a position whose previous character is a
-letter or digit and whose own character is a space, tab or line end.  The
+letter or digit and whose own character is a space.  The
 byte-level pre-tokenizer never makes a piece that holds such a pair (white space
 only opens a piece, or stands alone), and neither merges nor its one look-ahead
 reach over it; so encoding up to the position and from it on gives the tokens of
@@ -21,21 +21,23 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .common import doc_text, text_slices
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
 LIMIT = 1_024
-#: Words kept in a worker's memo before the older half is dropped.
-MEMO_WORDS = 400_000
+#: Units in a worker's memo at which the half used longest ago is dropped.
+MEMO_WORDS = 1_000_000
 
-_SAFE = re.compile(r"(?<=[A-Za-z0-9])[ \t\n\r]")
-_SPLIT = re.compile(r"(?<=\S) ")
+_SAFE = re.compile(r"(?<=[A-Za-z0-9]) ")
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -44,74 +46,122 @@ class Encoder:
 
     A text is cut before each space that follows a character other than white
     space.  By the argument above those cuts are token borders, so the ids of the
-    text are those of its pieces in order, and each distinct piece is encoded once.
+    text are those of its units in order, and a unit seen lately is not encoded
+    again.  Units are found and looked up by 64-bit hash for many texts at once.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
-        import numpy as np
         from tokenizers import Tokenizer
 
-        self.np, self.tok = np, Tokenizer.from_file(path)
-        self.memo: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-        self.opens = np.zeros(self.tok.get_vocab_size(with_added_tokens=True) + 1, bool)
-        for token, i in self.tok.get_vocab(with_added_tokens=True).items():
-            self.opens[i] = token.startswith("Ġ")  # the byte alphabet's letter for a space
+        self.tok = Tokenizer.from_file(path)
         pre = json.loads(self.tok.to_str())["pre_tokenizer"] or {}
         if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
             raise ValueError("the boundary proof holds for byte-level pre-tokenizers without a prefix space only")
-
-    def raw(self, text: str) -> bytes:
-        return self.np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def offsets(self, text: str) -> list[tuple[int, int]]:
-        return self.tok.encode(text, add_special_tokens=False).offsets
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that the memo lacks; a piece that ends in white space is marked (None)."""
-        memo, old = self.memo, self.old
-        new = []
-        for p in pieces:
-            if p not in memo:
-                if p in old:
-                    memo[p] = old[p]
-                elif not p or p[-1].isspace():
-                    memo[p] = None
-                else:
-                    new.append(p)
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            ids = self.np.array(self.tok.encode(" " + " ".join(part), add_special_tokens=False).ids, "<u4")
-            cut = self.np.flatnonzero(self.opens[ids])
-            if len(cut) != len(part):
-                for p in part:
-                    memo[p] = self.raw(" " + p)
-                continue
-            raw, cut = ids.tobytes(), (4 * cut).tolist()
-            memo.update(zip(part, map(raw.__getitem__, map(slice, cut, cut[1:] + [len(raw)]))))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo, self.old = {}, self.memo
-        split = [t.split(" ") for t in texts]
-        need: set[str] = set()
-        for pieces in split:
-            need.update(pieces[1:])
-        self._learn(need)
-        get, out = self.memo.__getitem__, []
-        for text, pieces in zip(texts, split):
-            first = pieces[0]
-            if not first or not first[-1].isspace():
-                try:
-                    out.append((self.raw(first) if first else b"") + b"".join(map(get, pieces[1:])))
-                    continue
-                except TypeError:  # white space before a space: only some spaces are borders
-                    pass
-            out.append(b"".join(self.raw(" " * (i > 0) + p) for i, p in enumerate(_SPLIT.split(text))))
-        return out
+        self.opens = np.zeros(self.tok.get_vocab_size(with_added_tokens=True) + 1, bool)
+        for token, i in self.tok.get_vocab(with_added_tokens=True).items():
+            self.opens[i] = token.startswith("Ġ")  # the byte alphabet's letter for a space
+        self.slot: dict[int, int] = {}  # unit hash -> place in the arrays below
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.used = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, "<u4")
+        self.round = 0
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the units one after another, their lengths, and the order in which they come.
+
+        Units that hold no space but their first character are encoded in long joined strings, whose units begin at
+        the tokens that begin with a space.
+        """
+        plain = [i for i, u in enumerate(units) if u.rfind(" ") == 0]
+        odd = [i for i, u in enumerate(units) if u.rfind(" ") != 0]
+        order, ids, length = [], [], []
+        parts = [plain[i:i + 256] for i in range(0, len(plain), 256)]
+        for part, found in zip(parts, self._ids(["".join(units[i] for i in p) for p in parts])):
+            cut = np.flatnonzero(self.opens[found])
+            if len(cut) == len(part):
+                order += part
+                ids.append(found)
+                length.append(np.diff(np.append(cut, len(found))))
+            else:
+                odd += part
+        rest = self._ids([units[i] for i in odd])
+        length.append(np.array([len(x) for x in rest], np.int64))
+        return np.concatenate([*ids, *rest, self.pool[:0]]), np.concatenate(length), np.array(order + odd, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the units used last, at most half of the memo."""
+        keep = self.used > np.sort(self.used)[len(self.used) // 2]
+        keys = np.fromiter(self.slot, np.uint64, len(self.slot))
+        slots = np.fromiter(self.slot.values(), np.int64, len(self.slot))
+        keys, slots = keys[keep[slots]], slots[keep[slots]]
+        self.pool = self.pool[_ragged(self.start[slots], self.length[slots])]
+        self.length, self.used = self.length[slots], self.used[slots]
+        self.start = np.cumsum(self.length) - self.length
+        self.slot = dict(zip(keys.tolist(), range(len(keys))))
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and the texts' borders among them."""
+        ids, total, start, off = self._encode(column)
+        return ids, total[np.searchsorted(start, off)]
+
+    def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Proven token borders of a text (in bytes, the last is its end) and the tokens before each."""
+        _, total, start, off = self._encode(pa.array([text], pa.string()))
+        return np.append(start, off[-1]), total
+
+    def _encode(self, column: pa.Array):
+        """Ids, tokens before each unit, where each unit starts, and the texts' offsets."""
+        if len(self.slot) > MEMO_WORDS:
+            self._forget()
+        self.round += 1
+        buf, off = K.utf8(column)
+        if not len(buf):
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, np.int64), off
+        at = np.flatnonzero(buf == 32)
+        at = at[at > 0]
+        one, two, three = (buf[np.maximum(at - i, 0)] for i in (1, 2, 3))
+        more = (one & 0xC0) == 0x80
+        firm = ((one > 32) & (one < 127)) | (more & (two >= 0xC3) & (two < 0xE0)) | (more & ((two & 0xC0) == 0x80) & ((three == 0xE0) | (three >= 0xE4)))
+        start = np.sort(np.concatenate([off[:-1][np.diff(off) > 0], at[firm]]), kind="stable")
+        start = start[np.diff(start, prepend=-1) > 0]
+        end = np.append(start[1:], len(buf))
+        key = K.Prefix(buf).hash(start, end)
+        order = np.argsort(key)
+        fresh = np.diff(key[order], prepend=~key[order[:1]]) != 0
+        first = order[fresh]
+        key = key[first]
+        slot = np.fromiter(map(self.slot.get, key.tolist(), repeat(-1)), np.int64, len(key))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            raw, a, b = buf.tobytes(), start[first[new]].tolist(), end[first[new]].tolist()
+            ids, length, came = self._encode_units([raw[i:j].decode() for i, j in zip(a, b)])
+            new = new[came]
+            slot[new] = np.arange(len(self.start), len(self.start) + len(new))
+            self.slot.update(zip(key[new].tolist(), slot[new].tolist()))
+            self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(length) - length])
+            self.length = np.concatenate([self.length, length])
+            self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+            self.pool = np.concatenate([self.pool, ids])
+        self.used[slot] = self.round
+        where = np.empty(len(order), np.int64)
+        where[order] = np.cumsum(fresh) - 1
+        slot = slot[where]
+        length = self.length[slot]
+        total = np.zeros(len(slot) + 1, np.int64)
+        np.cumsum(length, out=total[1:])
+        return self.pool[_ragged(self.start[slot], length)], total, start, off
+
+
+def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... of each run, one after another."""
+    total = np.cumsum(length)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(start - total + length, length)
 
 
 def encoder(path: str) -> Encoder:
@@ -150,12 +200,13 @@ def cut(text: str, chunk_chars: int, overlap_chars: int) -> list[tuple[str, int,
 
 
 def count_spliced(enc: Encoder, chunk: str, begin: int, end: int) -> int:
-    """Tokens of the chunk between two stable boundaries, by the library's offsets."""
-    ends = [b for _, b in enc.offsets(chunk)]
-    for p in (begin, end):
-        if p and p not in ends[-1:] and p not in set(ends):
-            raise ValueError(f"no token border at the stable position {p}")
-    return sum(begin < e <= end for e in ends)
+    """Tokens of the chunk between two stable boundaries, which its own encoding must show."""
+    border, before = enc.offsets(chunk)
+    begin, end = len(chunk[:begin].encode()), len(chunk[:end].encode())
+    i, j = np.searchsorted(border, (begin, end))
+    if border[i] != begin or border[j] != end:
+        raise ValueError(f"no token border at the stable position {begin} or {end}")
+    return int(before[j] - before[i])
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, chunk_chars: int = CHUNK_CHARS,
@@ -166,7 +217,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, c
         enc = encoder(tokenizer_path(path))
         for batch in batches:
             for part in text_slices(batch):
-                n = [len(x) // 4 for x in enc.encode(part.column("text").to_pylist())]
+                n = np.diff(enc.encode(part.column("text"))[1])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],
                                                  names=["doc_id", "n_bytes", "n_tokens"])
 
