@@ -16,10 +16,10 @@ probability 0.9992, at 0.77 with 0.997.  Exact copies (same words) are one text
 1. Every text of a band's bucket is compared with the bucket's least id; pairs that
    agree on ``AGREE`` samples are verified by exact weighted Jaccard similarity,
    ``SIMILARITY`` or more with TF-IDF or with TF weights.  Links are joined to classes.
-2. Buckets that still hold several classes are compared inside, every pair of
-   texts of different classes, in blocks of samples; pairs that agree on
-   ``AGREE`` samples are verified too.  A pure bucket, however large, costs one pair per
-   text; a mixed one is dealt out in chunks, so none is gathered in one task.
+2. In buckets that still hold several classes, every pair of texts of different
+   classes is compared exactly, by an inverted list of shingles, and only links
+   leave the task.  A pure bucket, however large, costs one pair per text; a mixed
+   one is dealt out in chunks, two at a time, so none is gathered in one task.
 
 ``near_duplicates`` returns doc_id and class_id (least doc_id of the class) of every
 row.  Texts without words (null, empty) and rows with a null id make no links; repeated ids are one
@@ -45,7 +45,7 @@ BUCKETS = 1 << 20
 BLOCK = 1 << 14
 FLOOR = 0.85
 #: Texts of a mixed bucket compared in one group, at most about twice this.
-CHUNK = 1_000
+CHUNK = 2_000
 _LOW = np.uint64(0xFFFF)
 
 
@@ -185,16 +185,41 @@ def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
 
 
-def _mixed_pairs(key, table):
-    """Pairs of texts of different classes that agree on ``AGREE`` samples, of two chunks of a bucket."""
-    ids, label, chunk = (table.column(c).to_numpy() for c in ("id", "class", "chunk"))
-    sig = np.array(table.column("sig").to_pylist(), np.int32)
-    out = []
-    for i in range(len(ids)):
-        j = np.flatnonzero((label != label[i]) & (ids > ids[i]) & ((chunk != chunk[i]) | (key[1].as_py() == key[2].as_py())))
-        out += [(ids[i], x) for x in ids[j[(sig[j] == sig[i]).sum(axis=1) >= AGREE]]]
-    a, b = zip(*out) if out else ([], [])
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _mixed_links(idf):
+    """Links between texts of different classes, of one chunk or two of a bucket."""
+
+    def run(key, table):
+        table = table.combine_chunks()
+        band, one, two = (x.as_py() for x in key[1:])
+        ids, label, chunk = (table.column(c).to_numpy() for c in ("id", "class", "chunk"))
+        n, same = len(ids), one == two
+        sig = np.array(table.column("sig").to_pylist(), np.int32).reshape(n, BANDS, ROWS)[:, :band]
+        shingle, count, text, borders, _, _ = vectors(table.column("text"))
+        weight = idf.value[_bucket(shingle)].astype(np.float64)
+        size = [np.bincount(text, weights=x, minlength=n) for x in (count, count * weight)]
+        order = np.argsort(shingle, kind="stable")
+        by, owner, count_by, weight_by = shingle[order], text[order], count[order], weight[order]
+        classes, at, members = np.unique(label, return_inverse=True, return_counts=True)
+        main = at == np.argmax(members)  # its members are compared with the others only
+        out = []
+        for i in np.flatnonzero(~main):
+            far = (label != label[i]) & (main | (ids > ids[i])) & (same | (chunk != chunk[i]))
+            far &= ~(sig == sig[i]).all(axis=2).any(axis=1)  # pairs that meet in an earlier band are compared there
+            if not far.any():
+                continue
+            mine, often = shingle[borders[i]:borders[i + 1]], count[borders[i]:borders[i + 1]]
+            left, right = np.searchsorted(by, mine, "left"), np.searchsorted(by, mine, "right")
+            span = right - left
+            hit = np.arange(span.sum()) + np.repeat(left - np.cumsum(span) + span, span)
+            both = np.minimum(count_by[hit], np.repeat(often, span))
+            for total, w in zip(size, (both, both * weight_by[hit])):
+                low = np.bincount(owner[hit], weights=w, minlength=n)
+                j = np.flatnonzero(far & (low >= SIMILARITY * (total + total[i] - low)))
+                out += [(min(ids[i], x), max(ids[i], x)) for x in ids[j]]
+        a, b = zip(*set(out)) if out else ([], [])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -209,7 +234,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = texts1.select("id", "sig")
 
     band = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, {', '.join(f'sig[b * {ROWS} + {i}]' for i in range(ROWS))}))")
-    bands = reps.select("id", F.explode(band).alias("key"))
+    bands = reps.select("id", F.posexplode(band).alias("band", "key"))
     full = bands.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1")
     members = written(bands.join(full, "key"), "members")
     involved = members.select(F.col("id").alias("doc_id")).distinct()
@@ -223,17 +248,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     same = copies.where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     near = written(components(links.select("a", "b")), "classes")
-    labelled = members.join(near, members.id == near.node, "left").select("key", "id", "n", F.coalesce("class", "id").alias("class"))
+    labelled = members.join(near, members.id == near.node, "left").select("band", "key", "id", F.coalesce("class", "id").alias("class"))
     mixed = labelled.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("m")).where("low <> high")
     chunks = F.ceil(F.col("m") / CHUNK).cast("int")
-    rows = (labelled.join(mixed.select("key", "m"), "key").join(reps, "id")
-            .select("key", "id", "class", "sig", chunks.alias("chunks"), F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"))
+    rows = (labelled.join(mixed.select("key", "m"), "key").join(reps, "id").join(texts.withColumnRenamed("doc_id", "id"), "id")
+            .select("key", "band", "id", "class", "sig", "text", chunks.alias("chunks"), F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
-    more = rows.select("key", "i", "j", "id", "class", "sig", "chunk").groupBy("key", "i", "j").applyInArrow(_mixed_pairs, "a long, b long").distinct()
-    links = links.union(written(verified(more, texts, idf), "links"))
+    more = rows.select("key", "band", "i", "j", "id", "class", "sig", "text", "chunk").groupBy("key", "band", "i", "j").applyInArrow(_mixed_links(idf), "a long, b long")
+    links = links.select("a", "b").union(written(more.distinct(), "links"))
 
-    classes = components(links.select("a", "b").union(same))
+    classes = components(links.union(same))
     ids = sigs.select("doc_id")
     return ids.join(classes, ids.doc_id == classes.node, "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
 
