@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: UTF-8 bytes handled at once by the numpy kernels; one longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 1 << 13
 
 

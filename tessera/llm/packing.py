@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .common import doc_text, text_slices
-from .token_counts import encoder, tokenizer_path
+from .token_counts import ENCODE_BYTES, encoder, tokenizer_path
 
 CAPACITY = 2_048
 END_ID = 1
@@ -118,7 +118,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
         enc = encoder(tokenizer_path(path))
         stream = Stream(capacity, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=ENCODE_BYTES):
                 ids, borders = enc.encode(part.column("text"))
                 ids, borders = ids.tobytes(), (4 * borders).tolist()
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), borders, borders[1:]):

@@ -44,7 +44,7 @@ from .common import blocks, doc_text, text_slices, written
 
 LENGTH = 50
 GRAM = 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _MAIL = "block int, kind int, id long, a binary, b binary"
 _ARROW = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 _TOP = np.uint64(0xFFFFFFFF00000000)

@@ -36,6 +36,8 @@ OVERLAP_CHARS = 256
 LIMIT = 1_024
 #: Units in a worker's memo at which the half used longest ago is dropped.
 MEMO_WORDS = 1_000_000
+#: Text encoded at once: the more, the fewer look-ups of a unit found again.
+ENCODE_BYTES = 4 << 20
 
 _SAFE = re.compile(r"(?<=[A-Za-z0-9]) ")
 _ENCODERS: dict[str, Encoder] = {}
@@ -216,7 +218,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, c
     def short(batches):
         enc = encoder(tokenizer_path(path))
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=ENCODE_BYTES):
                 n = np.diff(enc.encode(part.column("text"))[1])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],
                                                  names=["doc_id", "n_bytes", "n_tokens"])
