@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from .config import LANG_CAP, MAX_LENGTH
+from .config import MAX_LENGTH
 from .plans import jobs
 from .plans.prepare import PrepareParams
 from .session import ensure_checkpoint_dir, ship_package
@@ -19,14 +19,14 @@ def main(argv=None) -> None:
     p = sub.add_parser("prepare", help="filter, dedup, cap, split and encode a document table")
     p.add_argument("--input", required=True, help="Parquet documents (doc_id, text, lang, source)")
     p.add_argument("--output", required=True)
-    p.add_argument("--max-length", type=int, default=MAX_LENGTH)
-    p.add_argument("--max-samples", type=int, default=LANG_CAP, help="rows per language (0 = no cap)")
+    p.add_argument("--max-length", type=int, default=0, help="words per document (0 = all)")
+    p.add_argument("--max-samples", type=int, default=0, help="rows per language (0 = no cap)")
     k = sub.add_parser("pack", help="pack a token dataset into fixed-length chunks")
     k.add_argument("--input", required=True)
     k.add_argument("--output", required=True)
     k.add_argument("--max-length", type=int, default=MAX_LENGTH)
     k.add_argument("--no-pack", action="store_true")
-    k.add_argument("--lossless", action="store_true")
+    k.add_argument("--greedy", action="store_true", help="drop what overflows a chunk (reported) instead of packing losslessly")
     s = sub.add_parser("stats", help="length profile of a split dataset")
     s.add_argument("--dataset", required=True)
     args = ap.parse_args(argv)
@@ -36,11 +36,11 @@ def main(argv=None) -> None:
     ship_package(spark)
     if args.cmd == "prepare":
         docs = spread(spark.read.parquet(args.input))
-        params = PrepareParams(lang_cap=args.max_samples or None, max_length=args.max_length)
+        params = PrepareParams(lang_cap=args.max_samples or None, max_length=args.max_length or None)
         print("written" if jobs.prepare_job(spark, docs, args.output, params) else "skipped: output exists")
     elif args.cmd == "pack":
         done = jobs.pack_job(spark, args.input, args.output, args.max_length, pack=not args.no_pack,
-                             lossless=args.lossless)
+                             lossless=not args.greedy)
         print("written" if done else "skipped: output exists")
     else:
         jobs.stats_job(spark, args.dataset).show(truncate=False)

@@ -8,17 +8,15 @@ from dataclasses import dataclass
 # Fixed values (must equal the reference behaviour for the same results).
 # ---------------------------------------------------------------------------
 SEED = 42                       # shuffle / split seed
-PREFIX_CHARS = 1000             # dedup key: first 1,000 characters
+PREFIX_CHARS = 1000             # key of the prefix dedup: first 1,000 characters
 MAX_LENGTH = 32768              # sequence length (tokens) for encode and pack
 MIN_CHARS = 50                  # quality: minimum characters
 QUALITY_MAX_LENGTH = 8192       # quality: max characters = 4 * this
 REPETITION_MIN = 0.3            # quality: distinct chars / length
 PRINTABLE_MIN = 0.9             # quality: printable chars / length
 HOLDOUT_PERCENT = 1             # validation + test share, percent of rows
-LANG_CAP = 500_000              # rows per language (CLI default)
 BATCH_SIZE = 2                  # per-device batch
 GRAD_ACCUM = 16                 # gradient accumulation
-MAX_STEPS = 10_000
 LOGGING_STEPS = 10
 EVAL_STEPS = 500
 SAVE_STEPS = 500
@@ -30,9 +28,10 @@ MCQ_NEW_TOKENS = 10
 ROUGE_NEW_TOKENS = 256
 ROUGE_SOURCE_TRUNCATION = 4096
 
-# Quality thresholds used by the end-to-end plans so later stages have data.
-# (The operator default stays 0.3; see README "quirks".)
-PLAN_REPETITION_MIN = 0.01
+# The end-to-end plans keep long texts: no upper bound, and no threshold on the share
+# of distinct characters, which falls with length in any text.  Both rules are one
+# argument away; the operator defaults are the fixed values above.
+PLAN_REPETITION_MIN = 0.0
 
 # Prompt text of the multiple-choice evaluation (fixed values).
 MCQ_HEADER = "Pertanyaan: "
@@ -81,13 +80,13 @@ DEFAULT_IDS = SpecialIds()
 @dataclass(frozen=True)
 class QualityParams:
     min_chars: int = MIN_CHARS
-    max_length: int = QUALITY_MAX_LENGTH
+    max_length: int | None = QUALITY_MAX_LENGTH   # None: no upper bound
     repetition_min: float = REPETITION_MIN
     printable_min: float = PRINTABLE_MIN
 
     @property
-    def max_chars(self) -> int:
-        return self.max_length * 4
+    def max_chars(self) -> int | None:
+        return None if self.max_length is None else self.max_length * 4
 
 
-PLAN_QUALITY = QualityParams(repetition_min=PLAN_REPETITION_MIN)
+PLAN_QUALITY = QualityParams(max_length=None, repetition_min=PLAN_REPETITION_MIN)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import BATCH_SIZE, DEFAULT_IDS, GRAD_ACCUM, LABEL_IGNORE, MAX_STEPS, SEED, SpecialIds
+from ..config import BATCH_SIZE, DEFAULT_IDS, GRAD_ACCUM, LABEL_IGNORE, SEED, SpecialIds
 from ..functions.hashing import seeded_key
 from .ordinal import with_ordinal
 
@@ -55,10 +55,10 @@ def ragged_batches(batched: DataFrame, n_col: str = "n_tokens", split_col: str =
 
 
 def step_plan(batched: DataFrame, grad_accum: int = GRAD_ACCUM, epochs: int = 1,
-              max_steps: int = MAX_STEPS, split: str = "train") -> DataFrame:
+              max_steps: int | None = None, split: str = "train") -> DataFrame:
     """BAT5: (epoch, batch_id, update_step) for batches that feed an update.
 
-    updates/epoch = batches div accumulation; total = min(max_steps, updates × epochs).
+    updates/epoch = batches div accumulation; total = updates × epochs (at most ``max_steps`` if given).
     The batch count (one number) comes from a max aggregate; epochs come from
     ``explode(sequence(0, epochs-1))`` per batch.
     """
@@ -74,18 +74,18 @@ def step_plan(batched: DataFrame, grad_accum: int = GRAD_ACCUM, epochs: int = 1,
 
 
 def step_summary_from_batches(batches: int, grad_accum: int = GRAD_ACCUM, epochs: int = 1,
-                              max_steps: int = MAX_STEPS) -> dict:
+                              max_steps: int | None = None) -> dict:
     upe = batches // grad_accum
-    return {"batches": batches, "updates_per_epoch": upe, "total_updates": min(max_steps, upe * epochs),
+    return {"batches": batches, "updates_per_epoch": upe, "total_updates": upe * epochs if max_steps is None else min(max_steps, upe * epochs),
             "unused_batches": batches - upe * grad_accum}
 
 
 def step_summary(n_rows: int, batch_size: int = BATCH_SIZE, grad_accum: int = GRAD_ACCUM, epochs: int = 1,
-                 max_steps: int = MAX_STEPS) -> dict:
+                 max_steps: int | None = None) -> dict:
     """BAT5 arithmetic for a known row count."""
     batches = -(-n_rows // batch_size)
     upe = batches // grad_accum
-    return {"batches": batches, "updates_per_epoch": upe, "total_updates": min(max_steps, upe * epochs),
+    return {"batches": batches, "updates_per_epoch": upe, "total_updates": upe * epochs if max_steps is None else min(max_steps, upe * epochs),
             "unused_batches": batches - upe * grad_accum, "effective_batch": batch_size * grad_accum}
 
 
@@ -94,14 +94,14 @@ def length_grouped_batches(df: DataFrame, n_col: str = "n_tokens", id_col: str =
                            split_col: str = "split") -> DataFrame:
     """BAT6: shuffled mega-batches of ``batch_size*mega`` rows, sorted by length inside, then batched.
 
-    Returns (split, batch_id, rows, max_len, pad_waste) — the padding saved is the point.
+    Returns the rows with ``batch_id`` and ``pos``; ``padding_waste`` reports the padding saved.
     """
     shuffled = with_ordinal(df.withColumn("_k", seeded_key(seed, id_col)), ["_k", id_col], [split_col],
                             out="_s").drop("_k")
     grouped = shuffled.withColumn("_mb", F.floor(F.col("_s") / F.lit(batch_size * mega)).cast("bigint"))
     ranked = with_ordinal(grouped, ["_mb", F.col(n_col).desc(), "_s"], [split_col], out="_idx")
-    batched = ranked.withColumn("batch_id", F.floor(F.col("_idx") / F.lit(batch_size)).cast("bigint"))
-    return padding_waste(batched, n_col, split_col)
+    return (ranked.withColumn("batch_id", F.floor(F.col("_idx") / F.lit(batch_size)).cast("bigint"))
+            .withColumn("pos", (F.col("_idx") % F.lit(batch_size)).cast("bigint")).drop("_s", "_mb", "_idx"))
 
 
 def padding_waste(batched: DataFrame, n_col: str = "n_tokens", split_col: str = "split") -> DataFrame:

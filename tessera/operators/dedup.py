@@ -24,8 +24,15 @@ ORDER_SHIFT = 40  # doc_id < 2**40, source_rank < 2**23
 
 
 def order_key(rank_col: str = "source_rank", id_col: str = "doc_id") -> Column:
-    """Packed (source_rank, doc_id) order as one BIGINT: registry order, then id."""
-    return (F.col(rank_col).cast("bigint") * F.lit(1 << ORDER_SHIFT) + F.col(id_col).cast("bigint"))
+    """Packed (source_rank, doc_id) order as one BIGINT: registry order, then id.
+
+    Unique over all rows, as the rank is unique over the registry and the id within a
+    source; an id that does not fit its 40 bits raises an error.
+    """
+    i = F.col(id_col).cast("bigint")
+    fits = i.between(F.lit(0), F.lit((1 << ORDER_SHIFT) - 1))
+    checked = F.when(fits, i).otherwise(F.raise_error(F.concat(F.lit("doc_id outside 0 .. 2**40 - 1: "), F.coalesce(i.cast("string"), F.lit("null")))))
+    return F.col(rank_col).cast("bigint") * F.lit(1 << ORDER_SHIFT) + checked
 
 
 def keep_first(df: DataFrame, key: Column, scope: Sequence[str] = ("lang",),
@@ -50,7 +57,7 @@ def dedup_exact(df: DataFrame, scope: Sequence[str] = ("lang",), text_col: str =
     return dedup_prefix(df, None, scope, text_col, ord_col)
 
 
-def dedup_report(df: DataFrame, prefix_chars: int | None = PREFIX_CHARS,
+def dedup_report(df: DataFrame, prefix_chars: int | None = None,
                  scope: Sequence[str] = ("lang",), text_col: str = "text") -> DataFrame:
     """DED4: rows before, after and removed per scope (two small aggregations)."""
     per_key = (df.select(*scope, text_key(F.col(text_col), prefix_chars).alias("_key"))

@@ -2,17 +2,11 @@
 
 TOK1 TOK2 TOK3 TOK4 PRJ2
 
-Two encoders behind one interface:
-
-* native word vocabulary (the tested path): the vocabulary is trained in
-  Spark (``explode`` + partial/final aggregate, so hot words collapse before
-  the shuffle) and ranked by (count desc, word) with the distributed ordinal;
-  encoding explodes the first ``max_length`` words of each document, joins the
-  vocabulary (broadcast when its measured row count is under a limit, a
-  shuffle join with AQE skew splitting otherwise) and regroups per document —
-  each group holds at most ``max_length`` entries.
-* a supplied tokenizer definition (JSON of the ``tokenizers`` library) applied
-  by an Arrow-batched pandas UDF, built once per Python worker.
+A word vocabulary is trained in Spark (``explode`` + partial/final aggregate, so
+hot words collapse before the shuffle) and ranked by (count desc, word) with the
+distributed ordinal.  Encoding looks the words of each document up, whole texts by
+default, in vectorised Arrow kernels against a broadcast vocabulary of bounded
+row count, or by exploding, joining and regrouping beyond that.
 
 Source columns other than the keys are dropped (PRJ2), but ``doc_id``,
 ``lang`` and ``source`` may be kept as keys so later reports can group by them.
@@ -21,14 +15,11 @@ Source columns other than the keys are dropped (PRJ2), but ``doc_id``,
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from ..config import DEFAULT_IDS, MAX_LENGTH, SpecialIds
+from ..config import DEFAULT_IDS, SpecialIds
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.text import WORD_SPLIT, py_strip, words
@@ -48,7 +39,7 @@ def build_vocab(docs: DataFrame, text_col: str = "text", ids: SpecialIds = DEFAU
     ranked = with_ordinal(counts, [F.col("n").desc(), F.col("word")], out="_rank")
     if vocab_size:
         ranked = ranked.where(F.col("_rank") < F.lit(vocab_size))
-    return ranked.select("word", "n", (F.col("_rank") + F.lit(ids.first_word_id)).cast("int").alias("token_id"))
+    return ranked.select("word", "n", (F.col("_rank") + F.lit(ids.first_word_id)).cast("int").alias("token_id"))  # the ANSI cast raises beyond 2**31 words: pass vocab_size
 
 
 def vocab_size(vocab: DataFrame, ids: SpecialIds = DEFAULT_IDS) -> int:
@@ -62,10 +53,10 @@ def _sized(vocab: DataFrame, limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
 
 
 def encode(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
-           text_col: str = "text", max_length: int = MAX_LENGTH,
+           text_col: str = "text", max_length: int | None = None,
            ids: SpecialIds = DEFAULT_IDS, broadcast_limit: int = BROADCAST_VOCAB_ROWS,
            strategy: str = "auto") -> DataFrame:
-    """TOK1: keys + ``input_ids array<int>`` (truncated to ``max_length``) + ``n_tokens``.
+    """TOK1: keys + ``input_ids array<int>`` (the first ``max_length`` words; None: all) + ``n_tokens``.
 
     ``strategy``: ``"arrow"`` — vectorised lookup in each task against the
     broadcast vocabulary (no explode, no shuffle); ``"join"`` — explode, join,
@@ -80,12 +71,13 @@ def encode(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
 
 
 def encode_join(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
-                text_col: str = "text", max_length: int = MAX_LENGTH,
+                text_col: str = "text", max_length: int | None = None,
                 ids: SpecialIds = DEFAULT_IDS, broadcast_limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
     """TOK1, any vocabulary size: explode words, join the vocabulary, regroup per document."""
     keys = list(keys)
-    exploded = docs.select(*keys, F.posexplode_outer(F.slice(words(F.col(text_col)), 1, max_length))
-                           .alias("pos", "word"))
+    found = words(F.col(text_col))
+    found = F.slice(found, 1, max_length) if max_length else found
+    exploded = docs.select(*keys, F.posexplode_outer(found).alias("pos", "word"))
     vocab_side = _sized(vocab.select("word", "token_id"), broadcast_limit)
     joined = exploded.join(vocab_side, on="word", how="left")
     entry = F.when(F.col("pos").isNotNull(),
@@ -97,7 +89,7 @@ def encode_join(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_i
 
 
 def encode_arrow(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",),
-                 text_col: str = "text", max_length: int = MAX_LENGTH,
+                 text_col: str = "text", max_length: int | None = None,
                  ids: SpecialIds = DEFAULT_IDS) -> DataFrame:
     """TOK1 for a bounded vocabulary: one narrow map stage, no shuffle.
 
@@ -112,7 +104,7 @@ def encode_arrow(docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_
     shipped = docs.sparkSession.sparkContext.broadcast(
         (table.column("word").combine_chunks(), table.column("token_id").combine_chunks().cast(pa.int32())))
     keys = list(keys)
-    unk, limit = int(ids.unk), int(max_length)
+    unk, limit = int(ids.unk), max_length or (1 << 62)
     schema = StructType([*(docs.schema[k] for k in keys),
                          StructField("input_ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())])
 
@@ -204,27 +196,3 @@ def decode_arrow(encoded: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("d
             yield pa.RecordBatch.from_arrays([*cols, text], names=[*keys, "text"])
 
     return encoded.select(*keys, ids_col).mapInArrow(run, schema)
-
-
-# --------------------------------------------------------------------------
-# TOK1(b): supplied tokenizer definition, Arrow-batched.
-# --------------------------------------------------------------------------
-@lru_cache(maxsize=4)
-def _tokenizer(definition: str):
-    from tokenizers import Tokenizer  # imported on the worker
-    return Tokenizer.from_str(definition)
-
-
-def encode_with_tokenizer(docs: DataFrame, definition: str, keys: Sequence[str] = ("doc_id",),
-                          text_col: str = "text", max_length: int = MAX_LENGTH) -> DataFrame:
-    """TOK1(b): ids from a ``tokenizers`` JSON definition; truncation, no padding, no mask."""
-
-    @pandas_udf("array<int>")
-    def _encode(texts: pd.Series) -> pd.Series:
-        tok = _tokenizer(definition)
-        enc = tok.encode_batch(texts.fillna("").tolist(), add_special_tokens=True)
-        return pd.Series([e.ids[:max_length] for e in enc])
-
-    ids_col = _encode(F.col(text_col))
-    return docs.select(*keys, ids_col.alias("input_ids")).withColumn(
-        "n_tokens", F.size("input_ids").cast("bigint"))

@@ -37,23 +37,6 @@ from ..functions.hashing import seeded_key
 from ..session import reliable_checkpoint, shuffle_partitions
 
 
-# Offset tables (one row per partition and group) up to this many rows are broadcast.
-OFFSETS_BROADCAST_ROWS = 1_000_000
-
-
-def _bounded_broadcast(small: DataFrame, grouped: bool) -> DataFrame:
-    """Broadcast a per-partition table when its size is bounded.
-
-    Without group columns it has at most one row per partition.  With groups
-    it has about partitions + groups rows: it is counted first (it is computed
-    from the checkpointed table, so the count is cheap) and joined by shuffle
-    beyond the limit.
-    """
-    if not grouped or small.count() <= OFFSETS_BROADCAST_ROWS:
-        return F.broadcast(small)
-    return small
-
-
 def _cols(xs) -> list:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -184,7 +167,8 @@ def with_running(df: DataFrame, order_by: Sequence[str], value: str, group_by: S
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.schema.fields) + ", _local double"
     local_df = ranged.mapInPandas(local, schema)
-    joined = local_df.join(_bounded_broadcast(base, bool(groups)), on=["_pid", *groups])
+    # without groups: one row per partition; with groups adaptive execution picks the join by measured size
+    joined = local_df.join(base if groups else F.broadcast(base), on=["_pid", *groups])
     if op == "sum":
         res = (F.col("_base") + F.col("_local")).cast(vtype)
     else:

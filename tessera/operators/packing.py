@@ -260,3 +260,13 @@ def pack_concat(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialId
     chunks = pieces.groupBy(group, "chunk_id").agg(F.array_sort(F.collect_list("p")).alias("_ps"))
     flat = F.flatten(F.transform("_ps", lambda p: p["piece"]))
     return chunks.select(group, "chunk_id", _pad(flat, M, ids.pad_id).alias("input_ids"))
+
+
+def concat_report(encoded: DataFrame, max_length: int = MAX_LENGTH, group: str = "split") -> DataFrame:
+    """PCK5 for the lossless path: sequences, tokens in and kept (all), and padding, per split, from lengths only."""
+    M = F.lit(int(max_length))
+    tokens = F.sum(F.size("input_ids") + F.lit(1)).cast("bigint")  # each document and its end id
+    per = encoded.groupBy(group).agg(tokens.alias("tokens_in"))
+    sequences = F.ceil(F.col("tokens_in") / M).cast("bigint")
+    return per.select(group, sequences.alias("sequences"), "tokens_in", F.col("tokens_in").alias("tokens_kept"),
+                      F.lit(0).cast("bigint").alias("tokens_lost"), (sequences * M - F.col("tokens_in")).cast("bigint").alias("pad_tokens"))

@@ -8,10 +8,11 @@ count.  Profiles read the stored ``n_tokens`` column, never the id arrays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BYTES_PER_TOKEN
+from ..session import reliable_checkpoint
 
 
 def _r6(c: Column) -> Column:
@@ -65,7 +66,7 @@ def split_counts(df: DataFrame, by: str = "split") -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).cast("bigint").alias("samples"))
 
 
-def prepare_stats(encoded: DataFrame, vocab_size: int, max_length: int,
+def prepare_stats(encoded: DataFrame, vocab_size: int, max_length: int | None,
                   n_col: str = "n_tokens") -> DataFrame:
     """AGG4: one row; ``total_tokens`` is the real token sum (rows reported separately)."""
     s = F.col("split")
@@ -90,10 +91,11 @@ def train_summary(df: DataFrame, n_col: str = "n_tokens") -> DataFrame:
 def length_histogram(df: DataFrame, n_col: str = "n_tokens", bins: int = 100) -> DataFrame:
     """AGG5: equal-width bins between min and max, last bin closed, empty bins kept.
 
-    The bounds are a scalar subquery (one row) that Catalyst plans next to the
-    bin count; equal bounds widen by 0.5 on each side (numpy's rule).  Bin
-    counts aggregate map-side; the ``bins``-row grid keeps empty bins.
+    Rows are counted by length once (a few rows per length); bounds (a scalar
+    subquery) and bins come from that.  Equal bounds widen by 0.5 on each side
+    (numpy's rule); the ``bins``-row grid keeps empty bins.
     """
+    df = reliable_checkpoint(df.groupBy(n_col).agg(F.count(F.lit(1)).alias("_rows")))
     n = F.col(n_col).cast("double")
     lo0, hi0 = F.min(n), F.max(n)
     bounds = df.agg(F.struct(
@@ -102,7 +104,7 @@ def length_histogram(df: DataFrame, n_col: str = "n_tokens", bins: int = 100) ->
     lo, hi = bounds["lo"], bounds["hi"]
     width = hi - lo
     idx = F.least(F.floor((n - lo) * F.lit(float(bins)) / width), F.lit(bins - 1)).cast("int")
-    counts = df.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    counts = df.groupBy(idx.alias("bin")).agg(F.sum("_rows").cast("bigint").alias("n"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (grid.join(counts, "bin", "left")
             .select("bin",
@@ -115,7 +117,7 @@ def language_distribution(df: DataFrame, n_col: str = "n_tokens") -> DataFrame:
     """AGG8: rows and tokens per (lang, source) and token share; the share window runs after aggregation."""
     agg = df.groupBy("lang", "source").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"),
                                            F.sum(n_col).cast("bigint").alias("n_tokens"))
-    total = F.sum("n_tokens").over(Window.partitionBy())
+    total = agg.agg(F.sum("n_tokens").alias("t")).scalar()  # over the per-source rows
     return agg.withColumn("token_share", _r6(F.col("n_tokens") / F.greatest(total, F.lit(1))))
 
 
@@ -124,7 +126,7 @@ def expected_vs_actual(registry: DataFrame, docs: DataFrame) -> DataFrame:
     actual = docs.groupBy("lang", "source").agg(
         F.count(F.lit(1)).cast("bigint").alias("actual_docs"),
         F.sum(F.length("text")).cast("bigint").alias("actual_chars"))
-    return (F.broadcast(registry).join(actual, ["lang", "source"], "left")
+    return (registry.join(actual, ["lang", "source"], "left")
             .select("lang", "source", "expected_size",
                     F.coalesce("actual_docs", F.lit(0)).cast("bigint").alias("actual_docs"),
                     F.coalesce("actual_chars", F.lit(0)).cast("bigint").alias("actual_chars"),

@@ -30,9 +30,9 @@ def text_fallback(df: DataFrame, candidates: Sequence[str] = ("text", "content")
 
 
 def length_ok(text: Column, p: QualityParams = DEFAULT) -> Column:
-    """FLT1: min_chars <= length <= 4 * max_length (null counts as '')."""
+    """FLT1: min_chars <= length <= 4 * max_length (null counts as ''; no max_length: no upper bound)."""
     n = char_length(F.coalesce(text, F.lit("")))
-    return n.between(F.lit(p.min_chars), F.lit(p.max_chars))
+    return n >= F.lit(p.min_chars) if p.max_chars is None else n.between(F.lit(p.min_chars), F.lit(p.max_chars))
 
 
 def repetition_ratio(text: Column) -> Column:
@@ -49,7 +49,7 @@ def quality_reason(text: Column, p: QualityParams = DEFAULT) -> Column:
     """FLT4: first failing rule ('length', 'repetition', 'printable') or null when kept."""
     t = F.coalesce(text, F.lit(""))
     return (F.when(~length_ok(t, p), F.lit("length"))
-            .when(repetition_ratio(t) < F.lit(p.repetition_min), F.lit("repetition"))
+            .when(repetition_ratio(t) < F.lit(p.repetition_min) if p.repetition_min > 0 else F.lit(False), F.lit("repetition"))
             .when(printable_ratio(t) < F.lit(p.printable_min), F.lit("printable")))
 
 
@@ -61,7 +61,7 @@ def quality_keep(text: Column, p: QualityParams = DEFAULT) -> Column:
     t = F.coalesce(text, F.lit(""))
     return (F.when(~length_ok(t, p), F.lit(False))
             .when(printable_ratio(t) < F.lit(p.printable_min), F.lit(False))
-            .otherwise(repetition_ratio(t) >= F.lit(p.repetition_min)))
+            .otherwise(repetition_ratio(t) >= F.lit(p.repetition_min) if p.repetition_min > 0 else F.lit(True)))
 
 
 def with_quality(df: DataFrame, p: QualityParams = DEFAULT, text_col: str = "text") -> DataFrame:

@@ -17,7 +17,9 @@ from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PLAN_QUALITY, S
 from ..operators import batches, dedup, encoding, evaluation, ordinal, packing, profile, prompts, quality, runlog
 from ..sources import registry as reg
 from ..sources.synthetic import synthetic_rows
-from ..sources.tables import spread, table
+from ..session import reliable_checkpoint
+from ..sources import sinks
+from ..sources.tables import read_splits, read_stats, read_text_lines, spread, table
 from ..streaming import common as stream_common
 from ..streaming import completions as stream_completions
 from ..streaming import intake as stream_intake
@@ -127,7 +129,7 @@ def q_dedup_exact(spark, d):
 
 @register("dedup_report", f"""
 SELECT lang, CAST(sum(n) AS BIGINT) AS n_before, count(*) AS n_after, CAST(sum(n) - count(*) AS BIGINT) AS n_removed
-FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang, {sql.key_sql('text', 1000)}) GROUP BY lang""")
+FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang, {sql.key_sql('text', None)}) GROUP BY lang""")
 def q_dedup_report(spark, d):
     return dedup.dedup_report(_docs(spark, d))
 
@@ -159,6 +161,70 @@ def q_three_way_split(spark, d):
     return prepared_documents(_docs(spark, d)).select("doc_id", "lang", "split", "shuffle_rank")
 
 
+def _union_sql() -> str:
+    """Documents with ids that repeat in every language and a null source on every fifth row."""
+    return """docs_u AS (
+  SELECT CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS BIGINT) AS doc_id, text, lang,
+         CASE WHEN doc_id % 5 = 0 THEN NULL ELSE source END AS source FROM documents
+),
+"""
+
+
+@register("prepare_union", "WITH " + _union_sql() + sql.prepared_ctes(docs="docs_u") + """
+SELECT doc_id, lang, source, split, shuffle_rank FROM prepared""")
+def q_prepare_union(spark, d):
+    docs = _docs(spark, d).withColumnRenamed("doc_id", "_id")
+    numbered = ordinal.with_ordinal(docs.select("_id", "lang"), ["_id"], ["lang"], out="doc_id")
+    docs = docs.join(numbered.select("_id", "doc_id"), "_id").select(
+        "doc_id", "text", "lang", F.when(F.col("_id") % 5 == 0, F.lit(None)).otherwise(F.col("source")).alias("source"))
+    return prepared_documents(docs).select("doc_id", "lang", "source", "split", "shuffle_rank")
+
+
+@register("pack_concat_report", sql.with_encoded() + f"""
+SELECT split, CAST(ceil(sum(n_tokens + 1) / {MAX_LENGTH}) AS BIGINT) AS sequences, CAST(sum(n_tokens + 1) AS BIGINT) AS tokens_in,
+       CAST(sum(n_tokens + 1) AS BIGINT) AS tokens_kept, CAST(0 AS BIGINT) AS tokens_lost,
+       CAST(ceil(sum(n_tokens + 1) / {MAX_LENGTH}) * {MAX_LENGTH} - sum(n_tokens + 1) AS BIGINT) AS pad_tokens
+FROM encoded GROUP BY split""")
+def q_pack_concat_report(spark, d):
+    return packing.concat_report(_prepared(spark, d).encoded)
+
+
+def _work(spark) -> str:
+    return stream_common.work_dir(spark, "round-trip")
+
+
+@register("split_round_trip", f"""
+WITH {sql.prepared_ctes()}
+SELECT doc_id, lang, split, CAST(length(text) AS BIGINT) AS n_chars FROM prepared WHERE split <> 'train'""")
+def q_split_round_trip(spark, d):
+    # SNK1 + SNK3 + SRC6: written once, not again, and read back pruned to two splits
+    path = _work(spark)
+    prepared = prepared_documents(_docs(spark, d))
+    sinks.write_if_absent(prepared, path)
+    sinks.write_if_absent(prepared.limit(0), path)
+    return read_splits(spark, path, ["validation", "test"]).select("doc_id", "lang", "split", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("stats_round_trip", "SELECT lang, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY lang")
+def q_stats_round_trip(spark, d):
+    # SNK2 + SRC10
+    path = _work(spark)
+    sinks.write_stats(table(spark, d, "documents").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.length("text")).cast("bigint").alias("n_chars")), path)
+    return read_stats(spark, path)
+
+
+@register("text_lines", """
+SELECT trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text, count(*) AS n
+FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM conversations)
+WHERE trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' GROUP BY 1""")
+def q_text_lines(spark, d):
+    # SRC8: conversations written as text files, their lines read back
+    path = _work(spark)
+    table(spark, d, "conversations").select("text").write.text(path)
+    return read_text_lines(spark, path).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("split_counts", f"""
 WITH {sql.prepared_ctes()}
 SELECT split, count(*) AS samples FROM prepared GROUP BY split""")
@@ -210,7 +276,7 @@ SELECT CAST(sum(n_tokens) AS BIGINT) AS total_tokens, count(*) AS total_rows,
   count(*) FILTER (WHERE split = 'validation') AS val_samples,
   count(*) FILTER (WHERE split = 'test') AS test_samples,
   (SELECT count(*) FROM vocab) + {DEFAULT_IDS.count} AS vocab_size,
-  CAST({MAX_LENGTH} AS BIGINT) AS max_length
+  CAST(NULL AS BIGINT) AS max_length
 FROM encoded""")
 def q_prepare_stats(spark, d):
     prep = prepare(_docs(spark, d))
@@ -358,7 +424,7 @@ STEP_EPOCHS = 2
 s AS (SELECT (max(batch_id) + 1) // 16 AS upe FROM b),
 r AS (SELECT batch_id, batch_id // 16 AS u, (SELECT upe FROM s) AS upe, unnest(range({STEP_EPOCHS})) AS epoch FROM b)
 SELECT CAST(epoch AS INTEGER) AS epoch, batch_id, CAST(epoch * upe + u + 1 AS BIGINT) AS update_step FROM r
-WHERE u < upe AND epoch * upe + u + 1 <= least(10000, upe * {STEP_EPOCHS})""")
+WHERE u < upe AND epoch * upe + u + 1 <= upe * {STEP_EPOCHS}""")
 def q_step_plan(spark, d):
     enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
     return batches.step_plan(batches.assign_batches(enc, "doc_id"), epochs=STEP_EPOCHS)
@@ -373,7 +439,17 @@ SELECT split, idx // 2 AS batch_id, count(*) AS rows, max(n_tokens) AS max_len,
 FROM g GROUP BY split, idx // 2""")
 def q_length_grouped_batches(spark, d):
     enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
-    return batches.length_grouped_batches(enc)
+    return batches.padding_waste(batches.length_grouped_batches(enc))
+
+
+@register("length_grouped_assignment", sql.with_encoded() + """
+, sh AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS s
+         FROM encoded),
+g AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY s // 100, n_tokens DESC, s) - 1 AS idx FROM sh)
+SELECT split, doc_id, idx // 2 AS batch_id, idx % 2 AS pos FROM g""")
+def q_length_grouped_assignment(spark, d):
+    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    return batches.length_grouped_batches(enc).select("split", "doc_id", "batch_id", "pos")
 
 
 # --------------------------------------------------------------- profiles --
@@ -429,7 +505,7 @@ def _lit(s: str) -> str:
 
 _WORDS = sql.words_sql("text")
 _MCQ_ITEMS = f"""items AS (
-  SELECT item_id, substr(text, 1, 80) AS question, {_WORDS}[1:4] AS choices,
+  SELECT item_id, text AS question, {_WORDS}[1:4] AS choices,
          ['A', 'B', 'C', 'D'][item_id % 4 + 1] AS answer
   FROM benchmark
 )"""
@@ -541,13 +617,12 @@ def _bigram_sql(src: str, alias: str, extra: str = "") -> str:
 )"""
 
 
-_NGRAM_SQL = sql.with_encoded() + f""",
+_NGRAM_SQL = f"""WITH {sql.prepared_ctes()},
 {_bigram_sql("(SELECT text FROM prepared WHERE split = 'train')", 'tb')},
 bi AS (SELECT prev, word, count(*) AS c_bi FROM tb GROUP BY prev, word),
 ctx AS (SELECT prev, count(*) AS c_ctx FROM tb GROUP BY prev),
 v AS (SELECT count(DISTINCT word) + 1 AS vsize FROM tb),
-held AS (SELECT doc_id, lang, text FROM documents
-         WHERE doc_id NOT IN (SELECT doc_id FROM prepared WHERE split = 'train')),
+held AS (SELECT doc_id, lang, text FROM prepared WHERE split <> 'train'),
 {_bigram_sql('held', 'eb', 'doc_id, lang,')},
 nll AS (
   SELECT e.doc_id, e.lang,
@@ -560,11 +635,10 @@ nll AS (
 
 
 def _ngram_losses(spark, d):
-    docs = _docs(spark, d)
-    train = prepared_documents(docs).where(F.col("split") == "train")
-    bigrams, contexts, vsize = evaluation.bigram_model(train)
-    held = docs.join(train.select("doc_id"), "doc_id", "left_anti")
-    return evaluation.ngram_nll(held, bigrams, contexts, vsize)
+    # held out: the validation and test splits, which share no text with train
+    prepared = reliable_checkpoint(prepared_documents(_docs(spark, d)))
+    bigrams, contexts, vsize = evaluation.bigram_model(prepared.where(F.col("split") == "train"))
+    return evaluation.ngram_nll(prepared.where(F.col("split") != "train"), bigrams, contexts, vsize)
 
 
 @register("ngram_nll", _NGRAM_SQL + "SELECT doc_id, lang, nll, n FROM nll")
@@ -589,9 +663,8 @@ def q_perplexity_by_lang(spark, d):
 _REQUESTED = ["indommlu", "indonlg", "nusax", "indo4b", "unknown-benchmark"]
 
 
-@register("eval_results", _ACC_SQL.rstrip() + ",\n" + _ROUGE_CTES + """,
-simple AS (SELECT (doc_id % 50) / 10.0 AS nll, length(text) AS n FROM documents),
-ppl AS (SELECT sum(nll * n) / greatest(sum(n), 1) AS a FROM simple)
+@register("eval_results", _NGRAM_SQL.rstrip() + ",\n" + _ACC_SQL.strip().removeprefix("WITH ") + ",\n" + _ROUGE_CTES + """,
+ppl AS (SELECT sum(nll * n) / greatest(sum(n), 1) AS a FROM nll)
 SELECT benchmark, 'accuracy' AS metric, round(correct / greatest(total, 1), 6) AS value, NULL AS error FROM acc
 UNION ALL SELECT benchmark, 'correct', CAST(correct AS DOUBLE), NULL FROM acc
 UNION ALL SELECT benchmark, 'total', CAST(total AS DOUBLE), NULL FROM acc
@@ -619,7 +692,7 @@ def _eval_results(spark, d):
                               F.lit(None).cast("string").alias("error")))
     if "indo4b" in chosen:
         parts.append(evaluation.error_row(spark, "indo4b", f"dataset not available: {chosen['indo4b']['dataset']}"))
-    ppl = evaluation.perplexity(derived.doc_losses_simple(_docs(spark, d)))
+    ppl = evaluation.perplexity(_ngram_losses(spark, d))
     parts.append(evaluation.result_rows("perplexity", ppl.select("perplexity", "avg_loss")))
     out = parts[0]
     for p in parts[1:]:
@@ -776,10 +849,10 @@ def q_run_summary(spark, d):
 
 
 # ----------------------------------------------------------- decode / LIM2 --
-@register("decode", sql.with_encoded(TRUNCATE_QUERY) + f"""
-SELECT doc_id, array_to_string({_WORDS}[1:{TRUNCATE_QUERY}], ' ') AS text FROM prepared""")
+@register("decode", sql.with_encoded() + f"""
+SELECT doc_id, array_to_string({_WORDS}, ' ') AS text FROM prepared""")
 def q_decode(spark, d):
-    prep = _prepared(spark, d, max_length=TRUNCATE_QUERY)
+    prep = _prepared(spark, d)
     return encoding.decode(prep.encoded, prep.vocab)
 
 
@@ -795,7 +868,7 @@ def q_eval_subset(spark, d):
 @register("stream_intake", f"""
 WITH {sql.ranked_cte()},
 filtered AS (SELECT * FROM ranked WHERE ({sql.reason_sql('text', PLAN_QUALITY)}) IS NULL),
-w AS (SELECT lang, min(ord) AS ord FROM filtered GROUP BY lang, {sql.key_sql('text', 1000)})
+w AS (SELECT lang, min(ord) AS ord FROM filtered GROUP BY lang, {sql.key_sql('text', None)})
 SELECT f.doc_id, f.lang, f.source, CAST(0 AS BIGINT) AS batch_id FROM filtered f JOIN w ON f.ord = w.ord""")
 def q_stream_intake(spark, d):
     docs = table(spark, d, "documents")
@@ -859,10 +932,10 @@ def q_approx_split(spark, d):
     return ordinal.approximate_split(_docs(spark, d).select("doc_id"))
 
 
-@register("pad_to_batch_max", sql.with_encoded(TRUNCATE_QUERY) + f"""
+@register("pad_to_batch_max", sql.with_encoded() + f"""
 SELECT split, doc_id, batch_id,
        CAST(list_resize(input_ids, max(len(input_ids)) OVER (PARTITION BY split, batch_id), {DEFAULT_IDS.pad_id}) AS INTEGER[]) AS input_ids
 FROM ({_batch_sql('doc_id', 'encoded')})""")
 def q_pad_to_batch_max(spark, d):
-    enc = _prepared(spark, d, max_length=TRUNCATE_QUERY).encoded.select("split", "doc_id", "input_ids")
+    enc = _prepared(spark, d).encoded.select("split", "doc_id", "input_ids")
     return batches.pad_to_batch_max(batches.assign_batches(enc, "doc_id")).select("split", "doc_id", "batch_id", "input_ids")

@@ -33,10 +33,10 @@ def letter(n) -> F.Column:
 
 
 def mcq_items(benchmark: DataFrame) -> DataFrame:
-    """(item_id, question, choices, answer): question = first 80 chars, choices = words 1-4."""
+    """(item_id, question, choices, answer): question = the whole text, choices = words 1-4."""
     return benchmark.select(
         "item_id",
-        F.substring("text", 1, 80).alias("question"),
+        F.col("text").alias("question"),
         F.slice(words(F.col("text")), 1, 4).alias("choices"),
         F.lit(None).cast("string").alias("text"),
         letter(F.col("item_id")).alias("answer"),
@@ -86,10 +86,3 @@ def stream_log(conversations: DataFrame) -> DataFrame:
                            F.struct((F.col("_m") + 1).alias("seq"), F.lit("").alias("line")),
                            F.struct((F.col("_m") + 2).alias("seq"), F.lit("data: [DONE]").alias("line")))).alias("t"))
     return turns.unionByName(tail.select("request_id", F.col("t.seq").cast("bigint").alias("seq"), "t.line"))
-
-
-def doc_losses_simple(documents: DataFrame) -> DataFrame:
-    """(doc_id, lang, nll, n): nll = (doc_id % 50) / 10, n = length(text)."""
-    return documents.select("doc_id", "lang", ((F.col("doc_id") % 50) / 10.0).alias("nll"),
-                            F.length("text").cast("bigint").alias("n"))
-

@@ -26,10 +26,11 @@ def prepare_job(spark: SparkSession, docs: DataFrame, output: str, p: PreparePar
                 keep_text: bool = True) -> bool:
     """Filter, dedup, cap, split, encode; write ``output/tokens`` (and ``output/text``) by split.
 
-    Returns False when ``output`` already holds a dataset (nothing is recomputed).
+    Returns False when ``output`` already holds the data and its stats (nothing is recomputed); a run that
+    ended before its stats were written is completed.
     """
     tokens_out = output.rstrip("/") + "/tokens"
-    if sinks.dataset_exists(spark, tokens_out):
+    if sinks.dataset_exists(spark, tokens_out) and sinks.stats_exist(spark, stats_path(output)):
         return False
     prep = prepare(docs, p)
     if keep_text:
@@ -41,9 +42,12 @@ def prepare_job(spark: SparkSession, docs: DataFrame, output: str, p: PreparePar
 
 
 def pack_job(spark: SparkSession, tokens: str, output: str, max_length: int = MAX_LENGTH,
-             ids: SpecialIds = DEFAULT_IDS, pack: bool = True, lossless: bool = False) -> bool:
-    """Pack every split of a token dataset into fixed-length chunks (or keep one row per doc)."""
-    if sinks.dataset_exists(spark, output):
+             ids: SpecialIds = DEFAULT_IDS, pack: bool = True, lossless: bool = True) -> bool:
+    """Pack every split of a token dataset into fixed-length chunks (or keep one row per doc).
+
+    Lossless by default; ``lossless=False`` packs greedily, which loses what overflows a chunk (and reports it).
+    """
+    if sinks.dataset_exists(spark, output) and sinks.stats_exist(spark, stats_path(output)):
         return False
     encoded = read_splits(spark, tokens)
     if not pack:
@@ -51,7 +55,7 @@ def pack_job(spark: SparkSession, tokens: str, output: str, max_length: int = MA
         report = profile.length_profile(chunks)
     elif lossless:
         chunks = packing.pack_concat(encoded, max_length, ids)
-        report = chunks.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("sequences"))
+        report = packing.concat_report(encoded, max_length)
     else:
         segs = packing.materialized_segments(encoded, ("split", "shuffle_rank"), eos=ids.eos)
         plan = packing.greedy_plan(segs, max_length)

@@ -7,8 +7,7 @@ of the Spark (Java) patterns in ``functions.text``.
 
 from __future__ import annotations
 
-from ..config import (DEFAULT_IDS, LANG_CAP, MAX_LENGTH, PLAN_QUALITY, PREFIX_CHARS, SEED,
-                      QualityParams)
+from ..config import DEFAULT_IDS, MAX_LENGTH, PLAN_QUALITY, SEED, QualityParams
 from ..operators.dedup import ORDER_SHIFT
 
 SHIFT = 1 << ORDER_SHIFT
@@ -32,7 +31,8 @@ def printable_sql(t: str) -> str:
 
 
 def reason_sql(t: str, q: QualityParams = DEFAULT_Q) -> str:
-    return (f"CASE WHEN NOT ({length_sql(t)} BETWEEN {q.min_chars} AND {q.max_chars}) THEN 'length' "
+    upper = "" if q.max_chars is None else f" AND {length_sql(t)} <= {q.max_chars}"
+    return (f"CASE WHEN NOT ({length_sql(t)} >= {q.min_chars}{upper}) THEN 'length' "
             f"WHEN {rep_sql(t)} < {q.repetition_min} THEN 'repetition' "
             f"WHEN {printable_sql(t)} < {q.printable_min} THEN 'printable' END")
 
@@ -41,16 +41,16 @@ def words_sql(t: str) -> str:
     return f"list_filter(regexp_split_to_array(coalesce({t}, ''), '{WORD_SPLIT_RE2}'), lambda w: w <> '')"
 
 
-def ranked_cte() -> str:
-    """reg, ranked: registry rank by source name within lang; packed order key."""
+def ranked_cte(docs: str = "documents") -> str:
+    """reg, ranked: registry rank by lang and source name; packed order key."""
     return f"""reg AS (
-  SELECT lang, source, CAST(row_number() OVER (PARTITION BY lang ORDER BY source) - 1 AS INTEGER) AS source_rank
-  FROM (SELECT DISTINCT lang, source FROM documents)
+  SELECT lang, source, CAST(row_number() OVER (ORDER BY lang NULLS FIRST, source NULLS FIRST) - 1 AS INTEGER) AS source_rank
+  FROM (SELECT DISTINCT lang, source FROM {docs})
 ),
 ranked AS (
   SELECT d.doc_id, d.text, d.lang, d.source, r.source_rank,
          CAST(r.source_rank AS BIGINT) * {SHIFT} + d.doc_id AS ord
-  FROM documents d JOIN reg r ON d.lang = r.lang AND d.source = r.source
+  FROM {docs} d JOIN reg r ON d.lang IS NOT DISTINCT FROM r.lang AND d.source IS NOT DISTINCT FROM r.source
 )"""
 
 
@@ -58,11 +58,11 @@ def key_sql(t: str, prefix: int | None) -> str:
     return f"sha256({t})" if prefix is None else f"sha256(substr({t}, 1, {prefix}))"
 
 
-def prepared_ctes(q: QualityParams = PLAN_QUALITY, prefix: int | None = PREFIX_CHARS,
-                  cap: int | None = LANG_CAP, seed: int = SEED) -> str:
+def prepared_ctes(q: QualityParams = PLAN_QUALITY, prefix: int | None = None,
+                  cap: int | None = None, seed: int = SEED, docs: str = "documents") -> str:
     """... -> prepared(doc_id, lang, source, text, split, shuffle_rank, lang_rank)."""
     cap_where = "" if not cap else f"WHERE lang_rank < {cap}"
-    return f"""{ranked_cte()},
+    return f"""{ranked_cte(docs)},
 filtered AS (
   SELECT * FROM ranked WHERE ({reason_sql('text', q)}) IS NULL
 ),
@@ -75,9 +75,9 @@ capped AS (
   ) {cap_where}
 ),
 shuf AS (
-  SELECT *, row_number() OVER (ORDER BY md5('{seed}:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS shuffle_rank,
+  SELECT *, row_number() OVER (ORDER BY md5('{seed}:' || CAST(ord AS VARCHAR)), ord) - 1 AS shuffle_rank,
          count(*) OVER () AS _n
-  FROM (SELECT *, ord % {SHIFT} AS doc_id FROM capped)
+  FROM capped
 ),
 decided AS (
   SELECT ord, lang_rank, shuffle_rank,
@@ -99,10 +99,10 @@ def vocab_ctes(first_id: int = DEFAULT_IDS.first_word_id) -> str:
 )"""
 
 
-def encoded_ctes(max_length: int = MAX_LENGTH, unk: int = DEFAULT_IDS.unk) -> str:
+def encoded_ctes(max_length: int | None = None, unk: int = DEFAULT_IDS.unk) -> str:
     """encoded(doc_id, lang, source, split, shuffle_rank, input_ids, n_tokens)."""
     return f"""ws AS (
-  SELECT doc_id, {words_sql('text')}[1:{max_length}] AS w FROM prepared
+  SELECT doc_id, {words_sql('text')}{f"[1:{max_length}]" if max_length else ""} AS w FROM prepared
 ),
 toks AS (
   SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM ws
@@ -119,7 +119,7 @@ encoded AS (
 )"""
 
 
-def with_encoded(max_length: int = MAX_LENGTH, recursive: bool = False, **kw) -> str:
+def with_encoded(max_length: int | None = None, recursive: bool = False, **kw) -> str:
     head = "WITH RECURSIVE" if recursive else "WITH"
     return f"{head} {prepared_ctes(**kw)},\n{vocab_ctes()},\n{encoded_ctes(max_length)}\n"
 

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_IDS, LANG_CAP, MAX_LENGTH, PLAN_QUALITY, PREFIX_CHARS, SEED, QualityParams, SpecialIds
+from ..config import DEFAULT_IDS, PLAN_QUALITY, SEED, QualityParams, SpecialIds
 from ..functions.text import text_key
 from ..operators import encoding, profile
-from ..operators.dedup import ORDER_SHIFT, order_key
+from ..operators.dedup import order_key
 from ..operators.ordinal import head_per_group, three_way_split
 from ..operators.quality import length_ok, quality_keep
 from ..session import reliable_checkpoint
@@ -29,10 +29,10 @@ from ..sources.registry import docs_with_rank, registry_from_table
 @dataclass(frozen=True)
 class PrepareParams:
     quality: QualityParams = PLAN_QUALITY
-    prefix_chars: int | None = PREFIX_CHARS
-    lang_cap: int | None = LANG_CAP
+    prefix_chars: int | None = None  # duplicate key: the whole text
+    lang_cap: int | None = None      # rows per language: all
     seed: int = SEED
-    max_length: int = MAX_LENGTH
+    max_length: int | None = None    # words per document: all
     ids: SpecialIds = DEFAULT_IDS
     vocab_size: int | None = None
     filter_synthetic: bool = False   # synthetic replacement rows skip the quality rules unless asked
@@ -40,9 +40,13 @@ class PrepareParams:
 
 
 def ranked_documents(docs: DataFrame) -> DataFrame:
-    """Documents with registry rank and packed order key ``ord``."""
-    registry = registry_from_table(docs)
-    return docs_with_rank(docs, registry).withColumn("ord", order_key())
+    """Documents with registry rank and packed order key ``ord``.
+
+    A ``source_rank`` that the documents bring along (from ``load_sources``) is kept.
+    """
+    if "source_rank" not in docs.columns:
+        docs = docs_with_rank(docs, registry_from_table(docs))
+    return docs.withColumn("ord", order_key())
 
 
 def decisions(filtered: DataFrame, p: PrepareParams, caps: DataFrame | None = None) -> DataFrame:
@@ -51,7 +55,7 @@ def decisions(filtered: DataFrame, p: PrepareParams, caps: DataFrame | None = No
     The dedup winners (lang, ord) are checkpointed once, so the range
     sampling and the writes of the later ordinals read that small table
     instead of re-running the quality rules.  The per-language cap runs only
-    when some language exceeds it (per-language counts are a few rows).
+    when asked for.
     """
     winners = reliable_checkpoint(
         filtered.select("lang", text_key(F.col("text"), p.prefix_chars).alias("_key"), "ord")
@@ -64,11 +68,8 @@ def decisions(filtered: DataFrame, p: PrepareParams, caps: DataFrame | None = No
                    .where(F.col("max_samples").isNull() | (F.col("lang_rank") < F.col("max_samples")))
                    .select("lang", "ord"))
     elif p.lang_cap:
-        largest = winners.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
-        if largest > p.lang_cap:
-            winners = head_per_group(winners, ["lang"], ["ord"], p.lang_cap, out="lang_rank").drop("lang_rank")
-    keyed = winners.withColumn("doc_id", (F.col("ord") % F.lit(1 << ORDER_SHIFT)).cast("bigint"))
-    return three_way_split(keyed, "doc_id", p.seed)
+        winners = head_per_group(winners, ["lang"], ["ord"], p.lang_cap, out="lang_rank").drop("lang_rank")
+    return three_way_split(winners, "ord", p.seed)  # ids may repeat across sources, ``ord`` does not
 
 
 def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> DataFrame:
@@ -78,16 +79,15 @@ def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> D
     joins back from the plain scan: the quality rules run once, inside the
     (checkpointed) decision step.
     """
-    registry = registry_from_table(docs)
-    ranked = docs_with_rank(docs, registry).withColumn("ord", order_key())
-    caps = (registry.groupBy("lang").agg(F.min("max_samples").alias("max_samples"))
+    ranked = ranked_documents(docs)
+    caps = (registry_from_table(docs).groupBy("lang").agg(F.min("max_samples").alias("max_samples"))
             if p.use_registry_cap else None)
-    exempt = F.lit(False) if p.filter_synthetic else (F.col("source") == F.lit("synthetic"))
+    exempt = F.lit(False) if p.filter_synthetic else F.col("source").eqNullSafe(F.lit("synthetic"))
     kept = ranked.where(quality_keep(F.col("text"), p.quality) | exempt)
     keep = decisions(kept, p, caps).select("ord", "split", "shuffle_rank")
     # The length rule is nearly free: rows it rejects never enter the join's shuffle.
     candidates = ranked.where(length_ok(F.col("text"), p.quality) | exempt)
-    return (candidates.join(keep, on="ord", how="inner")
+    return (candidates.join(keep, on="ord", how="inner").dropDuplicates(["ord"])  # a repeated row counts once
             .select("doc_id", "lang", "source", "text", "split", "shuffle_rank"))
 
 
@@ -97,7 +97,7 @@ class Prepared:
     vocab: DataFrame
     encoded: DataFrame
     vocab_size: int
-    max_length: int
+    max_length: int | None
 
 
 def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:

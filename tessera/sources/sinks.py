@@ -17,11 +17,23 @@ def write_stats(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def dataset_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished data set lies at the path; only a missing path counts as absent."""
     try:
         spark.read.parquet(path).schema  # resolves files only
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if any(x in str(e) for x in ("PATH_NOT_FOUND", "Path does not exist", "UNABLE_TO_INFER_SCHEMA")):
+            return False
+        raise
+
+
+def stats_exist(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.text(path).head(1))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
 
 
 def write_if_absent(df: DataFrame, path: str) -> bool:

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..config import PLAN_QUALITY, PREFIX_CHARS, QualityParams
+from ..config import PLAN_QUALITY, QualityParams
 from ..functions.text import text_key
 from ..operators.dedup import keep_first, order_key
 from ..operators.quality import quality_filter
+from ..sources.registry import docs_with_rank
 from ..sources.sinks import dataset_exists
 from ..sources.tables import spread
 from .common import run_available_now, stream_path, work_dir
@@ -28,7 +29,7 @@ def intake_batch(batch: DataFrame, batch_id: int, registry: DataFrame, sink: str
                  quality: QualityParams, prefix_chars: int | None) -> None:
     spark = batch.sparkSession
     batch = spread(batch)  # a small micro-batch read by one task is spread over the cores
-    ranked = batch.join(F.broadcast(registry.select("lang", "source", "source_rank")), ["lang", "source"])
+    ranked = docs_with_rank(batch, registry)  # sources that the registry lacks are kept
     kept = quality_filter(ranked, quality).withColumn("ord", order_key())
     keyed = kept.withColumn("_key", text_key(F.col("text"), prefix_chars))
     winners = keep_first(keyed, F.col("_key"), ["lang"], "ord")
@@ -40,8 +41,8 @@ def intake_batch(batch: DataFrame, batch_id: int, registry: DataFrame, sink: str
 
 
 def incremental_intake(spark: SparkSession, source: str, schema: StructType, registry: DataFrame,
-                       quality: QualityParams = PLAN_QUALITY, prefix_chars: int | None = PREFIX_CHARS,
-                       max_files_per_trigger: int | None = None, where: str | None = None) -> DataFrame:
+                       quality: QualityParams = PLAN_QUALITY, prefix_chars: int | None = None,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the intake stream over everything available at ``source`` and return the sink table."""
     base = work_dir(spark, "intake")
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
@@ -59,7 +60,7 @@ def incremental_intake(spark: SparkSession, source: str, schema: StructType, reg
 
 
 def dedup_within_watermark(stream: DataFrame, event_time: str, delay: str,
-                           prefix_chars: int | None = PREFIX_CHARS, quality: QualityParams = PLAN_QUALITY) -> DataFrame:
+                           prefix_chars: int | None = None, quality: QualityParams = PLAN_QUALITY) -> DataFrame:
     """STR1 variant with bounded state: keep the first arrival of each (lang, key) seen within
     ``delay`` of event time (``dropDuplicatesWithinWatermark``); state older than the watermark
     is dropped, so a copy arriving later than ``delay`` is kept again."""

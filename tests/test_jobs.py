@@ -17,12 +17,15 @@ def test_prepare_pack_stats_round_trip(spark):
     tokens = read_splits(spark, f"{root}/prepared/tokens")
     stats = spark.read.json(jobs.stats_path(f"{root}/prepared")).first()
     assert stats.total_rows == tokens.count() and stats.train_samples > 0
-    assert jobs.pack_job(spark, f"{root}/prepared/tokens", f"{root}/packed", max_length=512) is True
+    assert jobs.pack_job(spark, f"{root}/prepared/tokens", f"{root}/packed", max_length=512, lossless=False) is True
     packed = read_splits(spark, f"{root}/packed")
     assert packed.select(F.size("input_ids")).distinct().collect()[0][0] == 512
     report = spark.read.json(jobs.stats_path(f"{root}/packed"))
     total = report.agg(F.sum("tokens_kept") + F.sum("tokens_lost")).first()[0]
     assert total == tokens.agg(F.sum(F.col("n_tokens") + 1)).first()[0]
+    assert jobs.pack_job(spark, f"{root}/prepared/tokens", f"{root}/whole", max_length=512) is True  # lossless by default
+    whole = spark.read.json(jobs.stats_path(f"{root}/whole"))
+    assert whole.agg(F.sum("tokens_kept")).first()[0] == total and whole.agg(F.sum("sequences")).first()[0] == read_splits(spark, f"{root}/whole").count()
     prof = {r.split: r.samples for r in jobs.stats_job(spark, f"{root}/prepared/tokens").collect()}
     assert prof["ALL"] == tokens.count()
     with pytest.raises(MissingDatasetError):
@@ -35,7 +38,7 @@ def test_evaluate_job(spark):
     runs = {"indommlu": (derived.mcq_items(bench), derived.mcq_responses(bench)),
             "indonlg": (derived.summary_pairs(bench), None)}
     out = jobs.evaluate_job(spark, runs, ["indommlu", "indonlg", "indo4b", "not-registered"],
-                            losses=derived.doc_losses_simple(table(spark, SF_SMALL, "documents")))
+                            losses=table(spark, SF_SMALL, "documents").selectExpr("(doc_id % 50) / 10.0 AS nll", "cast(length(text) AS bigint) AS n"))
     rows = {(r.benchmark, r.metric): (r.value, r.error) for r in out.collect()}
     assert ("indommlu", "accuracy") in rows and ("indonlg", "rouge1") in rows
     assert rows[("indo4b", None)][1].startswith("dataset not available")

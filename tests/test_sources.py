@@ -1,8 +1,9 @@
 """SRC2-10, SNK1-3, SET3, TOK1(b), TOK2, ROUGE-Lsum."""
 
 import pytest
+from pyspark.errors import AnalysisException
 
-from tessera.config import SpecialIds
+from tessera.config import QualityParams, SpecialIds
 from tessera.sources import registry, sinks, tables
 
 
@@ -47,7 +48,9 @@ def test_load_sources_replace_and_skip(spark):
     bad = registry.CorpusSource("en", "gone", "/nonexistent/x.parquet", 1, "parquet")
     odd = registry.CorpusSource("en", "odd", "/x", 2, "weird-format")
     report = registry.LoadReport()
-    df = registry.load_sources(spark, [good, bad, odd], replacement_rows=7, report=report)
+    with pytest.raises(AnalysisException):  # a missing source fails unless a replacement is asked for
+        registry.load_sources(spark, [good, bad, odd])
+    df = registry.load_sources(spark, [good, bad, odd], replace_failed=True, replacement_rows=7, report=report)
     assert report.loaded == ["src0"] and report.replaced == ["gone"] and report.skipped == ["odd"]
     counts = dict(df.groupBy("source").count().collect())
     assert counts["synthetic"] == 7 and counts["src0"] > 0
@@ -71,16 +74,6 @@ def test_pad_policy():
     assert SpecialIds().pad_id == 0
 
 
-def test_supplied_tokenizer(spark):
-    from tokenizers import Tokenizer, models, pre_tokenizers
-    tok = Tokenizer(models.WordLevel({"[UNK]": 0, "a": 1, "b": 2}, unk_token="[UNK]"))
-    tok.pre_tokenizer = pre_tokenizers.Whitespace()
-    from tessera.operators.encoding import encode_with_tokenizer
-    df = spark.createDataFrame([(1, "a b c a"), (2, None)], "doc_id long, text string")
-    got = {r.doc_id: list(r.input_ids) for r in encode_with_tokenizer(df, tok.to_str(), max_length=3).collect()}
-    assert got == {1: [1, 2, 0], 2: []}
-
-
 def test_rouge_lsum_simple(spark):
     from tessera.operators import evaluation
     # identical texts -> 1.0; disjoint -> 0.0; line structure respected
@@ -95,8 +88,9 @@ def test_synthetic_rows_skip_quality_rules_by_default(spark):
     from tessera.plans.prepare import PrepareParams, prepared_documents
     rows = [(1, "a" * 200, "en", "synthetic"), (2, "b" * 200, "en", "src0")]  # repetition 0.005 < 0.01
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    assert [r.doc_id for r in prepared_documents(docs).collect()] == [1]
-    assert prepared_documents(docs, PrepareParams(filter_synthetic=True)).count() == 0
+    rule = QualityParams(max_length=None, repetition_min=0.01)
+    assert [r.doc_id for r in prepared_documents(docs, PrepareParams(quality=rule)).collect()] == [1]
+    assert prepared_documents(docs, PrepareParams(quality=rule, filter_synthetic=True)).count() == 0
 
 
 def test_registry_cap_only_when_asked(spark):
@@ -126,3 +120,63 @@ def test_spread_contract(spark):
     spreadd = spread(small)
     assert spreadd.rdd.getNumPartitions() == target
     assert sorted(r.id for r in spreadd.collect()) == list(range(100))
+
+
+SOURCE = "doc_id long, text string, lang string, source string"
+
+
+def long_text(i):
+    return f"document number {i} " + "some more text that is long enough for the rules "
+
+
+def test_overlapping_ids_and_null_sources_are_prepared_whole(spark):
+    from tessera.plans.prepare import prepared_documents
+    rows = [(i, long_text(100 * k + i), lang, None if i % 2 else "s") for k, lang in enumerate(("en", "de")) for i in range(20)]
+    got = prepared_documents(spark.createDataFrame(rows, SOURCE)).collect()
+    assert sorted((r.doc_id, r.lang) for r in got) == sorted((i, lang) for i, _, lang, _ in rows)
+    assert sorted(r.shuffle_rank for r in got) == list(range(40))
+    copies = [(1, long_text(1), "en", "s"), (2, long_text(1), "en", "s"), (1, long_text(2), "de", "s"), (2, long_text(3), "de", "s")]
+    assert sorted((r.doc_id, r.lang) for r in prepared_documents(spark.createDataFrame(copies, SOURCE)).collect()) == [(1, "de"), (1, "en"), (2, "de")]
+
+
+def test_nothing_is_cut_by_default(spark):
+    from tessera.plans.prepare import prepare
+    base = " ".join(f"word{i}" for i in range(9000))  # beyond 1,000 and 32,768 characters
+    rows = [(i, base + f" end{i}", "en", "s") for i in range(3)] + [(9, " ".join(f"w{i % 5000}" for i in range(40_000)), "en", "s")]
+    prep = prepare(spark.createDataFrame(rows, SOURCE))
+    assert {r.doc_id: r.n_tokens for r in prep.encoded.collect()} == {0: 9001, 1: 9001, 2: 9001, 9: 40_000}
+
+
+def test_loaded_sources_can_be_prepared(spark):
+    from tessera.plans.prepare import corpus_or_synthetic, prepared_documents
+    path = _tmp(spark, "union")
+    rows = [(i, long_text(i), "en", "o'r" if i % 2 else "it") for i in range(20)]
+    spark.createDataFrame(rows, SOURCE).write.parquet(path + "/table")
+    spark.createDataFrame([(long_text(100 + i),) for i in range(5)], "value string").repartition(3).write.text(path + "/lines")
+    reg = registry.registry_from_table(spark.read.parquet(path + "/table")).collect()
+    sources = registry.sources_from_registry(reg, path + "/table") + [registry.CorpusSource("de", "lines", path + "/lines", 0, "text")]
+    docs = registry.load_sources(spark, sources)
+    assert docs.count() == 25 and docs.where("source = \"o'r\"").count() == 10
+    assert {r.text for r in docs.where("source = 'lines'").collect()} == {long_text(100 + i).rstrip() for i in range(5)} or docs.where("source = 'lines'").where("length(text) > 20").count() == 5
+    assert prepared_documents(docs).count() == 25
+    assert prepared_documents(corpus_or_synthetic(spark.createDataFrame([], SOURCE), n=40)).count() > 0
+    with pytest.raises(ValueError):
+        spark.range(3).write.parquet(path + "/no-text")
+        registry.load_sources(spark, [registry.CorpusSource("en", "x", path + "/no-text", 0)])
+
+
+def test_ids_that_do_not_fit_raise(spark):
+    from tessera.plans.prepare import ranked_documents
+    for bad in (1 << 40, -1, None):
+        with pytest.raises(Exception, match="doc_id outside"):
+            ranked_documents(spark.createDataFrame([(bad, "x", "en", "s")], SOURCE)).collect()
+
+
+def test_unfinished_job_is_completed(spark):
+    from tessera.plans import jobs
+    out = _tmp(spark, "job")
+    docs = spark.createDataFrame([(i, long_text(i), "en", "s") for i in range(10)], SOURCE)
+    assert jobs.prepare_job(spark, docs, out)
+    empty = spark.createDataFrame([], "x int")
+    empty.write.mode("overwrite").json(jobs.stats_path(out))  # as if the run had ended before its stats
+    assert jobs.prepare_job(spark, docs, out) and not jobs.prepare_job(spark, docs, out)

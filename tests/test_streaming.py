@@ -15,7 +15,7 @@ def test_intake_equals_batch_dedup(spark):
     from tessera.operators import dedup, quality
     from tessera.plans.prepare import ranked_documents
     from tessera.sources.tables import table
-    batch = dedup.dedup_prefix(quality.quality_filter(ranked_documents(table(spark, SF_SMALL, "documents")),
+    batch = dedup.dedup_exact(quality.quality_filter(ranked_documents(table(spark, SF_SMALL, "documents")),
                                                       PLAN_QUALITY))
     assert stream_ids == {r.doc_id for r in batch.collect()}
 
