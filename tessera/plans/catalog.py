@@ -878,7 +878,6 @@ def q_stream_intake(spark, d):
 
 
 ROLLUP_WINDOW_US = 3600 * 1_000_000
-ROLLUP_DELAY_US = 2 * 3600 * 1_000_000
 
 
 @register("stream_runlog_rollup", f"""
@@ -887,7 +886,7 @@ a AS (SELECT run_id, ws, count(*) AS records, round(avg(loss), 6) AS mean_loss,
              (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS span FROM e GROUP BY run_id, ws)
 SELECT run_id, make_timestamp(ws) AS window_start, make_timestamp(ws + {ROLLUP_WINDOW_US}) AS window_end, records, mean_loss,
        round(CASE WHEN span > 0 THEN records / span END, 6) AS records_per_sec
-FROM a WHERE ws + {ROLLUP_WINDOW_US} <= (SELECT epoch_us(max(ts)) FROM events) - {ROLLUP_DELAY_US}""")
+FROM a""")
 def q_stream_runlog_rollup(spark, d):
     events = table(spark, d, "events")
 

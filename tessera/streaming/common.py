@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -45,6 +46,25 @@ def stream_path(source: str) -> str:
     return f"{src[:-1]}[{src[-1]}]"
 
 
-def file_stream(spark: SparkSession, source: str, schema, fmt: str = "parquet"):
+def file_stream(spark: SparkSession, source: str, schema, fmt: str = "parquet", max_files_per_trigger: int | None = None):
     """``readStream`` over a folder, a glob, or one file."""
-    return spark.readStream.schema(schema).format(fmt).load(stream_path(source))
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(stream_path(source))
+
+
+def update_sink(stream: DataFrame, base: str):
+    """A writer of an update-mode stream: each micro-batch overwrites its own partition, so a replay changes nothing."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{base}/sink"))
+
+    return stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
+
+
+def latest(spark: SparkSession, base: str, schema: str, keys: list[str]) -> DataFrame:
+    """The last row that an update sink holds for each key."""
+    rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{base}/sink")
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])

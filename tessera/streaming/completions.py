@@ -1,10 +1,11 @@
-"""STR3 live completion reassembly: stateful per request, emitted on ``[DONE]``.
+"""STR3 live completion reassembly: stateful per request.
 
 ``applyInPandasWithState`` keyed by ``request_id`` keeps the text chunks seen
-so far (one response: bounded by the generation length).  On ``data: [DONE]``
-the chunks are joined in ``seq`` order, emitted once, and the state removed.
-A request idle past the timeout is emitted with what arrived (``complete``
-false), so abandoned requests do not hold state forever.
+so far (one response: bounded by the generation length).  Every micro-batch emits
+the requests it touched, with the text so far and whether ``[DONE]`` was seen
+(``complete``); the last row of a request counts.  So a chunk that arrives
+after ``[DONE]`` is not lost, and an abandoned request is there, incomplete.
+In a continuous run state ends after an idle time.
 """
 
 from __future__ import annotations
@@ -17,62 +18,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from ..functions.text import py_strip
 from ..operators.prompts import stream_chunk_text
-from .common import file_stream, run_available_now, work_dir
+from .common import file_stream, latest, run_available_now, update_sink, work_dir
 
 OUT_SCHEMA = "request_id long, text string, complete boolean"
 STATE_SCHEMA = "chunks string"
 IDLE_MS = 10 * 60 * 1000
 
 
-def _reassemble(key, pdfs, state):
-    (request_id,) = key
-    if state.hasTimedOut:
-        chunks = json.loads(state.get[0])
-        state.remove()
-        yield pd.DataFrame({"request_id": [request_id], "text": ["".join(t for _, t in sorted(chunks))],
-                            "complete": [False]})
-        return
-    chunks = json.loads(state.get[0]) if state.exists else []
-    done = False
-    for pdf in pdfs:
-        for seq, t, is_done in zip(pdf["seq"], pdf["_t"], pdf["_done"]):
-            if is_done:
-                done = True
-            elif t is not None:
-                chunks.append([int(seq), t])
-    if done:
-        state.remove()
-        yield pd.DataFrame({"request_id": [request_id], "text": ["".join(t for _, t in sorted(chunks))],
-                            "complete": [True]})
-    else:
-        state.update((json.dumps(chunks),))
-        try:
+def _reassembler(idle_timeout: bool):
+    def run(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        chunks, done = json.loads(state.get[0]) if state.exists else ([], False)
+        for pdf in pdfs:
+            for seq, t, is_done in zip(pdf["seq"], pdf["_t"], pdf["_done"]):
+                done = done or bool(is_done)
+                if t is not None:
+                    chunks.append([int(seq), t])
+        state.update((json.dumps([chunks, done]),))
+        if idle_timeout:
             state.setTimeoutDuration(IDLE_MS)
-        except Exception:  # no timeout configured for this query
-            pass
+        if chunks or done:
+            yield pd.DataFrame({"request_id": [key[0]], "text": ["".join(t for _, t in sorted(chunks))], "complete": [done]})
+
+    return run
 
 
 def reassembly_stream(lines: DataFrame, idle_timeout: bool = False) -> DataFrame:
-    """The stateful operator over a stream of (request_id, seq, line).
+    """The stateful operator over a stream of (request_id, seq, line); update mode.
 
-    ``idle_timeout`` arms a processing-time timeout for abandoned requests.
+    ``idle_timeout`` arms a processing-time timeout that ends the state of requests.
     Use it with a continuous trigger only: a processing-time timeout asks for
     a batch on every trigger, so an ``availableNow`` run would never finish.
     """
-    parsed = lines.select("request_id", "seq", stream_chunk_text(F.col("line")).alias("_t"),
-                          (F.trim(F.col("line")) == F.lit("data: [DONE]")).alias("_done"))
+    data = py_strip(F.regexp_replace(F.col("line"), F.lit("^data: "), F.lit("")))
+    parsed = lines.select("request_id", "seq", stream_chunk_text(F.col("line")).alias("_t"), (data == F.lit("[DONE]")).alias("_done"))
     return parsed.groupBy("request_id").applyInPandasWithState(
-        _reassemble, OUT_SCHEMA, STATE_SCHEMA, "append",
+        _reassembler(idle_timeout), OUT_SCHEMA, STATE_SCHEMA, "update",
         GroupStateTimeout.ProcessingTimeTimeout if idle_timeout else GroupStateTimeout.NoTimeout)
 
 
-def live_reassembly(spark: SparkSession, source: str, schema: StructType) -> DataFrame:
-    """Run the reassembly over a folder of stream-log files (availableNow) and return the sink."""
+def live_reassembly(spark: SparkSession, source: str, schema: StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Run the reassembly over a folder of stream-log files (availableNow): the last state of every request."""
     base = work_dir(spark, "completions")
-    sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
-    stream = file_stream(spark, source, schema)
-    writer = (reassembly_stream(stream, idle_timeout=False).writeStream.outputMode("append").format("parquet")
-              .option("path", sink).option("checkpointLocation", ckpt))
-    run_available_now(writer)
-    return spark.read.schema(OUT_SCHEMA).parquet(sink)
+    stream = file_stream(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
+    run_available_now(update_sink(reassembly_stream(stream), base))
+    return latest(spark, base, OUT_SCHEMA, ["request_id"])

@@ -1,8 +1,9 @@
 """STR2 live run-log rollup: event-time windows with a watermark (late rows dropped).
 
 Per (run, tumbling window of ``ts``): records, mean loss, first/last record
-time and records per second.  Append mode: a window is written once the
-watermark (latest event time minus ``delay``) has passed its end.
+time and records per second.  Update mode: each micro-batch writes the windows
+it changed and the last row of each counts, so the windows still open when an
+available-now run ends are there too.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import file_stream, run_available_now, work_dir
+from .common import file_stream, latest, run_available_now, update_sink, work_dir
 
 
 def rollup(stream: DataFrame, window: str, delay: str) -> DataFrame:
@@ -28,16 +29,12 @@ def rollup(stream: DataFrame, window: str, delay: str) -> DataFrame:
 
 
 def live_rollup(spark: SparkSession, source: str, schema: StructType, window: str = "1 hour",
-                delay: str = "2 hours", to_log=None) -> DataFrame:
-    """Run the rollup stream over ``source`` (availableNow) and return the written windows."""
+                delay: str = "2 hours", to_log=None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Run the rollup stream over ``source`` (availableNow) and return all windows."""
     base = work_dir(spark, "runlog")
-    sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
-    stream = file_stream(spark, source, schema)
+    stream = file_stream(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
     if to_log is not None:
         stream = to_log(stream)
-    writer = (rollup(stream, window, delay).writeStream.outputMode("append").format("parquet")
-              .option("path", sink).option("checkpointLocation", ckpt))
-    run_available_now(writer)
-    return spark.read.schema(
-        "run_id bigint, window_start timestamp, window_end timestamp, records bigint, mean_loss double, "
-        "records_per_sec double").parquet(sink)
+    run_available_now(update_sink(rollup(stream, window, delay), base))
+    return latest(spark, base, "run_id bigint, window_start timestamp, window_end timestamp, records bigint, mean_loss double, "
+                  "records_per_sec double", ["run_id", "window_start", "window_end"])

@@ -48,3 +48,36 @@ def test_watermark_dedup_variant(spark):
                       .option("checkpointLocation", out + "-ckpt"))
     got = sorted(r.lang for r in spark.read.parquet(out).collect())
     assert got == ["en", "fr"]
+
+
+def test_three_micro_batches_equal_the_batch_result(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.prompts import reassemble
+    from tessera.sources import registry
+    from tessera.streaming import completions, intake, runlog
+    from tessera.streaming.common import work_dir
+    src = work_dir(spark, "batches")
+    chunk = 'data: {{"choices": [{{"text": "{}"}}]}}'.format
+    parts = [[(1, 1, chunk("a")), (2, 1, chunk("x"))], [(1, 3, "data: [DONE]  "), (3, 1, chunk("z")), (2, 2, chunk("y"))], [(1, 2, chunk("b")), (3, 2, "data: [DONE]")]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, "request_id long, seq long, line string").coalesce(1).write.mode("append").parquet(f"{src}/lines")
+    lines = spark.read.parquet(f"{src}/lines")
+    live = completions.live_reassembly(spark, f"{src}/lines", lines.schema, max_files_per_trigger=1)
+    assert {r.request_id: (r.text, r.complete) for r in live.collect()} == {1: ("ab", True), 2: ("xy", False), 3: ("z", True)}
+    assert {r.request_id: r.text for r in live.collect()} == {r.request_id: r.text for r in reassemble(lines).collect()}
+
+    text = lambda i: f"text number {i} that is long enough for the minimum length rule of the intake stage"
+    parts = [[(1, text(1), "en", "s"), (2, text(2), "en", "new")], [(3, text(1), "en", "s"), (4, text(4), "en", None)], [(5, text(2), "de", "s"), (6, text(4), "en", "s")]]
+    for rows in parts:
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.mode("append").parquet(f"{src}/docs")
+    docs = spark.read.parquet(f"{src}/docs")
+    known = registry.registry_from_table(docs.where("source = 's'"))
+    got = intake.incremental_intake(spark, f"{src}/docs", docs.schema, known, max_files_per_trigger=1).collect()
+    assert len({r.batch_id for r in got}) == 3 and len(got) == 4 and {r.lang for r in got} == {"en", "de"}
+
+    ts = lambda m: f"2024-01-01 00:{m:02d}:00"
+    for rows in ([(1, ts(1), 1.0)], [(1, ts(2), 3.0), (2, ts(3), 1.0)], [(1, ts(59), 5.0)]):
+        spark.createDataFrame(rows, "run_id long, t string, loss double").select("run_id", F.to_timestamp("t").alias("ts"), "loss").coalesce(1).write.mode("append").parquet(f"{src}/log")
+    log = spark.read.parquet(f"{src}/log")
+    got = runlog.live_rollup(spark, f"{src}/log", log.schema, max_files_per_trigger=1).collect()
+    assert {(r.run_id, r.records, r.mean_loss) for r in got} == {(1, 3, 3.0), (2, 1, 1.0)}
