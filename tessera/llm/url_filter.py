@@ -65,7 +65,7 @@ def gram_scores(counts: DataFrame) -> DataFrame:
     lower = None
     for k in range(ORDER + 1):
         mine = counts.withColumn("g", F.expr(f"right(gram, {k + 1})")).groupBy("g").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        mine = mine.withColumn("context", F.expr(f"left(g, {k})") if k else F.lit(""))
+        mine = mine.withColumn("context", F.expr(f"left(g, {k})"))
         context = mine.groupBy("context").agg(*(x for c in "ab" for x in (F.sum(c).alias(f"n{c}"), F.sum((F.col(c) > 0).cast("long")).alias(f"t{c}"))))
         rows = mine.join(context, "context")
         if lower is None:
@@ -95,7 +95,9 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = pages.select("page_id", "url", rest.alias("rest"), host.alias("host"), path.alias("path")).withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     texts = rows.where("rest <> ''").groupBy("rest").agg(F.first("found.verdict").alias("known"))  # the text after the scheme fixes host, path and rule
     train = F.pmod(F.xxhash64("rest"), F.lit(2)) == 0
-    texts = written(texts.withColumn("train", train), "urls")
+    # dealt out, as every row becomes many
+    n = max(pages.sparkSession.sparkContext.defaultParallelism, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    texts = written(texts.withColumn("train", train).repartition(n, "rest"), "urls")
     each = texts.select("rest", "known", "train", F.explode(grams(F.col("rest"))).alias("gram"))
     used = [((F.col("known") == v) & F.col("train")).cast("long") for v in ("allow", "block")]
     counts = each.groupBy("gram").agg(*(F.coalesce(F.sum(u), F.lit(0)).alias(c) for u, c in zip(used, "ab")))
