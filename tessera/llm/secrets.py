@@ -124,7 +124,7 @@ def rules(found: DataFrame) -> Column:
 
 def judged(found: DataFrame, words: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """The candidates with probability and secret (boolean)."""
-    rows = written(features(found, words), "findings")
+    rows = written(features(found, written(words, "dictionary")), "findings")
     label = rows.withColumn("label", rules(rows)) if labelled is None else rows.join(labelled.select("value", F.col("label").cast("int").alias("label")).dropna().groupBy("value").agg(F.max("label").alias("label")), "value")
     once = label.where("label is not null").groupBy("value").agg(F.max("label").alias("label"), *(F.first(c).alias(c) for c in FEATURES))
     train = written(once.orderBy(F.xxhash64("value"), "value").limit(LABELLED), "labelled")
