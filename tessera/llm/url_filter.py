@@ -102,7 +102,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     used = [((F.col("known") == v) & F.col("train")).cast("long") for v in ("allow", "block")]
     counts = each.groupBy("gram").agg(*(F.coalesce(F.sum(u), F.lit(0)).alias(c) for u, c in zip(used, "ab")))
     scores = gram_scores(written(counts, "grams"))
-    llr = each.join(scores, "gram").groupBy("rest").agg(F.avg("score").alias("llr"))
+    llr = each.join(scores, "gram").groupBy("rest").agg(F.round(F.avg("score"), 9).alias("llr"))  # rounded: sums depend on the order of rows
     llr = written(texts.join(llr, "rest").select("rest", "known", "train", "llr"), "scores")
     known = llr.where("known is not null")
     both = known.where("train").agg(*(F.coalesce(F.sum((F.col("known") == v).cast("long")), F.lit(0)) for v in ("allow", "block"))).first()
