@@ -16,9 +16,10 @@ is never built:
      so the table has at most one row per segment that starts within the
      first M tokens (plus one), not one per ``c``; adjacent rows with the same
      outcome are merged, typically leaving a handful;
-  2. the tables (a few rows per partition) are chained per split in order, which
+  2. the tables (a few rows per partition) are chained per split in one task, which
      gives each partition its entering level and first chunk id; each
-     partition then replays its segments with those values.
+     partition then replays its segments with those values, jumping from flush
+     to flush.
 
   A segment belongs to the chunk it starts in; tokens past ``M`` in the
   segment that fills a chunk are lost (reference behaviour, reported).
@@ -68,47 +69,78 @@ def segments(encoded: DataFrame, order: Sequence[str] = ("split", "shuffle_rank"
         "n", F.size("seg_ids").cast("bigint"))
 
 
+def segment_lengths(encoded: DataFrame, order: Sequence[str] = ("split", "shuffle_rank"),
+                    ids_col: str = "input_ids", eos: int = DEFAULT_IDS.eos) -> DataFrame:
+    """PCK1 without the ids: order keys, ``seg_no`` and ``n``, for plans that need lengths only."""
+    ids2 = with_eos(F.col(ids_col), eos)
+    ends = F.filter(F.sequence(F.lit(1), F.size("_ids")), lambda i: F.element_at(F.col("_ids"), i) == F.lit(eos))
+    staged = encoded.select(*order, ids2.alias("_ids")).select(*order, ends.alias("_ends"))
+    n = F.transform("_ends", lambda e, i: e - F.when(i == 0, 0).otherwise(F.element_at(F.col("_ends"), F.greatest(i, F.lit(1)))))
+    return staged.select(*order, F.posexplode(n).alias("seg_no", "n")).select(
+        *order, F.col("seg_no").cast("bigint").alias("seg_no"), F.col("n").cast("bigint").alias("n"))
+
+
 # ----------------------------------------------------------------- PCK2 ----
+#: Segments (three narrow columns) that one partition of a plan holds, about.
+SEGMENTS_PER_PARTITION = 2_000_000
+
+
 def _ranged(df: DataFrame, keys: Sequence[str], num_partitions: int | None) -> DataFrame:
-    n = num_partitions or shuffle_partitions(df.sparkSession)
+    n = num_partitions or max(shuffle_partitions(df.sparkSession), -(-df.count() // SEGMENTS_PER_PARTITION))
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id()))
     return reliable_checkpoint(ranged)
 
 
+def _flushes(total: np.ndarray, at: np.ndarray, M: int) -> np.ndarray:
+    """First segment border at which a chunk that began empty at border ``at`` is full (beyond the last: none)."""
+    return np.searchsorted(total, total[at] + M, side="left")
+
+
 def _step_rows(lengths: np.ndarray, M: int) -> list[tuple]:
     """Step table of one partition's segment lengths (see module doc)."""
     K = len(lengths)
     P = np.zeros(K + 1, dtype=np.int64)
     np.cumsum(lengths, out=P[1:])
-    nxt = np.searchsorted(P, P + M, side="left")
-    r_state = np.zeros(K + 1, dtype=np.int64)
-    r_chunks = np.zeros(K + 1, dtype=np.int64)
-    for j in range(K, -1, -1):
-        k = nxt[j]
-        if k <= K:
-            r_state[j] = r_state[k]
-            r_chunks[j] = r_chunks[k] + 1
-        else:
-            r_state[j] = P[K] - P[j]
+    first = int(np.searchsorted(P, M, side="left"))  # borders up to here can be a first flush
+    k = np.arange(1, min(first, K) + 1)
+    at, chunks = k.copy(), np.ones(len(k), np.int64)
+    live = np.arange(len(k))
+    while len(live):  # one round per chunk, all entering levels at once
+        nxt = _flushes(P, at[live], M)
+        live, nxt = live[nxt <= K], nxt[nxt <= K]
+        at[live] = nxt
+        chunks[live] += 1
     rows: list[list] = []
-    # entering level c flushes first after segment k-1 where P[k-1] < M - c <= P[k]
-    for k in range(1, K + 1):
-        hi = M - P[k - 1]
-        if hi <= 0:
-            break
-        lo = max(0, M - P[k])
+    for i, j in enumerate(k.tolist()):
+        # entering level c flushes first after segment j-1 where P[j-1] < M - c <= P[j]
+        hi, lo = int(M - P[j - 1]), int(max(0, M - P[j]))
         if lo < hi:
-            out = (True, int(r_state[k]), int(r_chunks[k] + 1))
-            if rows and rows[-1][0] == int(hi) and tuple(rows[-1][2:]) == out:
-                rows[-1][0] = int(lo)  # adjacent piece with the same outcome: merge (lossless)
+            out = [True, int(P[K] - P[at[i]]), int(chunks[i])]
+            if rows and rows[-1][0] == hi and rows[-1][2:] == out:
+                rows[-1][0] = lo  # adjacent piece with the same outcome: merge (lossless)
             else:
-                rows.append([int(lo), int(hi), *out])
+                rows.append([lo, hi, *out])
     if P[K] < M:
         rows.append([0, int(M - P[K]), False, int(P[K]), 0])
     return [tuple(r) for r in rows]
 
 
+def _replay(lengths: np.ndarray, M: int, level: int, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(chunk_id, start, take) of each segment, entering at ``level`` of ``chunk``; jumps from flush to flush."""
+    K = len(lengths)
+    P = np.zeros(K + 1, dtype=np.int64)
+    np.cumsum(lengths, out=P[1:])
+    cid, start = np.empty(K, np.int64), np.empty(K, np.int64)
+    at, base = 0, P[0] - level  # ``base``: where the open chunk would have begun
+    while at < K:
+        end = min(int(np.searchsorted(P, base + M, side="left")), K)
+        cid[at:end] = chunk
+        start[at:end] = P[at:end] - base
+        at, base, chunk = end, P[end], chunk + 1
+    return cid, start, np.minimum(lengths, M - start)
+
+
 def _partition_frames(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     frames = list(batches)
     return pd.concat(frames, ignore_index=True) if frames else None
@@ -118,7 +150,9 @@ def greedy_plan(segs: DataFrame, max_length: int = MAX_LENGTH, order: Sequence[s
                 group: str = "split", num_partitions: int | None = None) -> DataFrame:
     """PCK2: per segment (group, order, seg_no, n): ``chunk_id``, ``start``, ``take``, ``lost``.
 
-    Exact single-stream greedy semantics per ``group``, computed in parallel.
+    Exact single-stream greedy semantics per ``group``, computed in parallel: the
+    step tables of a group's partitions are chained in one task per group, whose
+    result (one row per partition and group) joins the segments.
     """
     M = int(max_length)
     keys = [group, *order, "seg_no"]
@@ -135,54 +169,35 @@ def greedy_plan(segs: DataFrame, max_length: int = MAX_LENGTH, order: Sequence[s
                 out.append((pid, g, lo, hi, flush, end, chunks))
         yield pd.DataFrame(out, columns=["pid", "grp", "lo", "hi", "flush", "end", "chunks"])
 
-    step_schema = "pid int, grp string, lo long, hi long, flush boolean, end long, chunks long"
-    table = ranged.select("_pid", group, "n").mapInPandas(steps, step_schema).collect()
-
-    # Chain partitions per group (a few rows per partition).
-    by_group: dict = {}
-    for r in table:
-        by_group.setdefault(r["grp"], {}).setdefault(r["pid"], []).append(r)
-    entering = {}
-    for g, parts in by_group.items():
-        c, base = 0, 0
-        for pid in sorted(parts):
-            entering[(pid, g)] = (c, base)
-            row = next(x for x in parts[pid] if x["lo"] <= c < x["hi"])
-            base += row["chunks"]
-            c = row["end"] if row["flush"] else c + row["end"]
-    start_of = ranged.sparkSession.sparkContext.broadcast(entering)
+    def chain(rows: pd.DataFrame) -> pd.DataFrame:
+        level, base, out = 0, 0, []
+        for pid, part in rows.groupby("pid", sort=True):
+            out.append((pid, part["grp"].iloc[0], level, base))
+            row = part[(part["lo"] <= level) & (level < part["hi"])].iloc[0]
+            base += int(row["chunks"])
+            level = int(row["end"]) if row["flush"] else level + int(row["end"])
+        return pd.DataFrame(out, columns=["_pid", group, "_level", "_base"])
+
+    grp = ranged.schema[group].dataType.simpleString()
+    step_schema = f"pid int, grp {grp}, lo long, hi long, flush boolean, end long, chunks long"
+    table = ranged.select("_pid", group, "n").mapInPandas(steps, step_schema)
+    entering = table.groupBy("grp").applyInPandas(chain, f"_pid int, {group} {grp}, _level long, _base long")
 
     def replay(batches):
         pdf = _partition_frames(batches)
         if pdf is None or pdf.empty:
             return
-        pid = int(pdf["_pid"].iloc[0])
-        for g, part in pdf.groupby(group, sort=False):
-            c, chunk = start_of.value[(pid, g)]
+        for _, part in pdf.groupby(["_pid", group], sort=False):
+            part = part.sort_values(order_cols, kind="stable")
             n = part["n"].to_numpy(dtype=np.int64)
-            cid = np.empty(len(n), dtype=np.int64)
-            start = np.empty(len(n), dtype=np.int64)
-            take = np.empty(len(n), dtype=np.int64)
-            for i, L in enumerate(n.tolist()):
-                start[i] = c
-                cid[i] = chunk
-                c += L
-                if c >= M:
-                    take[i] = M - start[i]
-                    chunk += 1
-                    c = 0
-                else:
-                    take[i] = L
-            res = part.drop(columns=["_pid"]).copy()
-            res["chunk_id"] = cid
-            res["start"] = start
-            res["take"] = take
-            res["lost"] = n - take
-            yield res
+            cid, start, take = _replay(n, M, int(part["_level"].iloc[0]), int(part["_base"].iloc[0]))
+            yield part.drop(columns=["_pid", "_level", "_base"]).assign(chunk_id=cid, start=start, take=take, lost=n - take)
 
+    order_cols = [*order, "seg_no"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.drop("_pid").schema.fields)
     schema += ", chunk_id long, start long, take long, lost long"
-    return ranged.mapInPandas(replay, schema)
+    # at most one row per partition and group; the broadcast leaves the ranged partitions as they are
+    return ranged.join(F.broadcast(entering), ["_pid", group]).select(*ranged.columns, "_level", "_base").mapInPandas(replay, schema)
 
 
 def _pad(ids: Column, M: int, pad: int) -> Column:

@@ -324,6 +324,11 @@ def _prepared(spark, d, **kw):
     return prepare(_docs(spark, d), PrepareParams(**kw))
 
 
+def _plan(spark, d):
+    """The packing plan from segment lengths alone."""
+    return packing.greedy_plan(reliable_checkpoint(packing.segment_lengths(_prepared(spark, d).encoded)), MAX_LENGTH)
+
+
 def _greedy(spark, d):
     prep = _prepared(spark, d)
     segs = packing.materialized_segments(prep.encoded, ("split", "shuffle_rank"), eos=DEFAULT_IDS.eos)
@@ -337,8 +342,34 @@ _WALK = sql.with_encoded(recursive=True) + ",\n" + sql.greedy_walk_ctes() + "\n"
 @register("pack_plan", _WALK + """
 SELECT split, shuffle_rank, CAST(0 AS BIGINT) AS seg_no, n, chunk_id, start, take, n - take AS lost FROM walk""")
 def q_pack_plan(spark, d):
-    _, _, plan = _greedy(spark, d)
-    return plan
+    return _plan(spark, d)
+
+
+EOS_EVERY = 97
+
+
+@register("pack_interior_eos", sql.with_encoded(recursive=True) + f""",
+segs AS (
+  SELECT split, shuffle_rank, seg_no, CASE WHEN seg_no < n_tokens // {EOS_EVERY} THEN {EOS_EVERY} ELSE n_tokens % {EOS_EVERY} + 1 END AS n,
+         row_number() OVER (PARTITION BY split ORDER BY shuffle_rank, seg_no) AS rn
+  FROM (SELECT split, shuffle_rank, n_tokens, unnest(range(n_tokens // {EOS_EVERY} + 1)) AS seg_no FROM encoded)
+),
+walk AS (
+  SELECT split, rn, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS chunk_id, CAST(n AS BIGINT) AS cur FROM segs WHERE rn = 1
+  UNION ALL
+  SELECT s.split, s.rn, CASE WHEN w.cur >= {MAX_LENGTH} THEN 0 ELSE w.cur END,
+         w.chunk_id + CASE WHEN w.cur >= {MAX_LENGTH} THEN 1 ELSE 0 END,
+         CASE WHEN w.cur >= {MAX_LENGTH} THEN 0 ELSE w.cur END + s.n
+  FROM walk w JOIN segs s ON s.split = w.split AND s.rn = w.rn + 1
+)
+SELECT s.split, s.shuffle_rank, s.seg_no, CAST(s.n AS BIGINT) AS n, w.chunk_id, w.start,
+       CAST(least(s.n, {MAX_LENGTH} - w.start) AS BIGINT) AS take, CAST(s.n - least(s.n, {MAX_LENGTH} - w.start) AS BIGINT) AS lost
+FROM walk w JOIN segs s ON s.split = w.split AND s.rn = w.rn""")
+def q_pack_interior_eos(spark, d):
+    # derived input: every 97th token of a document is an end id, which closes a segment inside it
+    marked = F.transform("input_ids", lambda x, i: F.when(i % EOS_EVERY == EOS_EVERY - 1, F.lit(DEFAULT_IDS.eos)).otherwise(x))
+    enc = _prepared(spark, d).encoded.select("split", "shuffle_rank", marked.alias("input_ids"))
+    return packing.greedy_plan(reliable_checkpoint(packing.segment_lengths(enc)), MAX_LENGTH)
 
 
 @register("pack_greedy", _WALK + "SELECT split, chunk_id, input_ids FROM chunks")
@@ -354,8 +385,7 @@ SELECT split, max(chunk_id) + 1 AS sequences, CAST(sum(n) AS BIGINT) AS tokens_i
   CAST({MAX_LENGTH} AS DOUBLE) AS mean_length
 FROM walk GROUP BY split""")
 def q_pack_report(spark, d):
-    _, _, plan = _greedy(spark, d)
-    return packing.pack_report(plan, MAX_LENGTH)
+    return packing.pack_report(_plan(spark, d), MAX_LENGTH)
 
 
 @register("pack_concat", sql.with_encoded() + f"""
@@ -403,8 +433,7 @@ SELECT *, idx // {bs} AS batch_id, idx % {bs} AS pos FROM (
 @register("batch_assign", _WALK + f"""
 SELECT split, chunk_id, batch_id, pos FROM ({_batch_sql('chunk_id', 'chunks')})""")
 def q_batch_assign(spark, d):
-    _, segs, plan = _greedy(spark, d)
-    chunk_ids = plan.select("split", "chunk_id").distinct()
+    chunk_ids = _plan(spark, d).select("split", "chunk_id").distinct()
     return batches.assign_batches(chunk_ids, "chunk_id").select("split", "chunk_id", "batch_id", "pos")
 
 
