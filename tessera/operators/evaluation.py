@@ -341,10 +341,6 @@ def _ngram_nll_arrow(docs: DataFrame, bigrams: DataFrame, contexts: DataFrame, v
     return docs.select(*keys, text_col).mapInArrow(run, schema)
 
 
-def _sized(df: DataFrame, limit: int = BROADCAST_COUNTS_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def ngram_nll(docs: DataFrame, bigrams: DataFrame, contexts: DataFrame, vocab: int, k: float = 0.5,
               keys: Sequence[str] = ("doc_id", "lang"), text_col: str = "text", strategy: str = "join",
               limit: int = BROADCAST_COUNTS_ROWS) -> DataFrame:
@@ -353,8 +349,8 @@ def ngram_nll(docs: DataFrame, bigrams: DataFrame, contexts: DataFrame, vocab: i
     ``strategy``: ``"arrow"`` — the (row-count checked) model tables are
     shipped to every executor and each Arrow batch is scored with vectorised
     lookups, no explode or shuffle; ``"join"`` — explode word pairs and join
-    the count tables (broadcast when small, otherwise a shuffle join where AQE
-    splits a hot key); ``"auto"`` picks arrow within ``limit`` rows.  The
+    the count tables (adaptive execution broadcasts small ones and splits hot
+    keys); ``"auto"`` picks arrow within ``limit`` rows.  The
     default is ``"join"``: at sf0.1 shipping ~1.5M bigram keys cost what the
     arrow path saved (measured), and real model tables exceed the bound.
     """
@@ -364,8 +360,7 @@ def ngram_nll(docs: DataFrame, bigrams: DataFrame, contexts: DataFrame, vocab: i
         return _ngram_nll_arrow(docs, bigrams, contexts, vocab, k, keys, text_col)
     toks = (docs.select(*keys, words(F.col(text_col)).alias("_w"))
             .select(*keys, F.explode(_bigrams(F.col("_w"))).alias("b")).select(*keys, "b.prev", "b.word"))
-    j = (toks.join(_sized(bigrams), ["prev", "word"], "left")
-         .join(_sized(contexts), ["prev"], "left"))
+    j = toks.join(bigrams, ["prev", "word"], "left").join(contexts, ["prev"], "left")
     logp = F.log((F.coalesce("c_bi", F.lit(0)) + F.lit(k)) / (F.coalesce("c_ctx", F.lit(0)) + F.lit(k * vocab)))
     agg = j.groupBy(*keys).agg(F.sum(-logp).alias("_s"), F.count(F.lit(1)).cast("bigint").alias("n"))
     return agg.select(*keys, _r6(F.col("_s") / F.col("n")).alias("nll"), "n")

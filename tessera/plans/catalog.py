@@ -556,6 +556,25 @@ def q_mcq_prompt(spark, d):
     return items.select("item_id", evaluation.prompt(items).alias("prompt"))
 
 
+def _bigram_sql(src: str, alias: str, extra: str = "") -> str:
+    return f"""{alias} AS (
+  SELECT {extra} CASE WHEN i = 1 THEN '<s>' ELSE w[i - 1] END AS prev, w[i] AS word
+  FROM (SELECT {extra} w, generate_subscripts(w, 1) AS i FROM (SELECT {extra} {_WORDS} AS w FROM {src}))
+)"""
+
+
+def _class_sql(c: int) -> str:
+    """nll{c}: mean negative log-likelihood of the answered documents under the bigram model of class c."""
+    return f"""{_bigram_sql(f"(SELECT text FROM lb WHERE side = 0 AND quality = {c})", f'ltb{c}')},
+lbi{c} AS (SELECT prev, word, count(*) AS c_bi FROM ltb{c} GROUP BY prev, word),
+lctx{c} AS (SELECT prev, count(*) AS c_ctx FROM ltb{c} GROUP BY prev),
+lv{c} AS (SELECT count(DISTINCT word) + 1 AS vsize FROM ltb{c}),
+nll{c} AS (
+  SELECT e.doc_id, round(sum(-ln((coalesce(b.c_bi, 0) + 0.5) / (coalesce(x.c_ctx, 0) + 0.5 * (SELECT vsize FROM lv{c})))) / count(*), 6) AS nll
+  FROM leb e LEFT JOIN lbi{c} b ON e.prev = b.prev AND e.word = b.word LEFT JOIN lctx{c} x ON e.prev = x.prev GROUP BY e.doc_id
+)"""
+
+
 _ACC_SQL = f"""
 WITH {_MCQ_ITEMS},
 mcq AS (
@@ -563,10 +582,15 @@ mcq AS (
          upper({_strip("CASE WHEN item_id % 2 = 0 THEN lower(r) ELSE r END")}) AS resp
   FROM (SELECT *, ' ' || ['A', 'B', 'C', 'D'][(item_id + item_id % 3) % 4 + 1] || '. …' AS r FROM items)
 ),
+lb AS (SELECT l.doc_id, l.quality, d.text, ('0x' || substr(md5('42:label:' || CAST(l.doc_id AS VARCHAR)), 1, 8))::BIGINT % 2 AS side
+       FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+{_bigram_sql("(SELECT doc_id, text FROM lb WHERE side = 1)", 'leb', 'doc_id,')},
+{_class_sql(0)},
+{_class_sql(1)},
 lab AS (
   SELECT 'nusax' AS benchmark, upper({_strip('CAST(l.quality AS VARCHAR)')}) AS k,
-         upper({_strip("CAST(l.doc_id % 2 AS VARCHAR) || ' …'")}) AS resp
-  FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE d.text IS NOT NULL
+         CASE WHEN b.nll <= a.nll THEN '1 …' ELSE '0 …' END AS resp
+  FROM lb l LEFT JOIN nll0 a ON l.doc_id = a.doc_id LEFT JOIN nll1 b ON l.doc_id = b.doc_id WHERE l.side = 1 AND l.text IS NOT NULL
 ),
 scored AS (SELECT benchmark, length(k) > 0 AND starts_with(resp, substr(k, 1, 1)) AS hit FROM mcq
            UNION ALL SELECT benchmark, length(k) > 0 AND starts_with(resp, substr(k, 1, 1)) FROM lab),
@@ -584,7 +608,7 @@ def _accuracy(spark, d):
     bench = table(spark, d, "benchmark")
     labels, docs = table(spark, d, "labels"), _docs(spark, d)
     mcq = evaluation.accuracy(derived.mcq_items(bench), derived.mcq_responses(bench), "indommlu")
-    lab = evaluation.accuracy(derived.label_items(labels, docs), derived.label_responses(labels), "nusax")
+    lab = evaluation.accuracy(*derived.label_answers(labels, docs), "nusax")
     return mcq.unionByName(lab)
 
 
@@ -639,13 +663,6 @@ def q_rouge_l(spark, d):
     return evaluation.rouge_l_scores(derived.summary_pairs(table(spark, d, "benchmark")))
 
 
-def _bigram_sql(src: str, alias: str, extra: str = "") -> str:
-    return f"""{alias} AS (
-  SELECT {extra} CASE WHEN i = 1 THEN '<s>' ELSE w[i - 1] END AS prev, w[i] AS word
-  FROM (SELECT {extra} w, generate_subscripts(w, 1) AS i FROM (SELECT {extra} {_WORDS} AS w FROM {src}))
-)"""
-
-
 _NGRAM_SQL = f"""WITH {sql.prepared_ctes()},
 {_bigram_sql("(SELECT text FROM prepared WHERE split = 'train')", 'tb')},
 bi AS (SELECT prev, word, count(*) AS c_bi FROM tb GROUP BY prev, word),

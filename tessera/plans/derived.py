@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import md5_index
 from ..functions.text import words
+from ..operators import evaluation
 from ..operators.ordinal import with_ordinal
+from ..session import reliable_checkpoint
 
 
 def run_log(events: DataFrame) -> DataFrame:
@@ -62,10 +65,24 @@ def label_items(labels: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def label_responses(labels: DataFrame) -> DataFrame:
-    """(item_id, response): '<doc_id % 2> …'."""
-    return labels.select(F.col("doc_id").alias("item_id"),
-                         F.concat((F.col("doc_id") % 2).cast("string"), F.lit(" …")).alias("response"))
+def label_side(doc_id) -> F.Column:
+    """0: the labelled document trains the class models; 1: it is answered (by md5 of the id)."""
+    return md5_index(F.concat(F.lit("42:label:"), doc_id.cast("string")), 2)
+
+
+def label_answers(labels: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, responses) of the answered half: '1 …' if a bigram model of good documents finds the
+    text at least as likely as one of bad documents, else '0 …'; both are trained on the other half."""
+    rows = labels.select("doc_id", "quality").join(documents.select("doc_id", "text"), "doc_id").withColumn("_side", label_side(F.col("doc_id")))
+    rows = reliable_checkpoint(rows)
+    held = rows.where("_side = 1")
+    answer = held.select("doc_id")
+    for c in (0, 1):
+        model = evaluation.bigram_model(rows.where((F.col("_side") == 0) & (F.col("quality") == c)))
+        nll = evaluation.ngram_nll(held, *model, keys=("doc_id",)).select("doc_id", F.col("nll").alias(f"nll{c}"))
+        answer = answer.join(nll, "doc_id", "left")
+    response = F.when(F.col("nll1") <= F.col("nll0"), F.lit("1 …")).otherwise(F.lit("0 …"))
+    return label_items(held.select("doc_id", "quality"), documents), answer.select(F.col("doc_id").alias("item_id"), response.alias("response"))
 
 
 def summary_pairs(benchmark: DataFrame) -> DataFrame:
