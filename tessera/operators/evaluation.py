@@ -143,11 +143,11 @@ def _lcs_ref_positions(ref: Sequence[str], cand: Sequence[str]) -> set:
     if not n or not m:
         return set()
     table = np.zeros((n + 1, m + 1), dtype=np.int32)
-    for i in range(1, n + 1):
-        ri = ref[i - 1]
-        row, prev = table[i], table[i - 1]
-        for j in range(1, m + 1):
-            row[j] = prev[j - 1] + 1 if ri == cand[j - 1] else max(prev[j], row[j - 1])
+    ids: dict = {}
+    cand_ids = np.array([ids.setdefault(t, len(ids)) for t in cand])
+    for i, t in enumerate(ref, 1):  # one vector step per reference token
+        prev = table[i - 1]
+        table[i, 1:] = np.maximum.accumulate(np.maximum(prev[1:], prev[:-1] + (cand_ids == ids.get(t, -1))))
     out, i, j = set(), n, m
     while i > 0 and j > 0:
         if ref[i - 1] == cand[j - 1]:
