@@ -66,13 +66,20 @@ def label_sample(labels: DataFrame, column: str, limit: int, held_out: bool = Fa
 
 
 def add_blocks(parts: DataFrame, width: int) -> DataFrame:
-    """Sum equally long int64 vectors, given as (block, counts) rows: one row per block."""
+    """Sum equally long int64 vectors, given as (block, counts) rows, by block.
 
-    def add(table: pa.Table) -> pa.Table:
-        import numpy as np
-        total = np.zeros(width, np.int64)
-        for x in table.column("counts"):
-            total += np.frombuffer(x.as_buffer(), np.int64)
-        return pa.table({"block": table.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+    Rows stream through a task, which holds one sum per block that it meets.
+    """
 
-    return parts.groupBy("block").applyInArrow(add, "block int, counts binary")
+    def add(batches):
+        import numpy as np
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, x in zip(batch.column("block").to_pylist(), batch.column("counts")):
+                total.setdefault(block, np.zeros(width, np.int64))
+                total[block] += np.frombuffer(x.as_buffer(), np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
+                                             names=["block", "counts"])
+
+    return parts.repartition("block").mapInArrow(add, "block int, counts binary")

@@ -89,9 +89,9 @@ def idf_table(docs: DataFrame) -> np.ndarray:
     for r in add_blocks(doc_text(docs).select("text").mapInArrow(_frequencies, "block int, counts binary"), BLOCK).toLocalIterator():
         row = np.frombuffer(r.counts, np.int64)
         if r.block < 0:
-            n = int(row[0])
+            n += int(row[0])
         else:
-            total[r.block] = row
+            total[r.block] += row
     df = total.reshape(-1).astype(np.float64)
     mean = df.mean()
     df -= mean
