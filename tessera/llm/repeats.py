@@ -44,7 +44,7 @@ from .common import blocks, doc_text, text_slices, written
 
 LENGTH = 50
 GRAM = 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _MAIL = "block int, kind int, id long, a binary, b binary"
 _ARROW = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 _TOP = np.uint64(0xFFFFFFFF00000000)
@@ -291,7 +291,8 @@ def repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     def by_block(mail: DataFrame, f, schema: str) -> DataFrame:
         return texts.groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(f, schema)
 
-    anchors = by_block(late, _send_anchors(n), "bucket int, block int, a binary")
+    # six bytes an anchor: a bucket of hashes stands for four blocks
+    anchors = by_block(late, _send_anchors(max(1, n // 4)), "bucket int, block int, a binary")
     shared = anchors.groupBy("bucket").applyInArrow(_shared, _MAIL)
     sent = by_block(late.unionByName(shared), _send_segments(n), _SEGMENTS)
     previous = sent.groupBy("bucket").applyInArrow(_previous, _MAIL)
