@@ -35,9 +35,9 @@ CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
 LIMIT = 1_024
 #: Units in a worker's memo at which the half used longest ago is dropped.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 #: Text encoded at once: the more, the fewer look-ups of a unit found again.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 3 << 19
 
 _SAFE = re.compile(r"(?<=[A-Za-z0-9]) ")
 _ENCODERS: dict[str, Encoder] = {}
