@@ -462,7 +462,8 @@ def test_toxicity_held_out(spark, labels):
     rng = np.random.default_rng(0)
     plain = "the thing was here and the other one is there with that of them"
     hidden = [f"{plain} you {w} {plain}" for w in ("1d10t", "i d i o t", "idiooot", "st*pid", "m0r0n", "i.d.i.o.t")]
-    assert (model.scores(pa.array(hidden)) > model.scores(pa.array([plain]))[0] + 0.2).mean() > 0.8
+    scores = model.scores(pa.array([plain, f"{plain} you idiot {plain}", *hidden]))
+    assert scores[1] > scores[0] + 0.2 and scores[2:5].tolist() == [scores[1]] * 3 and (scores[2:] > scores[0]).all()
     kept = {r.doc_id for r in toxicity.filter_toxic(docs, model).collect()}
     assert kept == {i for i, r in got.items() if not r.predicted}
 
