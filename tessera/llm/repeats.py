@@ -44,7 +44,7 @@ from .common import blocks, doc_text, text_slices, written
 
 LENGTH = 50
 GRAM = 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 _MAIL = "block int, kind int, id long, a binary, b binary"
 _ARROW = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 _TOP = np.uint64(0xFFFFFFFF00000000)
@@ -81,7 +81,8 @@ def segments(buf: np.ndarray, off: np.ndarray):
     high = np.flatnonzero(stop)
     at = anchor[low]
     text = np.searchsorted(off, low, "right") - 1
-    return gram[at], text, low, high, prefix.hash(low, high + LENGTH) ^ K.mix((at - low).astype(np.uint64))
+    # least hashes are small numbers: mixed again, they spread over all buckets
+    return K.mix(gram[at]), text, low, high, prefix.hash(low, high + LENGTH) ^ K.mix((at - low).astype(np.uint64))
 
 
 def _block(docs: pa.Table, late: set):
@@ -291,8 +292,7 @@ def repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     def by_block(mail: DataFrame, f, schema: str) -> DataFrame:
         return texts.groupBy("block").cogroup(mail.groupBy("block")).applyInArrow(f, schema)
 
-    # six bytes an anchor: a bucket of hashes stands for four blocks
-    anchors = by_block(late, _send_anchors(max(1, n // 4)), "bucket int, block int, a binary")
+    anchors = by_block(late, _send_anchors(n), "bucket int, block int, a binary")
     shared = anchors.groupBy("bucket").applyInArrow(_shared, _MAIL)
     sent = by_block(late.unionByName(shared), _send_segments(n), _SEGMENTS)
     previous = sent.groupBy("bucket").applyInArrow(_previous, _MAIL)
