@@ -37,6 +37,7 @@ class PrepareParams:
     vocab_size: int | None = None
     filter_synthetic: bool = False   # synthetic replacement rows skip the quality rules unless asked
     use_registry_cap: bool = False   # cap each language at its registry ``max_samples`` instead
+    caps: DataFrame | None = None    # (lang, max_samples) of a configured registry
 
 
 def ranked_documents(docs: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> D
     """
     ranked = ranked_documents(docs)
     caps = (registry_from_table(docs).groupBy("lang").agg(F.min("max_samples").alias("max_samples"))
-            if p.use_registry_cap else None)
+            if p.use_registry_cap else p.caps)
     exempt = F.lit(False) if p.filter_synthetic else F.col("source").eqNullSafe(F.lit("synthetic"))
     kept = ranked.where(quality_keep(F.col("text"), p.quality) | exempt)
     keep = decisions(kept, p, caps).select("ord", "split", "shuffle_rank")

@@ -10,6 +10,7 @@ every scan.
 from __future__ import annotations
 
 import functools
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
@@ -53,6 +54,21 @@ class LoadReport:
     replaced: list = field(default_factory=list)
 
 
+def read_registry(spark: SparkSession, path: str) -> list[CorpusSource]:
+    """SRC1: a configured registry, a JSON list of entries in rank order, from any path Spark reads."""
+    entries = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    return [CorpusSource(rank=i, **entry) for i, entry in enumerate(entries)]
+
+
+def language_caps(spark: SparkSession, sources: Sequence[CorpusSource]) -> DataFrame | None:
+    """(lang, max_samples): the least limit of each language's entries; None without limits."""
+    least: dict = {}
+    for s in sources:
+        if s.max_samples is not None:
+            least[s.lang] = min(s.max_samples, least.get(s.lang, s.max_samples))
+    return spark.createDataFrame(list(least.items()), "lang string, max_samples bigint") if least else None
+
+
 def registry_frame(spark: SparkSession, sources: Sequence[CorpusSource]) -> DataFrame:
     """The registry as a small DataFrame (few rows; broadcast when joined)."""
     rows = [(s.lang, s.source, int(s.rank), int(s.expected_size), s.max_samples) for s in sources]

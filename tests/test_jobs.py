@@ -43,3 +43,31 @@ def test_evaluate_job(spark):
     assert ("indommlu", "accuracy") in rows and ("indonlg", "rouge1") in rows
     assert rows[("indo4b", None)][1].startswith("dataset not available")
     assert ("perplexity", "perplexity") in rows and not any(b == "not-registered" for b, _ in rows)
+
+
+def test_command_line(spark, capsys):
+    import json
+
+    from tessera.__main__ import main
+    from tessera.plans import derived
+    root = work_dir(spark, "cli")
+    text = "some words that are long enough for the rules, number "
+    spark.createDataFrame([(i, f"{text}{i}") for i in range(12)], "doc_id long, content string").write.parquet(f"{root}/a")
+    spark.createDataFrame([(f"{text}{i}",) for i in range(50, 58)], "value string").coalesce(1).write.text(f"{root}/b")
+    entries = [{"lang": "id", "source": "a", "path": f"{root}/a", "max_samples": 5}, {"lang": "en", "source": "b", "path": f"{root}/b", "fmt": "text"},
+               {"lang": "en", "source": "none", "path": None, "fmt": None}]
+    spark.createDataFrame([(json.dumps(entries),)], "value string").coalesce(1).write.text(f"{root}/registry")
+    main(["prepare", "--registry", f"{root}/registry", "--output", f"{root}/prep"])
+    assert read_splits(spark, f"{root}/prep/tokens").count() == 20
+    main(["prepare", "--registry", f"{root}/registry", "--use-registry-caps", "--output", f"{root}/capped"])
+    assert dict(read_splits(spark, f"{root}/capped/tokens").groupBy("lang").count().collect()) == {"id": 5, "en": 8}
+    main(["synthetic", "--rows", "200", "--output", f"{root}/syn"])
+    assert {r.split: r.n for r in read_splits(spark, f"{root}/syn").groupBy("split").agg(F.count("*").alias("n")).collect()} == {"train": 198, "validation": 1, "test": 1}
+    bench = table(spark, SF_SMALL, "benchmark")
+    derived.mcq_items(bench).write.parquet(f"{root}/items")
+    derived.mcq_responses(bench).write.parquet(f"{root}/responses")
+    main(["evaluate", "--benchmark", f"indommlu={root}/items,{root}/responses", "--benchmark", "indo4b", "--output", f"{root}/eval"])
+    rows = {(r.benchmark, r.metric) for r in spark.read.json(f"{root}/eval").collect()}
+    assert ("indommlu", "accuracy") in rows and any(b == "indo4b" for b, _ in rows)
+    main(["stats", "--dataset", f"{root}/prep/tokens"])
+    assert "written" in capsys.readouterr().out
