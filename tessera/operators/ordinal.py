@@ -27,8 +27,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,8 +126,8 @@ def with_running(df: DataFrame, order_by: Sequence[str], value: str, group_by: S
 
     Same plan as ``with_ordinal``: range partitions (a hot group spans many),
     a checkpoint, per-partition partials (a few rows per partition) combined by
-    a running window over that small table, and a numpy scan inside each
-    partition.  ``min`` starts from null (nothing before the first row).
+    a running window over that small table, and a window inside each partition
+    and group.  ``min`` starts from null (nothing before the first row).
     """
     assert op in ("sum", "min")
     spark = df.sparkSession
@@ -141,36 +139,14 @@ def with_running(df: DataFrame, order_by: Sequence[str], value: str, group_by: S
     agg = F.sum if op == "sum" else F.min
     partial = ranged.groupBy("_pid", *groups).agg(agg(value).alias("_p"))
     before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    base_val = agg("_p").over(before)
-    if op == "sum":
-        base_val = F.coalesce(base_val, F.lit(0))
-    base = partial.select("_pid", *groups, base_val.alias("_base"))
-    vtype = ranged.schema[value].dataType.simpleString()
-
-    def local(batches):
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        v = pdf[value].astype("float64")
-        if groups:
-            g = pdf.groupby(groups, sort=False)[value]
-            cum = g.cumsum() if op == "sum" else g.cummin()
-        else:
-            cum = v.cumsum() if op == "sum" else v.cummin()
-        if op == "sum":
-            prev = cum - v
-        else:  # exclusive running min: shift the inclusive one by one row inside each group
-            prev = cum.groupby([pdf[c] for c in groups]).shift(1) if groups else cum.shift(1)
-        pdf["_local"] = prev.astype("float64")
-        yield pdf
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.schema.fields) + ", _local double"
-    local_df = ranged.mapInPandas(local, schema)
+    base = partial.select("_pid", *groups, agg("_p").over(before).alias("_base"))
+    inside = Window.partitionBy("_pid", *groups).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", agg(value).over(inside))
     # without groups: one row per partition; with groups adaptive execution picks the join by measured size
-    joined = local_df.join(base if groups else F.broadcast(base), on=["_pid", *groups])
+    joined = local.join(base if groups else F.broadcast(base), on=["_pid", *groups])
+    vtype = ranged.schema[value].dataType.simpleString()
     if op == "sum":
-        res = (F.col("_base") + F.col("_local")).cast(vtype)
+        res = (F.coalesce("_base", F.lit(0)) + F.coalesce("_local", F.lit(0))).cast(vtype)
     else:
         res = F.least(F.col("_base"), F.col("_local")).cast(vtype)  # least ignores nulls
     return joined.withColumn(out, res).drop("_pid", "_base", "_local")
