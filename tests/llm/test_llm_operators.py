@@ -459,7 +459,6 @@ def test_toxicity_held_out(spark, labels):
     pos, neg = [s for y, s in held if y], [s for y, s in held if not y]
     auc = np.mean([(p > n) + (p == n) / 2 for p in pos for n in neg])
     assert auc > 0.7 and np.mean([s >= 0.7 for s in neg]) < 0.02
-    rng = np.random.default_rng(0)
     plain = "the thing was here and the other one is there with that of them"
     hidden = [f"{plain} you {w} {plain}" for w in ("1d10t", "i d i o t", "idiooot", "st*pid", "m0r0n", "i.d.i.o.t")]
     scores = model.scores(pa.array([plain, f"{plain} you idiot {plain}", *hidden]))
@@ -579,7 +578,6 @@ def test_odd_and_empty_tables(spark, odd, few_labels, name):
     if name == "quality":
         assert by[1][0].n_words == 0 and by[1][0].base_failed and by[4][0].n_repeat_words > 39_000
     if name == "pack":
-        check_pieces([r for r in got if r.doc_id not in (None, 7)], {1: "", 2: "", 3: "   \n\t ", 6: "one"} | {r[0]: r[1] for r in odd_rows() if r[0] in (4, 5, 8)}) if False else None
         assert sum(r.length for r in by[1]) == 1 and sum(r.length for r in by[4]) == len(ids(odd_rows()[4][1])) + 1
     if name in ("redact", "sanitise", "deduplicate", "decontaminate", "filter_toxic"):
         assert set(got[0].asDict()) == set(odd.columns)
