@@ -157,7 +157,7 @@ def test_loaded_sources_can_be_prepared(spark):
     sources = registry.sources_from_registry(reg, path + "/table") + [registry.CorpusSource("de", "lines", path + "/lines", 0, "text")]
     docs = registry.load_sources(spark, sources)
     assert docs.count() == 25 and docs.where("source = \"o'r\"").count() == 10
-    assert {r.text for r in docs.where("source = 'lines'").collect()} == {long_text(100 + i).rstrip() for i in range(5)} or docs.where("source = 'lines'").where("length(text) > 20").count() == 5
+    assert {r.text.strip() for r in docs.where("source = 'lines'").collect()} == {long_text(100 + i).strip() for i in range(5)}
     assert prepared_documents(docs).count() == 25
     assert prepared_documents(corpus_or_synthetic(spark.createDataFrame([], SOURCE), n=40)).count() > 0
     with pytest.raises(ValueError):
