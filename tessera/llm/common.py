@@ -52,16 +52,23 @@ def blocks(spark: SparkSession, total_bytes: int, per_block: int) -> int:
     return int(max(1, -(-total_bytes // per_block), spark.sparkContext.defaultParallelism))
 
 
-def label_sample(labels: DataFrame, column: str, limit: int, held_out: bool = False) -> DataFrame:
-    """At most ``limit`` labelled documents (doc_id, label), the same at every run: the smallest id hashes.
+def label_rows(labels: DataFrame, column: str) -> DataFrame:
+    """(doc_id, label) of every labelled document.
 
     Null ids and labels are left out; an id labelled twice counts once, with its largest label.
-    ``held_out``: leave out ids whose crc32 (as text) mod 3 is 1.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label")).dropna()
+    return rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def label_sample(labels: DataFrame, column: str, limit: int, held_out: bool = False) -> DataFrame:
+    """At most ``limit`` of the ``label_rows``, the same at every run: the smallest id hashes.
+
+    ``held_out``: leave out ids whose crc32 (as text) mod 3 is 1.
+    """
+    rows = label_rows(labels, column)
     if held_out:
         rows = rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
-    rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 

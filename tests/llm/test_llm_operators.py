@@ -114,6 +114,16 @@ def test_quality_ratio_is_that_of_two_multinomials(docs):
     assert quality.threshold(np.array([1.0, 2]), np.array([-1.0, 0])) == pytest.approx(0.5)
 
 
+def test_quality_target_counts_all_trusted_rows(spark):
+    rare = {i: " ".join(f"rare{i}x{j}" for j in range(20)) for i in range(120)}  # words that one trusted document holds
+    docs = spark.createDataFrame([*rare.items(), *((i, "plain words that no one trusts at all") for i in range(120, 240)), (None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 120)) for i in range(240)], "doc_id long, quality int")
+    weights, _ = quality.fit(docs, labels, 20)
+    buf, off = quality.K.utf8(pa.array(list(rare.values())))
+    bucket, text = quality.ngram_buckets(buf, off)
+    assert np.sum(np.bincount(text, weights=weights[bucket] > 0) > 30) >= 120 - 20
+
+
 # ------------------------------------------------------------------ op 3
 def suffix_lpf(texts, length=50):
     """Removed bytes by a suffix array, previous and next smaller places and longest previous factors."""
