@@ -1,7 +1,9 @@
 """Operator 10: secret scan with a random forest that removes false findings, in DataFrame functions.
 
 Candidates are quoted strings of eight characters or more, and runs of 16 or more
-letters, digits and ``+/=_-``, with a digit; and private-key headers.  Each has these
+letters, digits and ``+/=_-``, with a digit; values of eight characters or more, of any
+kind, that are assigned to a secret-like name; and private keys, from BEGIN to END (to
+the end of the key lines if END is missing).  Each has these
 features: length; shares of digits, upper-case letters and other signs; entropy; changes of
 character class; mean log probability of its letter pairs in the corpus's words; the share
 of it that dictionary words cover (words of three letters or more in ``MIN_DOCS``
@@ -11,9 +13,9 @@ assigned or quoted; and neighbouring words that speak for or against a secret.
 Findings with a label train the forest: a given table (value, label), or else
 findings that fixed formats and rules decide: known key formats, and
 random-looking values assigned to a name such as ``token``, are secrets;
-placeholders, plain numbers, UUIDs and dictionary words are not.  At most ``LABELLED``
-labelled values (smallest hashes) are used.  The forest then judges every candidate,
-labelled or not.  If labelled findings are all of one kind, the rules alone decide.
+placeholders, references, plain numbers, UUIDs and dictionary words are not.  At most
+``LABELLED`` labelled values (smallest hashes) are used.  The forest then judges every candidate,
+labelled or not, but a private key with its key lines, which is a secret by its form.  If labelled findings are all of one kind, the rules alone decide.
 
 Null and empty texts have no candidates.  Repeated rows are reported each; an
 empty table gives no rows.  Other columns are kept by ``redact`` only.
@@ -36,32 +38,48 @@ TREES, DEPTH = 20, 6
 CUT = 0.5
 CONTEXT = 40
 _RUN = "[A-Za-z0-9+/=_-]"
-PATTERN = rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----|(?<=[\"'])[^\s\"']{{8,}}+(?=[\"'])|(?<!{_RUN}){_RUN}{{16,}}+"
+_KEY = "[A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+_GAP = r"(?:\s|\\[nr])++"
+_LINE_END = r"(?=[\x20\t]*+(?:[\r\n]|\\[nr]))|(?![\s\S])"
+_KEY_LINES = (rf"(?:{_GAP}(?:(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset): [^\r\n\\]*+|[A-Za-z0-9+/=]{{16,}}+))++"
+              rf"(?:{_GAP}[A-Za-z0-9+/]{{1,15}}+(?:=++|{_LINE_END}))?+")
+_PRIVATE = rf"-----BEGIN {_KEY}(?:(?:[^-]++|-(?!----))*+-----END {_KEY}|{_KEY_LINES})?+"
+_QUOTED = r"(?<=[\"'])[^\s\"']{8,}+(?=[\"'])"
+#: Private keys, quoted strings and runs.
+PATTERN = rf"{_PRIVATE}|{_QUOTED}|(?<!{_RUN}){_RUN}{{16,}}+"
+#: A secret-like name with = or : after it, up to the value.
+_TO_VALUE = r"(?i:token|secret|passw|pwd|api[_-]?key|access|auth(?!or)|bearer|credential|private)[A-Za-z0-9_-]{0,20}[\"']?[\x20\t]{0,16}(?::=|=>|[=:])[\x20\t]{0,16}[\"'`]?"
+_ASSIGNED = rf"(?<=[=:>][\x20\t]{{0,16}}[\"'`]?)(?<={_TO_VALUE})(?:(?<=\")[^\s\"]{{8,}}+|(?<=')[^\s']{{8,}}+|(?<=`)[^\s`]{{8,}}+|(?<![\"'`])[^\s\"'`=:>]\S{{7,}}+)"
+#: All candidates; a run ends before a private key and does not take in the name that a value is assigned to.
+SCAN = rf"{_PRIVATE}|{_ASSIGNED}|{_QUOTED}|(?<!{_RUN})(?![A-Za-z0-9_-]{{0,64}}?{_TO_VALUE}[^\s\"'`=:>]\S{{7}})(?:(?!-----BEGIN ){_RUN}){{16,}}+"
 #: Public formats of keys.
 FORMATS = r"\A(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{24,}|-----BEGIN .*)"
 FOR = r"(?i)token|secret|passw|pwd|api[_-]?key|access|auth|bearer|credential|private"
 AGAINST = r"(?i)example|sample|dummy|test|placeholder|sha(?:1|256|sum)?\b|md5|commit|checksum|digest|uuid|isbn"
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|(.)\1{7,}"
+#: Calls, items, variables to fill in, and addresses without a login.
+REFERENCE = r"\A(?:[A-Za-z_][A-Za-z0-9_.]*[(\[]|\$[{(]|<|\{\{|%\(|[a-z][a-z0-9+.-]*://[^@]*\z)"
 UUID = r"(?i)\A[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
 FEATURES = ["n", "digits", "upper", "signs", "entropy", "changes", "pairs", "covered", "path", "after_path", "assigned", "quoted", "for", "against"]
 
 
 def _guard(text: Column) -> Column:
-    return text.rlike("[0-9]") | F.contains(text, F.lit("PRIVATE KEY"))
+    return text.rlike(rf"[0-9]|PRIVATE KEY|{_TO_VALUE}")
 
 
 def candidates(texts: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns, start, end, value, before and after of every candidate in ``text``."""
-    df = texts.where(_guard(F.col("text"))).withColumn("_found", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).where(F.size("_found") > 0)
-    df = df.withColumn("_pieces", F.split("text", PATTERN, -1)).withColumn("_starts", _starts(F.col("_pieces"), F.col("_found")))
+    df = texts.where(_guard(F.col("text"))).withColumn("_found", F.regexp_extract_all("text", F.lit(SCAN), F.lit(0))).where(F.size("_found") > 0)
+    df = df.withColumn("_pieces", F.split("text", SCAN, -1)).withColumn("_starts", _starts(F.col("_pieces"), F.col("_found")))
 
     def one(m: Column, i: Column) -> Column:
         start = F.get("_starts", i)
-        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value"), F.right(F.get("_pieces", i), F.lit(CONTEXT)).alias("before"),
-                        F.left(F.get("_pieces", i + 1), F.lit(CONTEXT)).alias("after"))
+        ahead = F.concat(F.coalesce(F.right(F.get("_found", i - 1), F.lit(2 * CONTEXT)), F.lit("")), F.right(F.get("_pieces", i), F.lit(2 * CONTEXT)))
+        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value"), F.right(ahead, F.lit(CONTEXT)).alias("before"),
+                        F.left(F.get("_pieces", i + 1), F.lit(CONTEXT)).alias("after"), ahead.rlike(rf"{_TO_VALUE}\z").alias("named"))
 
-    real = F.filter(F.transform("_found", one), lambda x: x["value"].rlike("[0-9]") | x["value"].startswith("-----BEGIN"))
-    return df.select(*keep, F.explode(real).alias("x")).select(*keep, "x.*")
+    real = F.filter(F.transform("_found", one), lambda x: x["value"].rlike("[0-9]") | x["value"].startswith("-----BEGIN") | x["named"])
+    return df.select(*keep, F.explode(real).alias("x")).select(*keep, "x.*").drop("named")
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -114,11 +132,17 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         "quoted": flag(before.rlike("[\"']\\z") & F.col("after").rlike("\\A[\"']")), "for": flag(before.rlike(FOR)), "against": flag(F.concat_ws(" ", before, F.col("after")).rlike(AGAINST))})
 
 
+def _whole_key(value: Column) -> Column:
+    """Whether it is a private key with its key lines, not a header only."""
+    return value.startswith("-----BEGIN") & value.rlike("[A-Za-z0-9+/=]{32}")
+
+
 def rules(found: DataFrame) -> Column:
     """1 or 0 for findings that formats and rules decide, else null."""
     v = F.col("value")
-    plain = v.rlike(PLACEHOLDER) | v.rlike(UUID) | v.rlike(r"\A[0-9 _/=+-]+\z") | (F.col("covered") > 0.6) | ((F.col("against") == 1) & (F.col("for") == 0))
-    return (F.when(plain, 0).when(v.rlike(FORMATS), 1).when((F.col("for") == 1) & (F.col("assigned") == 1) & (F.col("entropy") >= 3), 1)
+    plain = v.rlike(PLACEHOLDER) | v.rlike(REFERENCE) | v.rlike(UUID) | v.rlike(r"\A[0-9 _/=+-]+\z") | (F.col("covered") > 0.6) | ((F.col("against") == 1) & (F.col("for") == 0))
+    return (F.when(_whole_key(v), 1).when(plain, 0).when(v.rlike(FORMATS), 1)
+            .when((F.col("for") == 1) & (F.col("assigned") == 1) & (F.col("entropy") >= 3) & v.rlike("[0-9]"), 1)
             .when((F.col("for") == 0) & (F.col("assigned") == 0), 0))
 
 
@@ -135,7 +159,7 @@ def judged(found: DataFrame, words: DataFrame, labelled: DataFrame | None = None
     to_vector = VectorAssembler(inputCols=FEATURES, outputCol="_vector")
     forest = RandomForestClassifier(featuresCol="_vector", labelCol="label", rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_prediction", numTrees=TREES, maxDepth=DEPTH, seed=7)
     scored = forest.fit(to_vector.transform(train)).transform(to_vector.transform(rows))
-    p = vector_to_array("_probability")[1]
+    p = F.when(_whole_key(F.col("value")), 1.0).otherwise(vector_to_array("_probability")[1])
     return scored.withColumn("probability", p).withColumn("secret", p >= CUT)
 
 
