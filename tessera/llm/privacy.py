@@ -5,13 +5,14 @@ not overlapping within a kind; matches that fail their check (address parts, Luh
 digit counts) are dropped.  The patterns are written so that each scan is linear.
 
 Each distinct value found is a protected entity e.  Terms t are words of three
-letters or more within ``CONTEXT`` code points of a mention (and not across another of
-its kind).  Over all N documents, with n(e) documents that hold e, n(t) that hold t
-anywhere and n(t, e) with t near e: IC(e) = log2(N / n(e)) is what e tells,
-PMI(t; e) = log2(N n(t, e) / (n(t) n(e))) what t tells of it.  A term with
-PMI / IC of ``GENERALISE`` or more, seen near e in ``MIN_DOCS`` documents at least,
-discloses e: its occurrences near mentions of e are generalised, from ``REMOVE`` on
-removed.  (With fewer documents there is no estimate.)  An entity in all documents
+letters or more outside the mentions.  Over all N documents, with n(e) documents that
+hold e, n(t) that hold t and n(t, e) that hold both: IC(e) = log2(N / n(e)) is what e
+tells, PMI(t; e) = log2(N n(t, e) / (n(t) n(e))) what t tells of it.  A term with
+PMI / IC of ``GENERALISE`` or more, together with e in ``MIN_DOCS`` documents at least,
+discloses e: all its occurrences in documents that hold e are generalised, from
+``REMOVE`` on removed.  (With fewer documents there is no estimate.)  As n(t, e) <= n(e),
+only terms with n(t) <= N (n(e) / N) ** ``GENERALISE`` can do so; others are not
+paired, which loses nothing.  An entity in all documents
 tells nothing and has no such terms.
 
 Null and empty texts hold nothing.  Each row counts as a document, repeated ones
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 
 from .common import doc_text, written
 
-CONTEXT = 80
 MIN_DOCS = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -83,7 +83,7 @@ def _starts(pieces: Column, found: Column) -> Column:
 
 
 def _matches(df: DataFrame, kind: str) -> DataFrame:
-    """Adds the column ``kind``: array of (start, rank, end, kind, value, before, after)."""
+    """Adds the column ``kind``: array of (start, rank, end, kind, value)."""
     pattern, some = F.lit(PATTERNS[kind]), _guard(kind, F.col("text"))
     df = df.withColumn("_found", F.when(some, F.regexp_extract_all("text", pattern, F.lit(0))))
     df = df.withColumn("_found", F.when(F.size("_found") > 0, F.col("_found")))
@@ -92,52 +92,66 @@ def _matches(df: DataFrame, kind: str) -> DataFrame:
 
     def one(m: Column, i: Column) -> Column:
         start = F.get("_starts", i)
-        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + F.length(m)).alias("end"), F.lit(kind).alias("kind"), m.alias("value"),
-                        F.right(F.get("_pieces", i), F.lit(CONTEXT)).alias("before"), F.left(F.get("_pieces", i + 1), F.lit(CONTEXT)).alias("after"))
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + F.length(m)).alias("end"), F.lit(kind).alias("kind"), m.alias("value"))
 
     kept = F.filter(F.transform("_found", one), lambda x: passes(kind, x["value"]))
-    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string,before:string,after:string>>")
+    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
     return df.withColumn(kind, F.coalesce(kept, none)).drop("_found", "_pieces", "_starts")
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n_<kind> and spans (by start, then kind) of every document row."""
+    """row, doc_id, n_<kind>, spans (by start, then kind) and, if there are any, text of every document row."""
     df = doc_text(docs).withColumn("row", F.monotonically_increasing_id())
     for kind in KINDS:
         df = _matches(df, kind)
-    return df.select("row", "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.array_sort(F.concat(*KINDS)).alias("spans"))
+    return df.select("row", "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.array_sort(F.concat(*KINDS)).alias("spans"),
+                     F.when(F.greatest(*(F.size(k) for k in KINDS)) > 0, F.col("text")).alias("text"))
 
 
-def _words(side: str, text: Column, origin: Column, cut_first: bool) -> Column:
-    """Array of (term, start, end) of the whole words of a context that begins at ``origin``."""
-    # a word at the far edge may be cut off: it is left out when the context is full
-    full = F.length(text) >= CONTEXT
-    found, pieces = F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.split(text, _WORD, -1)
-    starts = _starts(pieces, found)
-    words = F.transform(found, lambda w, i: F.struct(F.lower(w).alias("term"), (origin + F.get(starts, i)).alias("start"), (origin + F.get(starts, i) + F.length(w)).alias("end")))
-    edge = (lambda w: ~full | (w["start"] > origin)) if cut_first else (lambda w: ~full | (w["end"] < origin + F.length(text)))
-    return F.filter(F.when(F.size(found) > 0, words).otherwise(F.array().cast("array<struct<term:string,start:int,end:int>>")), edge)
+def _terms(text: Column) -> Column:
+    """Distinct words, lower-cased."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
+
+
+def _occurrences(levels: Column) -> Column:
+    """Array of (start, end, level) of the words of ``text`` that the map ``levels`` holds; only those are gathered."""
+    def step(state: Column, i: Column) -> Column:
+        word = F.element_at("words", i)
+        at = state["at"] + F.length(F.element_at("pieces", i))
+        end, level = at + F.length(word), F.try_element_at(levels, F.lower(word))
+        more = F.concat(state["out"], F.array(F.struct(at.alias("start"), end.alias("end"), level.alias("level"))))
+        return F.struct(end.alias("at"), F.when(level.isNotNull(), more).otherwise(state["out"]).alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,level:double>>").alias("out"))
+    return F.aggregate(F.sequence(F.lit(1), F.size("words")), zero, step, lambda s: s["out"])
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """row, start, end and level (ratio PMI / IC) of terms near mentions that they disclose."""
-    mention = found.where(F.size("spans") > 0).select("row", F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("taken"), F.explode("spans").alias("m"))
-    mention = mention.select("row", "taken", "m.kind", "m.value", F.concat(
-        _words("before", F.col("m.before"), F.col("m.start") - F.length("m.before"), True),
-        _words("after", F.col("m.after"), F.col("m.end"), False)).alias("words"))
-    near = mention.select("row", "taken", "kind", "value", F.explode("words").alias("w")).where(
-        ~F.exists("taken", lambda s: (s["start"] < F.col("w.end")) & (F.col("w.start") < s["end"])))
-    near = written(near.select("row", "kind", "value", "w.term", "w.start", "w.end"), "contexts")
-    entity = found.where(F.size("spans") > 0).select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"], s["value"])))).alias("e"))
-    entity = entity.groupBy("e.kind", "e.value").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= MIN_DOCS)
-    pair = near.select("row", "kind", "value", "term").distinct().groupBy("kind", "value", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= MIN_DOCS)
-    pair = written(pair.join(entity, ["kind", "value"]), "pairs")
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
-    held = doc_text(docs).select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    total = found.agg(F.count("*")).first()[0]
-    ic, pmi = F.log2(F.lit(float(total)) / F.col("n_e")), F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    telling = pair.join(held, "term").where(F.col("n_e") < total).withColumn("level", pmi / ic).where(F.col("level") >= GENERALISE)
-    return near.join(telling.select("kind", "value", "term", "level"), ["kind", "value", "term"]).groupBy("row", "start", "end").agg(F.max("level").alias("level"))
+    """row, start, end and level (ratio PMI / IC) of terms in documents that hold an entity that they disclose."""
+    total = float(found.count())
+    holds = found.where(F.size("spans") > 0).select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"], s["value"])))).alias("e")).select("row", "e.*")
+    entity = holds.groupBy("kind", "value").agg(F.count("*").alias("n_e")).where(F.col("n_e").between(MIN_DOCS, int(total) - 1))
+    holds = written(holds.join(entity, ["kind", "value"]), "entities")
+
+    def most(n_e: Column) -> Column:  # rounded up
+        return F.lit(total * (1 + 1e-9)) * F.pow(n_e / F.lit(max(total, 1.0)), F.lit(GENERALISE))
+
+    largest = holds.agg(F.max("n_e")).first()[0] or 0
+    held = doc_text(docs).select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    held = held.where((F.col("n_t") >= MIN_DOCS) & (F.col("n_t") <= most(F.lit(largest))))
+    rows = found.where("text is not null").join(holds.groupBy("row").agg(F.max("n_e").alias("n_max")), "row")
+    # of all mentions, only emails have letters
+    terms = rows.select("row", "n_max", F.explode(_terms(F.regexp_replace("text", PATTERNS["email"], " "))).alias("term"))
+    terms = written(terms.join(held, "term").where(F.col("n_t") <= most(F.col("n_max"))).select("row", "term", "n_t"), "terms")
+    pair = terms.join(holds, "row").where(F.col("n_t") <= most(F.col("n_e"))).groupBy("kind", "value", "term", "n_t", "n_e").agg(F.count("*").alias("n_te"))
+    ic, pmi = F.log2(F.lit(total) / F.col("n_e")), F.log2(F.lit(total) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+    telling = pair.where(F.col("n_te") >= MIN_DOCS).withColumn("level", pmi / ic).where(F.col("level") >= GENERALISE)
+    levels = holds.select("row", "kind", "value").join(written(telling.select("kind", "value", "term", "level"), "telling"), ["kind", "value"])
+    levels = levels.groupBy("row", "term").agg(F.max("level").alias("level")).join(terms.select("row", "term"), ["row", "term"])
+    levels = levels.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels"))
+    texts = found.where("text is not null").join(levels, "row").withColumns({"words": F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), "pieces": F.split("text", _WORD, -1)})
+    out = texts.select("row", "spans", F.explode(_occurrences(F.col("levels"))).alias("w"))
+    return out.where(~F.exists("spans", lambda s: (s["start"] < F.col("w.end")) & (F.col("w.start") < s["end"]))).select("row", "w.*")
 
 
 def _joined(spans: Column) -> Column:

@@ -245,6 +245,13 @@ def test_terms_that_reveal_an_entity_are_generalised_or_removed(spark):
     assert "Zebulon" not in clean[0] and "[email]" in clean[0] and "the clerk" in clean[0] and clean[10] == rows[6][1]
 
 
+def test_terms_far_from_the_mention_are_generalised_everywhere(spark):
+    filler = "the common words 12 of every text 34 stand here " * 20
+    rows = [(i, f"Zebulon {filler} z.b@mail.example {filler} zebulon and Zebulon") for i in range(6)] + [(i, filler) for i in range(6, 60)]
+    clean = {r.doc_id: r.text for r in privacy.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("zebulon" not in clean[i].lower() and filler in clean[i] for i in range(60))
+
+
 # ------------------------------------------------------------------ op 5
 def leaks(texts, items):
     out = {}
