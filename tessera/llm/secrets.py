@@ -93,7 +93,7 @@ def _entropy(value: Column) -> Column:
         p = (n - F.length(F.replace(value, c, F.lit("")))) / n
         return total - p * F.log2(p)
 
-    return F.aggregate(F.array_distinct(F.split(F.substring(value, 1, 256), "")), F.lit(0.0), lambda t, c: F.when(c == "", t).otherwise(add(t, c)))
+    return F.aggregate(F.array_distinct(F.split(value, "")), F.lit(0.0), lambda t, c: F.when(c == "", t).otherwise(add(t, c)))
 
 
 def dictionary(docs: DataFrame) -> DataFrame:

@@ -546,6 +546,14 @@ def test_whole_private_keys_and_assigned_values_are_candidates(spark):
     assert all(clean[i] == rows[i][0] + "[secret]" + rows[i][2] for i in range(6))
 
 
+def test_entropy_is_that_of_the_whole_value(spark):
+    values = ["a" * 300 + "0123456789" * 30, "abc", "aaaa"]
+    got = {r.value: r.e for r in spark.createDataFrame([(v,) for v in values], "value string").select("value", secrets._entropy(F.col("value")).alias("e")).collect()}
+    for v in values:
+        p = np.array(list(collections.Counter(v).values())) / len(v)
+        assert got[v] == pytest.approx(-(p * np.log2(p)).sum())
+
+
 # ------------------------------------------------------------ odd tables
 def odd_rows():
     long = "word " * 40_000 + "tail 4111 1111 1111 1111 idiot"
