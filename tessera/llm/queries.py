@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, near_duplicates, packing, privacy, quality, repeats, secrets, token_counts, toxicity, url_filter
+from . import (decontamination, near_duplicates, packing, periodic_runs, privacy, quality, repeats, secrets, sharding, token_counts, toxicity,
+               url_filter, whitening)
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -53,9 +54,22 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bounded_load_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rule=periodic_runs.repeat_tails)
+
+
 def queries() -> dict[str, QueryFn]:
     found = (op1_token_counts, op2_hashed_ngram_quality, op3_previous_factor_repeats, op4_disclosure_privacy, op5_simhash_decontamination,
-             op6_weighted_minhash, op7_pack_sum_of_squares, op8_url_language_model, op9_noisy_channel_toxicity, op10_secret_forest)
+             op6_weighted_minhash, op7_pack_sum_of_squares, op8_url_language_model, op9_noisy_channel_toxicity, op10_secret_forest,
+             op11_jacobi_davidson_whitening, op12_bounded_load_ring, op13_periodic_runs)
     return {f.__name__: f for f in found}
 
 
