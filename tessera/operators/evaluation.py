@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from ..config import BENCHMARKS, MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PERPLEXITY_CAP
+from ..config import BENCHMARKS, MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PERPLEXITY_CAP, SEED
+from ..functions.hashing import seeded_key
 from ..functions.text import py_strip, words
 from ..session import reliable_checkpoint
 
@@ -220,6 +221,64 @@ def rouge_l_scores(pairs: DataFrame) -> DataFrame:
                        _r6(_rouge_lsum_f(F.col("_pl"), F.col("_rl"))).alias("rougeLsum"))
 
 
+# Replicates and the interval of the bootstrap (fixed values of the public scorer's aggregator).
+BOOTSTRAP_REPLICATES = 1000
+BOOTSTRAP_INTERVAL = (0.025, 0.5, 0.975)
+
+
+def poisson_steps() -> list[int]:
+    """16-bit thresholds of Poisson(1): a uniform value gets the weight k of the number of steps it reaches."""
+    from math import exp, factorial
+    total, out = 0.0, []
+    for k in range(12):
+        total += exp(-1) / factorial(k)
+        step = int(65536 * total)
+        if step >= 65536 or (out and step == out[-1]):
+            break
+        out.append(step)
+    return out
+
+
+def poisson_weights(df: DataFrame, id_col: str, replicates: int, seed: int = SEED) -> DataFrame:
+    """Each row once a replicate, with its resampling weight: Poisson(1), from the md5 of (seed, id, replicate).
+
+    One md5 gives eight weights.  With n rows the weights of a replicate are those of drawing about n rows
+    with replacement, and no row needs to know the others: a bootstrap in one pass.
+    """
+    blocks = df.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 8))))
+    blocks = blocks.withColumn("_h", seeded_key(seed, id_col, "_j"))
+    parts = blocks.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("replicate", (F.col("_j") * 8 + F.col("_k")).cast("int"))
+    value = F.conv(F.substring(F.col("_h"), F.col("_k") * 4 + 1, F.lit(4)), 16, 10).cast("int")
+    weight = sum((F.when(F.col("_u") >= step, 1).otherwise(0) for step in poisson_steps()), F.lit(0))
+    return parts.where(F.col("replicate") < replicates).withColumn("_u", value).withColumn("weight", weight).drop("_j", "_k", "_h", "_u")
+
+
+def bootstrap(scores: DataFrame, by: str = "metric", id_col: str = "item_id", value: str = "fmeasure", replicates: int = BOOTSTRAP_REPLICATES,
+              interval: Sequence[float] = BOOTSTRAP_INTERVAL, seed: int = SEED) -> DataFrame:
+    """EV5 as the reference's scorer reports it: low, mid and high of the mean over bootstrap replicates.
+
+    The replicates' sums collapse map-side (``replicates`` rows a metric cross the shuffle); a replicate
+    that drew nothing is left out.
+    """
+    weighted = poisson_weights(scores.select(by, id_col, value), id_col, replicates, seed)
+    means = (weighted.groupBy(by, "replicate").agg(F.sum(F.col("weight") * F.col(value)).alias("_s"), F.sum("weight").alias("_w"))
+             .where("_w > 0").select(by, (F.col("_s") / F.col("_w")).alias("_m")))
+    out = means.groupBy(by).agg(F.percentile("_m", F.array(*[F.lit(q) for q in interval])).alias("_q"), F.count(F.lit(1)).alias("replicates"))
+    return out.select(by, *[_r6(F.col("_q")[i]).alias(name) for i, name in enumerate(("low", "mid", "high"))], "replicates")
+
+
+def rouge_scores(pairs: DataFrame, orders: Sequence[int] = (1, 2), longest: bool = True) -> DataFrame:
+    """(item_id, metric, fmeasure) of rouge-n and, if ``longest``, rougeL and rougeLsum."""
+    out = None
+    for n in orders:
+        one = rouge_n_scores(pairs, n).select("item_id", F.lit(f"rouge{n}").alias("metric"), "fmeasure")
+        out = one if out is None else out.unionByName(one)
+    if longest:
+        both = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("fmeasure")) for m in ("rougeL", "rougeLsum")])
+        out = out.unionByName(rouge_l_scores(pairs).select("item_id", F.explode(both).alias("_m")).select("item_id", "_m.metric", "_m.fmeasure"))
+    return out
+
+
 # ------------------------------------------------------------ EV6 / EV7 ----
 def perplexity(losses: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """EV6: token-weighted loss ``Σ(nll·n)/max(Σn,1)`` and ``exp(min(loss, 20))``; EV7 with ``by``."""

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import QualityParams
@@ -101,3 +101,29 @@ def reason_counts(df: DataFrame, p: QualityParams = DEFAULT, text_col: str = "te
     """Rows per first failing rule ('kept' for passing rows)."""
     reason = F.coalesce(quality_reason(F.col(text_col), p), F.lit("kept"))
     return df.groupBy(reason.alias("quality_reason")).agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+def observed_filter(df: DataFrame, sources: Sequence[tuple[str | None, str | None]], p: QualityParams = DEFAULT,
+                    text_col: str = "text") -> tuple[DataFrame, Observation]:
+    """FLT4 with FLT6 on the side: the rows that pass, and rows in and kept of each (lang, source), observed on the same pass.
+
+    The numbers are there once an action on the rows (say, the write) is done: ``observed_report``.
+    ``sources``: the registry's pairs, a handful; each costs two counters.
+    """
+    seen = Observation()
+    keep = quality_keep(F.col(text_col), p)
+    marked = df.withColumn("_keep", keep)
+    counters = [F.count(F.lit(1)).alias("rows")]
+    for i, (lang, source) in enumerate(sources):
+        mine = F.col("lang").eqNullSafe(F.lit(lang)) & F.col("source").eqNullSafe(F.lit(source))
+        counters += [F.count_if(mine).alias(f"n{i}"), F.count_if(mine & F.col("_keep")).alias(f"k{i}")]
+    return marked.observe(seen, *counters).where("_keep").drop("_keep"), seen
+
+
+def observed_report(spark: SparkSession, sources: Sequence[tuple[str | None, str | None]], seen: Observation) -> DataFrame:
+    """(lang, source, n_docs, n_kept) of an observed pass; sources without rows are left out, as in ``filter_report``."""
+    got = seen.get
+    rows = [(lang, source, got[f"n{i}"], got[f"k{i}"]) for i, (lang, source) in enumerate(sources) if got[f"n{i}"]]
+    if sum(r[2] for r in rows) != got["rows"]:
+        raise ValueError("rows of a source that is not in the registry")
+    return spark.createDataFrame(rows, "lang string, source string, n_docs long, n_kept long")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, QualityParams
 from ..functions.time import instant_to_ntz, ntz_to_instant
-from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, PLAN_QUALITY, SERVED_MODEL
+from ..config import MCQ_CHOICES_HEADER, MCQ_FOOTER, MCQ_HEADER, MCQ_NEW_TOKENS, PLAN_QUALITY, SERVED_MODEL
 from ..operators import batches, dedup, encoding, evaluation, ordinal, packing, profile, prompts, quality, runlog
 from ..sources import registry as reg
 from ..sources.synthetic import synthetic_rows
@@ -26,7 +26,7 @@ from ..streaming import intake as stream_intake
 from ..streaming import runlog as stream_runlog
 from . import derived
 from . import oracle_sql as sql
-from .prepare import PrepareParams, prepare, prepared_documents, ranked_documents
+from .prepare import PrepareParams, prepare, prepared_documents, ranked_documents, split_documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 DEFAULT_Q = QualityParams()
@@ -186,7 +186,7 @@ SELECT split, CAST(ceil(sum(n_tokens + 1) / {MAX_LENGTH}) AS BIGINT) AS sequence
        CAST(ceil(sum(n_tokens + 1) / {MAX_LENGTH}) * {MAX_LENGTH} - sum(n_tokens + 1) AS BIGINT) AS pad_tokens
 FROM encoded GROUP BY split""")
 def q_pack_concat_report(spark, d):
-    return packing.concat_report(_prepared(spark, d).encoded)
+    return packing.concat_report(_unranked(spark, d).encoded)
 
 
 def _work(spark) -> str:
@@ -229,7 +229,7 @@ def q_text_lines(spark, d):
 WITH {sql.prepared_ctes()}
 SELECT split, count(*) AS samples FROM prepared GROUP BY split""")
 def q_split_counts(spark, d):
-    return profile.split_counts(prepared_documents(_docs(spark, d)))
+    return profile.split_counts(split_documents(_docs(spark, d)))
 
 
 # --------------------------------------------------------------- encoding --
@@ -238,14 +238,13 @@ WITH {sql.prepared_ctes()},
 {sql.vocab_ctes()}
 SELECT word, n, token_id FROM vocab""")
 def q_vocab(spark, d):
-    prepared = prepared_documents(_docs(spark, d))
-    return encoding.build_vocab(prepared)
+    return encoding.build_vocab(split_documents(_docs(spark, d)))
 
 
 @register("encode_truncate", sql.with_encoded(TRUNCATE_QUERY) +
           "SELECT doc_id, split, input_ids, n_tokens FROM encoded")
 def q_encode_truncate(spark, d):
-    prep = prepare(_docs(spark, d), PrepareParams(max_length=TRUNCATE_QUERY))
+    prep = prepare(_docs(spark, d), PrepareParams(max_length=TRUNCATE_QUERY, ranked=False))
     return prep.encoded.select("doc_id", "split", "input_ids", "n_tokens")
 
 
@@ -258,7 +257,7 @@ FROM encoded GROUP BY ROLLUP (split)"""
 
 @register("length_profile", sql.with_encoded() + _PROFILE_SQL)
 def q_length_profile(spark, d):
-    return profile.length_profile_with_totals(prepare(_docs(spark, d)).encoded)
+    return profile.length_profile_with_totals(_unranked(spark, d).encoded)
 
 
 @register("corpus_totals", sql.with_encoded() + """
@@ -267,7 +266,7 @@ SELECT count(*) AS total_samples, CAST(sum(n_tokens) AS BIGINT) AS total_tokens,
   round(sum(n_tokens) * 2 / 1e9, 2) AS tokens_x2_billion
 FROM encoded""")
 def q_corpus_totals(spark, d):
-    return profile.corpus_totals(prepare(_docs(spark, d)).encoded)
+    return profile.corpus_totals(_unranked(spark, d).encoded)
 
 
 @register("prepare_stats", sql.with_encoded() + f"""
@@ -279,7 +278,7 @@ SELECT CAST(sum(n_tokens) AS BIGINT) AS total_tokens, count(*) AS total_rows,
   CAST(NULL AS BIGINT) AS max_length
 FROM encoded""")
 def q_prepare_stats(spark, d):
-    prep = prepare(_docs(spark, d))
+    prep = _unranked(spark, d)
     return profile.prepare_stats(prep.encoded, prep.vocab_size, prep.max_length)
 
 
@@ -324,6 +323,11 @@ def _prepared(spark, d, **kw):
     return prepare(_docs(spark, d), PrepareParams(**kw))
 
 
+def _unranked(spark, d):
+    """Prepared and encoded without ranks: the split is a comparison, no text is shuffled."""
+    return prepare(_docs(spark, d), PrepareParams(ranked=False))
+
+
 def _plan(spark, d):
     """The packing plan from segment lengths alone."""
     return packing.greedy_plan(reliable_checkpoint(packing.segment_lengths(_prepared(spark, d).encoded)), MAX_LENGTH)
@@ -441,7 +445,7 @@ def q_batch_assign(spark, d):
 SELECT split, batch_id, count(*) AS rows, min(n_tokens) AS min_len, max(n_tokens) AS max_len
 FROM ({_batch_sql('doc_id', 'encoded')}) GROUP BY split, batch_id HAVING min(n_tokens) <> max(n_tokens)""")
 def q_ragged_batches(spark, d):
-    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    enc = _unranked(spark, d).encoded.select("split", "doc_id", "n_tokens")
     return batches.ragged_batches(batches.assign_batches(enc, "doc_id"))
 
 
@@ -455,7 +459,7 @@ r AS (SELECT batch_id, batch_id // 16 AS u, (SELECT upe FROM s) AS upe, unnest(r
 SELECT CAST(epoch AS INTEGER) AS epoch, batch_id, CAST(epoch * upe + u + 1 AS BIGINT) AS update_step FROM r
 WHERE u < upe AND epoch * upe + u + 1 <= upe * {STEP_EPOCHS}""")
 def q_step_plan(spark, d):
-    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    enc = _unranked(spark, d).encoded.select("split", "doc_id", "n_tokens")
     return batches.step_plan(batches.assign_batches(enc, "doc_id"), epochs=STEP_EPOCHS)
 
 
@@ -467,7 +471,7 @@ SELECT split, idx // 2 AS batch_id, count(*) AS rows, max(n_tokens) AS max_len,
        CAST(max(n_tokens) * count(*) - sum(n_tokens) AS BIGINT) AS pad_waste
 FROM g GROUP BY split, idx // 2""")
 def q_length_grouped_batches(spark, d):
-    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    enc = _unranked(spark, d).encoded.select("split", "doc_id", "n_tokens")
     return batches.padding_waste(batches.length_grouped_batches(enc))
 
 
@@ -477,7 +481,7 @@ def q_length_grouped_batches(spark, d):
 g AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY s // 100, n_tokens DESC, s) - 1 AS idx FROM sh)
 SELECT split, doc_id, idx // 2 AS batch_id, idx % 2 AS pos FROM g""")
 def q_length_grouped_assignment(spark, d):
-    enc = _prepared(spark, d).encoded.select("split", "doc_id", "n_tokens")
+    enc = _unranked(spark, d).encoded.select("split", "doc_id", "n_tokens")
     return batches.length_grouped_batches(enc).select("split", "doc_id", "batch_id", "pos")
 
 
@@ -494,7 +498,7 @@ SELECT g.bin, round((SELECT lo FROM b) + g.bin * ((SELECT hi FROM b) - (SELECT l
        coalesce(c.n, 0) AS n
 FROM g LEFT JOIN c ON g.bin = c.bin""")
 def q_length_histogram(spark, d):
-    enc = _prepared(spark, d).encoded
+    enc = _unranked(spark, d).encoded
     return profile.length_histogram(enc.where(F.col("split") == "train"))
 
 
@@ -503,14 +507,14 @@ SELECT round(avg(n_tokens), 6) AS mean_length, round(median(n_tokens), 6) AS med
        max(n_tokens) AS max_length, CAST(sum(n_tokens) AS BIGINT) AS total_tokens
 FROM encoded WHERE split = 'train'""")
 def q_train_summary(spark, d):
-    return profile.train_summary(_prepared(spark, d).encoded)
+    return profile.train_summary(_unranked(spark, d).encoded)
 
 
 @register("language_distribution", sql.with_encoded() + """
 , a AS (SELECT lang, source, count(*) AS n_docs, CAST(sum(n_tokens) AS BIGINT) AS n_tokens FROM encoded GROUP BY lang, source)
 SELECT *, round(n_tokens / greatest(sum(n_tokens) OVER (), 1), 6) AS token_share FROM a""")
 def q_language_distribution(spark, d):
-    return profile.language_distribution(_prepared(spark, d).encoded)
+    return profile.language_distribution(_unranked(spark, d).encoded)
 
 
 @register("expected_vs_actual", f"""
@@ -545,11 +549,14 @@ def _strip(x: str) -> str:
     return _STRIP.format(x=x)
 
 
+_MCQ_PROMPT = f"""{_lit(MCQ_HEADER)} || question || {_lit(MCQ_CHOICES_HEADER)}
+       || array_to_string(list_transform(choices, lambda c, i: chr(CAST(64 + i AS INTEGER)) || '. ' || c || chr(10)), '')
+       || {_lit(MCQ_FOOTER)}"""
+
+
 @register("mcq_prompt", f"""
 WITH {_MCQ_ITEMS}
-SELECT item_id, {_lit(MCQ_HEADER)} || question || {_lit(MCQ_CHOICES_HEADER)}
-       || array_to_string(list_transform(choices, lambda c, i: chr(CAST(64 + i AS INTEGER)) || '. ' || c || chr(10)), '')
-       || {_lit(MCQ_FOOTER)} AS prompt
+SELECT item_id, {_MCQ_PROMPT} AS prompt
 FROM items""")
 def q_mcq_prompt(spark, d):
     items = derived.mcq_items(table(spark, d, "benchmark"))
@@ -576,11 +583,14 @@ nll{c} AS (
 
 
 _ACC_SQL = f"""
-WITH {_MCQ_ITEMS},
+WITH RECURSIVE {_MCQ_ITEMS},
+asked AS (SELECT item_id, answer, {_MCQ_PROMPT} AS prompt,
+                 ('0x' || substr(md5('42:item:' || CAST(item_id AS VARCHAR)), 1, 8))::BIGINT % 2 AS side FROM items),
+{sql.generator_ctes("(SELECT prompt || ' ' || answer AS text FROM asked WHERE side = 0)", 'mc')},
+{sql.generate_ctes("(SELECT item_id, prompt FROM asked WHERE side = 1)", 'item_id', 'mc', MCQ_NEW_TOKENS)},
 mcq AS (
-  SELECT 'indommlu' AS benchmark, upper({_strip('answer')}) AS k,
-         upper({_strip("CASE WHEN item_id % 2 = 0 THEN lower(r) ELSE r END")}) AS resp
-  FROM (SELECT *, ' ' || ['A', 'B', 'C', 'D'][(item_id + item_id % 3) % 4 + 1] || '. …' AS r FROM items)
+  SELECT 'indommlu' AS benchmark, upper({_strip('a.answer')}) AS k, upper({_strip("array_to_string(g.out, ' ')")}) AS resp
+  FROM asked a JOIN mc_gen g ON a.item_id = g.item_id WHERE g.done OR g.step = {MCQ_NEW_TOKENS}
 ),
 lb AS (SELECT l.doc_id, l.quality, d.text, ('0x' || substr(md5('42:label:' || CAST(l.doc_id AS VARCHAR)), 1, 8))::BIGINT % 2 AS side
        FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
@@ -607,7 +617,7 @@ def q_answer_accuracy(spark, d):
 def _accuracy(spark, d):
     bench = table(spark, d, "benchmark")
     labels, docs = table(spark, d, "labels"), _docs(spark, d)
-    mcq = evaluation.accuracy(derived.mcq_items(bench), derived.mcq_responses(bench), "indommlu")
+    mcq = evaluation.accuracy(*derived.mcq_answers(bench), "indommlu")
     lab = evaluation.accuracy(*derived.label_answers(labels, docs), "nusax")
     return mcq.unionByName(lab)
 
@@ -657,8 +667,7 @@ def q_rouge_n(spark, d):
     return evaluation.rouge_n(derived.summary_pairs(table(spark, d, "benchmark")))
 
 
-@register("rouge_lcs", f"""
-WITH RECURSIVE {_PAIRS_SQL}
+LCS_CTES = """
 dp AS (
   SELECT item_id, CAST(0 AS BIGINT) AS i, list_transform(tp, lambda w: CAST(0 AS BIGINT)) AS r FROM toks
   UNION ALL
@@ -668,7 +677,11 @@ dp AS (
     FROM dp d JOIN toks t ON d.item_id = t.item_id WHERE d.i < len(t.tr))
 ),
 l AS (SELECT d.item_id, coalesce(list_max(d.r), 0) / greatest(len(t.tp), 1) AS pr, coalesce(list_max(d.r), 0) / greatest(len(t.tr), 1) AS rc
-      FROM dp d JOIN toks t ON d.item_id = t.item_id AND d.i = len(t.tr))
+      FROM dp d JOIN toks t ON d.item_id = t.item_id AND d.i = len(t.tr))"""
+
+
+@register("rouge_lcs", f"""
+WITH RECURSIVE {_PAIRS_SQL}{LCS_CTES}
 SELECT item_id, round(CASE WHEN pr + rc > 0 THEN 2.0 * pr * rc / (pr + rc) ELSE 0.0 END, 6) AS "rougeL" FROM l""")
 def q_rouge_lcs(spark, d):
     return evaluation.rouge_l_scores(derived.summary_pairs(table(spark, d, "benchmark"))).select("item_id", "rougeL")
@@ -699,7 +712,7 @@ nll AS (
 
 def _ngram_losses(spark, d):
     # held out: the validation and test splits, which share no text with train
-    prepared = reliable_checkpoint(prepared_documents(_docs(spark, d)))
+    prepared = split_documents(_docs(spark, d))
     bigrams, contexts, vsize = evaluation.bigram_model(prepared.where(F.col("split") == "train"))
     return evaluation.ngram_nll(prepared.where(F.col("split") != "train"), bigrams, contexts, vsize)
 
@@ -726,7 +739,7 @@ def q_perplexity_by_lang(spark, d):
 _REQUESTED = ["indommlu", "indonlg", "nusax", "indo4b", "unknown-benchmark"]
 
 
-@register("eval_results", _NGRAM_SQL.rstrip() + ",\n" + _ACC_SQL.strip().removeprefix("WITH ") + ",\n" + _ROUGE_CTES + """,
+@register("eval_results", _NGRAM_SQL.rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + _ACC_SQL.strip().removeprefix("WITH RECURSIVE ") + ",\n" + _ROUGE_CTES + """,
 ppl AS (SELECT sum(nll * n) / greatest(sum(n), 1) AS a FROM nll)
 SELECT benchmark, 'accuracy' AS metric, round(correct / greatest(total, 1), 6) AS value, NULL AS error FROM acc
 UNION ALL SELECT benchmark, 'correct', CAST(correct AS DOUBLE), NULL FROM acc
@@ -915,7 +928,7 @@ def q_run_summary(spark, d):
 @register("decode", sql.with_encoded() + f"""
 SELECT doc_id, array_to_string({_WORDS}, ' ') AS text FROM prepared""")
 def q_decode(spark, d):
-    prep = _prepared(spark, d)
+    prep = _unranked(spark, d)
     return encoding.decode(prep.encoded, prep.vocab)
 
 
@@ -999,5 +1012,5 @@ SELECT split, doc_id, batch_id,
        CAST(list_resize(input_ids, max(len(input_ids)) OVER (PARTITION BY split, batch_id), {DEFAULT_IDS.pad_id}) AS INTEGER[]) AS input_ids
 FROM ({_batch_sql('doc_id', 'encoded')})""")
 def q_pad_to_batch_max(spark, d):
-    enc = _prepared(spark, d).encoded.select("split", "doc_id", "input_ids")
+    enc = _unranked(spark, d).encoded.select("split", "doc_id", "input_ids")
     return batches.pad_to_batch_max(batches.assign_batches(enc, "doc_id")).select("split", "doc_id", "batch_id", "input_ids")

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import MCQ_NEW_TOKENS
 from ..functions.hashing import md5_index
 from ..functions.text import words
-from ..operators import evaluation
+from ..operators import evaluation, language_model
 from ..operators.ordinal import with_ordinal
 from ..session import reliable_checkpoint
 
@@ -47,10 +48,22 @@ def mcq_items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def mcq_responses(benchmark: DataFrame) -> DataFrame:
-    """(item_id, response): ' X. …' with X = letter((id + id % 3) % 4), lower-cased on even ids."""
-    r = F.concat(F.lit(" "), letter(F.col("item_id") + F.col("item_id") % 3), F.lit(". …"))
-    return benchmark.select("item_id", F.when(F.col("item_id") % 2 == 0, F.lower(r)).otherwise(r).alias("response"))
+def mcq_side(item_id) -> F.Column:
+    """0: the item is shown with its answer to the model in training; 1: it is answered (by md5 of the id)."""
+    return md5_index(F.concat(F.lit("42:item:"), item_id.cast("string")), 2)
+
+
+def mcq_answers(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, responses) of the answered half: the response is what a word model, trained on the prompts
+    and answers of the other half, generates after the item's prompt."""
+    items = mcq_items(benchmark)
+    asked = items.withColumn("prompt", evaluation.prompt(items))
+    shown = asked.where(mcq_side(F.col("item_id")) == 0).select(F.concat_ws(" ", "prompt", "answer").alias("text"))
+    held = asked.where(mcq_side(F.col("item_id")) == 1)
+    model = language_model.train_generator(shown)
+    answers = language_model.generate_greedy(held.select("item_id", "prompt"), model, MCQ_NEW_TOKENS)
+    model.drop()
+    return held.drop("prompt"), answers.select("item_id", F.col("continuation").alias("response"))
 
 
 def label_items(labels: DataFrame, documents: DataFrame) -> DataFrame:

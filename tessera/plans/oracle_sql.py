@@ -151,3 +151,60 @@ greedy AS (
 chunks AS (
   SELECT split, chunk_id, CAST(list_resize(ids, {M}, {DEFAULT_IDS.pad_id}) AS INTEGER[]) AS input_ids FROM greedy
 )"""
+
+
+def generator_ctes(src: str, a: str) -> str:
+    """{a}_two, {a}_one, {a}_top: best next words of the word triples of ``src`` (text)."""
+    return f"""{a}_t AS (
+  SELECT CASE WHEN i < 3 THEN '<s>' ELSE w[i - 2] END AS u, CASE WHEN i < 2 THEN '<s>' ELSE w[i - 1] END AS v,
+         CASE WHEN i > len(w) THEN '</s>' ELSE w[i] END AS w
+  FROM (SELECT w, unnest(range(1, len(w) + 2)) AS i FROM (SELECT {words_sql('text')} AS w FROM {src}))
+),
+{a}_two AS (SELECT u, v, w AS next FROM (
+  SELECT u, v, w, row_number() OVER (PARTITION BY u, v ORDER BY count(*) DESC, w) AS rn FROM {a}_t GROUP BY u, v, w) WHERE rn = 1),
+{a}_one AS (SELECT v, w AS next FROM (
+  SELECT v, w, row_number() OVER (PARTITION BY v ORDER BY count(*) DESC, w) AS rn FROM {a}_t GROUP BY v, w) WHERE rn = 1),
+{a}_top AS (SELECT w AS next FROM {a}_t WHERE w <> '</s>' GROUP BY w ORDER BY count(*) DESC, w LIMIT 1)"""
+
+
+def generate_ctes(prompts: str, key: str, a: str, max_new: int) -> str:
+    """{a}_gen({key}, out, done, step): the greedy continuation of each prompt, word by word."""
+    word = f"coalesce(t.next, o.next, (SELECT next FROM {a}_top), '</s>')"
+    return f"""{a}_gen AS (
+  SELECT {key}, coalesce(w[len(w) - 1], '<s>') AS u, coalesce(w[len(w)], '<s>') AS v, CAST([] AS VARCHAR[]) AS out, false AS done, 0 AS step
+  FROM (SELECT {key}, {words_sql('prompt')} AS w FROM {prompts})
+  UNION ALL
+  SELECT g.{key}, g.v, {word}, CASE WHEN {word} = '</s>' THEN g.out ELSE list_append(g.out, {word}) END, {word} = '</s>', g.step + 1
+  FROM {a}_gen g LEFT JOIN {a}_two t ON g.u = t.u AND g.v = t.v LEFT JOIN {a}_one o ON g.v = o.v
+  WHERE NOT g.done AND g.step < {max_new}
+)"""
+
+
+def triples_sql(src: str, alias: str, extra: str = "") -> str:
+    """{alias}({extra}, u, v, w): each word of ``src`` with the two before it."""
+    return f"""{alias} AS (
+  SELECT {extra} CASE WHEN i < 3 THEN '<s>' ELSE w[i - 2] END AS u, CASE WHEN i < 2 THEN '<s>' ELSE w[i - 1] END AS v, w[i] AS w
+  FROM (SELECT {extra} w, generate_subscripts(w, 1) AS i FROM (SELECT {extra} {words_sql('text')} AS w FROM {src}))
+)"""
+
+
+def kneser_ney_ctes(src: str) -> str:
+    """p3, p2, p1, g3, g2, z: probabilities, back-off weights and constants of interpolated Kneser-Ney."""
+    def discount(t: str, c: str) -> str:
+        return (f"(SELECT CASE WHEN count(*) FILTER (WHERE {c} = 1) > 0 THEN count(*) FILTER (WHERE {c} = 1) / "
+                f"(count(*) FILTER (WHERE {c} = 1) + 2 * count(*) FILTER (WHERE {c} = 2)) ELSE 0.5 END FROM {t})")
+
+    return f"""{triples_sql(src, 'kt')},
+k3 AS (SELECT u, v, w, count(*) AS c FROM kt GROUP BY u, v, w),
+k2 AS (SELECT v, w, count(*) AS n FROM k3 GROUP BY v, w),
+k1 AS (SELECT w, count(*) AS n FROM k2 GROUP BY w),
+z AS (SELECT CAST({discount('k3', 'c')} AS DOUBLE) AS d3, CAST({discount('k2', 'n')} AS DOUBLE) AS d2, CAST({discount('k1', 'n')} AS DOUBLE) AS d1,
+             CAST((SELECT sum(n) FROM k1) AS DOUBLE) AS n, (SELECT count(*) FROM k1) AS types),
+p1 AS (SELECT w, greatest(k1.n - d1, 0) / z.n + d1 * types / z.n / (types + 1) AS p FROM k1, z),
+s2 AS (SELECT v, CAST(sum(n) AS DOUBLE) AS s, count(*) AS t FROM k2 GROUP BY v),
+g2 AS (SELECT v, d2 * t / s AS g FROM s2, z),
+p2 AS (SELECT k2.v, k2.w, greatest(k2.n - d2, 0) / s2.s + d2 * s2.t / s2.s * p1.p AS p FROM k2 JOIN s2 ON k2.v = s2.v JOIN p1 ON k2.w = p1.w, z),
+s3 AS (SELECT u, v, CAST(sum(c) AS DOUBLE) AS s, count(*) AS t FROM k3 GROUP BY u, v),
+g3 AS (SELECT u, v, d3 * t / s AS g FROM s3, z),
+p3 AS (SELECT k3.u, k3.v, k3.w, greatest(k3.c - d3, 0) / s3.s + d3 * s3.t / s3.s * p2.p AS p
+       FROM k3 JOIN s3 ON k3.u = s3.u AND k3.v = s3.v JOIN p2 ON k3.v = p2.v AND k3.w = p2.w, z)"""

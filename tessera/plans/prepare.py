@@ -22,9 +22,13 @@ from ..operators import encoding, profile
 from ..operators.dedup import order_key
 from ..operators.ordinal import head_per_group, three_way_split
 from ..operators.quality import length_ok, quality_keep
-from ..session import reliable_checkpoint
+from ..operators.selection import selection_key, split_bounds, split_by_bounds
+from ..session import reliable_checkpoint, staged_parquet
 from ..sources.registry import docs_with_rank, registry_from_table
 
+#: Row numbers of later copies that are broadcast at most (16 MB); more are joined by shuffle.
+LOSER_ROWS = 2_000_000
+
 
 @dataclass(frozen=True)
 class PrepareParams:
@@ -38,6 +42,7 @@ class PrepareParams:
     filter_synthetic: bool = False   # synthetic replacement rows skip the quality rules unless asked
     use_registry_cap: bool = False   # cap each language at its registry ``max_samples`` instead
     caps: DataFrame | None = None    # (lang, max_samples) of a configured registry
+    ranked: bool = True              # False: no shuffle_rank; the split is a comparison and no text is shuffled
 
 
 def ranked_documents(docs: DataFrame) -> DataFrame:
@@ -73,6 +78,34 @@ def decisions(filtered: DataFrame, p: PrepareParams, caps: DataFrame | None = No
     return three_way_split(winners, "ord", p.seed)  # ids may repeat across sources, ``ord`` does not
 
 
+def split_documents(docs: DataFrame, p: PrepareParams = PrepareParams(), limit: int = LOSER_ROWS) -> DataFrame:
+    """(doc_id, lang, source, text, split) after filter, dedup and split, without a shuffle of the text.
+
+    Rows that pass the quality rules are written once as Parquet (the rules run once); everything is
+    decided on its narrow columns.  The split compares the seeded key with two order statistics of the
+    winners' keys, and the rows that lose to an earlier copy are left out by their row number: a broadcast of
+    at most ``limit`` numbers, beyond it a shuffle join.  Caps need ranks: use ``prepared_documents``.
+    """
+    if p.lang_cap or p.caps is not None or p.use_registry_cap:
+        raise ValueError("caps need ranks")
+    ranked = ranked_documents(docs)
+    exempt = F.lit(False) if p.filter_synthetic else F.col("source").eqNullSafe(F.lit("synthetic"))
+    kept = (ranked.where(quality_keep(F.col("text"), p.quality) | exempt)
+            .select("doc_id", "lang", "source", "text", "ord", text_key(F.col("text"), p.prefix_chars).alias("_key"),
+                    F.monotonically_increasing_id().alias("_row")))
+    staged = staged_parquet(kept, "kept")
+    groups = staged_parquet(staged.groupBy("lang", "_key").agg(F.min("ord").alias("_first"), F.count(F.lit(1)).alias("_n")), "groups")
+    bounds = split_bounds(groups.select(selection_key("_first", p.seed).alias("_skey")), "_skey")
+    several = groups.where("_n > 1").select(F.col("lang").alias("_lang"), F.col("_key").alias("_k"))
+    copies = staged.select("lang", "_key", "ord", "_row").join(several, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("_key").eqNullSafe(F.col("_k")))
+    first = copies.groupBy("lang", "_key").agg(F.min_by("_row", F.struct("ord", "_row")).alias("_row"))
+    losers = staged_parquet(copies.select("_row").join(first.select("_row"), "_row", "left_anti"), "losers")
+    if losers.count() <= limit:
+        losers = F.broadcast(losers)
+    rest = staged.join(losers, "_row", "left_anti")
+    return rest.select("doc_id", "lang", "source", "text", split_by_bounds(selection_key("ord", p.seed), bounds).alias("split"))
+
+
 def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> DataFrame:
     """(doc_id, lang, source, text, split, shuffle_rank) after filter, dedup, cap, split.
 
@@ -102,16 +135,20 @@ class Prepared:
 
 
 def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
-    """Prepare + encode.  ``encoded`` keeps doc_id, lang, source, split, shuffle_rank (Q21).
+    """Prepare + encode.  ``encoded`` keeps doc_id, lang, source, split and, if ``ranked``, shuffle_rank (Q21).
 
     The prepared documents are written once (the reference's prepared-dataset
     step); the vocabulary and the encoder both read that copy instead of each
     repeating the text join.
     """
-    prepared = reliable_checkpoint(prepared_documents(docs, p))
+    keys = ("doc_id", "lang", "source", "split")
+    if p.ranked:
+        prepared = reliable_checkpoint(prepared_documents(docs, p))
+        keys += ("shuffle_rank",)
+    else:
+        prepared = split_documents(docs, p)  # narrow over its own written copy
     vocab = encoding.build_vocab(prepared, ids=p.ids, vocab_size=p.vocab_size)
-    encoded = encoding.encode(prepared, vocab, keys=("doc_id", "lang", "source", "split", "shuffle_rank"),
-                              max_length=p.max_length, ids=p.ids)
+    encoded = encoding.encode(prepared, vocab, keys=keys, max_length=p.max_length, ids=p.ids)
     return Prepared(prepared, vocab, encoded, encoding.vocab_size(vocab, p.ids), p.max_length)
 
 

@@ -35,7 +35,7 @@ def test_prepare_pack_stats_round_trip(spark):
 def test_evaluate_job(spark):
     from tessera.plans import derived
     bench = table(spark, SF_SMALL, "benchmark")
-    runs = {"indommlu": (derived.mcq_items(bench), derived.mcq_responses(bench)),
+    runs = {"indommlu": derived.mcq_answers(bench),
             "indonlg": (derived.summary_pairs(bench), None)}
     out = jobs.evaluate_job(spark, runs, ["indommlu", "indonlg", "indo4b", "not-registered"],
                             losses=table(spark, SF_SMALL, "documents").selectExpr("(doc_id % 50) / 10.0 AS nll", "cast(length(text) AS bigint) AS n"))
@@ -64,8 +64,9 @@ def test_command_line(spark, capsys):
     main(["synthetic", "--rows", "200", "--output", f"{root}/syn"])
     assert {r.split: r.n for r in read_splits(spark, f"{root}/syn").groupBy("split").agg(F.count("*").alias("n")).collect()} == {"train": 198, "validation": 1, "test": 1}
     bench = table(spark, SF_SMALL, "benchmark")
-    derived.mcq_items(bench).write.parquet(f"{root}/items")
-    derived.mcq_responses(bench).write.parquet(f"{root}/responses")
+    items, responses = derived.mcq_answers(bench)
+    items.write.parquet(f"{root}/items")
+    responses.write.parquet(f"{root}/responses")
     main(["evaluate", "--benchmark", f"indommlu={root}/items,{root}/responses", "--benchmark", "indo4b", "--output", f"{root}/eval"])
     rows = {(r.benchmark, r.metric) for r in spark.read.json(f"{root}/eval").collect()}
     assert ("indommlu", "accuracy") in rows and any(b == "indo4b" for b, _ in rows)

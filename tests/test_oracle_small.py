@@ -14,7 +14,8 @@ FAST = ["quality_measures", "filter_report", "dedup_prefix", "lang_cap", "three_
         "mcq_prompt", "answer_accuracy", "rouge_n", "chat_prompt", "request_payloads", "stream_reassembly",
         "running_best", "retention_topk", "ngram_nll", "approx_split", "union_sources", "decode",
         "eval_results", "pad_to_batch_max", "prepare_union", "length_grouped_assignment", "pack_concat_report",
-        "split_round_trip", "stats_round_trip", "text_lines", "rouge_lcs", "pack_interior_eos", "step_plan", "dedup_report", "language_distribution", "length_histogram"]
+        "split_round_trip", "stats_round_trip", "text_lines", "rouge_lcs", "pack_interior_eos", "step_plan", "dedup_report", "language_distribution", "length_histogram",
+        "generate_greedy", "kn_nll", "rouge_bootstrap", "select_split", "epoch_batches", "length_sketches", "observed_filter_report", "committed_round_trip"]
 
 
 def _norm(v):
