@@ -2,17 +2,24 @@
 
 Texts of an Arrow column lie one after another in one byte buffer.  Words, lines
 and shingles are found and hashed for the whole buffer in a few vector passes; no
-Python code runs per word.  Hashes are 64-bit polynomial values over the bytes
-(every byte counts, so equal strings have equal hashes), mixed at the end.
+Python code runs per word.  Hashes of up to ``LONG`` bytes are 64-bit polynomial values over
+the bytes (every byte counts, so equal strings have equal hashes), mixed at the end;
+such a value modulo 2^64 is weak on long strings (Thue-Morse), so longer ones get a
+cryptographic digest.  Where equality itself decides a result, strings are numbered by
+their bytes (``numbers``) or compared.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = np.uint64(0x9E3779B97F4A7C55)
+#: Bytes beyond which a hash is a digest of the string.
+LONG = 128
 _POW: dict[str, np.ndarray] = {}
 
 
@@ -56,6 +63,7 @@ class Prefix:
 
     def __init__(self, buf: np.ndarray):
         n = len(buf)
+        self._buf = buf
         p, self._q = _powers(n + 1)
         self._h = np.zeros(n + 1, np.uint64)
         np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * p[:n], out=self._h[1:])
@@ -64,7 +72,10 @@ class Prefix:
         return (self._h[end] - self._h[start]) * self._q[start]
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix(self.raw(start, end) + (end - start).astype(np.uint64))
+        h = mix(self.raw(start, end) + (end - start).astype(np.uint64))
+        for i in np.flatnonzero(end - start > LONG).tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(self._buf[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+        return h
 
     def grams(self, k: int) -> np.ndarray:
         """Hash of every k bytes in a row, by start."""
@@ -106,6 +117,35 @@ def runs(flag: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(start, offsets)
 
 
+def numbers(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A number of each string data[offsets[i]:offsets[i + 1]], the same for equal bytes only."""
+    strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    return strings.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def run_numbers(buf: np.ndarray, flag: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``numbers`` of the runs of ``flag`` (all of them, as ``runs`` gives them)."""
+    offsets = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=offsets[1:])
+    return numbers(buf[flag], offsets)
+
+
+def equal_rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(order, same): rows grouped by equal columns, first ones first; whether each place of the order but the first equals the one before.
+
+    Grouped by a hash; if two rows of a hash differ, by the columns themselves.
+    """
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        key = mix(key * np.uint64(0xD1342543DE82EF95) + c.astype(np.uint64))
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    if any((c[order][1:][same] != c[order][:-1][same]).any() for c in columns):
+        order = np.lexsort(columns[::-1])
+        same = np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in columns])
+    return order, same
+
+
 def owner(borders: np.ndarray) -> np.ndarray:
     """Text number of each run."""
     return np.repeat(np.arange(len(borders) - 1), np.diff(borders))

@@ -28,13 +28,15 @@ document.  An empty table gives an empty one.  ``deduplicate`` keeps all columns
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import add_blocks, doc_text, text_slices, written
+from .common import add_blocks, doc_text, release, text_slices, written
 from .components import components
 
 WORDS = 5
@@ -50,7 +52,7 @@ _LOW = np.uint64(0xFFFF)
 
 
 def vectors(column: pa.Array):
-    """Distinct shingles of each text: 51-bit hashes (ascending in a text), counts, texts, borders, and hashes of the words."""
+    """Distinct shingles of each text: 51-bit hashes (ascending in a text), counts, texts and borders."""
     buf, off = K.utf8(column)
     low = K.LOWER[buf]
     start, end, borders = K.runs(K.WORD[low], off)
@@ -61,7 +63,23 @@ def vectors(column: pa.Array):
     count = np.diff(np.append(new, len(key)))
     key = key[new]
     text = (key >> np.uint64(51)).astype(np.int64)
-    return key & np.uint64((1 << 51) - 1), count, text, np.searchsorted(text, np.arange(len(off))), words, borders
+    return key & np.uint64((1 << 51) - 1), count, text, np.searchsorted(text, np.arange(len(off)))
+
+
+def digests(column: pa.Array) -> list[bytes]:
+    """SHA-256 of each text's words, joined by one space: equal for copies only."""
+    buf, off = K.utf8(column)
+    low = K.LOWER[buf]
+    word = K.WORD[low]
+    keep = word.copy()
+    keep[1:] |= word[:-1]  # a word and what follows it
+    borders = off[(off > 0) & (off < len(buf))]
+    keep[borders] = word[borders]
+    n = np.zeros(len(buf) + 1, np.int64)
+    np.cumsum(keep, out=n[1:])
+    data = memoryview(np.where(word, low, 32).astype(np.uint8)[keep])
+    at = n[off].tolist()
+    return [hashlib.sha256(data[a:b - 1] if b > a and data[b - 1] == 32 else data[a:b]).digest() for a, b in zip(at, at[1:])]
 
 
 def _bucket(shingle: np.ndarray) -> np.ndarray:
@@ -131,30 +149,20 @@ def samples(shingle: np.ndarray, weight: np.ndarray, borders: np.ndarray) -> np.
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, two hashes of the words, and the samples (null without words) of every row; ``idf``: a broadcast table."""
+    """doc_id, the digest of the words, and the samples (null without words) of every row; ``idf``: a broadcast table."""
 
     def run(batches):
         for batch in batches:
             for part in text_slices(batch):
-                shingle, count, _, borders, words, wb = vectors(part.column("text"))
+                shingle, count, _, borders = vectors(part.column("text"))
                 n = np.diff(borders)
                 sig = samples(shingle, count * idf.value[_bucket(shingle)], borders) if len(shingle) else np.zeros((0, len(_SEEDS)), np.int32)
                 each = np.zeros(len(n) + 1, np.int32)
                 np.cumsum((n > 0) * len(_SEEDS), out=each[1:])
                 lists = pa.ListArray.from_arrays(pa.array(each), pa.array(sig.reshape(-1)), mask=pa.array(n == 0))
-                h = [_sequence(words, wb, np.uint64(m)) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(x.view(np.int64)) for x in h), lists], names=["doc_id", "h1", "h2", "sig"])
-
-    return doc_text(docs).mapInArrow(run, "doc_id long, h1 long, h2 long, sig array<int>")
-
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digests(part.column("text")), pa.binary()), lists], names=["doc_id", "digest", "sig"])
 
-def _sequence(words: np.ndarray, borders: np.ndarray, salt: np.uint64) -> np.ndarray:
-    """Hash of each text's words in order."""
-    place = np.arange(len(words)) - np.repeat(borders[:-1], np.diff(borders))
-    value = K.mix((words ^ salt) + place.astype(np.uint64) * (salt | np.uint64(1)))
-    total = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(value, out=total[1:])
-    return total[borders[1:]] - total[borders[:-1]]
+    return doc_text(docs).mapInArrow(run, "doc_id long, digest binary, sig array<int>")
 
 
 def _jaccard(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> float:
@@ -172,7 +180,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
                 found = []
                 sides = [vectors(part.column(c)) for c in ("ta", "tb")]
                 for i in range(part.num_rows):
-                    (x, cx), (y, cy) = [(s[b[i]:b[i + 1]], c[b[i]:b[i + 1]]) for s, c, _, b, _, _ in sides]
+                    (x, cx), (y, cy) = [(s[b[i]:b[i + 1]], c[b[i]:b[i + 1]]) for s, c, _, b in sides]
                     wx, wy = (idf.value[_bucket(z)].astype(np.float64) for z in (x, y))
                     both, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
                     found.append(max(_jaccard(cx, cy, p, q), _jaccard(cx * wx, cy * wy, p, q)) if len(both) else 0.0)
@@ -194,7 +202,7 @@ def _mixed_links(idf):
         ids, label, chunk = (table.column(c).to_numpy() for c in ("id", "class", "chunk"))
         n, same = len(ids), one == two
         sig = np.array(table.column("sig").to_pylist(), np.int32).reshape(n, BANDS, ROWS)[:, :band]
-        shingle, count, text, borders, _, _ = vectors(table.column("text"))
+        shingle, count, text, borders = vectors(table.column("text"))
         weight = idf.value[_bucket(shingle)].astype(np.float64)
         size = [np.bincount(text, weights=x, minlength=n) for x in (count, count * weight)]
         order = np.argsort(shingle, kind="stable")
@@ -226,11 +234,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id and class_id of every document row."""
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(docs))
     sigs = written(signatures(docs, idf), "signatures")
+    release(docs.sparkSession)
     named = sigs.where("doc_id is not null and sig is not null")
-    texts1 = named.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
+    texts1 = named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
     texts1 = written(texts1, "distinct-texts")
     # a document that lies in several groups of copies (an id with several texts) links them
-    copies = named.select("doc_id", "h1", "h2").join(texts1.select("h1", "h2", "id"), ["h1", "h2"]).select("doc_id", "id").distinct()
+    copies = named.select("doc_id", "digest").join(texts1.select("digest", "id"), "digest").select("doc_id", "id").distinct()
     reps = texts1.select("id", "sig")
 
     band = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, {', '.join(f'sig[b * {ROWS} + {i}]' for i in range(ROWS))}))")
@@ -248,6 +257,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     same = copies.where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     near = written(components(links.select("a", "b")), "classes")
+    release(docs.sparkSession)
     labelled = members.join(near, members.id == near.node, "left").select("band", "key", "id", F.coalesce("class", "id").alias("class"))
     mixed = labelled.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("m")).where("low <> high")
     chunks = F.ceil(F.col("m") / CHUNK).cast("int")
@@ -258,6 +268,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = rows.select("key", "band", "i", "j", "id", "class", "sig", "text", "chunk").groupBy("key", "band", "i", "j").applyInArrow(_mixed_links(idf), "a long, b long")
     links = links.select("a", "b").union(written(more.distinct(), "links"))
 
+    release(docs.sparkSession)
     classes = components(links.union(same))
     ids = sigs.select("doc_id")
     return ids.join(classes, ids.doc_id == classes.node, "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))

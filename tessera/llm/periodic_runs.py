@@ -73,9 +73,7 @@ def word_numbers(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     length = end - start
     off = np.zeros(len(start) + 1, np.int64)
     np.cumsum(length, out=off[1:])
-    data = buf[ragged(start, length)]
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(data)])
-    return words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return K.numbers(buf[ragged(start, length)], off)
 
 
 def split_by_frequency(word: np.ndarray, borders: np.ndarray, repeats: int = MIN_REPEATS, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:

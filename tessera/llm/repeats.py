@@ -88,7 +88,10 @@ def segments(buf: np.ndarray, off: np.ndarray):
 def _block(docs: pa.Table, late: set):
     """Slices (bytes, offsets, row numbers) of a block's texts, without late copies and null ids."""
     ids = docs.column("doc_id").to_pylist()
-    keep = np.array([i for i, d in enumerate(ids) if d is not None and d not in late], np.int64)
+    some = {d for d, _ in late}
+    texts = docs.column("text")
+    keep = np.array([i for i, d in enumerate(ids) if d is not None
+                     and not (d in some and (d, hashlib.sha256(texts[i].as_buffer()).digest()) in late)], np.int64)
     if not len(keep):
         return
     rows = docs.select(["doc_id", "text"]).take(pa.array(keep)).combine_chunks()
@@ -100,7 +103,8 @@ def _block(docs: pa.Table, late: set):
 
 
 def _late(mail: pa.Table) -> set:
-    return {i for k, i in zip(mail.column("kind").to_pylist(), mail.column("id").to_pylist()) if k == 0}
+    """(id, SHA-256 of the text) of exact copies of a smaller id's text."""
+    return {(i, a) for k, i, a in zip(mail.column("kind").to_pylist(), mail.column("id").to_pylist(), mail.column("a").to_pylist()) if k == 0}
 
 
 def _payloads(mail: pa.Table, kind: int, column: str, dtype: str) -> np.ndarray:
@@ -284,7 +288,7 @@ def repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("block")
     none = F.lit(None).cast("binary")
     first = keys.where("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
-    late = keys.join(first, "key").where("doc_id > first").select(block, F.lit(0).alias("kind"), F.col("doc_id").alias("id"), none.alias("a"), none.alias("b"))
+    late = keys.join(first, "key").where("doc_id > first").select(block, F.lit(0).alias("kind"), F.col("doc_id").alias("id"), F.unhex("key").alias("a"), none.alias("b"))
     late = written(late.distinct(), "late-copies")
 
     texts = doc_text(docs).select(block, "doc_id", "text").repartition(n, "block")

@@ -49,7 +49,8 @@ class Encoder:
     A text is cut before each space that follows a character other than white
     space.  By the argument above those cuts are token borders, so the ids of the
     text are those of its units in order, and a unit seen lately is not encoded
-    again.  Units are found and looked up by 64-bit hash for many texts at once.
+    again.  Units are found for many texts at once, numbered by their bytes, and each distinct
+    one is looked up by its bytes, so no two units share an entry.
     """
 
     def __init__(self, path: str):
@@ -64,7 +65,7 @@ class Encoder:
         self.opens = np.zeros(self.tok.get_vocab_size(with_added_tokens=True) + 1, bool)
         for token, i in self.tok.get_vocab(with_added_tokens=True).items():
             self.opens[i] = token.startswith("Ġ")  # the byte alphabet's letter for a space
-        self.slot: dict[int, int] = {}  # unit hash -> place in the arrays below
+        self.slot: dict[bytes, int] = {}  # unit -> place in the arrays below
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.used = np.zeros(0, np.int64)
@@ -99,13 +100,12 @@ class Encoder:
     def _forget(self) -> None:
         """Keep the units used last, at most half of the memo."""
         keep = self.used > np.sort(self.used)[len(self.used) // 2]
-        keys = np.fromiter(self.slot, np.uint64, len(self.slot))
-        slots = np.fromiter(self.slot.values(), np.int64, len(self.slot))
-        keys, slots = keys[keep[slots]], slots[keep[slots]]
+        kept = [(k, i) for k, i in self.slot.items() if keep[i]]
+        slots = np.array([i for _, i in kept], np.int64)
         self.pool = self.pool[_ragged(self.start[slots], self.length[slots])]
         self.length, self.used = self.length[slots], self.used[slots]
         self.start = np.cumsum(self.length) - self.length
-        self.slot = dict(zip(keys.tolist(), range(len(keys))))
+        self.slot = {k: i for i, (k, _) in enumerate(kept)}
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the texts' borders among them."""
@@ -132,27 +132,22 @@ class Encoder:
         firm = ((one > 32) & (one < 127)) | (more & (two >= 0xC3) & (two < 0xE0)) | (more & ((two & 0xC0) == 0x80) & ((three == 0xE0) | (three >= 0xE4)))
         start = np.sort(np.concatenate([off[:-1][np.diff(off) > 0], at[firm]]), kind="stable")
         start = start[np.diff(start, prepend=-1) > 0]
-        end = np.append(start[1:], len(buf))
-        key = K.Prefix(buf).hash(start, end)
-        order = np.argsort(key)
-        fresh = np.diff(key[order], prepend=~key[order[:1]]) != 0
-        first = order[fresh]
-        key = key[first]
-        slot = np.fromiter(map(self.slot.get, key.tolist(), repeat(-1)), np.int64, len(key))
+        offsets = np.append(start, len(buf))
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(buf)]).dictionary_encode()
+        where = units.indices.to_numpy(zero_copy_only=False)
+        key = units.dictionary.to_pylist()
+        slot = np.fromiter(map(self.slot.get, key, repeat(-1)), np.int64, len(key))
         new = np.flatnonzero(slot < 0)
         if len(new):
-            raw, a, b = buf.tobytes(), start[first[new]].tolist(), end[first[new]].tolist()
-            ids, length, came = self._encode_units([raw[i:j].decode() for i, j in zip(a, b)])
+            ids, length, came = self._encode_units([key[i].decode() for i in new.tolist()])
             new = new[came]
             slot[new] = np.arange(len(self.start), len(self.start) + len(new))
-            self.slot.update(zip(key[new].tolist(), slot[new].tolist()))
+            self.slot.update((key[i], j) for i, j in zip(new.tolist(), slot[new].tolist()))
             self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(length) - length])
             self.length = np.concatenate([self.length, length])
             self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
             self.pool = np.concatenate([self.pool, ids])
         self.used[slot] = self.round
-        where = np.empty(len(order), np.int64)
-        where[order] = np.cumsum(fresh) - 1
         slot = slot[where]
         length = self.length[slot]
         total = np.zeros(len(slot) + 1, np.int64)
