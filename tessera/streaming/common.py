@@ -33,6 +33,13 @@ def run_available_now(writer, timeout_s: float | None = None) -> None:
         raise q.exception()
 
 
+def rocksdb_state(spark: SparkSession) -> None:
+    """State in RocksDB (list and value state and timers need it); a session that names a provider keeps it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in spark.conf.get(key, ""):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def stream_path(source: str) -> str:
     """A file source path: a folder or glob as given; one named file becomes a one-file glob.
 

@@ -81,3 +81,28 @@ def test_three_micro_batches_equal_the_batch_result(spark):
     log = spark.read.parquet(f"{src}/log")
     got = runlog.live_rollup(spark, f"{src}/log", log.schema, max_files_per_trigger=1).collect()
     assert {(r.run_id, r.records, r.mean_loss) for r in got} == {(1, 3, 3.0), (2, 1, 1.0)}
+
+
+def test_abandoned_requests_run_out_by_an_event_timer(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.prompts import reassemble
+    from tessera.streaming import completions
+    from tessera.streaming.common import work_dir
+    src = work_dir(spark, "timed")
+    chunk = 'data: {{"choices": [{{"text": "{}"}}]}}'.format
+    done = "data: [DONE]"
+    parts = [[(1, 2, chunk("b"), 0), (2, 1, chunk("x"), 1), (3, 1, "", 1)],
+             [(1, 1, chunk("a"), 5), (4, 1, chunk("late?"), 6)],
+             [(1, 3, done, 30), (5, 1, chunk("e"), 30)],        # the watermark moves on: 2, 3 and 4 have run out
+             [(1, 4, chunk("c"), 31), (5, 2, chunk("f"), 32)],   # a chunk after [DONE]
+             [(6, 1, chunk("y"), 33)]]
+    for rows in parts:
+        (spark.createDataFrame(rows, "request_id long, seq long, line string, minute int")
+         .select("request_id", "seq", "line", F.expr("timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, minute, 0)").alias("ts"))
+         .coalesce(1).write.mode("append").parquet(src))
+    lines = spark.read.parquet(src)
+    got = completions.live_reassembly(spark, src, lines.schema, max_files_per_trigger=1, event_time="ts").collect()
+    assert {r.request_id: (r.text, r.complete) for r in got} == {
+        1: ("abc", True), 2: ("x", False), 3: ("", False), 4: ("late?", False), 5: ("ef", False), 6: ("y", False)} and len(got) == 6
+    batch = {r.request_id: r.text for r in reassemble(lines).collect()}
+    assert batch == {r.request_id: r.text for r in got if r.request_id != 3}
