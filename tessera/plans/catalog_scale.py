@@ -9,6 +9,7 @@ from ..operators import permutation, profile, quality
 from ..operators.ordinal import with_ordinal
 from ..session import staged_parquet
 from ..sources import versions
+from ..sources.datasource import register_sources
 from ..sources.registry import registry_from_table
 from ..streaming import common as stream_common
 from . import catalog
@@ -115,3 +116,24 @@ def q_committed_round_trip(spark, d):
     rows = versions.read_committed(spark, root).groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text")).cast("bigint").alias("n_chars"))
     return rows.select("split", "rows", "n_chars", F.lit(versions.latest(spark, root)["version"]).cast("bigint").alias("version"),
                        F.lit(versions.verify(spark, root)).alias("verified"))
+
+
+_SOURCE_SQL = catalog._synthetic_sql().replace("FROM documents", "FROM (SELECT unnest(range((SELECT count(*) FROM documents))) AS doc_id, 'indonesian' AS lang)")
+
+
+@register("synthetic_source", _SOURCE_SQL)
+def q_synthetic_source(spark, d):
+    # SRC4 as a data source: as many rows as there are documents
+    register_sources(spark)
+    return spark.read.format("tessera_synthetic").option("rows", catalog._docs(spark, d).count()).load()
+
+
+@register("synthetic_stream", _SOURCE_SQL)
+def q_synthetic_stream(spark, d):
+    # the same as a stream, in two runs from one checkpoint: the second goes on at the first one's offset
+    register_sources(spark)
+    base, n = stream_common.work_dir(spark, "synthetic"), catalog._docs(spark, d).count()
+    for rows in (n // 3, n):
+        stream = spark.readStream.format("tessera_synthetic").option("rows", rows).load()
+        stream_common.run_available_now(stream.writeStream.format("parquet").option("path", f"{base}/sink").option("checkpointLocation", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/sink")
