@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import doc_text, written
 
+#: Elements of an array that are summed up in one go.
+BLOCK = 128
+#: Characters of a text that meet their spans in one row.
+CHUNK = 1_000
 MIN_DOCS = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -72,14 +76,70 @@ def _guard(kind: str, text: Column) -> Column:
     return {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}.get(kind, text.rlike("[0-9]"))
 
 
-def _starts(pieces: Column, found: Column) -> Column:
-    """Start of each match, from the pieces around the matches."""
-    def step(state: Column, i: Column) -> Column:
-        at = state["at"] + F.length(F.element_at(pieces, i))
-        return F.struct((at + F.length(F.element_at(found, i))).alias("at"), F.concat(state["out"], F.array(at)).alias("out"))
+def with_starts(df: DataFrame, pieces: str, found: str, out: str) -> DataFrame:
+    """Adds the start of each match, from the array of pieces around the matches and that of the matches.
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    return F.aggregate(F.sequence(F.lit(1), F.size(found)), zero, step, lambda s: s["out"])
+    Running sums in three levels of blocks: no array grows beyond a block, so the work is linear in the matches.
+    """
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0), lambda t, v: t + v)
+
+    def part(x: str, i: Column) -> Column:
+        return F.slice(x, i * BLOCK + 1, F.lit(BLOCK))
+
+    def numbers(x: str) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.ceil(F.size(x) / F.lit(float(BLOCK))).cast("int") - 1, F.lit(1)), lambda i: i >= 0)
+
+    def before(x: Column, first: Column) -> Column:
+        """First, first + x[0], ...: as long as x, which is a block."""
+        zero = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(x, zero, lambda s, v: F.struct((s["at"] + v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def blocks(x: str) -> Column:
+        return F.when(F.size(x) > 0, F.transform(numbers(x), lambda i: total(part(x, i)))).otherwise(F.array().cast("array<int>"))
+
+    def spread(x: str, first: str) -> Column:
+        return F.when(F.size(x) > 0, F.flatten(F.transform(numbers(x), lambda i: before(part(x, i), F.get(first, i))))).otherwise(F.array().cast("array<int>"))
+
+    # one length a match: its own and that of the piece after it
+    df = df.withColumn("_l0", F.transform(found, lambda m, i: F.length(m) + F.length(F.get(pieces, i + 1))))
+    df = df.withColumn("_l1", blocks("_l0")).withColumn("_l2", blocks("_l1"))
+    df = df.withColumn("_s2", before(F.col("_l2"), F.coalesce(F.length(F.get(pieces, F.lit(0))), F.lit(0))))
+    df = df.withColumn("_s1", spread("_l1", "_s2"))
+    return df.withColumn(out, spread("_l0", "_s1")).drop("_l0", "_l1", "_l2", "_s1", "_s2")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that is not a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """(key, text) of the ``texts`` (key, text) that have ``spans`` (key, start, end, put): each span replaced by its
+    ``put``; of spans that overlap, the first one's.
+
+    Texts are cut into chunks of ``CHUNK`` characters, each of which meets its own spans; chunks are joined again at the end.
+    """
+    chunk = F.col("start") - F.pmod("start", F.lit(CHUNK))
+    cut = spans.withColumn("c", F.explode(F.sequence((chunk / CHUNK).cast("int"), F.floor((F.greatest(F.col("end"), F.col("start") + 1) - 1) / CHUNK).cast("int"))))
+    at = F.col("c") * CHUNK
+    entry = F.struct(F.greatest(F.col("start") - at, F.lit(0)).alias("start"), F.col("start").alias("whole"), F.least(F.col("end") - at, F.lit(CHUNK)).alias("end"),
+                     F.when(F.col("start") >= at, F.col("put")).otherwise("").alias("put"))
+    cut = cut.groupBy("key", "c").agg(F.array_sort(F.collect_list(entry)).alias("spans"))  # at most one span a start and put in a chunk
+    some = texts.join(spans.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    rows = some.select("key", F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).alias("c", "chunk")).join(cut, ["key", "c"], "left")
+
+    def step(state: Column, s: Column) -> Column:
+        fresh = s["start"] >= state["at"]
+        gap = F.substring(F.col("chunk"), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], gap, F.when(fresh, s["put"]).otherwise("")).alias("out"))
+
+    new = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(F.col("chunk"), s["at"] + 1, F.lit(CHUNK))))
+    rows = rows.select("key", F.struct("c", F.coalesce(F.when(F.col("spans").isNotNull(), new), F.col("chunk")).alias("t")).alias("x"))
+    return rows.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "").alias("text"))
 
 
 def _matches(df: DataFrame, kind: str) -> DataFrame:
@@ -88,7 +148,7 @@ def _matches(df: DataFrame, kind: str) -> DataFrame:
     df = df.withColumn("_found", F.when(some, F.regexp_extract_all("text", pattern, F.lit(0))))
     df = df.withColumn("_found", F.when(F.size("_found") > 0, F.col("_found")))
     df = df.withColumn("_pieces", F.when(F.col("_found").isNotNull(), F.split("text", PATTERNS[kind], -1)))
-    df = df.withColumn("_starts", F.when(F.col("_found").isNotNull(), _starts(F.col("_pieces"), F.col("_found"))))
+    df = with_starts(df, "_pieces", "_found", "_starts")
 
     def one(m: Column, i: Column) -> Column:
         start = F.get("_starts", i)
@@ -113,19 +173,6 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
 
 
-def _occurrences(levels: Column) -> Column:
-    """Array of (start, end, level) of the words of ``text`` that the map ``levels`` holds; only those are gathered."""
-    def step(state: Column, i: Column) -> Column:
-        word = F.element_at("words", i)
-        at = state["at"] + F.length(F.element_at("pieces", i))
-        end, level = at + F.length(word), F.try_element_at(levels, F.lower(word))
-        more = F.concat(state["out"], F.array(F.struct(at.alias("start"), end.alias("end"), level.alias("level"))))
-        return F.struct(end.alias("at"), F.when(level.isNotNull(), more).otherwise(state["out"]).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,level:double>>").alias("out"))
-    return F.aggregate(F.sequence(F.lit(1), F.size("words")), zero, step, lambda s: s["out"])
-
-
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """row, start, end and level (ratio PMI / IC) of terms in documents that hold an entity that they disclose."""
     total = float(found.count())
@@ -150,7 +197,14 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     levels = levels.groupBy("row", "term").agg(F.max("level").alias("level")).join(terms.select("row", "term"), ["row", "term"])
     levels = levels.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels"))
     texts = found.where("text is not null").join(levels, "row").withColumns({"words": F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), "pieces": F.split("text", _WORD, -1)})
-    out = texts.select("row", "spans", F.explode(_occurrences(F.col("levels"))).alias("w"))
+    texts = with_starts(texts, "pieces", "words", "starts")
+
+    def one(word: Column, i: Column) -> Column:
+        start = F.get("starts", i)
+        return F.struct(start.alias("start"), (start + F.length(word)).alias("end"), F.try_element_at("levels", F.lower(word)).alias("level"))
+
+    hits = F.filter(F.transform("words", one), lambda w: w["level"].isNotNull())
+    out = texts.select("row", "spans", F.explode(hits).alias("w"))
     return out.where(~F.exists("spans", lambda s: (s["start"] < F.col("w.end")) & (F.col("w.start") < s["end"]))).select("row", "w.*")
 
 
@@ -174,13 +228,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame) -> DataFrame:
     """The documents, all columns, with entities replaced by their kind and disclosing terms removed or
     generalised; overlapping spans are cut out together.  ``doc_id`` must be unique; rows with a null id stay as they are."""
-    actions = personal_data(docs).where(F.size("actions") > 0).select(F.col("doc_id").alias("_private_id"), F.col("actions").alias("_private_actions"))
-
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        gap = F.substring(F.col("text"), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], gap, F.when(fresh, s["put"]).otherwise("")).alias("out"))
-
-    new = F.aggregate("_private_actions", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    rows = docs.join(actions, docs["doc_id"] == actions["_private_id"], "left")
-    return rows.withColumn("text", F.when(F.col("_private_actions").isNull(), F.col("text")).otherwise(new)).select(docs.columns)
+    key, new = free_name(docs, "_key"), free_name(docs, "_new")
+    actions = personal_data(docs).where(F.size("actions") > 0).select(F.col("doc_id").alias("key"), F.explode("actions").alias("a")).select("key", "a.*")
+    changed = cut_out(docs.select(F.col("doc_id").cast("long").alias("key"), "text"), written(actions.dropna(subset=["key"]), "actions"))
+    changed = changed.select(F.col("key").alias(key), F.col("text").alias(new))
+    rows = docs.join(changed, docs["doc_id"] == changed[key], "left")
+    return rows.withColumn("text", F.when(F.col(key).isNull(), F.col("text")).otherwise(F.col(new))).select(docs.columns)

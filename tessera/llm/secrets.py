@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_text, written
-from .privacy import _starts
+from .privacy import cut_out, free_name, with_starts
 
 LABELLED = 20_000
 MIN_DOCS = 5
@@ -70,7 +70,7 @@ def _guard(text: Column) -> Column:
 def candidates(texts: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns, start, end, value, before and after of every candidate in ``text``."""
     df = texts.where(_guard(F.col("text"))).withColumn("_found", F.regexp_extract_all("text", F.lit(SCAN), F.lit(0))).where(F.size("_found") > 0)
-    df = df.withColumn("_pieces", F.split("text", SCAN, -1)).withColumn("_starts", _starts(F.col("_pieces"), F.col("_found")))
+    df = with_starts(df.withColumn("_pieces", F.split("text", SCAN, -1)), "_pieces", "_found", "_starts")
 
     def one(m: Column, i: Column) -> Column:
         start = F.get("_starts", i)
@@ -175,17 +175,15 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, put: str = "[secr
 
     Texts that cannot hold a candidate pass by in place; only the others are joined with the findings, by text.
     """
-    texts = docs.select("text", F.sha2("text", 256).alias("_secret_key"))
-    found = written(candidates(texts, ["_secret_key"]), "candidates")
-    spans = judged(found, dictionary(docs), labelled).where("secret").groupBy("_secret_key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_secret_spans"))
+    key, new = free_name(docs, "_key"), free_name(docs, "_new")
+    texts = docs.select("text", F.sha2("text", 256).alias("key"))
+    found = written(candidates(texts, ["key"]), "candidates")
+    spans = written(judged(found, dictionary(docs), labelled).where("secret").select("key", "start", "end", F.lit(put).alias("put")).distinct(), "spans")
+    changed = cut_out(texts, spans).select(F.col("key").alias(key), F.col("text").alias(new))
     maybe = F.coalesce(_guard(F.col("text")), F.lit(False))
-    rows = docs.where(maybe).withColumn("_secret_key", F.sha2("text", 256)).join(spans, "_secret_key", "left")
-
-    def step(state: Column, s: Column) -> Column:
-        return F.struct(s["end"].alias("at"), F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]), F.lit(put)).alias("out"))
-
-    new = F.aggregate("_secret_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    rows = rows.withColumn("text", F.when(F.col("_secret_spans").isNull(), F.col("text")).otherwise(new))
+    rows = docs.where(maybe)
+    rows = rows.join(changed, F.sha2(rows["text"], 256) == changed[key], "left")
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_secret_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        rows = rows.withColumn("n_chars", F.when(F.col(key).isNull(), F.col("n_chars")).otherwise(F.length(new).cast(docs.schema["n_chars"].dataType)))
+    rows = rows.withColumn("text", F.when(F.col(key).isNull(), F.col("text")).otherwise(F.col(new)))
     return docs.where(~maybe).unionByName(rows.select(docs.columns))
