@@ -308,6 +308,28 @@ def select_benchmarks(registry: DataFrame, names: Sequence[str]) -> DataFrame:
     return registry.where(F.col("name").isin(list(names)))
 
 
+def load_benchmarks(spark: SparkSession, names: Sequence[str], root: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """SRC9: (items by benchmark, errors by benchmark): each registered name's data set under ``root``, its split only.
+
+    Data sets are Parquet folders named as in the registry, partitioned by ``split``; unknown names are ignored, and
+    one that is missing, or lacks the split, is reported and does not stop the others.
+    """
+    from ..sources.tables import MissingDatasetError, read_splits
+    found, errors = {}, {}
+    for r in select_benchmarks(benchmark_registry(spark), names).collect():  # registry rows: a handful
+        try:
+            df = read_splits(spark, f"{root.rstrip('/')}/{r['dataset']}")
+        except MissingDatasetError:
+            errors[r["name"]] = f"dataset not available: {r['dataset']}"
+            continue
+        mine = df.where(F.col("split") == r["split"]) if "split" in df.columns else df.limit(0)
+        if mine.isEmpty():
+            errors[r["name"]] = f"split not available: {r['split']}"
+        else:
+            found[r["name"]] = mine.drop("split")
+    return found, errors
+
+
 def result_rows(benchmark: str, metrics: DataFrame) -> DataFrame:
     """EV9 helper: wide one-row metrics -> long (benchmark, metric, value, error)."""
     cols = [c for c in metrics.columns if c != "benchmark"]

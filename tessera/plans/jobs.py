@@ -78,21 +78,28 @@ def stats_job(spark: SparkSession, dataset: str, output: str | None = None) -> D
 
 
 def evaluate_job(spark: SparkSession, runs: dict, names, output: str | None = None,
-                 losses: DataFrame | None = None) -> DataFrame:
+                 losses: DataFrame | None = None, root: str | None = None, answer=None) -> DataFrame:
     """EV8/EV9: score the selected benchmarks and collate one long result table.
 
     ``runs`` maps a benchmark name to ``(items, responses)`` DataFrames (for a
     ROUGE benchmark: ``(pairs, None)`` with item_id, prediction, reference).
     Names not in the registry are ignored; a registered benchmark without
     inputs gets an error row; ``losses`` (nll, n) adds the perplexity rows.
+    ``root``: a folder of benchmark data sets, from which the names without a run are loaded
+    by their registered data set and split; ``answer`` gives the responses to their items
+    (a failure to load is that benchmark's error row).
     """
     from ..operators import evaluation
+    errors: dict = {}
+    if root and answer:
+        found, errors = evaluation.load_benchmarks(spark, [n for n in names if n not in runs], root)
+        runs = {**runs, **{name: answer(items) for name, items in found.items()}}
     chosen = {r["name"]: r for r in evaluation.select_benchmarks(
         evaluation.benchmark_registry(spark), list(names)).collect()}  # registry rows: a handful
     parts = []
     for name, row in chosen.items():
         if name not in runs:
-            parts.append(evaluation.error_row(spark, name, f"dataset not available: {row['dataset']}"))
+            parts.append(evaluation.error_row(spark, name, errors.get(name) or f"dataset not available: {row['dataset']}"))
         elif row["metric"] == "accuracy":
             items, responses = runs[name]
             acc = evaluation.accuracy(items, responses, name)

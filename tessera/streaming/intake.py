@@ -4,7 +4,8 @@ Each micro-batch is processed with batch operators inside ``foreachBatch``:
 the batch's own keep-first is the skew-safe partial/final aggregate of
 ``dedup``; keys already written by *earlier* batches are removed with an
 anti-join against the sink (the sink is the state, in shared storage, not in
-executor memory).  Rows are written under ``batch_id=<n>`` with dynamic
+executor memory), of which only the partitions are read whose filter may hold
+one of the batch's keys (``history``).  Rows are written under ``batch_id=<n>`` with dynamic
 partition overwrite, so replaying a batch after a failure rewrites the same
 partition: the output is exactly-once.
 """
@@ -19,9 +20,11 @@ from ..config import PLAN_QUALITY, QualityParams
 from ..functions.text import text_key
 from ..operators.dedup import keep_first, order_key
 from ..operators.quality import quality_filter
+from ..session import reliable_checkpoint
 from ..sources.registry import docs_with_rank
 from ..sources.sinks import dataset_exists
 from ..sources.tables import spread
+from . import history
 from .common import run_available_now, stream_path, work_dir
 
 
@@ -33,11 +36,15 @@ def intake_batch(batch: DataFrame, batch_id: int, registry: DataFrame, sink: str
     kept = quality_filter(ranked, quality).withColumn("ord", order_key())
     keyed = kept.withColumn("_key", text_key(F.col("text"), prefix_chars))
     winners = keep_first(keyed, F.col("_key"), ["lang"], "ord")
-    if dataset_exists(spark, sink):
-        seen = spark.read.parquet(sink).where(F.col("batch_id") < batch_id).select("lang", "_key")
-        winners = winners.join(seen, ["lang", "_key"], "left_anti")
+    filters = f"{sink}-filters"
+    if dataset_exists(spark, filters):
+        winners = reliable_checkpoint(winners)  # asked for twice: its keys, then its rows
+        earlier = spark.read.parquet(filters).where(F.col("batch_id") < batch_id)
+        winners, _ = history.unseen(winners, ["lang", "_key"], spark, sink, earlier)
     (winners.select("doc_id", "lang", "source", "text", "_key", F.lit(batch_id).cast("bigint").alias("batch_id"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
+    if dataset_exists(spark, sink):  # no row was kept so far
+        history.write_filter(spark.read.parquet(sink).where(F.col("batch_id") == batch_id).select("lang", "_key"), ["lang", "_key"], batch_id, filters)
 
 
 def incremental_intake(spark: SparkSession, source: str, schema: StructType, registry: DataFrame,

@@ -45,6 +45,22 @@ def test_evaluate_job(spark):
     assert ("perplexity", "perplexity") in rows and not any(b == "not-registered" for b, _ in rows)
 
 
+def test_benchmarks_are_loaded_by_name_and_split(spark):
+    from tessera.operators import evaluation
+    from tessera.plans import derived
+    root = work_dir(spark, "benchmarks")
+    items = derived.mcq_items(table(spark, SF_SMALL, "benchmark"))
+    items.withColumn("split", F.when(F.col("item_id") % 4 == 0, "validation").otherwise("test")).write.partitionBy("split").parquet(f"{root}/indonlp/indommlu")
+    items.withColumn("split", F.lit("train")).write.partitionBy("split").parquet(f"{root}/indonlp/nusax")
+    answer = lambda df: (df, df.select("item_id", F.col("answer").alias("response")))
+    out = jobs.evaluate_job(spark, {}, ["indommlu", "nusax", "indo4b", "other"], root=root, answer=answer)
+    rows = {(r.benchmark, r.metric): (r.value, r.error) for r in out.collect()}
+    assert rows[("indommlu", "accuracy")][0] == 1.0 and rows[("indommlu", "total")][0] == items.where("item_id % 4 <> 0").count()
+    assert rows[("nusax", None)][1] == "split not available: test" and rows[("indo4b", None)][1] == "dataset not available: indonlp/indo4b"
+    assert {b for b, _ in rows} == {"indommlu", "nusax", "indo4b"}
+    assert evaluation.load_benchmarks(spark, ["other"], root) == ({}, {})
+
+
 def test_command_line(spark, capsys):
     import json
 

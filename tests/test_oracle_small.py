@@ -15,7 +15,8 @@ FAST = ["quality_measures", "filter_report", "dedup_prefix", "lang_cap", "three_
         "running_best", "retention_topk", "ngram_nll", "approx_split", "union_sources", "decode",
         "eval_results", "pad_to_batch_max", "prepare_union", "length_grouped_assignment", "pack_concat_report",
         "split_round_trip", "stats_round_trip", "text_lines", "rouge_lcs", "pack_interior_eos", "step_plan", "dedup_report", "language_distribution", "length_histogram",
-        "generate_greedy", "kn_nll", "rouge_bootstrap", "select_split", "epoch_batches", "length_sketches", "observed_filter_report", "committed_round_trip"]
+        "generate_greedy", "kn_nll", "rouge_bootstrap", "select_split", "epoch_batches", "length_sketches", "observed_filter_report", "committed_round_trip",
+        "eval_prompts", "empty_corpus_fallback", "failed_source_replaced", "missing_input", "no_pack", "benchmark_scan", "synthetic_source"]
 
 
 def _norm(v):

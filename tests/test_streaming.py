@@ -106,3 +106,38 @@ def test_abandoned_requests_run_out_by_an_event_timer(spark):
         1: ("abc", True), 2: ("x", False), 3: ("", False), 4: ("late?", False), 5: ("ef", False), 6: ("y", False)} and len(got) == 6
     batch = {r.request_id: r.text for r in reassemble(lines).collect()}
     assert batch == {r.request_id: r.text for r in got if r.request_id != 3}
+
+
+def test_history_reads_only_batches_that_may_hold_the_keys(spark):
+    from pyspark.sql import functions as F
+    from tessera.streaming import history
+    from tessera.streaming.common import work_dir
+    cols = ["lang", "_key"]
+    sink = work_dir(spark, "history") + "/sink"
+    key = F.sha2(F.col("id").cast("string"), 256).alias("_key")
+    for b in range(6):  # batch 5 has null languages
+        rows = spark.range(b * 1000, b * 1000 + 1000 * (b % 2 + 1) // 2).select(F.lit(None if b == 5 else "en").cast("string").alias("lang"), key, F.lit("text").alias("text"))
+        rows.withColumn("batch_id", F.lit(b).cast("bigint")).write.mode("append").partitionBy("batch_id").parquet(sink)
+        history.write_filter(rows, cols, b, f"{sink}-filters")
+    filters = spark.read.parquet(f"{sink}-filters")
+    assert filters.groupBy("batch_id").agg(F.max("blocks")).count() == 6
+
+    def asked(first, n, lang="en", filters=filters):
+        keys = spark.range(first, first + n).select(F.lit(lang).cast("string").alias("lang"), key)
+        left, read = history.unseen(keys, cols, spark, sink, filters)
+        return left.count(), read, left
+
+    assert asked(1000, 10)[:2] == (0, [1]) and asked(5000, 10, None)[:2] == (0, [5])
+    left, read, plan = asked(1990, 20)  # the end of batch 1, the begin of batch 2
+    assert left == 0 and set(read) >= {1, 2}
+    assert "PartitionFilters" in (text := plan._jdf.queryExecution().executedPlan().toString()) and "batch_id" in text
+    left, read, plan = asked(1_000_000, 3)
+    assert left == 3 and len(read) <= 1
+    if not read:
+        assert "Scan parquet" not in plan._jdf.queryExecution().executedPlan().toString()
+    left, read, _ = asked(1_000_000, 5_000)
+    assert left == 5_000  # false positives are resolved exactly
+    found = history.may_hold(spark.range(1_000_000, 1_020_000).select(F.lit("en").alias("lang"), key), cols, filters)
+    assert found.count() < 0.15 * 6 * 20_000
+    one = history.make_filter(spark.range(50).select(F.lit("en").alias("lang"), key), cols, 1).withColumn("blocks", F.lit(1)).withColumn("batch_id", F.lit(0).cast("bigint"))
+    assert asked(900_000, 40, filters=one)[0] == 40 and asked(900_000, 40, filters=filters.limit(0))[:2] == (40, [])
