@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MAX_LENGTH, SpecialIds
-from ..session import reliable_checkpoint, shuffle_partitions
+from ..session import reliable_checkpoint, shuffle_partitions, staged_parquet
 from .ordinal import with_running
 
 
@@ -220,9 +220,9 @@ def greedy_chunks(segs: DataFrame, plan: DataFrame, max_length: int = MAX_LENGTH
 
 def materialized_segments(encoded: DataFrame, order: Sequence[str] = ("split", "shuffle_rank"),
                           eos: int = DEFAULT_IDS.eos) -> DataFrame:
-    """PCK1 output written once to the checkpoint folder: the plan and the chunk build both read it,
-    so the encode that produced it is not run twice."""
-    return reliable_checkpoint(segments(encoded, order, eos=eos))
+    """PCK1 output written once, as Parquet: the plan reads its lengths and the chunk build its ids,
+    and the encode that produced it is not run twice."""
+    return staged_parquet(segments(encoded, order, eos=eos), "segments")
 
 
 def pack_greedy(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialIds = DEFAULT_IDS,
@@ -258,7 +258,7 @@ def pack_concat(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialId
     """PCK6: lossless concat-and-chunk; every token kept, the last chunk padded."""
     M = int(max_length)
     docs = encoded.select(group, order, with_eos(F.col("input_ids"), ids.eos).alias("_ids"))
-    docs = reliable_checkpoint(docs.withColumn("n", F.size("_ids").cast("bigint")))  # read twice below
+    docs = staged_parquet(docs.withColumn("n", F.size("_ids").cast("bigint")), "documents")  # read twice below, once without the ids
     offs = with_running(docs.select(group, order, "n"), [order], "n", [group], op="sum", out="offset")
     placed = offs.join(docs, on=[group, order, "n"], how="inner")
     k = F.col("k")

@@ -143,7 +143,7 @@ def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
     """
     keys = ("doc_id", "lang", "source", "split")
     if p.ranked:
-        prepared = reliable_checkpoint(prepared_documents(docs, p))
+        prepared = staged_parquet(prepared_documents(docs, p), "prepared")
         keys += ("shuffle_rank",)
     else:
         prepared = split_documents(docs, p)  # narrow over its own written copy
