@@ -1,16 +1,18 @@
 """Operator 1: token counts of whole texts, with overlap resynchronisation of huge ones.
 
 A text of at most ``chunk_chars`` code points is encoded as it is.  A longer one is
-cut into chunks that overlap by at least ``overlap_chars``; each chunk is encoded
-by itself, in any task, with offsets, and neighbours are spliced at the first
-proven stable boundary of their overlap: a position whose previous character is a
-letter or digit and whose own character is a space.  The
-byte-level pre-tokenizer never makes a piece that holds such a pair (white space
-only opens a piece, or stands alone), and neither merges nor its one look-ahead
-reach over it; so encoding up to the position and from it on gives the tokens of
-the whole.  If an overlap holds no such position it is doubled until it does or
-the text ends.  The offsets of both neighbours must show the boundary; anything
-else raises an error rather than give a wrong count.
+cut into chunks that overlap by ``overlap_chars``; each chunk is encoded by itself, in
+any task, with offsets, and reports the borders of its pieces (what the byte-level
+pre-tokenizer hands to the merges) in the overlaps with its neighbours.  Two
+neighbours are spliced at the first border that both encodings show.  If they show none
+in common, the text is cut again with an overlap four times as wide, until they do
+or one chunk reaches the end of the text.
+
+Why a common border is stable: the pre-tokenizer scans from left to right, looks at most two
+characters ahead, never back, and no merge leaves a piece.  So the left chunk's pieces, which begin at a
+border of the whole text, are those of the whole as long as they end ``margin``
+characters before the chunk's own end (the margin also holds the longest special string, which is split off
+first); and from a border on, the right chunk's scan is that of the whole.  The next splice continues from there.
 
 Null and empty texts count 0 tokens.  Repeated rows give repeated rows; an empty
 table gives an empty one; other columns are not read.
@@ -20,26 +22,26 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import doc_text, text_slices
+from .common import doc_text, text_slices, written
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
+#: Factor of the overlap after a failed alignment.
+WIDEN = 4
 LIMIT = 1_024
 #: Units in a worker's memo at which the half used longest ago is dropped.
 MEMO_WORDS = 500_000
 #: Text encoded at once: the more, the fewer look-ups of a unit found again.
 ENCODE_BYTES = 3 << 19
 
-_SAFE = re.compile(r"(?<=[A-Za-z0-9]) ")
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -47,7 +49,7 @@ class Encoder:
     """The library's encoder with a bounded memo of words.
 
     A text is cut before each space that follows a character other than white
-    space.  By the argument above those cuts are token borders, so the ids of the
+    space.  White space only opens a piece, or stands alone, so those cuts are token borders; the ids of the
     text are those of its units in order, and a unit seen lately is not encoded
     again.  Units are found for many texts at once, numbered by their bytes, and each distinct
     one is looked up by its bytes, so no two units share an entry.
@@ -56,12 +58,18 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, processors
 
         self.tok = Tokenizer.from_file(path)
-        pre = json.loads(self.tok.to_str())["pre_tokenizer"] or {}
-        if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
-            raise ValueError("the boundary proof holds for byte-level pre-tokenizers without a prefix space only")
+        self.tok.post_processor = processors.ByteLevel(trim_offsets=False)  # adds no token; offsets with their spaces
+        parts = json.loads(self.tok.to_str())
+        pre = parts["pre_tokenizer"] or {}
+        if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or parts["normalizer"]:
+            raise ValueError("the boundary proof holds for byte-level pre-tokenizers without a prefix space or a normalizer only")
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in parts["added_tokens"]):
+            raise ValueError("the boundary proof holds for special strings that are found as they stand only")
+        #: Characters before a cut end within which pieces may differ from those of the whole text.
+        self.margin = 2 + max([1, *(len(t["content"]) for t in parts["added_tokens"])])
         self.opens = np.zeros(self.tok.get_vocab_size(with_added_tokens=True) + 1, bool)
         for token, i in self.tok.get_vocab(with_added_tokens=True).items():
             self.opens[i] = token.startswith("Ġ")  # the byte alphabet's letter for a space
@@ -112,10 +120,13 @@ class Encoder:
         ids, total, start, off = self._encode(column)
         return ids, total[np.searchsorted(start, off)]
 
-    def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Proven token borders of a text (in bytes, the last is its end) and the tokens before each."""
-        _, total, start, off = self._encode(pa.array([text], pa.string()))
-        return np.append(start, off[-1]), total
+    def borders(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces of a text begin (in code points, the last is its end) and the tokens before each, by its own encoding."""
+        found = self.tok.encode(text, add_special_tokens=False)
+        word = np.array(found.word_ids, np.int64)
+        new = np.flatnonzero(np.diff(word, prepend=-1) != 0)
+        at = np.array([a for a, _ in found.offsets], np.int64)[new]
+        return np.append(at, len(text)), np.append(new, len(word))
 
     def _encode(self, column: pa.Array):
         """Ids, tokens before each unit, where each unit starts, and the texts' offsets."""
@@ -176,39 +187,63 @@ def tokenizer_path(path: str | None) -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def cut(text: str, chunk_chars: int, overlap_chars: int) -> list[tuple[str, int, int]]:
-    """(chunk, where its own part starts, where it ends): consecutive parts make up the text."""
-    out, start, n = [], 0, len(text)
-    own = 0
-    while True:
-        zone = start + chunk_chars
-        width, m = overlap_chars, None
-        while zone + 1 < n:
-            m = _SAFE.search(text, zone, min(n, zone + width))
-            if m or zone + width >= n:
-                break
-            width *= 2  # no stable boundary in common: widen
-        if m is None:
-            out.append((text[start:], own - start, n - start))
-            return out
-        end = min(n, zone + width)
-        out.append((text[start:end], own - start, m.start() - start))
-        own, start = m.start(), zone - 1  # the next chunk begins with the overlap and its left neighbour
-
-
-def count_spliced(enc: Encoder, chunk: str, begin: int, end: int) -> int:
-    """Tokens of the chunk between two stable boundaries, which its own encoding must show."""
-    border, before = enc.offsets(chunk)
-    begin, end = len(chunk[:begin].encode()), len(chunk[:end].encode())
-    i, j = np.searchsorted(border, (begin, end))
-    if border[i] != begin or border[j] != end:
-        raise ValueError(f"no token border at the stable position {begin} or {end}")
-    return int(before[j] - before[i])
+def cut(text: str, chunk_chars: int, overlap_chars: int) -> list[tuple[int, str]]:
+    """(place, chunk): chunks start every ``chunk_chars`` code points and reach ``overlap_chars`` into the next one."""
+    return [(at, text[at:at + chunk_chars + overlap_chars]) for at in range(0, len(text), chunk_chars)]
+
+
+def overlaps(enc: Encoder, at: int, chunk: str, n: int, chunk_chars: int, overlap_chars: int) -> dict:
+    """Places in the text of the chunk's borders that a splice may use, on its left and its right, and the tokens before each."""
+    place, before = enc.borders(chunk)
+    place = place + at
+    end = at + len(chunk)
+    left = place < at + overlap_chars
+    left |= (place == n) & (n <= at + overlap_chars)
+    right = (place >= at + chunk_chars) & (place <= (n if end == n else end - enc.margin))
+    return {"left": place[left], "left_n": before[left], "right": place[right], "right_n": before[right], "n": int(before[-1])}
+
+
+_OVERLAPS = ("left", "left_n", "right", "right_n")
+
+
+def _huge(rows: DataFrame, path: str | None, chunk_chars: int, overlap_chars: int) -> DataFrame:
+    """doc_id, n_bytes, digest, n_tokens (null if some neighbours did not align) and n_chunks of each row."""
+
+    def pieces(batches):
+        for batch in batches:
+            for i, b, d, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "digest", "row", "text"))):
+                for at, chunk in cut(text, chunk_chars, overlap_chars):
+                    yield pa.RecordBatch.from_pylist([{"doc_id": i, "n_bytes": b, "digest": d, "row": row, "size": len(text), "at": at, "chunk": chunk}],
+                                                     schema=chunk_schema)
+
+    def encoded(batches):
+        enc = encoder(tokenizer_path(path))
+        for batch in batches:
+            found = [overlaps(enc, at, chunk, n, chunk_chars, overlap_chars) for at, chunk, n in zip(*(batch.column(c).to_pylist() for c in ("at", "chunk", "size")))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array([x[c] for x in found], pa.list_(pa.int64())) for c in _OVERLAPS),
+                                              pa.array([x["n"] for x in found], pa.int64())], names=[*kept, *_OVERLAPS, "n"])
+
+    kept = ["doc_id", "n_bytes", "digest", "row", "at"]
+    columns = "doc_id long, n_bytes long, digest string, row long, "
+    chunk_schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("digest", pa.string()), ("row", pa.int64()), ("size", pa.int64()),
+                              ("at", pa.int64()), ("chunk", pa.string())])
+    chunks = (rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(pieces, columns + "size long, at long, chunk string")
+              .repartition("row", "at")
+              .mapInArrow(encoded, columns + "at long, " + ", ".join(f"{c} array<long>" for c in _OVERLAPS) + ", n long"))
+    order = Window.partitionBy("row").orderBy("at")
+    here = F.when(F.col("at") == 0, F.lit(0)).otherwise(F.array_min(F.array_intersect("left", F.lag("right").over(order))))
+    spliced = chunks.withColumn("begin", here).withColumn("end", F.lead("begin").over(order)).withColumn("last", F.lead("at").over(order).isNull())
+    # try_element_at: null where there is no common border
+    before = F.expr("if(at = 0, 0, try_element_at(left_n, int(array_position(left, begin))))")
+    after = F.expr("if(last, n, try_element_at(right_n, int(array_position(right, end))))")
+    tokens = spliced.select("row", "doc_id", "n_bytes", "digest", (after - before).alias("n"))
+    return tokens.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.first("digest").alias("digest"),
+                                     F.when(F.count("n") == F.count("*"), F.sum("n")).alias("n_tokens"), F.count("*").alias("n_chunks")).drop("row")
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, chunk_chars: int = CHUNK_CHARS,
                  overlap_chars: int = OVERLAP_CHARS) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit and n_chunks of every document."""
+    """doc_id, n_bytes, n_tokens, over_limit, n_chunks and overlap_chars (that aligned all chunks; null for one chunk) of every document."""
 
     def short(batches):
         enc = encoder(tokenizer_path(path))
@@ -218,29 +253,20 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, c
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],
                                                  names=["doc_id", "n_bytes", "n_tokens"])
 
-    def pieces(batches):
-        for batch in batches:
-            for i, b, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_bytes", "row", "text"))):
-                for k, (chunk, begin, end) in enumerate(cut(text, chunk_chars, overlap_chars)):
-                    yield pa.RecordBatch.from_pylist([{"doc_id": i, "n_bytes": b, "row": row, "k": k, "chunk": chunk, "begin": begin, "end": end}],
-                                                     schema=chunk_schema)
-
-    def counted(batches):
-        enc = encoder(tokenizer_path(path))
-        for batch in batches:
-            n = [count_spliced(enc, *x) for x in zip(*(batch.column(c).to_pylist() for c in ("chunk", "begin", "end")))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_bytes", "row")), pa.array(n, pa.int64())],
-                                             names=["doc_id", "n_bytes", "row", "n"])
-
-    chunk_schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("row", pa.int64()), ("k", pa.int64()),
-                              ("chunk", pa.string()), ("begin", pa.int64()), ("end", pa.int64())])
+    chunk_chars = max(chunk_chars, overlap_chars)  # a chunk's left splice lies before its right one
     rows = doc_text(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    small = rows.where(F.length("text") <= chunk_chars).mapInArrow(short, "doc_id long, n_bytes long, n_tokens long")
-    huge = (rows.where(F.length("text") > chunk_chars).withColumn("row", F.monotonically_increasing_id())
-            .mapInArrow(pieces, "doc_id long, n_bytes long, row long, k long, chunk string, begin long, end long")
-            .repartition("row", "k")
-            .mapInArrow(counted, "doc_id long, n_bytes long, row long, n long")
-            .groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"),
-                                F.sum("n").alias("n_tokens"), F.count("*").alias("n_chunks")))
-    out = small.withColumn("n_chunks", F.lit(1).cast("long")).unionByName(huge.select("doc_id", "n_bytes", "n_tokens", "n_chunks"))
-    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_chunks")
+    out = (rows.where(F.length("text") <= chunk_chars).mapInArrow(short, "doc_id long, n_bytes long, n_tokens long")
+           .select("*", F.lit(1).cast("long").alias("n_chunks"), F.lit(None).cast("long").alias("overlap_chars")))
+    todo = rows.where(F.length("text") > chunk_chars).withColumn("digest", F.sha2("text", 256))
+    huge = todo
+    while True:
+        found = written(_huge(huge, path, chunk_chars, overlap_chars), "spliced")
+        done = found.where("n_tokens is not null").select("doc_id", "n_bytes", "n_tokens", "n_chunks", F.lit(overlap_chars).cast("long").alias("overlap_chars"))
+        out = out.unionByName(done)
+        failed = found.where("n_tokens is null").select("digest").distinct()
+        if failed.isEmpty():
+            return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_chunks", "overlap_chars")
+        # equal texts fail alike, so all rows of these texts come again; in the end one chunk holds the text
+        huge = todo.join(failed, "digest", "left_semi")
+        overlap_chars *= WIDEN
+        chunk_chars = max(chunk_chars, WIDEN * overlap_chars)

@@ -58,19 +58,32 @@ def test_token_counts_equal_the_library(docs, texts, chunk, overlap):
     assert chunk > 300 or max(r.n_chunks for r in got.values()) > 5
 
 
-def test_chunks_splice_and_widen_on_odd_texts():
+def test_chunks_splice_and_widen_on_odd_texts(spark):
     rng = np.random.default_rng(1)
     parts = [" ", "  ", "\n", "\t", "a", "B", "é", "3", ".", "'s", "<|endoftext|>", "\x1c", "\xa0", "\u3000", "漢", "😀", " \n "]
     enc = token_counts.encoder(public_tokenizers.path("byte_bpe_50k.json"))
-    odd = ["".join(rng.choice(parts, rng.integers(0, 90))) for _ in range(1500)] + ["x" * 500, " " * 300, "a b " * 200]
-    for t in odd:
-        chunks = token_counts.cut(t, 20, 3)
-        assert "".join(c[a:b] for c, a, b in chunks) == t
-        assert sum(token_counts.count_spliced(enc, *c) for c in chunks) == len(ids(t))
+    odd = ["".join(rng.choice(parts, rng.integers(0, 400))) for _ in range(1500)] + ["x" * 5000, " " * 3000, "a b " * 200, "12345" * 900 + " z" * 100]
+    for at, width in ((40, 24), (20, 3), (64, 64)):
+        for t in odd[:200]:
+            assert all(t[a:a + len(c)] == c for a, c in token_counts.cut(t, at, width))
+        df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").repartition(4)
+        got = {r.doc_id: r for r in token_counts.token_counts(df, chunk_chars=at, overlap_chars=width).collect()}
+        assert {i: r.n_tokens for i, r in got.items()} == {i: len(ids(t)) for i, t in enumerate(odd)}
+        widths = [r.overlap_chars for r in got.values() if r.n_chunks > 1]
+        assert max(r.n_chunks for r in got.values()) > 2
+        # no border within an overlap: alignment fails and the overlap is widened until it holds one
+        assert got[1500].overlap_chars > 1000 and got[1503].overlap_chars > width and len(set(widths)) > 1
     flat, borders = enc.encode(pa.array(odd))
     assert all(flat[a:b].tolist() == ids(t) for t, a, b in zip(odd, borders, borders[1:]))
 
 
+def test_borders_are_those_of_the_library():
+    enc = token_counts.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    place, before = enc.borders("ab  c're 日本<|endoftext|> yy\n\n q")
+    assert list(zip(place.tolist(), before.tolist())) == [(0, 0), (2, 1), (3, 2), (5, 3), (8, 4), (11, 9), (24, 10), (27, 12), (29, 13), (31, 14)]
+    assert [x.tolist() for x in enc.borders("")] == [[0], [0]]
+
+
 def test_memo_forgets_and_stays_right(monkeypatch, texts):
     monkeypatch.setattr(token_counts, "MEMO_WORDS", 500)
     enc = token_counts.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
