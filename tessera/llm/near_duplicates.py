@@ -2,28 +2,33 @@
 
 Words are runs of letters and digits (lower-cased), shingles are five words (a
 shorter text is one shingle of all its words).  The weight of a shingle is its
-count in the text times its IDF, ln(1 + N / df) / ln(1 + N), at least ``FLOOR``:
-below that a large group of copies would lose its links to its own frequency.
-Document frequencies are counted over all documents in ``BUCKETS`` hashed counters,
-less the mean load of a counter; a shingle whose count does not stand out by four
-standard deviations counts as found once.
+count in the text times its IDF, ln(1 + R / df) / ln(1 + R) with R = ``REFERENCE``, at
+least ``FLOOR``: below that a large group of copies would lose its links to its own
+frequency.  R is fixed, so a link depends on the two texts and on how many documents hold
+their shingles, not on the size of the table.
 
 Each distinct text draws ``BANDS * ROWS`` consistent weighted samples (Ioffe's
 improved scheme; two texts agree on each with a probability that is their weighted
 Jaccard similarity), in bands of three: at 0.8 a pair meets in some band with
 probability 0.9992, at 0.77 with 0.997.  Exact copies (same words) are one text from the start.
+For the samples, and only for them, document frequencies are estimated by ``BUCKETS`` hashed
+counters less their mean load; all texts use the same ones.
 
-1. Every text of a band's bucket is compared with the bucket's least id; pairs that
-   agree on ``AGREE`` samples are verified by exact weighted Jaccard similarity,
-   ``SIMILARITY`` or more with TF-IDF or with TF weights.  Links are joined to classes.
+1. Every text of a band's bucket is compared with the bucket's least one; pairs that
+   agree on ``AGREE`` samples are compared exactly.
 2. In buckets that still hold several classes, every pair of texts of different
-   classes is compared exactly, by an inverted list of shingles, and only links
-   leave the task.  A pure bucket, however large, costs one pair per text; a mixed
-   one is dealt out in chunks, two at a time, so none is gathered in one task.
-
-``near_duplicates`` returns doc_id and class_id (least doc_id of the class) of every
-row.  Texts without words (null, empty) and rows with a null id make no links; repeated ids are one
-document.  An empty table gives an empty one.  ``deduplicate`` keeps all columns.
+   classes is compared exactly, by an inverted list of shingles.  A pure bucket, however large, costs
+   one pair per text; a mixed one is dealt out in chunks, two at a time, so none is gathered in one task.
+3. A pair is a link if its weighted Jaccard similarity is ``SIMILARITY`` or more with
+   TF or with TF-IDF weights.  TF alone decides at ``SIMILARITY`` and above, and below ``GREY``,
+   where no weights from FLOOR to 1 can lift a pair to ``SIMILARITY``.  For the pairs between,
+   the document frequencies of their shingles are counted exactly over all documents.
+
+Links are joined to classes.  ``near_duplicates`` returns doc_id and class_id (least doc_id of the
+class) of every row; an id that comes with several texts is one document and joins their classes.
+``deduplicate`` keeps all columns and one row of each class (the least id's); it judges rows, so
+no text goes because of another text of its id.  Texts without words (null, empty) and
+rows with a null id make no links.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -38,6 +43,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .common import add_blocks, doc_text, release, text_slices, written
 from .components import components
+from .privacy import free_name
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -46,6 +52,10 @@ AGREE = 13
 BUCKETS = 1 << 20
 BLOCK = 1 << 14
 FLOOR = 0.85
+#: Documents to which document frequencies are related.
+REFERENCE = 1_000_000
+#: TF similarity from which weights between FLOOR and 1 can reach SIMILARITY.
+GREY = SIMILARITY * FLOOR / (1 - SIMILARITY + SIMILARITY * FLOOR)
 #: Texts of a mixed bucket compared in one group, at most about twice this.
 CHUNK = 2_000
 _LOW = np.uint64(0xFFFF)
@@ -86,6 +96,11 @@ def _bucket(shingle: np.ndarray) -> np.ndarray:
     return (shingle >> np.uint64(31)).astype(np.int64)
 
 
+def idf(df: np.ndarray) -> np.ndarray:
+    """IDF weight of shingles found in ``df`` documents."""
+    return np.maximum(FLOOR, np.log1p(REFERENCE / df) / np.log1p(REFERENCE))
+
+
 def _frequencies(batches):
     total, n = np.zeros(BUCKETS, np.int32), 0
     for batch in batches:
@@ -93,28 +108,25 @@ def _frequencies(batches):
         for part in text_slices(batch):
             total += np.bincount(_bucket(vectors(part.column("text"))[0]), minlength=BUCKETS).astype(np.int32)
     if n:
-        blocks = total.astype(np.int64).reshape(-1, BLOCK)
-        for i, x in enumerate(blocks):
+        for i, x in enumerate(total.astype(np.int64).reshape(-1, BLOCK)):
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["block", "counts"])
-        count = np.zeros(BLOCK, np.int64)
-        count[0] = n
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([count.tobytes()], pa.binary())], names=["block", "counts"])
-
-
-def idf_table(docs: DataFrame) -> np.ndarray:
-    """IDF of each counter (a table of fixed size)."""
-    total, n = np.zeros((BUCKETS // BLOCK, BLOCK), np.int64), 0
-    for r in add_blocks(doc_text(docs).select("text").mapInArrow(_frequencies, "block int, counts binary"), BLOCK).toLocalIterator():
-        row = np.frombuffer(r.counts, np.int64)
-        if r.block < 0:
-            n += int(row[0])
-        else:
-            total[r.block] += row
-    df = total.reshape(-1).astype(np.float64)
+
+
+def counters(texts: DataFrame) -> np.ndarray:
+    """(text, distinct shingle) pairs of all texts by hashed counter (a table of fixed size)."""
+    total = np.zeros((BUCKETS // BLOCK, BLOCK), np.int64)
+    for r in add_blocks(texts.select("text").mapInArrow(_frequencies, "block int, counts binary"), BLOCK).toLocalIterator():
+        total[r.block] += np.frombuffer(r.counts, np.int64)
+    return total.reshape(-1)
+
+
+def sampling_weights(docs: DataFrame) -> np.ndarray:
+    """Estimated IDF of each counter; a shingle whose counter does not stand out by four standard deviations counts as found once."""
+    df = counters(doc_text(docs)).astype(np.float64)
     mean = df.mean()
     df -= mean
     df[df < 1 + 4 * np.sqrt(mean)] = 1
-    return np.maximum(FLOOR, np.log1p(n / df) / np.log1p(max(n, 1))).astype(np.float32)
+    return idf(df).astype(np.float32)
 
 
 def _gamma() -> np.ndarray:
@@ -148,21 +160,26 @@ def samples(shingle: np.ndarray, weight: np.ndarray, borders: np.ndarray) -> np.
     return out
 
 
-def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, the digest of the words, and the samples (null without words) of every row; ``idf``: a broadcast table."""
+def _rows(docs: DataFrame) -> DataFrame:
+    return doc_text(docs).withColumn("raw", F.sha2("text", 256))
+
+
+def signatures(docs: DataFrame, weights) -> DataFrame:
+    """doc_id, SHA-256 of the text, the digest of its words, and the samples (null without words) of every row; ``weights``: a broadcast table."""
 
     def run(batches):
         for batch in batches:
             for part in text_slices(batch):
                 shingle, count, _, borders = vectors(part.column("text"))
                 n = np.diff(borders)
-                sig = samples(shingle, count * idf.value[_bucket(shingle)], borders) if len(shingle) else np.zeros((0, len(_SEEDS)), np.int32)
+                sig = samples(shingle, count * weights.value[_bucket(shingle)], borders) if len(shingle) else np.zeros((0, len(_SEEDS)), np.int32)
                 each = np.zeros(len(n) + 1, np.int32)
                 np.cumsum((n > 0) * len(_SEEDS), out=each[1:])
                 lists = pa.ListArray.from_arrays(pa.array(each), pa.array(sig.reshape(-1)), mask=pa.array(n == 0))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digests(part.column("text")), pa.binary()), lists], names=["doc_id", "digest", "sig"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("raw"), pa.array(digests(part.column("text")), pa.binary()), lists],
+                                                 names=["doc_id", "raw", "digest", "sig"])
 
-    return doc_text(docs).mapInArrow(run, "doc_id long, digest binary, sig array<int>")
+    return _rows(docs).mapInArrow(run, "doc_id long, raw string, digest binary, sig array<int>")
 
 
 def _jaccard(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> float:
@@ -171,8 +188,8 @@ def _jaccard(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> floa
     return float(low / (x.sum() + y.sum() - low))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """The pairs (a, b) whose exact weighted Jaccard similarity is high enough, with it."""
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose exact TF similarity is ``GREY`` or more; sure: ``SIMILARITY`` or more."""
 
     def run(batches):
         for batch in batches:
@@ -181,101 +198,169 @@ def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
                 sides = [vectors(part.column(c)) for c in ("ta", "tb")]
                 for i in range(part.num_rows):
                     (x, cx), (y, cy) = [(s[b[i]:b[i + 1]], c[b[i]:b[i + 1]]) for s, c, _, b in sides]
-                    wx, wy = (idf.value[_bucket(z)].astype(np.float64) for z in (x, y))
                     both, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                    found.append(max(_jaccard(cx, cy, p, q), _jaccard(cx * wx, cy * wy, p, q)) if len(both) else 0.0)
-                keep = [i for i, s in enumerate(found) if s >= SIMILARITY]
+                    found.append(_jaccard(cx, cy, p, q) if len(both) else 0.0)
+                keep = [i for i, s in enumerate(found) if s >= GREY]
                 rows = part.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([found[i] for i in keep], pa.float64())], names=["a", "b", "similarity"])
-
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
-
-
-def _mixed_links(idf):
-    """Links between texts of different classes, of one chunk or two of a bucket."""
-
-    def run(key, table):
-        table = table.combine_chunks()
-        band, one, two = (x.as_py() for x in key[1:])
-        ids, label, chunk = (table.column(c).to_numpy() for c in ("id", "class", "chunk"))
-        n, same = len(ids), one == two
-        sig = np.array(table.column("sig").to_pylist(), np.int32).reshape(n, BANDS, ROWS)[:, :band]
-        shingle, count, text, borders = vectors(table.column("text"))
-        weight = idf.value[_bucket(shingle)].astype(np.float64)
-        size = [np.bincount(text, weights=x, minlength=n) for x in (count, count * weight)]
-        order = np.argsort(shingle, kind="stable")
-        by, owner, count_by, weight_by = shingle[order], text[order], count[order], weight[order]
-        classes, at, members = np.unique(label, return_inverse=True, return_counts=True)
-        main = at == np.argmax(members)  # its members are compared with the others only
-        out = []
-        for i in np.flatnonzero(~main):
-            far = (label != label[i]) & (main | (ids > ids[i])) & (same | (chunk != chunk[i]))
-            far &= ~(sig == sig[i]).all(axis=2).any(axis=1)  # pairs that meet in an earlier band are compared there
-            if not far.any():
-                continue
-            mine, often = shingle[borders[i]:borders[i + 1]], count[borders[i]:borders[i + 1]]
-            left, right = np.searchsorted(by, mine, "left"), np.searchsorted(by, mine, "right")
-            span = right - left
-            hit = np.arange(span.sum()) + np.repeat(left - np.cumsum(span) + span, span)
-            both = np.minimum(count_by[hit], np.repeat(often, span))
-            for total, w in zip(size, (both, both * weight_by[hit])):
-                low = np.bincount(owner[hit], weights=w, minlength=n)
-                j = np.flatnonzero(far & (low >= SIMILARITY * (total + total[i] - low)))
-                out += [(min(ids[i], x), max(ids[i], x)) for x in ids[j]]
-        a, b = zip(*set(out)) if out else ([], [])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([found[i] >= SIMILARITY for i in keep], pa.bool_())], names=["a", "b", "sure"])
 
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, sure boolean")
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id of every document row."""
-    idf = docs.sparkSession.sparkContext.broadcast(idf_table(docs))
-    sigs = written(signatures(docs, idf), "signatures")
-    release(docs.sparkSession)
-    named = sigs.where("doc_id is not null and sig is not null")
-    texts1 = named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-    texts1 = written(texts1, "distinct-texts")
-    # a document that lies in several groups of copies (an id with several texts) links them
-    copies = named.select("doc_id", "digest").join(texts1.select("digest", "id"), "digest").select("doc_id", "id").distinct()
-    reps = texts1.select("id", "sig")
+
+def by_idf(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose TF-IDF similarity is high enough, by document frequencies counted exactly for their shingles."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    asked = written(texts.join(nodes, "id"), "asked")
+    # most other shingles are left out by an empty counter; what gets through is compared by the join
+    some = docs.sparkSession.sparkContext.broadcast(np.packbits(counters(asked) > 0))
+
+    def each(batches):
+        for batch in batches:
+            for part in text_slices(batch):
+                shingle, count, text, _ = vectors(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(text)), pa.array(shingle.view(np.int64)), pa.array(count, pa.int64())], names=["id", "shingle", "n"])
+
+    def found(batches):
+        for batch in batches:
+            for part in text_slices(batch):
+                shingle = vectors(part.column("text"))[0]
+                at = _bucket(shingle)
+                hit = (some.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                shingle, n = np.unique(shingle[hit], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
+
+    def weighed(batches):
+        for batch in batches:
+            keep = []
+            for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("va", "vb")))):
+                (x, wx), (y, wy) = [(np.array([e["shingle"] for e in v], np.int64), np.array([e["n"] for e in v]) * idf(np.array([e["df"] for e in v], np.float64))) for v in row]
+                _, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                if _jaccard(wx, wy, p, q) >= SIMILARITY:
+                    keep.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    mine = asked.mapInArrow(each, "id long, shingle long, n long")
+    df = doc_text(docs).select("text").mapInArrow(found, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("df"))
+    vector = written(mine.join(df, "shingle").groupBy("id").agg(F.collect_list(F.struct("shingle", "n", "df")).alias("v")), "vectors")
+    return (pairs.select("a", "b").join(vector.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
+            .join(vector.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b").mapInArrow(weighed, "a long, b long"))
+
+
+def _mixed_links(key, table):
+    """Pairs between texts of different classes, of one chunk or two of a bucket, as ``compared`` gives them."""
+    table = table.combine_chunks()
+    band, one, two = (x.as_py() for x in key[1:])
+    ids, label, chunk = (table.column(c).to_numpy() for c in ("id", "class", "chunk"))
+    n, same = len(ids), one == two
+    sig = np.array(table.column("sig").to_pylist(), np.int32).reshape(n, BANDS, ROWS)[:, :band]
+    shingle, count, text, borders = vectors(table.column("text"))
+    size = np.bincount(text, weights=count, minlength=n)
+    order = np.argsort(shingle, kind="stable")
+    by, owner, count_by = shingle[order], text[order], count[order]
+    classes, at, members = np.unique(label, return_inverse=True, return_counts=True)
+    main = at == np.argmax(members)  # its members are compared with the others only
+    out: dict = {}
+    for i in np.flatnonzero(~main):
+        far = (label != label[i]) & (main | (ids > ids[i])) & (same | (chunk != chunk[i]))
+        far &= ~(sig == sig[i]).all(axis=2).any(axis=1)  # pairs that meet in an earlier band are compared there
+        if not far.any():
+            continue
+        mine, often = shingle[borders[i]:borders[i + 1]], count[borders[i]:borders[i + 1]]
+        left, right = np.searchsorted(by, mine, "left"), np.searchsorted(by, mine, "right")
+        span = right - left
+        hit = np.arange(span.sum()) + np.repeat(left - np.cumsum(span) + span, span)
+        low = np.bincount(owner[hit], weights=np.minimum(count_by[hit], np.repeat(often, span)), minlength=n)
+        all_ = size + size[i] - low
+        for j in np.flatnonzero(far & (low >= GREY * all_)):
+            out[min(ids[i], ids[j]), max(ids[i], ids[j])] = bool(low[j] >= SIMILARITY * all_[j])
+    a, b = zip(*out) if out else ([], [])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "sure": pa.array(list(out.values()), pa.bool_())})
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows; (digest, id, doc_id, raw) of each distinct text, named by its least row; (node, class) of linked texts."""
+    spark = docs.sparkSession
+    weights = spark.sparkContext.broadcast(sampling_weights(docs))
+    sigs = written(signatures(docs, weights), "signatures")
+    release(spark)
+    distinct = (sigs.where("doc_id is not null and sig is not null").groupBy("digest")
+                .agg(F.min(F.struct("doc_id", "raw")).alias("row"), F.first("sig").alias("sig")))
+    distinct = written(distinct.select(F.monotonically_increasing_id().alias("id"), "digest", "row.doc_id", "row.raw", "sig"), "distinct-texts")
+    reps = distinct.select("id", "sig")
 
     band = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, {', '.join(f'sig[b * {ROWS} + {i}]' for i in range(ROWS))}))")
     bands = reps.select("id", F.posexplode(band).alias("band", "key"))
     full = bands.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1")
     members = written(bands.join(full, "key"), "members")
-    involved = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = written(doc_text(docs).join(involved, "doc_id").dropDuplicates(["doc_id"]), "candidates")
+    involved = distinct.select("id", "doc_id", "raw").join(members.select("id").distinct(), "id")
+    texts = _rows(docs).join(involved, ["doc_id", "raw"]).dropDuplicates(["doc_id", "raw"])
+    texts = written(texts.select("id", "text"), "candidates")
 
     agree = F.expr("aggregate(zip_with(sa, sb, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)") >= AGREE
     first = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     first = (first.join(reps.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
              .join(reps.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b").where(agree).select("a", "b"))
-    links = written(verified(first, texts, idf), "links")
+    first = written(compared(first, texts), "links")
 
-    same = copies.where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    near = written(components(links.select("a", "b")), "classes")
-    release(docs.sparkSession)
+    near = written(components(first.where("sure").select("a", "b")), "classes")
+    release(spark)
     labelled = members.join(near, members.id == near.node, "left").select("band", "key", "id", F.coalesce("class", "id").alias("class"))
     mixed = labelled.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("m")).where("low <> high")
     chunks = F.ceil(F.col("m") / CHUNK).cast("int")
-    rows = (labelled.join(mixed.select("key", "m"), "key").join(reps, "id").join(texts.withColumnRenamed("doc_id", "id"), "id")
+    rows = (labelled.join(mixed.select("key", "m"), "key").join(reps, "id").join(texts, "id")
             .select("key", "band", "id", "class", "sig", "text", chunks.alias("chunks"), F.pmod(F.xxhash64("id"), chunks).cast("int").alias("chunk"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
-    more = rows.select("key", "band", "i", "j", "id", "class", "sig", "text", "chunk").groupBy("key", "band", "i", "j").applyInArrow(_mixed_links(idf), "a long, b long")
-    links = links.select("a", "b").union(written(more.distinct(), "links"))
+    more = (rows.select("key", "band", "i", "j", "id", "class", "sig", "text", "chunk").groupBy("key", "band", "i", "j")
+            .applyInArrow(_mixed_links, "a long, b long, sure boolean"))
+    more = written(more.distinct(), "links")
+    links = first.union(more)
+    sure = links.where("sure").select("a", "b")
+
+    # pairs that TF leaves open, unless the first links have joined them
+    label = near.select("node", "class")
+    grey = (links.where("not sure").select("a", "b").distinct()
+            .join(label.select(F.col("node").alias("a"), F.col("class").alias("ca")), "a", "left")
+            .join(label.select(F.col("node").alias("b"), F.col("class").alias("cb")), "b", "left")
+            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    grey = written(grey, "open-pairs")
+    if not grey.isEmpty():
+        sure = sure.union(written(by_idf(grey, texts, docs), "links"))
+    release(spark)
+    return sigs, distinct.drop("sig"), components(sure)
+
 
-    release(docs.sparkSession)
-    classes = components(links.union(same))
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id and class_id of every document row."""
+    sigs, distinct, classes = _classes(docs)
+    classes = written(classes, "classes")
+    named = distinct.join(classes, distinct.id == classes.node, "left").select("digest", F.coalesce("class", "id").alias("class"))
+    rows = sigs.where("doc_id is not null and sig is not null").select("doc_id", "digest").join(named, "digest").groupBy("doc_id", "class").agg(F.count("*").alias("n"))
+    rows = written(rows, "memberships")
+    # an id with several texts joins their classes
+    twice = rows.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").select("doc_id", "a")
+    if not twice.isEmpty():
+        joined = components(rows.join(twice, "doc_id").select("a", F.col("class").alias("b")))
+        rows = rows.join(joined, rows["class"] == joined.node, "left").select("doc_id", F.coalesce(joined["class"], rows["class"]).alias("class"))
+    least = rows.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    found = rows.join(least, "class").select(F.col("doc_id").alias("of"), "class_id").distinct()
     ids = sigs.select("doc_id")
-    return ids.join(classes, ids.doc_id == classes.node, "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
+    return ids.join(found, ids.doc_id == found.of, "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The documents, all columns: one of each class (its least id), and all rows with a null id."""
-    gone = near_duplicates(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return docs.where("doc_id is null").unionByName(kept.select(docs.columns))
+    """The documents, all columns: one row of each class (of its least id), all rows with a null id, and texts without words once an id."""
+    sigs, distinct, classes = _classes(docs)
+    classes = written(classes, "classes")
+    named = distinct.join(classes, distinct.id == classes.node, "left").select("digest", "doc_id", "raw", F.coalesce("class", "id").alias("class"))
+    named = written(named, "named-texts")
+    kept = named.groupBy("class").agg(F.min(F.struct("doc_id", "raw")).alias("row")).select("row.doc_id", "row.raw")
+    seen = sigs.where("doc_id is not null and sig is not null").select("doc_id", "raw").distinct()
+    gone = seen.join(kept, ["doc_id", "raw"], "left_anti")
+    raw, of, key = (free_name(docs, name) for name in ("raw_sha", "gone_id", "gone_sha"))
+    gone = gone.select(F.col("doc_id").alias(of), F.col("raw").alias(key))
+    rows = docs.where("doc_id is not null").withColumn(raw, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    rows = rows.join(gone, (F.col("doc_id").cast("long") == F.col(of)) & (F.col(raw) == F.col(key)), "left_anti").dropDuplicates(["doc_id", raw])
+    return docs.where("doc_id is null").unionByName(rows.select(docs.columns))

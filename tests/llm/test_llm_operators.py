@@ -1,6 +1,7 @@
 """The first ten operators against brute force, round trips and held-out accuracy on small tables."""
 
 import collections
+import math
 import hashlib
 import re
 import zlib
@@ -317,11 +318,15 @@ def test_multi_index_finds_every_fingerprint_within_the_radius():
 
 
 # ------------------------------------------------------------------ op 6
-def classes(texts, idf):
+def classes(texts):
     vec = {}
     for i, t in texts.items():
         s, c, *_ = near_duplicates.vectors(pa.array([t]))
-        vec[i] = (dict(zip(s.tolist(), c.tolist())), dict(zip(s.tolist(), (c * idf[near_duplicates._bucket(s)].astype(float)).tolist())))
+        vec[i] = dict(zip(s.tolist(), c.tolist()))
+    df = collections.Counter(k for v in vec.values() for k in v)
+    r = near_duplicates.REFERENCE
+    weight = {k: max(near_duplicates.FLOOR, math.log1p(r / n) / math.log1p(r)) for k, n in df.items()}
+    vec = {i: (v, {k: c * weight[k] for k, c in v.items()}) for i, v in vec.items()}
     up = {i: i for i in texts}
 
     def root(x):
@@ -356,13 +361,45 @@ def test_near_duplicate_classes_match_brute_force(spark):
             texts[10 ** 6 + 10 * n + k] = " ".join(words)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     got = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(df).collect()}
-    want = classes(texts, near_duplicates.idf_table(df))
+    want = classes(texts)
     assert got == want
     assert sum(i != c for i, c in want.items()) > 40
     kept = {r.doc_id for r in near_duplicates.deduplicate(df).collect()}
     assert kept == set(want.values())
 
 
+def grey_pair():
+    """Two texts of TF similarity 0.79, and texts in which the words that differ are common."""
+    words = [f"w{i}" for i in range(47)]
+    other = [*words[:20], "changed", *words[21:]]
+    around = [" ".join(x[16:25]) for x in (words, other)]
+    return [(1, " ".join(words)), (2, " ".join(other))], [(100 + i, around[i % 2] + " " + " ".join(f"x{i}y{k}" for k in range(60))) for i in range(24)]
+
+
+def test_links_depend_on_document_frequencies_not_on_the_size_of_the_table(spark):
+    pair, common = grey_pair()
+    pad = [(1000 + i, " ".join(f"p{i}q{k}" for k in range(30))) for i in range(3000)]
+    linked = []
+    for rows in (pair, pair + common, pair + common + pad, pair + pad):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        got = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(docs).collect()}
+        assert all(got[i] == i for i, _ in rows if i != 2)
+        linked.append(got[2] == 1)
+    assert linked == [False, True, True, False]
+    assert linked[:2] == [classes(dict(x))[2] == 1 for x in (pair, pair + common)]
+
+
+def test_ids_with_several_texts(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [(5, one), (7, one + " more"), (7, two), (9, two), (9, three), (11, three), (12, "other"), (12, "other"), (13, None), (13, None)]
+    docs = spark.createDataFrame([(t, i, i) for i, t in rows], "text string, doc_id long, raw_sha long").repartition(3)
+    got = {(r.doc_id, r.class_id) for r in near_duplicates.near_duplicates(docs).collect()}
+    assert got == {(5, 5), (7, 5), (9, 5), (11, 5), (12, 12), (13, 13)}
+    kept = near_duplicates.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(5, one), (7, two), (9, three), (12, "other"), (13, "")]
+
+
 def test_consistent_samples_agree_as_often_as_weighted_jaccard():
     rng = np.random.default_rng(8)
     s = np.sort(rng.integers(1, 1 << 50, 400).astype(np.uint64))
