@@ -21,7 +21,8 @@ counters less their mean load; all texts use the same ones.
    one pair per text; a mixed one is dealt out in chunks, two at a time, so none is gathered in one task.
 3. A pair is a link if its weighted Jaccard similarity is ``SIMILARITY`` or more with
    TF or with TF-IDF weights.  TF alone decides at ``SIMILARITY`` and above, and below ``GREY``,
-   where no weights from FLOOR to 1 can lift a pair to ``SIMILARITY``.  For the pairs between,
+   where no IDF can lift a pair to ``SIMILARITY``.  Between, a pair is left out if its classes are joined
+   anyway, or if the texts of its bucket alone make its shared shingles too common; for the other pairs
    the document frequencies of their shingles are counted exactly over all documents.
 
 Links are joined to classes.  ``near_duplicates`` returns doc_id and class_id (least doc_id of the
@@ -34,6 +35,7 @@ rows with a null id make no links.  An empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +56,12 @@ BLOCK = 1 << 14
 FLOOR = 0.85
 #: Documents to which document frequencies are related.
 REFERENCE = 1_000_000
-#: TF similarity from which weights between FLOOR and 1 can reach SIMILARITY.
-GREY = SIMILARITY * FLOOR / (1 - SIMILARITY + SIMILARITY * FLOOR)
+#: IDF of a shingle that two documents hold.
+SHARED = math.log1p(REFERENCE / 2) / math.log1p(REFERENCE)
+#: TF similarity from which a pair can reach SIMILARITY: shared shingles weigh SHARED at most, others FLOOR at least.
+GREY = SIMILARITY * FLOOR / (SHARED * (1 - SIMILARITY) + SIMILARITY * FLOOR)
+#: Bits (2^BITS) of the filter of the shingles whose document frequencies are asked for, and bytes of its blocks.
+BITS, BLOCK_BYTES = 27, 1 << 17
 #: Texts of a mixed bucket compared in one group, at most about twice this.
 CHUNK = 2_000
 _LOW = np.uint64(0xFFFF)
@@ -209,12 +215,49 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, sure boolean")
 
 
+def _bit(shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte of the filter and the bit in it of each shingle."""
+    at = shingle & np.uint64((1 << BITS) - 1)
+    return (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+
+
+def _filter(texts: DataFrame) -> np.ndarray:
+    """Bits of all shingles of the texts (a table of fixed size)."""
+
+    def own(batches):
+        bits = None
+        for batch in batches:
+            for part in text_slices(batch):
+                bits = np.zeros(1 << (BITS - 3), np.uint8) if bits is None else bits
+                np.bitwise_or.at(bits, *_bit(vectors(part.column("text"))[0]))
+        yield from _blocks({} if bits is None else {i: x for i, x in enumerate(bits.reshape(-1, BLOCK_BYTES)) if x.any()})
+
+    def joined(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, x in zip(batch.column("block").to_pylist(), batch.column("bits")):
+                x = np.frombuffer(x.as_buffer(), np.uint8)
+                total[block] = total[block] | x if block in total else x.copy()
+        yield from _blocks(total)
+
+    bits = np.zeros((1 << (BITS - 3)) // BLOCK_BYTES * BLOCK_BYTES, np.uint8).reshape(-1, BLOCK_BYTES)
+    schema = "block int, bits binary"
+    for r in texts.select("text").mapInArrow(own, schema).repartition("block").mapInArrow(joined, schema).toLocalIterator():
+        bits[r.block] = np.frombuffer(r.bits, np.uint8)
+    return bits.reshape(-1)
+
+
+def _blocks(found: dict):
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())], names=["block", "bits"])
+
+
 def by_idf(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose TF-IDF similarity is high enough, by document frequencies counted exactly for their shingles."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     asked = written(texts.join(nodes, "id"), "asked")
-    # most other shingles are left out by an empty counter; what gets through is compared by the join
-    some = docs.sparkSession.sparkContext.broadcast(np.packbits(counters(asked) > 0))
+    # most other shingles are left out by a filter of fixed size; what gets through is compared by the join
+    some = docs.sparkSession.sparkContext.broadcast(_filter(asked))
 
     def each(batches):
         for batch in batches:
@@ -226,8 +269,8 @@ def by_idf(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in text_slices(batch):
                 shingle = vectors(part.column("text"))[0]
-                at = _bucket(shingle)
-                hit = (some.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                at, bit = _bit(shingle)
+                hit = some.value[at] & bit > 0
                 shingle, n = np.unique(shingle[hit], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
 
@@ -259,6 +302,8 @@ def _mixed_links(key, table):
     size = np.bincount(text, weights=count, minlength=n)
     order = np.argsort(shingle, kind="stable")
     by, owner, count_by = shingle[order], text[order], count[order]
+    held = np.searchsorted(by, by, "right") - np.searchsorted(by, by, "left")  # documents here that hold it: its df or fewer
+    most = idf(np.maximum(held, 2))
     classes, at, members = np.unique(label, return_inverse=True, return_counts=True)
     main = at == np.argmax(members)  # its members are compared with the others only
     out: dict = {}
@@ -271,9 +316,11 @@ def _mixed_links(key, table):
         left, right = np.searchsorted(by, mine, "left"), np.searchsorted(by, mine, "right")
         span = right - left
         hit = np.arange(span.sum()) + np.repeat(left - np.cumsum(span) + span, span)
-        low = np.bincount(owner[hit], weights=np.minimum(count_by[hit], np.repeat(often, span)), minlength=n)
+        both = np.minimum(count_by[hit], np.repeat(often, span))
+        low, high = (np.bincount(owner[hit], weights=w, minlength=n) for w in (both, both * most[hit]))
         all_ = size + size[i] - low
-        for j in np.flatnonzero(far & (low >= GREY * all_)):
+        open_ = high >= SIMILARITY * (high + FLOOR * (all_ - low)) - 1e-9
+        for j in np.flatnonzero(far & ((low >= SIMILARITY * all_) | open_)):
             out[min(ids[i], ids[j]), max(ids[i], ids[j])] = bool(low[j] >= SIMILARITY * all_[j])
     a, b = zip(*out) if out else ([], [])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "sure": pa.array(list(out.values()), pa.bool_())})
@@ -319,17 +366,19 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     links = first.union(more)
     sure = links.where("sure").select("a", "b")
 
-    # pairs that TF leaves open, unless the first links have joined them
-    label = near.select("node", "class")
-    grey = (links.where("not sure").select("a", "b").distinct()
-            .join(label.select(F.col("node").alias("a"), F.col("class").alias("ca")), "a", "left")
-            .join(label.select(F.col("node").alias("b"), F.col("class").alias("cb")), "b", "left")
+    joined = written(components(sure), "classes")
+    release(spark)
+    # pairs that TF leaves open, unless their classes are joined anyway
+    one, two = (joined.select(F.col("node").alias(x), F.col("class").alias("c" + x)) for x in "ab")
+    grey = (links.where("not sure").select("a", "b").distinct().join(one, "a", "left").join(two, "b", "left")
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
     grey = written(grey, "open-pairs")
     if not grey.isEmpty():
-        sure = sure.union(written(by_idf(grey, texts, docs), "links"))
-    release(spark)
-    return sigs, distinct.drop("sig"), components(sure)
+        more = written(by_idf(grey, texts, docs), "links")
+        if not more.isEmpty():
+            joined = components(joined.select(F.col("node").alias("a"), F.col("class").alias("b")).union(more))
+        release(spark)
+    return sigs, distinct.drop("sig"), joined
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
