@@ -103,3 +103,28 @@ def test_arrow_encoder_is_one_narrow_stage(spark):
     assert "MapInArrow" in plan and "Exchange" not in plan
     joined = encoding.encode(docs, vocab, strategy="join")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in joined  # the regroup after the join
+
+
+def test_words_beyond_the_head_are_joined(spark):
+    # a null id, a row that comes twice, a null text, words that no vocabulary has
+    rows = [(1, "a b a c d a b\u00a0"), (1, "a b a c d a b\u00a0"), (None, "d zz c b a zz"), (3, None), (4, " \n"), (5, "zz"), (6, "a a a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = encoding.build_vocab(docs.where("text is not null")).where("word <> 'zz'")
+    for limit in (None, 3):
+        want = sorted(((r.doc_id, r.input_ids, r.n_tokens) for r in encoding.encode(docs, vocab, max_length=limit, strategy="arrow").collect()), key=str)
+        for head in (0, 1, 2, 3, 100):
+            enc = encoding.encode_split(docs, vocab, max_length=limit, head_rows=head)
+            assert sorted(((r.doc_id, r.input_ids, r.n_tokens) for r in enc.collect()), key=str) == want
+            texts = sorted(((r.doc_id, r.text) for r in encoding.decode_arrow(enc, vocab).collect()), key=str)
+            got = encoding.decode_split(enc, vocab, head_rows=head).collect()
+            assert sorted(((r.doc_id, r.text) for r in got), key=str) == texts and len(got) == len(rows)
+
+
+def test_large_vocabulary_shuffles_few_words(spark):
+    """Beyond the broadcast bound a document's frequent words are not exploded: only one row a document and one a rare word move."""
+    docs = spark.createDataFrame([(i, "often " * 200 + f"rare{i}") for i in range(100)], "doc_id long, text string")
+    vocab = encoding.build_vocab(docs)
+    enc = encoding.encode(docs, vocab, broadcast_limit=1)
+    plan = enc._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Scan parquet" in plan  # written once, not encoded again by each reader
+    assert {(r.n_tokens, len(set(r.input_ids))) for r in enc.collect()} == {(201, 2)}
