@@ -78,7 +78,7 @@ SELECT g.source, g.split, g.samples, q.quantile, true AS within FROM g, q
 UNION ALL SELECT 'ALL', split, CAST(sum(samples) AS BIGINT), quantile, true FROM g, q GROUP BY split, quantile""")
 def q_length_sketches(spark, d):
     # AGG1 at scale: sketches a source and split are stored, rolled up to splits, and their quantiles held against exact ranks
-    lengths = catalog._unranked(spark, d).encoded.select("source", "split", "n_tokens")
+    lengths = staged_parquet(catalog._unranked(spark, d).encoded.select("source", "split", "n_tokens"), "lengths")  # read five times
     stored = staged_parquet(profile.length_sketches(lengths), "sketches")
     parts = []
     for by in (["source", "split"], ["split"]):
