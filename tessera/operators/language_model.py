@@ -11,8 +11,9 @@ table; contexts that end leave; the state is written every few steps.
 
 *Kneser-Ney* replaces the lower-order counts by continuation counts (in how many
 distinct contexts a word was seen) and chains the orders: a back-off weight a context,
-one probability a seen n-gram.  Documents to be scored are reduced to their distinct
-triples, each of which is looked up once.
+one probability an asked n-gram.  It counts triples of vocabulary ids, not of words.
+Documents to be scored are reduced to their distinct triples, each of which is looked
+up once.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MCQ_NEW_TOKENS
+from ..config import DEFAULT_IDS, MCQ_NEW_TOKENS
 from ..functions.text import words
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, shuffle_partitions, staged_parquet
+from . import encoding
 
 BEGIN, END = "<s>", "</s>"
 
@@ -34,10 +36,12 @@ def _r6(c: Column) -> Column:
     return F.round(c, 6)
 
 
-def triples(ws: Column, end: bool) -> Column:
-    """array<struct<u, v, w>> of a word-array *column*: each word with the two before it (``<s>`` before the first)."""
+def triples(ws: Column, end: bool, begin: Column | None = None) -> Column:
+    """array<struct<u, v, w>> of a word-array *column*: each word with the two before it (``begin``, else ``<s>``, before the first)."""
+    begin = F.lit(BEGIN) if begin is None else begin
+
     def before(i, k):
-        return F.when(i < k, F.lit(BEGIN)).otherwise(F.get(ws, i - k))
+        return F.when(i < k, begin).otherwise(F.get(ws, i - k))
 
     rows = F.transform(ws, lambda w, i: F.struct(before(i, 2).alias("u"), before(i, 1).alias("v"), w.alias("w")))
     if not end:
@@ -51,7 +55,7 @@ def triple_counts(docs: DataFrame, end: bool, text_col: str = "text") -> DataFra
     """(u, v, w, c) of all documents, written once; ``end`` counts the end of a document as a word."""
     rows = (docs.select(words(F.coalesce(F.col(text_col), F.lit(""))).alias("_w")).select(F.explode(triples(F.col("_w"), end)).alias("t"))
             .groupBy("t.u", "t.v", "t.w").agg(F.count(F.lit(1)).alias("c")))
-    return reliable_checkpoint(rows)
+    return staged_parquet(rows, "triples")
 
 
 # ------------------------------------------------------------- generation --
@@ -134,15 +138,21 @@ def generate_greedy(prompts: DataFrame, model: Generator, max_new: int = MCQ_NEW
 # ------------------------------------------------------------- Kneser-Ney --
 @dataclass
 class KneserNey:
-    """Probabilities of seen n-grams and back-off weights of seen contexts; ``unseen``: of a word never seen."""
+    """Counts over word ids and the discounts; ``unseen``: the probability of a word never seen."""
 
-    three: DataFrame     # u, v, w, p3
-    two: DataFrame       # v, w, p2
+    vocab: DataFrame     # word, token_id; holds ``<s>``
+    begin: int           # the id of ``<s>``
+    three: DataFrame     # u, v, w, c: dealt out by (u, v)
+    two: DataFrame       # v, w, n: distinct words before (v, w)
+    back_two: DataFrame  # v, s, t
     one: DataFrame       # w, p1
-    back_three: DataFrame  # u, v, g3
-    back_two: DataFrame    # v, g2
+    d3: float
+    d2: float
     unseen: float
 
+    def drop(self) -> None:
+        self.three.unpersist()
+
 
 def _discount(counts: DataFrame, col: str) -> float:
     """n1 / (n1 + 2 n2) from the counts of counts; 0.5 where nothing was seen once."""
@@ -150,48 +160,70 @@ def _discount(counts: DataFrame, col: str) -> float:
     return r["n1"] / (r["n1"] + 2 * r["n2"]) if r["n1"] else 0.5
 
 
-def kneser_ney(docs: DataFrame, text_col: str = "text") -> KneserNey:
+def _id_triples(encoded: DataFrame, keys: Sequence[str], begin: int) -> DataFrame:
+    """keys, u, v, w: one row a word of the encoded documents."""
+    return encoded.select(*keys, F.explode(triples(F.col("input_ids"), False, F.lit(begin))).alias("t")).select(*keys, "t.u", "t.v", "t.w")
+
+
+def kneser_ney(docs: DataFrame, text_col: str = "text", partitions: int | None = None) -> KneserNey:
     """Interpolated Kneser-Ney of order 3 with one discount an order, down to a uniform share of unseen words.
 
     p1(w) = max(N(.w) - D1, 0) / N(..) + D1 * types / N(..) / (types + 1)
     p2(w | v) = max(N(.vw) - D2, 0) / N(.v.) + D2 * N(v.) / N(.v.) * p1(w)
     p3(w | u, v) = max(c(uvw) - D3, 0) / c(uv.) + D3 * N(uv.) / c(uv.) * p2(w | v)
+
+    Words are counted by their vocabulary ids.  The triples are shuffled once, by (u, v), and kept dealt out so: the
+    sums of a context and the look-ups of ``kn_probabilities`` move the asked n-grams only.
     """
-    tri = triple_counts(docs, end=False, text_col=text_col)
-    bi = reliable_checkpoint(tri.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n")))      # distinct u before (v, w)
-    uni = bi.groupBy("w").agg(F.count(F.lit(1)).alias("n"))                                # distinct v before w
-    uni = reliable_checkpoint(uni)
+    words_of = encoding.build_vocab(docs, text_col).select("word", "token_id")
+    known = words_of.where(F.col("word") == BEGIN).first()
+    begin = known["token_id"] if known else DEFAULT_IDS.bos
+    if not known:
+        words_of = words_of.unionByName(words_of.sparkSession.createDataFrame([(BEGIN, begin)], words_of.schema))
+    n_parts = partitions or shuffle_partitions(docs.sparkSession)
+    rows = _id_triples(encoding.encode(docs, words_of, keys=(), text_col=text_col), [], begin)
+    tri = rows.repartition(n_parts, "u", "v").groupBy("u", "v", "w").agg(F.count(F.lit(1)).alias("c")).persist()
+    bi = staged_parquet(tri.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    uni = staged_parquet(bi.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "singles")  # distinct v before w
     d3, d2, d1 = _discount(tri, "c"), _discount(bi, "n"), _discount(uni, "n")
     total = uni.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("types")).first()
     n, types = total["n"], total["types"]
     spare = (d1 * types / n if n else 1.0) / (types + 1)
     one = uni.select("w", (F.greatest(F.col("n") - d1, F.lit(0.0)) / F.lit(float(max(n, 1))) + F.lit(spare)).alias("p1"))
-    sums2 = bi.groupBy("v").agg(F.sum("n").alias("_s"), F.count(F.lit(1)).alias("_t"))
-    back2 = reliable_checkpoint(sums2.select("v", "_s", (F.lit(d2) * F.col("_t") / F.col("_s")).alias("g2")))
-    two = reliable_checkpoint(bi.join(back2, "v").join(one, "w").select(
-        "v", "w", (F.greatest(F.col("n") - d2, F.lit(0.0)) / F.col("_s") + F.col("g2") * F.col("p1")).alias("p2")))
-    sums3 = tri.groupBy("u", "v").agg(F.sum("c").alias("_s"), F.count(F.lit(1)).alias("_t"))
-    back3 = reliable_checkpoint(sums3.select("u", "v", "_s", (F.lit(d3) * F.col("_t") / F.col("_s")).alias("g3")))
-    three = tri.join(back3, ["u", "v"]).join(two, ["v", "w"]).select(
-        "u", "v", "w", (F.greatest(F.col("c") - d3, F.lit(0.0)) / F.col("_s") + F.col("g3") * F.col("p2")).alias("p3"))
-    return KneserNey(three, two, one, back3.drop("_s"), back2.drop("_s"), spare)
+    back2 = staged_parquet(bi.groupBy("v").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("t")), "contexts")
+    return KneserNey(words_of, begin, tri, bi, back2, one, d3, d2, spare)
+
+
+def _id_probabilities(grams: DataFrame, model: KneserNey) -> DataFrame:
+    """Distinct (u, v, w) of ids with ``p``: discounted counts plus the context's weight times the lower order."""
+    seen = model.three.join(grams.select("u", "v").distinct().hint("shuffle_hash"), ["u", "v"], "left_semi")  # the triples are neither moved nor sorted
+    sums3 = seen.groupBy("u", "v").agg(F.sum("c").alias("s3"), F.count(F.lit(1)).alias("t3"))
+    j = (grams.join(sums3, ["u", "v"], "left").join(seen, ["u", "v", "w"], "left").join(model.two, ["v", "w"], "left")
+         .join(model.back_two, "v", "left").join(model.one, "w", "left"))
+
+    def level(count, discount, total, types, lower):
+        own = F.coalesce(F.greatest(F.col(count) - discount, F.lit(0.0)) / F.col(total), F.lit(0.0))
+        return own + F.coalesce(F.lit(discount) * F.col(types) / F.col(total), F.lit(1.0)) * lower
+
+    p2 = level("n", model.d2, "s", "t", F.coalesce("p1", F.lit(model.unseen)))
+    return j.select("u", "v", "w", level("c", model.d3, "s3", "t3", p2).alias("p"))
 
 
 def kn_probabilities(grams: DataFrame, model: KneserNey) -> DataFrame:
-    """Distinct (u, v, w) with ``p``: seen triples directly, others by the chain of back-off weights."""
-    j = (grams.join(model.three, ["u", "v", "w"], "left").join(model.back_three, ["u", "v"], "left")
-         .join(model.two, ["v", "w"], "left").join(model.back_two, "v", "left").join(model.one, "w", "left"))
-    low = F.coalesce("p1", F.lit(model.unseen))
-    mid = F.coalesce("p2", F.coalesce("g2", F.lit(1.0)) * low)
-    return j.select("u", "v", "w", F.coalesce("p3", F.coalesce("g3", F.lit(1.0)) * mid).alias("p"))
+    """Distinct (u, v, w) of words with ``p``; words the model has not seen are all alike."""
+    for c in "uvw":
+        ids = model.vocab.select(F.col("word").alias(c), F.col("token_id").alias(f"_{c}"))
+        grams = grams.join(ids, c, "left").withColumn(f"_{c}", F.coalesce(f"_{c}", F.lit(DEFAULT_IDS.unk)))
+    found = _id_probabilities(grams.select(*(F.col(f"_{c}").alias(c) for c in "uvw")).distinct(), model)
+    return grams.join(found.select(*(F.col(c).alias(f"_{c}") for c in "uvw"), "p"), ["_u", "_v", "_w"]).select("u", "v", "w", "p")
 
 
 def kn_nll(docs: DataFrame, model: KneserNey, keys: Sequence[str] = ("doc_id", "lang"), text_col: str = "text") -> DataFrame:
     """EV10: mean negative log-likelihood a word of each document with words, and its number of words ``n``."""
     keys = list(keys)
-    per = (docs.select(*keys, words(F.col(text_col)).alias("_w")).select(*keys, F.explode(triples(F.col("_w"), False)).alias("t"))
-           .groupBy(*keys, "t.u", "t.v", "t.w").agg(F.count(F.lit(1)).alias("_n")))
-    per = reliable_checkpoint(per)
-    scored = per.join(kn_probabilities(per.select("u", "v", "w").distinct(), model), ["u", "v", "w"])
+    encoded = encoding.encode(docs, model.vocab, keys=keys, text_col=text_col)
+    per = staged_parquet(_id_triples(encoded, keys, model.begin).groupBy(*keys, "u", "v", "w").agg(F.count(F.lit(1)).alias("_n")), "asked")
+    known = staged_parquet(_id_probabilities(per.select("u", "v", "w").distinct(), model), "probabilities")
+    scored = per.join(known, ["u", "v", "w"])
     agg = scored.groupBy(*keys).agg(F.sum(-F.log("p") * F.col("_n")).alias("_s"), F.sum("_n").cast("bigint").alias("n"))
     return agg.select(*keys, _r6(F.col("_s") / F.col("n")).alias("nll"), "n")

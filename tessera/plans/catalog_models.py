@@ -53,7 +53,9 @@ knll AS (
 def _kn_losses(spark, d):
     prepared = _prepared(spark, d)
     model = language_model.kneser_ney(prepared.where(F.col("split") == "train"))
-    return language_model.kn_nll(prepared.where(F.col("split") != "train"), model)
+    out = language_model.kn_nll(prepared.where(F.col("split") != "train"), model)
+    model.drop()
+    return out
 
 
 @register("kn_nll", _KN_SQL + "SELECT doc_id, lang, nll, n FROM knll")

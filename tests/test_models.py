@@ -85,6 +85,36 @@ def test_kneser_ney_sums_to_one_and_backs_off(spark, texts):
     assert {r.nll for r in language_model.kn_nll(texts.where("doc_id = 0"), nothing).collect()} == {0.0}  # one unseen word holds all
 
 
+def test_kneser_ney_counts_ids_and_moves_asked_grams_only(spark):
+    # "<s>" as a word, one word in most places, words that the training rows lack
+    train = spark.createDataFrame([("<s> a b <s> a",), ("a a a a b c",), (None,), ("b <s> c a b",)], "text string")
+    held = spark.createDataFrame([(1, "id", "a b zz <s> <s> a"), (1, "id", "a b"), (None, None, "yy zz a a"), (4, "id", None)], "doc_id long, lang string, text string")
+    model = language_model.kneser_ney(train, partitions=3)
+    assert [t for _, t in model.three.dtypes] == ["int", "int", "int", "bigint"]  # counted by ids, not by words
+    tri = plain_triples([r.text for r in train.collect()], False)
+
+    def discount(counts):
+        ones, twos = (sum(c == k for c in counts.values()) for k in (1, 2))
+        return ones / (ones + 2 * twos) if ones else 0.5
+
+    bi = collections.Counter((v, w) for _, v, w in tri)
+    uni = collections.Counter(w for _, w in bi)
+    d3, d2, d1 = map(discount, (tri, bi, uni))
+
+    def p(u, v, w):
+        n = sum(uni.values())
+        low = max(uni[w] - d1, 0) / n + d1 * len(uni) / n / (len(uni) + 1)
+        for counts, d, before in ((bi, d2, (v,)), (tri, d3, (u, v))):
+            after = [c for g, c in counts.items() if g[:-1] == before]
+            low = (max(counts[(*before, w)] - d, 0) + d * len(after) * low) / sum(after) if after else low
+        return low
+
+    got = {r.doc_id: (r.nll, r.n) for r in language_model.kn_nll(held, model).collect()}
+    want = {i: plain_triples([r.text for r in held.collect() if r.doc_id == i], False) for i in (1, None)}
+    assert got == {i: (pytest.approx(-sum(c * math.log(p(*g)) for g, c in t.items()) / t.total(), abs=1e-6), t.total()) for i, t in want.items()}
+    model.drop()
+
+
 def test_kneser_ney_beats_add_k(spark):
     docs = table(spark, SF_SMALL, "documents")
     train, held = docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0")
