@@ -138,6 +138,35 @@ def test_quality_target_counts_all_trusted_rows(spark):
     assert np.sum(np.bincount(text, weights=weights[bucket] > 0) > 30) >= 120 - 20
 
 
+def test_quality_threshold_is_set_by_all_labelled_rows(spark, monkeypatch):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    bad = "lorem ipsum dolor sit amet consectetur elit sed do eiusmod".split()
+    texts = {i: " ".join(np.random.default_rng(i).permutation(words if i % 3 else bad)) + f" n{i} w{i % 7}" for i in range(200)}
+    docs = spark.createDataFrame([*texts.items(), (5, "too short"), (300, "not labelled " * 4), (301, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(200)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "cut", lambda rows, *a, was=quality.cut: seen.extend(rows.collect()) or was(rows, *a))
+    _, found = quality.fit(docs, labels, 3)
+    assert len(seen) == 200  # every labelled document that passes the base rules
+    raw, target = quality.counts(docs, labels)
+    good = [i for i in range(200) if i % 3]
+    for i in good[:5]:  # a trusted one is judged by a target that does not hold it
+        rest = quality.counts(docs, labels.where(f"doc_id <> {i}"))[1] + (quality.counts(docs.where("text = 'too short'"), labels)[1] if i == 5 else 0)
+        buf, off = quality.K.utf8(pa.array([texts[i]]))
+        assert quality.own_scores(buf, off, raw, target)[0] == pytest.approx(quality.scores(buf, off, quality.ratio(raw, rest))[0], abs=1e-12)
+    assert found == pytest.approx(quality.threshold(*(np.array([r.llr for r in seen if (r.label == 1) == t]) for t in (True, False))))
+
+
+def test_quality_cut_in_a_table_is_that_of_arrays(spark):
+    rng = np.random.default_rng(1)
+    cases = [(rng.integers(3, 30, 80), rng.integers(-9, 12, 50)), ([1.0, 2], [-1.0, 0]), ([1.0], [1.0]), ([1.0, 2], [1.0, 2]), ([0.0, 3], [1.0, 2]),
+             (rng.random(301), []), ([4.0], []), ([], [1.0]), ([], []), ([-1.0], [1.0])]
+    for good, bad in cases:
+        rows = [(1, float(x)) for x in good] + [(0, float(x)) for x in bad]
+        got = quality.cut(spark.createDataFrame(rows, "label int, llr double"), 3)
+        assert got == pytest.approx(quality.threshold(np.array(good, float), np.array(bad, float)))
+
+
 # ------------------------------------------------------------------ op 3
 def suffix_lpf(texts, length=50):
     """Removed bytes by a suffix array, previous and next smaller places and longest previous factors."""
