@@ -37,7 +37,7 @@ def build_vocab(docs: DataFrame, text_col: str = "text", ids: SpecialIds = DEFAU
                 vocab_size: int | None = None) -> DataFrame:
     """TOK1(a): (word, n, token_id); ids start after the special ids, most frequent first."""
     counts = reliable_checkpoint(  # counted once; ranking samples and reads this table
-        docs.select(F.explode(words(F.col(text_col))).alias("word"))
+        docs.select(F.explode(F.split(F.col(text_col), WORD_SPLIT)).alias("word")).where("word <> ''")
         .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     ranked = with_ordinal(counts, [F.col("n").desc(), F.col("word")], out="_rank")
     if vocab_size:

@@ -28,6 +28,8 @@ from ..sources.registry import docs_with_rank, registry_from_table
 
 #: Row numbers of later copies that are broadcast at most (16 MB); more are joined by shuffle.
 LOSER_ROWS = 2_000_000
+#: Registry rows (one a source) that are broadcast at most; more are joined by shuffle.
+SOURCE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -45,13 +47,16 @@ class PrepareParams:
     ranked: bool = True              # False: no shuffle_rank; the split is a comparison and no text is shuffled
 
 
-def ranked_documents(docs: DataFrame) -> DataFrame:
+def ranked_documents(docs: DataFrame, limit: int = SOURCE_ROWS) -> DataFrame:
     """Documents with registry rank and packed order key ``ord``.
 
     A ``source_rank`` that the documents bring along (from ``load_sources``) is kept.
+    The registry is written and counted, so that up to ``limit`` sources are broadcast
+    and no text is shuffled for its rank.
     """
     if "source_rank" not in docs.columns:
-        docs = docs_with_rank(docs, registry_from_table(docs))
+        registry = staged_parquet(registry_from_table(docs), "registry")
+        docs = docs_with_rank(docs, F.broadcast(registry) if registry.count() <= limit else registry)
     return docs.withColumn("ord", order_key())
 
 

@@ -15,6 +15,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Size of a row group (before compression) in staged Parquet: what one task reads at least.
+STAGED_GROUP_BYTES = 16 << 20
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "tessera") -> SparkSession:
     """Local session for tests and the bench (UI off, AQE on, UTC)."""
@@ -71,10 +75,11 @@ def staged_parquet(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing Parquet to the shared checkpoint folder and reading it back.
 
     Unlike a checkpoint of rows the copy is compressed, and later reads take only the columns they need.
+    Row groups are small, so that a file of a large partition is read by several tasks.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", STAGED_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

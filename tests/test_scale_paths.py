@@ -1,6 +1,7 @@
 """The paths taken when a side is too large to broadcast give the same answers as the broadcast paths."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -128,3 +129,49 @@ def test_large_vocabulary_shuffles_few_words(spark):
     plan = enc._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Scan parquet" in plan  # written once, not encoded again by each reader
     assert {(r.n_tokens, len(set(r.input_ids))) for r in enc.collect()} == {(201, 2)}
+
+
+def test_rank_of_a_source_moves_no_text(spark):
+    from tessera.plans.prepare import ranked_documents
+
+    rows = [(1, "a", "x", "s"), (1, "a", "x", "s"), (2, "b", None, "t"), (3, None, "y", None), (4, "c", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a size estimate decides nothing
+    try:
+        ranked = ranked_documents(docs)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        many = ranked_documents(docs, limit=3)  # four sources: joined by shuffle
+        assert "Exchange hashpartitioning" in many._jdf.queryExecution().executedPlan().toString()
+        got = sorted(((r.doc_id, r.text, r.lang, r.source, r.source_rank) for r in ranked.collect()), key=str)
+        assert got == sorted(((r.doc_id, r.text, r.lang, r.source, r.source_rank) for r in many.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    order = [(None, None), (None, "t"), ("x", "s"), ("y", None)]
+    assert got == sorted(((i, t, g, s, order.index((g, s))) for i, t, g, s in rows), key=str)
+
+
+def test_staged_file_is_read_by_several_tasks(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from tessera import session
+
+    monkeypatch.setattr(session, "STAGED_GROUP_BYTES", 1 << 20)
+    text = F.concat(*[F.md5(F.concat("id", F.lit(k)).cast("string")) for k in range(8)])
+    staged = session.staged_parquet(spark.range(0, 20_000, 1, 1).select("id", text.alias("text")), "groups-test")
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in staged.inputFiles()]
+    assert min(f.num_row_groups for f in files) > 1 and files[0].row_group(0).column(0).compression == "ZSTD"
+    assert staged.count() == 20_000
+
+
+def test_vocabulary_of_odd_texts(spark):
+    from collections import Counter
+
+    texts = [" a  b\ta\n", "", None, " \n ", "b  b\x0bc\rd\fe", "\na", "zz"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    vocab = encoding.build_vocab(docs)
+    want = Counter(w for t in texts if t for w in re.split(r"[ \t\n\r\f]+", t) if w)
+    assert {r.word: r.n for r in vocab.collect()} == dict(want)
+    ranks = sorted(want, key=lambda w: (-want[w], w))
+    assert [r.word for r in vocab.orderBy("token_id").collect()] == ranks
