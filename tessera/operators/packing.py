@@ -254,13 +254,22 @@ def pack_report(plan: DataFrame, max_length: int = MAX_LENGTH, group: str = "spl
 
 # ----------------------------------------------------------------- PCK6 ----
 def pack_concat(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialIds = DEFAULT_IDS,
-                order: str = "shuffle_rank", group: str = "split") -> DataFrame:
-    """PCK6: lossless concat-and-chunk; every token kept, the last chunk padded."""
+                order: str = "shuffle_rank", group: str = "split",
+                lengths: DataFrame | None = None, key: str = "row") -> DataFrame:
+    """PCK6: lossless concat-and-chunk; every token kept, the last chunk padded.
+
+    ``lengths``: (group, key, order, n) of documents that have ``key`` instead of ``order`` and are
+    written already; n counts the end id.
+    """
     M = int(max_length)
-    docs = encoded.select(group, order, with_eos(F.col("input_ids"), ids.eos).alias("_ids"))
-    docs = staged_parquet(docs.withColumn("n", F.size("_ids").cast("bigint")), "documents")  # read twice below, once without the ids
-    offs = with_running(docs.select(group, order, "n"), [order], "n", [group], op="sum", out="offset")
-    placed = offs.join(docs, on=[group, order, "n"], how="inner")
+    ids2 = with_eos(F.col("input_ids"), ids.eos).alias("_ids")
+    if lengths is None:
+        docs = staged_parquet(encoded.select(group, order, ids2).withColumn("n", F.size("_ids").cast("bigint")), "documents")  # read twice below, once without the ids
+        lengths, on = docs.select(group, order, "n"), [group, order, "n"]
+    else:
+        docs, on = encoded.select(group, key, ids2), [group, key]
+    offs = with_running(lengths.select(*dict.fromkeys([*on, order, "n"])), [order], "n", [group], op="sum", out="offset")
+    placed = offs.join(docs, on=on, how="inner")
     k = F.col("k")
     exploded = placed.select(
         group, "offset", "n", "_ids",

@@ -328,18 +328,37 @@ def _unranked(spark, d):
     return prepare(_docs(spark, d), PrepareParams(ranked=False))
 
 
+def _apart(spark, d):
+    """Prepared and encoded with the ranks in their own narrow table, by ``row``: no text is shuffled."""
+    return prepare(_docs(spark, d), PrepareParams(ranked=False, ranks_apart=True))
+
+
+def _ranked_lengths(prep, encoded):
+    """(split, shuffle_rank, seg_no, n): segment lengths meet their rank after the ids are gone."""
+    lengths = packing.segment_lengths(encoded, ("split", "row"))
+    return reliable_checkpoint(lengths.join(prep.ranks, "row").select("split", "shuffle_rank", "seg_no", "n"))
+
+
 def _plan(spark, d):
     """The packing plan from segment lengths alone."""
-    return packing.greedy_plan(reliable_checkpoint(packing.segment_lengths(_prepared(spark, d).encoded)), MAX_LENGTH)
+    prep = _apart(spark, d)
+    return packing.greedy_plan(_ranked_lengths(prep, prep.encoded), MAX_LENGTH)
 
 
 def _greedy(spark, d):
-    prep = _prepared(spark, d)
-    segs = packing.materialized_segments(prep.encoded, ("split", "shuffle_rank"), eos=DEFAULT_IDS.eos)
-    plan = packing.greedy_plan(segs, MAX_LENGTH)
+    """Segments by ``row``; the plan has both ``shuffle_rank``, whose order it keeps, and ``row``."""
+    prep = _apart(spark, d)
+    segs = packing.materialized_segments(prep.encoded, ("split", "row"), eos=DEFAULT_IDS.eos)
+    lengths = segs.select("split", "row", "seg_no", "n").join(prep.ranks, "row")
+    plan = packing.greedy_plan(lengths, MAX_LENGTH, ("shuffle_rank", "row"))
     return prep, segs, plan
 
 
+def _chunks(spark, d):
+    _, segs, plan = _greedy(spark, d)
+    return packing.greedy_chunks(segs, plan, MAX_LENGTH, order=("row",))
+
+
 _WALK = sql.with_encoded(recursive=True) + ",\n" + sql.greedy_walk_ctes() + "\n"
 
 
@@ -372,14 +391,13 @@ FROM walk w JOIN segs s ON s.split = w.split AND s.rn = w.rn""")
 def q_pack_interior_eos(spark, d):
     # derived input: every 97th token of a document is an end id, which closes a segment inside it
     marked = F.transform("input_ids", lambda x, i: F.when(i % EOS_EVERY == EOS_EVERY - 1, F.lit(DEFAULT_IDS.eos)).otherwise(x))
-    enc = _prepared(spark, d).encoded.select("split", "shuffle_rank", marked.alias("input_ids"))
-    return packing.greedy_plan(reliable_checkpoint(packing.segment_lengths(enc)), MAX_LENGTH)
+    prep = _apart(spark, d)
+    return packing.greedy_plan(_ranked_lengths(prep, prep.encoded.select("split", "row", marked.alias("input_ids"))), MAX_LENGTH)
 
 
 @register("pack_greedy", _WALK + "SELECT split, chunk_id, input_ids FROM chunks")
 def q_pack_greedy(spark, d):
-    _, segs, plan = _greedy(spark, d)
-    return packing.greedy_chunks(segs, plan, MAX_LENGTH)
+    return _chunks(spark, d)
 
 
 @register("pack_report", _WALK + f"""
@@ -402,7 +420,9 @@ pieces AS (SELECT split, k AS chunk_id, greatest(off - k * {MAX_LENGTH}, 0) AS p
 SELECT split, chunk_id, CAST(list_resize(flatten(list(piece ORDER BY pos)), {MAX_LENGTH}, {DEFAULT_IDS.pad_id}) AS INTEGER[]) AS input_ids
 FROM pieces GROUP BY split, chunk_id""")
 def q_pack_concat(spark, d):
-    return packing.pack_concat(_prepared(spark, d).encoded, MAX_LENGTH)
+    prep = _apart(spark, d)
+    lengths = prep.encoded.select("split", "row", (F.col("n_tokens") + 1).alias("n")).join(prep.ranks, "row")
+    return packing.pack_concat(prep.encoded, MAX_LENGTH, lengths=lengths)
 
 
 # ---------------------------------------------------------------- batches --
@@ -410,8 +430,7 @@ def q_pack_concat(spark, d):
 SELECT split, chunk_id, list_transform(input_ids, lambda x: CASE WHEN x = {DEFAULT_IDS.pad_id} THEN -100 ELSE x END) AS labels
 FROM chunks""")
 def q_label_mask(spark, d):
-    _, segs, plan = _greedy(spark, d)
-    chunks = packing.greedy_chunks(segs, plan, MAX_LENGTH)
+    chunks = _chunks(spark, d)
     return chunks.select("split", "chunk_id", batches.labels(F.col("input_ids"), DEFAULT_IDS.pad_id).alias("labels"))
 
 
@@ -419,8 +438,7 @@ def q_label_mask(spark, d):
 SELECT split, chunk_id, list_transform(input_ids, lambda x: CAST(x <> {DEFAULT_IDS.pad_id} AS INTEGER)) AS attention_mask
 FROM chunks""")
 def q_attention_mask(spark, d):
-    _, segs, plan = _greedy(spark, d)
-    chunks = packing.greedy_chunks(segs, plan, MAX_LENGTH)
+    chunks = _chunks(spark, d)
     return chunks.select("split", "chunk_id",
                          batches.attention_mask(F.col("input_ids"), DEFAULT_IDS.pad_id).alias("attention_mask"))
 

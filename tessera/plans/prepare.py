@@ -20,7 +20,7 @@ from ..config import DEFAULT_IDS, PLAN_QUALITY, SEED, QualityParams, SpecialIds
 from ..functions.text import text_key
 from ..operators import encoding, profile
 from ..operators.dedup import order_key
-from ..operators.ordinal import head_per_group, three_way_split
+from ..operators.ordinal import head_per_group, seeded_shuffle, three_way_split
 from ..operators.quality import length_ok, quality_keep
 from ..operators.selection import selection_key, split_bounds, split_by_bounds
 from ..session import reliable_checkpoint, staged_parquet
@@ -45,6 +45,7 @@ class PrepareParams:
     use_registry_cap: bool = False   # cap each language at its registry ``max_samples`` instead
     caps: DataFrame | None = None    # (lang, max_samples) of a configured registry
     ranked: bool = True              # False: no shuffle_rank; the split is a comparison and no text is shuffled
+    ranks_apart: bool = False        # with ranked=False: ``shuffle_rank`` in a narrow table ``ranks`` by ``row``
 
 
 def ranked_documents(docs: DataFrame, limit: int = SOURCE_ROWS) -> DataFrame:
@@ -84,12 +85,13 @@ def decisions(filtered: DataFrame, p: PrepareParams, caps: DataFrame | None = No
 
 
 def split_documents(docs: DataFrame, p: PrepareParams = PrepareParams(), limit: int = LOSER_ROWS) -> DataFrame:
-    """(doc_id, lang, source, text, split) after filter, dedup and split, without a shuffle of the text.
+    """(doc_id, lang, source, text, split[, row, ord]) after filter, dedup and split, without a shuffle of the text.
 
     Rows that pass the quality rules are written once as Parquet (the rules run once); everything is
     decided on its narrow columns.  The split compares the seeded key with two order statistics of the
     winners' keys, and the rows that lose to an earlier copy are left out by their row number: a broadcast of
     at most ``limit`` numbers, beyond it a shuffle join.  Caps need ranks: use ``prepared_documents``.
+    ``row`` (with ``ranks_apart``) numbers the rows of that copy; it names a document even where ids repeat.
     """
     if p.lang_cap or p.caps is not None or p.use_registry_cap:
         raise ValueError("caps need ranks")
@@ -108,7 +110,8 @@ def split_documents(docs: DataFrame, p: PrepareParams = PrepareParams(), limit:
     if losers.count() <= limit:
         losers = F.broadcast(losers)
     rest = staged.join(losers, "_row", "left_anti")
-    return rest.select("doc_id", "lang", "source", "text", split_by_bounds(selection_key("ord", p.seed), bounds).alias("split"))
+    more = [F.col("_row").alias("row"), "ord"] if p.ranks_apart else []
+    return rest.select("doc_id", "lang", "source", "text", split_by_bounds(selection_key("ord", p.seed), bounds).alias("split"), *more)
 
 
 def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> DataFrame:
@@ -137,6 +140,7 @@ class Prepared:
     encoded: DataFrame
     vocab_size: int
     max_length: int | None
+    ranks: DataFrame | None = None
 
 
 def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
@@ -144,7 +148,11 @@ def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
 
     The prepared documents are written once (the reference's prepared-dataset
     step); the vocabulary and the encoder both read that copy instead of each
-    repeating the text join.
+    repeating the text join.  The encoded ones are written once as well, whatever the
+    size of the vocabulary, so no reader encodes again.
+
+    ``ranks_apart``: ``encoded`` has ``row`` and ``ranks`` is (row, shuffle_rank).  Readers that
+    reduce a document to a few numbers join those to its rank, and no text is shuffled for it.
     """
     keys = ("doc_id", "lang", "source", "split")
     if p.ranked:
@@ -152,9 +160,16 @@ def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
         keys += ("shuffle_rank",)
     else:
         prepared = split_documents(docs, p)  # narrow over its own written copy
+        keys += ("row",) if p.ranks_apart else ()
     vocab = encoding.build_vocab(prepared, ids=p.ids, vocab_size=p.vocab_size)
+    size = encoding.vocab_size(vocab, p.ids)
     encoded = encoding.encode(prepared, vocab, keys=keys, max_length=p.max_length, ids=p.ids)
-    return Prepared(prepared, vocab, encoded, encoding.vocab_size(vocab, p.ids), p.max_length)
+    if size - p.ids.count <= encoding.BROADCAST_VOCAB_ROWS:  # a larger vocabulary's result is written already
+        encoded = staged_parquet(encoded, "encoded")
+    ranks = None
+    if p.ranks_apart and not p.ranked:
+        ranks = seeded_shuffle(prepared.select("row", "ord"), "ord", p.seed).select("row", "shuffle_rank")
+    return Prepared(prepared, vocab, encoded, size, p.max_length, ranks)
 
 
 def profile_prepared(prep: Prepared) -> DataFrame:

@@ -175,3 +175,50 @@ def test_vocabulary_of_odd_texts(spark):
     assert {r.word: r.n for r in vocab.collect()} == dict(want)
     ranks = sorted(want, key=lambda w: (-want[w], w))
     assert [r.word for r in vocab.orderBy("token_id").collect()] == ranks
+
+
+def _three_columns(rows):
+    return [(i, t, "en", "s") for i, t in rows]
+
+
+def test_ranks_apart_equal_ranked_documents(spark):
+    """The rank in its own table is the rank that the shuffled documents carry; a repeated row counts once."""
+    from tessera.config import QualityParams
+    from tessera.plans.prepare import PrepareParams, prepare
+
+    rows = _three_columns([(i, f"text number {i} " * (i % 7 + 1)) for i in range(60)] + [(3, "text number 3 " * 4), (70, "text number 5 " * 6)])
+    docs = spark.createDataFrame([*rows, (80, None, None, None)], "doc_id long, text string, lang string, source string")
+    anything = QualityParams(min_chars=0, repetition_min=0, printable_min=0)
+    want = prepare(docs, PrepareParams(quality=anything)).encoded
+    prep = prepare(docs, PrepareParams(quality=anything, ranked=False, ranks_apart=True))
+    got = prep.encoded.join(prep.ranks, "row")
+    cols = ("shuffle_rank", "doc_id", "split", "input_ids")
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+    assert prep.encoded.count() == 61
+
+
+def test_packing_shuffles_no_text(spark, tmp_path, monkeypatch):
+    """pack_report, pack_concat and their kin read ids by row: the text is never exchanged, and it is encoded once."""
+    from tessera.operators import encoding as enc
+    from tessera.plans import catalog, prepare as P
+
+    rows = _three_columns([(i, f"A sentence of document {i} that says something else each time, {i * i} words or so. " * (i % 5 + 2)) for i in range(40)])
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(P, "prepared_documents", None)  # the path that shuffles the text
+    passes = spark.sparkContext.accumulator(0)
+    encode_arrow = enc.encode_arrow
+
+    def counted(docs, *a, **kw):
+        out = encode_arrow(docs, *a, **kw)
+
+        def run(batches):
+            for b in batches:
+                passes.add(b.num_rows)
+                yield b
+        return out.mapInArrow(run, out.schema)
+
+    monkeypatch.setattr(enc, "encode_arrow", counted)
+    chunks = {(r.split, r.chunk_id): r.input_ids for r in catalog.q_pack_concat(spark, str(tmp_path)).collect()}
+    assert passes.value == 40 and chunks
+    report = {r.split: r for r in catalog.q_pack_report(spark, str(tmp_path)).collect()}
+    assert report["train"].tokens_in == sum(t != 0 for k, ids in chunks.items() if k[0] == "train" for t in ids)
