@@ -255,7 +255,7 @@ def pack_report(plan: DataFrame, max_length: int = MAX_LENGTH, group: str = "spl
 # ----------------------------------------------------------------- PCK6 ----
 def pack_concat(encoded: DataFrame, max_length: int = MAX_LENGTH, ids: SpecialIds = DEFAULT_IDS,
                 order: str = "shuffle_rank", group: str = "split",
-                lengths: DataFrame | None = None, key: str = "row") -> DataFrame:
+                lengths: DataFrame | None = None, key: str = "ord") -> DataFrame:
     """PCK6: lossless concat-and-chunk; every token kept, the last chunk padded.
 
     ``lengths``: (group, key, order, n) of documents that have ``key`` instead of ``order`` and are

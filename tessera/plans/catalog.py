@@ -329,14 +329,14 @@ def _unranked(spark, d):
 
 
 def _apart(spark, d):
-    """Prepared and encoded with the ranks in their own narrow table, by ``row``: no text is shuffled."""
+    """Prepared and encoded with the ranks in their own narrow table, by ``ord``: no text is shuffled."""
     return prepare(_docs(spark, d), PrepareParams(ranked=False, ranks_apart=True))
 
 
 def _ranked_lengths(prep, encoded):
     """(split, shuffle_rank, seg_no, n): segment lengths meet their rank after the ids are gone."""
-    lengths = packing.segment_lengths(encoded, ("split", "row"))
-    return reliable_checkpoint(lengths.join(prep.ranks, "row").select("split", "shuffle_rank", "seg_no", "n"))
+    lengths = packing.segment_lengths(encoded, ("split", "ord"))
+    return reliable_checkpoint(lengths.join(prep.ranks, "ord").select("split", "shuffle_rank", "seg_no", "n"))
 
 
 def _plan(spark, d):
@@ -346,17 +346,17 @@ def _plan(spark, d):
 
 
 def _greedy(spark, d):
-    """Segments by ``row``; the plan has both ``shuffle_rank``, whose order it keeps, and ``row``."""
+    """Segments by ``ord``; the plan has both ``shuffle_rank``, whose order it keeps, and ``ord``."""
     prep = _apart(spark, d)
-    segs = packing.materialized_segments(prep.encoded, ("split", "row"), eos=DEFAULT_IDS.eos)
-    lengths = segs.select("split", "row", "seg_no", "n").join(prep.ranks, "row")
-    plan = packing.greedy_plan(lengths, MAX_LENGTH, ("shuffle_rank", "row"))
+    segs = packing.materialized_segments(prep.encoded, ("split", "ord"), eos=DEFAULT_IDS.eos)
+    lengths = segs.select("split", "ord", "seg_no", "n").join(prep.ranks, "ord")
+    plan = packing.greedy_plan(lengths, MAX_LENGTH, ("shuffle_rank", "ord"))
     return prep, segs, plan
 
 
 def _chunks(spark, d):
     _, segs, plan = _greedy(spark, d)
-    return packing.greedy_chunks(segs, plan, MAX_LENGTH, order=("row",))
+    return packing.greedy_chunks(segs, plan, MAX_LENGTH, order=("ord",))
 
 
 _WALK = sql.with_encoded(recursive=True) + ",\n" + sql.greedy_walk_ctes() + "\n"
@@ -392,7 +392,7 @@ def q_pack_interior_eos(spark, d):
     # derived input: every 97th token of a document is an end id, which closes a segment inside it
     marked = F.transform("input_ids", lambda x, i: F.when(i % EOS_EVERY == EOS_EVERY - 1, F.lit(DEFAULT_IDS.eos)).otherwise(x))
     prep = _apart(spark, d)
-    return packing.greedy_plan(_ranked_lengths(prep, prep.encoded.select("split", "row", marked.alias("input_ids"))), MAX_LENGTH)
+    return packing.greedy_plan(_ranked_lengths(prep, prep.encoded.select("split", "ord", marked.alias("input_ids"))), MAX_LENGTH)
 
 
 @register("pack_greedy", _WALK + "SELECT split, chunk_id, input_ids FROM chunks")
@@ -421,7 +421,7 @@ SELECT split, chunk_id, CAST(list_resize(flatten(list(piece ORDER BY pos)), {MAX
 FROM pieces GROUP BY split, chunk_id""")
 def q_pack_concat(spark, d):
     prep = _apart(spark, d)
-    lengths = prep.encoded.select("split", "row", (F.col("n_tokens") + 1).alias("n")).join(prep.ranks, "row")
+    lengths = prep.encoded.select("split", "ord", (F.col("n_tokens") + 1).alias("n")).join(prep.ranks, "ord")
     return packing.pack_concat(prep.encoded, MAX_LENGTH, lengths=lengths)
 
 

@@ -45,7 +45,7 @@ class PrepareParams:
     use_registry_cap: bool = False   # cap each language at its registry ``max_samples`` instead
     caps: DataFrame | None = None    # (lang, max_samples) of a configured registry
     ranked: bool = True              # False: no shuffle_rank; the split is a comparison and no text is shuffled
-    ranks_apart: bool = False        # with ranked=False: ``shuffle_rank`` in a narrow table ``ranks`` by ``row``
+    ranks_apart: bool = False        # with ranked=False: ``shuffle_rank`` in a narrow table ``ranks`` by ``ord``
 
 
 def ranked_documents(docs: DataFrame, limit: int = SOURCE_ROWS) -> DataFrame:
@@ -85,14 +85,25 @@ def decisions(filtered: DataFrame, p: PrepareParams, caps: DataFrame | None = No
 
 
 def split_documents(docs: DataFrame, p: PrepareParams = PrepareParams(), limit: int = LOSER_ROWS) -> DataFrame:
-    """(doc_id, lang, source, text, split[, row, ord]) after filter, dedup and split, without a shuffle of the text.
+    """(doc_id, lang, source, text, split) after filter, dedup and split, without a shuffle of the text.
 
     Rows that pass the quality rules are written once as Parquet (the rules run once); everything is
     decided on its narrow columns.  The split compares the seeded key with two order statistics of the
     winners' keys, and the rows that lose to an earlier copy are left out by their row number: a broadcast of
     at most ``limit`` numbers, beyond it a shuffle join.  Caps need ranks: use ``prepared_documents``.
-    ``row`` (with ``ranks_apart``) numbers the rows of that copy; it names a document even where ids repeat.
     """
+    return _split(docs, p, limit)[0].drop("ord")
+
+
+def ranks_apart(docs: DataFrame, p: PrepareParams = PrepareParams(), limit: int = LOSER_ROWS) -> tuple[DataFrame, DataFrame]:
+    """``split_documents`` with ``ord``, one row each as in ``prepared_documents``, and the narrow (ord, shuffle_rank)."""
+    documents, groups = _split(docs, p, limit, once=True)
+    ranks = seeded_shuffle(groups.select(F.col("_first").alias("ord")), "ord", p.seed)
+    return documents, ranks.dropDuplicates(["ord"]).select("ord", "shuffle_rank")
+
+
+def _split(docs: DataFrame, p: PrepareParams, limit: int, once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(documents with ``ord``, groups of copies); ``once``: of different texts with one ``ord`` the first row stays."""
     if p.lang_cap or p.caps is not None or p.use_registry_cap:
         raise ValueError("caps need ranks")
     ranked = ranked_documents(docs)
@@ -107,11 +118,16 @@ def split_documents(docs: DataFrame, p: PrepareParams = PrepareParams(), limit:
     copies = staged.select("lang", "_key", "ord", "_row").join(several, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("_key").eqNullSafe(F.col("_k")))
     first = copies.groupBy("lang", "_key").agg(F.min_by("_row", F.struct("ord", "_row")).alias("_row"))
     losers = staged_parquet(copies.select("_row").join(first.select("_row"), "_row", "left_anti"), "losers")
+    if once:
+        repeated = groups.groupBy(F.col("_first").alias("ord")).count().where("count > 1").select("ord")
+        rows = staged_parquet(staged.select("ord", "_row").join(repeated, "ord").join(losers, "_row", "left_anti").select("ord", "_row"), "repeated")
+        later = rows.join(rows.groupBy("ord").agg(F.min("_row").alias("_row")).select("_row"), "_row", "left_anti").select("_row")
+        losers = losers.unionByName(later)
     if losers.count() <= limit:
         losers = F.broadcast(losers)
     rest = staged.join(losers, "_row", "left_anti")
-    more = [F.col("_row").alias("row"), "ord"] if p.ranks_apart else []
-    return rest.select("doc_id", "lang", "source", "text", split_by_bounds(selection_key("ord", p.seed), bounds).alias("split"), *more)
+    split = split_by_bounds(selection_key("ord", p.seed), bounds).alias("split")
+    return rest.select("doc_id", "lang", "source", "text", split, "ord"), groups
 
 
 def prepared_documents(docs: DataFrame, p: PrepareParams = PrepareParams()) -> DataFrame:
@@ -151,24 +167,24 @@ def prepare(docs: DataFrame, p: PrepareParams = PrepareParams()) -> Prepared:
     repeating the text join.  The encoded ones are written once as well, whatever the
     size of the vocabulary, so no reader encodes again.
 
-    ``ranks_apart``: ``encoded`` has ``row`` and ``ranks`` is (row, shuffle_rank).  Readers that
+    ``ranks_apart``: ``encoded`` has ``ord`` and ``ranks`` is (ord, shuffle_rank).  Readers that
     reduce a document to a few numbers join those to its rank, and no text is shuffled for it.
     """
     keys = ("doc_id", "lang", "source", "split")
+    ranks = None
     if p.ranked:
         prepared = staged_parquet(prepared_documents(docs, p), "prepared")
         keys += ("shuffle_rank",)
+    elif p.ranks_apart:
+        prepared, ranks = ranks_apart(docs, p)
+        keys += ("ord",)
     else:
         prepared = split_documents(docs, p)  # narrow over its own written copy
-        keys += ("row",) if p.ranks_apart else ()
     vocab = encoding.build_vocab(prepared, ids=p.ids, vocab_size=p.vocab_size)
     size = encoding.vocab_size(vocab, p.ids)
     encoded = encoding.encode(prepared, vocab, keys=keys, max_length=p.max_length, ids=p.ids)
     if size - p.ids.count <= encoding.BROADCAST_VOCAB_ROWS:  # a larger vocabulary's result is written already
         encoded = staged_parquet(encoded, "encoded")
-    ranks = None
-    if p.ranks_apart and not p.ranked:
-        ranks = seeded_shuffle(prepared.select("row", "ord"), "ord", p.seed).select("row", "shuffle_rank")
     return Prepared(prepared, vocab, encoded, size, p.max_length, ranks)
 
 

@@ -189,12 +189,23 @@ def test_ranks_apart_equal_ranked_documents(spark):
     rows = _three_columns([(i, f"text number {i} " * (i % 7 + 1)) for i in range(60)] + [(3, "text number 3 " * 4), (70, "text number 5 " * 6)])
     docs = spark.createDataFrame([*rows, (80, None, None, None)], "doc_id long, text string, lang string, source string")
     anything = QualityParams(min_chars=0, repetition_min=0, printable_min=0)
-    want = prepare(docs, PrepareParams(quality=anything)).encoded
-    prep = prepare(docs, PrepareParams(quality=anything, ranked=False, ranks_apart=True))
-    got = prep.encoded.join(prep.ranks, "row")
+
+    def both(docs):
+        want = prepare(docs, PrepareParams(quality=anything)).encoded
+        prep = prepare(docs, PrepareParams(quality=anything, ranked=False, ranks_apart=True))
+        assert prep.documents.count() == prep.encoded.count()
+        return prep.encoded.join(prep.ranks, "ord"), want
+
     cols = ("shuffle_rank", "doc_id", "split", "input_ids")
+    got, want = both(docs)
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
-    assert prep.encoded.count() == 61
+    assert got.count() == 61
+    # one id with two texts of equal words: one row stays, the others' ranks are as before
+    got, want = both(docs.unionByName(spark.createDataFrame(_three_columns([(9, "9 number text " * 3)]), docs.schema.simpleString()[7:-1].replace(":", " "))))
+    got, want = ({r.doc_id: r for r in df.select(*cols).collect()} for df in (got, want))
+    assert len(got) == 61 and got.keys() == want.keys()
+    assert all(got[i] == want[i] for i in got if i != 9) and sorted(got[9].input_ids) == sorted(want[9].input_ids)
+    assert abs(got[9].shuffle_rank - want[9].shuffle_rank) <= 1
 
 
 def test_packing_shuffles_no_text(spark, tmp_path, monkeypatch):
