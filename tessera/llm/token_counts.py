@@ -40,7 +40,7 @@ LIMIT = 1_024
 #: Units in a worker's memo at which the half used longest ago is dropped.
 MEMO_WORDS = 500_000
 #: Text encoded at once: the more, the fewer look-ups of a unit found again.
-ENCODE_BYTES = 3 << 19
+ENCODE_BYTES = 3 << 20
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -83,17 +83,18 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u4") for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the units one after another, their lengths, and the order in which they come.
 
         Units that hold no space but their first character are encoded in long joined strings, whose units begin at
         the tokens that begin with a space.
         """
-        plain = [i for i, u in enumerate(units) if u.rfind(" ") == 0]
-        odd = [i for i, u in enumerate(units) if u.rfind(" ") != 0]
+        plain, odd = [], []
+        for i, u in enumerate(units):
+            (odd if u.rfind(b" ") else plain).append(i)
         order, ids, length = [], [], []
         parts = [plain[i:i + 256] for i in range(0, len(plain), 256)]
-        for part, found in zip(parts, self._ids(["".join(units[i] for i in p) for p in parts])):
+        for part, found in zip(parts, self._ids([b"".join([units[i] for i in p]).decode() for p in parts])):
             cut = np.flatnonzero(self.opens[found])
             if len(cut) == len(part):
                 order += part
@@ -101,7 +102,7 @@ class Encoder:
                 length.append(np.diff(np.append(cut, len(found))))
             else:
                 odd += part
-        rest = self._ids([units[i] for i in odd])
+        rest = self._ids([units[i].decode() for i in odd])
         length.append(np.array([len(x) for x in rest], np.int64))
         return np.concatenate([*ids, *rest, self.pool[:0]]), np.concatenate(length), np.array(order + odd, np.int64)
 
@@ -146,11 +147,11 @@ class Encoder:
         offsets = np.append(start, len(buf))
         units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(buf)]).dictionary_encode()
         where = units.indices.to_numpy(zero_copy_only=False)
-        key = units.dictionary.to_pylist()
+        key = units.dictionary.to_numpy(zero_copy_only=False).tolist()  # bytes; far cheaper than to_pylist
         slot = np.fromiter(map(self.slot.get, key, repeat(-1)), np.int64, len(key))
         new = np.flatnonzero(slot < 0)
         if len(new):
-            ids, length, came = self._encode_units([key[i].decode() for i in new.tolist()])
+            ids, length, came = self._encode_units([key[i] for i in new.tolist()])
             new = new[came]
             slot[new] = np.arange(len(self.start), len(self.start) + len(new))
             self.slot.update((key[i], j) for i, j in zip(new.tolist(), slot[new].tolist()))
