@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release, written
 
 
 #: Edges read by a task before it contracts them.
@@ -51,20 +51,24 @@ def _forest(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether each node of the edges (a, b) either points to one node, which points to none, or is pointed to."""
+    ends = e.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).union(
+        e.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+    between = ends.groupBy("node").agg((F.sum("out") + F.max("in")).alias("n"), F.max("out").alias("out"))
+    return not between.agg(F.count_if((F.col("out") == 1) & (F.col("n") > 1))).first()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, class): the least node of each connected component, for all nodes of ``edges`` (a, b)."""
     e = edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).where("a <> b").distinct()
-    e, state = written(e.mapInArrow(_forest, "a long, b long").distinct(), "edges"), None
-    while True:
-        both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    e = written(e.mapInArrow(_forest, "a long, b long").distinct(), "edges")
+    while not _stars(e):  # every edge points to a lesser node, so a star's centre is its least node
+        both = e.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("x"), "m", "a")
-        e = written(small.select(F.col("x").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-                    .where("a <> b").distinct(), "edges")
-        now = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if now == state:
-            break
-        state = now
+        small = large.join(least, "a").select(F.explode(F.array("b", "a")).alias("a"), F.col("m").alias("b"))
+        e = written(small.where("a <> b").distinct(), "edges")
+        release(e.sparkSession)
     return e.select(F.col("a").alias("node"), F.col("b").alias("class")).union(e.select(F.col("b").alias("node"), F.col("b").alias("class"))).distinct()

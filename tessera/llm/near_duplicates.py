@@ -255,7 +255,7 @@ def _blocks(found: dict):
 def by_idf(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose TF-IDF similarity is high enough, by document frequencies counted exactly for their shingles."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    asked = written(texts.join(nodes, "id"), "asked")
+    asked = _step(texts.join(nodes, "id"), "asked")
     # most other shingles are left out by a filter of fixed size; what gets through is compared by the join
     some = docs.sparkSession.sparkContext.broadcast(_filter(asked))
 
@@ -286,7 +286,7 @@ def by_idf(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
 
     mine = asked.mapInArrow(each, "id long, shingle long, n long")
     df = doc_text(docs).select("text").mapInArrow(found, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("df"))
-    vector = written(mine.join(df, "shingle").groupBy("id").agg(F.collect_list(F.struct("shingle", "n", "df")).alias("v")), "vectors")
+    vector = _step(mine.join(df, "shingle").groupBy("id").agg(F.collect_list(F.struct("shingle", "n", "df")).alias("v")), "vectors")
     return (pairs.select("a", "b").join(vector.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
             .join(vector.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b").mapInArrow(weighed, "a long, b long"))
 
@@ -326,33 +326,38 @@ def _mixed_links(key, table):
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "sure": pa.array(list(out.values()), pa.bool_())})
 
 
+def _step(df: DataFrame, name: str) -> DataFrame:
+    """``written``; the driver forgets the step's plan, code and broadcasts at once."""
+    out = written(df, name)
+    release(df.sparkSession)
+    return out
+
+
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signatures of all rows; (digest, id, doc_id, raw) of each distinct text, named by its least row; (node, class) of linked texts."""
     spark = docs.sparkSession
     weights = spark.sparkContext.broadcast(sampling_weights(docs))
-    sigs = written(signatures(docs, weights), "signatures")
-    release(spark)
+    sigs = _step(signatures(docs, weights), "signatures")
     distinct = (sigs.where("doc_id is not null and sig is not null").groupBy("digest")
                 .agg(F.min(F.struct("doc_id", "raw")).alias("row"), F.first("sig").alias("sig")))
-    distinct = written(distinct.select(F.monotonically_increasing_id().alias("id"), "digest", "row.doc_id", "row.raw", "sig"), "distinct-texts")
+    distinct = _step(distinct.select(F.monotonically_increasing_id().alias("id"), "digest", "row.doc_id", "row.raw", "sig"), "distinct-texts")
     reps = distinct.select("id", "sig")
 
     band = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, {', '.join(f'sig[b * {ROWS} + {i}]' for i in range(ROWS))}))")
     bands = reps.select("id", F.posexplode(band).alias("band", "key"))
     full = bands.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    members = written(bands.join(full, "key"), "members")
+    members = _step(bands.join(full, "key"), "members")
     involved = distinct.select("id", "doc_id", "raw").join(members.select("id").distinct(), "id")
     texts = _rows(docs).join(involved, ["doc_id", "raw"]).dropDuplicates(["doc_id", "raw"])
-    texts = written(texts.select("id", "text"), "candidates")
+    texts = _step(texts.select("id", "text"), "candidates")
 
     agree = F.expr("aggregate(zip_with(sa, sb, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)") >= AGREE
     first = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     first = (first.join(reps.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
              .join(reps.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b").where(agree).select("a", "b"))
-    first = written(compared(first, texts), "links")
+    first = _step(compared(first, texts), "links")
 
-    near = written(components(first.where("sure").select("a", "b")), "classes")
-    release(spark)
+    near = _step(components(first.where("sure").select("a", "b")), "classes")
     labelled = members.join(near, members.id == near.node, "left").select("band", "key", "id", F.coalesce("class", "id").alias("class"))
     mixed = labelled.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("m")).where("low <> high")
     chunks = F.ceil(F.col("m") / CHUNK).cast("int")
@@ -362,32 +367,30 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
     more = (rows.select("key", "band", "i", "j", "id", "class", "sig", "text", "chunk").groupBy("key", "band", "i", "j")
             .applyInArrow(_mixed_links, "a long, b long, sure boolean"))
-    more = written(more.distinct(), "links")
+    more = _step(more.distinct(), "links")
     links = first.union(more)
     sure = links.where("sure").select("a", "b")
 
-    joined = written(components(sure), "classes")
-    release(spark)
+    joined = _step(components(sure), "classes")
     # pairs that TF leaves open, unless their classes are joined anyway
     one, two = (joined.select(F.col("node").alias(x), F.col("class").alias("c" + x)) for x in "ab")
     grey = (links.where("not sure").select("a", "b").distinct().join(one, "a", "left").join(two, "b", "left")
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    grey = written(grey, "open-pairs")
+    grey = _step(grey, "open-pairs")
     if not grey.isEmpty():
-        more = written(by_idf(grey, texts, docs), "links")
+        more = _step(by_idf(grey, texts, docs), "links")
         if not more.isEmpty():
             joined = components(joined.select(F.col("node").alias("a"), F.col("class").alias("b")).union(more))
-        release(spark)
     return sigs, distinct.drop("sig"), joined
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id and class_id of every document row."""
     sigs, distinct, classes = _classes(docs)
-    classes = written(classes, "classes")
+    classes = _step(classes, "classes")
     named = distinct.join(classes, distinct.id == classes.node, "left").select("digest", F.coalesce("class", "id").alias("class"))
     rows = sigs.where("doc_id is not null and sig is not null").select("doc_id", "digest").join(named, "digest").groupBy("doc_id", "class").agg(F.count("*").alias("n"))
-    rows = written(rows, "memberships")
+    rows = _step(rows, "memberships")
     # an id with several texts joins their classes
     twice = rows.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").select("doc_id", "a")
     if not twice.isEmpty():
@@ -402,9 +405,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents, all columns: one row of each class (of its least id), all rows with a null id, and texts without words once an id."""
     sigs, distinct, classes = _classes(docs)
-    classes = written(classes, "classes")
+    classes = _step(classes, "classes")
     named = distinct.join(classes, distinct.id == classes.node, "left").select("digest", "doc_id", "raw", F.coalesce("class", "id").alias("class"))
-    named = written(named, "named-texts")
+    named = _step(named, "named-texts")
     kept = named.groupBy("class").agg(F.min(F.struct("doc_id", "raw")).alias("row")).select("row.doc_id", "row.raw")
     seen = sigs.where("doc_id is not null and sig is not null").select("doc_id", "raw").distinct()
     gone = seen.join(kept, ["doc_id", "raw"], "left_anti")
