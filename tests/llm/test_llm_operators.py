@@ -520,6 +520,20 @@ def test_url_parts_rules_and_model(spark):
     assert np.median(allowed) > np.median(blocked)
 
 
+def test_url_models_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    plain = url_filter.written
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name)
+
+    monkeypatch.setattr(url_filter, "written", seen)
+    pages = spark.createDataFrame([(i, f"http://a{i % 7}.example.net/{'en' if i % 3 else 'x'}/{i}") for i in range(60)], "page_id long, url string")
+    plans.append(url_filter.judge(pages)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 4 and not any("Broadcast" in p for p in plans) and any("SortMergeJoin" in p for p in plans)
+
+
 def test_markov_probabilities_match_brute_force(spark):
     rows = [("ab", 3, 1), ("abc", 2, 0), ("b", 0, 4), ("ba", 1, 1)]
     grams = collections.defaultdict(lambda: [0, 0])
