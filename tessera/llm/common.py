@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 import pyarrow as pa
@@ -10,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, release  # noqa: F401
 
 #: UTF-8 bytes handled at once by the numpy kernels; one longer text makes a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -34,16 +33,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver forget finished steps: plans and broadcasts that nothing refers to any more.
-
-    Spark's context cleaner removes the broadcasts and shuffle files of objects that the JVM has collected; a long
-    job with a roomy heap may not collect for a long time.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES):
     """Sub-batches whose texts hold about ``limit`` bytes (one row at least, ``SLICE_ROWS`` at most)."""
     sizes = pc.binary_length(batch.column(column)).to_pylist()

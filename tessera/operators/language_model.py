@@ -1,13 +1,12 @@
 """EV10 models trained and applied in Spark: greedy generation, and interpolated Kneser-Ney of orders 1 to 3.
 
-A model is a set of count tables over the words of documents; training is one
-partial aggregation of word triples (a hot triple collapses map-side), and every
-other table is derived from that one.  Nothing is collected but a few totals.
+A model is a set of count tables over the words of documents; equal triples
+collapse map-side.  Nothing is collected but a few totals.
 
 *Generation* is a frontier iteration.  The greedy continuation of a prompt depends on
 its last two words only, so the frontier holds each distinct context once, however
-many prompts end in it.  A step joins the frontier with the (context -> best next word)
-table; contexts that end leave; the state is written every few steps.
+many prompts end in it.  A step looks the frontier up in the (context -> best next word)
+table, by buckets of contexts; contexts that end leave; the state is written every few steps.
 
 *Kneser-Ney* replaces the lower-order counts by continuation counts (in how many
 distinct contexts a word was seen) and chains the orders: a back-off weight a context,
@@ -26,10 +25,9 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_IDS, MCQ_NEW_TOKENS
 from ..functions.text import words
-from ..session import reliable_checkpoint, shuffle_partitions, staged_parquet
-from . import encoding
-
-BEGIN, END = "<s>", "</s>"
+from ..session import release, reliable_checkpoint, shuffle_partitions, staged_parquet
+from . import encoding, next_words
+from .next_words import BEGIN, END
 
 
 def _r6(c: Column) -> Column:
@@ -51,28 +49,18 @@ def triples(ws: Column, end: bool, begin: Column | None = None) -> Column:
     return F.concat(rows, F.array(last))
 
 
-def triple_counts(docs: DataFrame, end: bool, text_col: str = "text") -> DataFrame:
-    """(u, v, w, c) of all documents, written once; ``end`` counts the end of a document as a word."""
-    rows = (docs.select(words(F.coalesce(F.col(text_col), F.lit(""))).alias("_w")).select(F.explode(triples(F.col("_w"), end)).alias("t"))
-            .groupBy("t.u", "t.v", "t.w").agg(F.count(F.lit(1)).alias("c")))
-    return staged_parquet(rows, "triples")
-
-
 # ------------------------------------------------------------- generation --
-def best_next(counts: DataFrame, context: Sequence[str]) -> DataFrame:
-    """(context, next): the word seen most often after each context; ties go to the smallest word."""
-    per = counts.groupBy(*context, "w").agg(F.sum("c").alias("c"))
-    best = per.groupBy(*context).agg(F.min(F.struct((-F.col("c")).alias("c"), F.col("w").alias("w"))).alias("_b"))
-    return best.select(*context, F.col("_b.w").alias("next"))
-
-
 @dataclass
 class Generator:
-    """Best next words by two words, by one word, and over all."""
+    """Best next words by two words, by one word, and over all.
+
+    The tables hold a packed piece a bucket of contexts (``next_words``), dealt out by bucket.
+    """
 
     by_two: DataFrame
     by_one: DataFrame
     overall: str | None
+    buckets: int
 
     def drop(self) -> None:
         self.by_two.unpersist()
@@ -82,14 +70,27 @@ class Generator:
 def train_generator(docs: DataFrame, text_col: str = "text", partitions: int | None = None) -> Generator:
     """The greedy model of the documents' words; contexts never seen back off to one word, then to none.
 
-    The tables are dealt out by context once, so a generation step shuffles only the frontier.
+    Triples and then pairs of words are counted, each in a pass over the texts and one shuffle of packed pieces, which
+    is let go before the next.  The tables are dealt out by bucket once, so a generation step shuffles only the frontier.
     """
-    counts = triple_counts(docs, end=True, text_col=text_col)
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    two = best_next(counts, ["u", "v"]).repartition(n, "u", "v").persist()
-    one = best_next(counts, ["v"]).repartition(n, "v").persist()
-    top = best_next(counts.where(F.col("w") != END), []).first()
-    return Generator(two, one, top["next"] if top else None)
+    spark = docs.sparkSession
+    n = partitions or shuffle_partitions(spark)
+    two, one = (_best_next(docs.select(text_col), order, n) for order in (2, 1))
+    texts = docs.count()  # each starts with <s>, which is not one of its words
+    times = F.col("n") - F.when(F.col("word") == BEGIN, F.lit(texts)).otherwise(F.lit(0))
+    seen = one.mapInArrow(next_words.frequent, "word string, n long").select("word", times.alias("n")).where((F.col("word") != END) & (F.col("n") > 0))
+    top = seen.agg(F.min(F.struct((-F.col("n")).alias("n"), "word")).alias("t")).first()["t"]
+    two, one = (x.repartition(n, "bucket").persist() for x in (two, one))
+    return Generator(two, one, top["word"] if top else None, n)
+
+
+def _best_next(texts: DataFrame, order: int, n: int) -> DataFrame:
+    """The best next word of every context of ``order`` words: a packed piece for each of ``n`` buckets, written."""
+    pieces = texts.mapInArrow(lambda batches: next_words.counted(batches, order, n), next_words.PIECES)
+    model = staged_parquet(pieces.repartition(n, "part").mapInArrow(lambda batches: next_words.chosen(batches, order, n), next_words.MODEL), "next-words")
+    del pieces
+    release(texts.sparkSession)  # the shuffled pieces are not needed any more
+    return model
 
 
 def contexts(prompts: DataFrame, prompt_col: str = "prompt") -> DataFrame:
@@ -109,30 +110,31 @@ def generate_greedy(prompts: DataFrame, model: Generator, max_new: int = MCQ_NEW
     """
     keyed = contexts(prompts, prompt_col)
     spark = prompts.sparkSession
-    state = keyed.select(F.col("u").alias("u0"), F.col("v").alias("v0")).distinct().select(
-        "u0", "v0", F.col("u0").alias("u"), F.col("v0").alias("v"), F.array().cast("array<string>").alias("out"), F.lit(False).alias("done"))
+    n, overall = model.buckets, END if model.overall is None else model.overall
+    fields = "bucket int, u0 string, v0 string, u string, v string, out string, made bigint, done boolean"
+    state = keyed.select(F.lit(0).alias("bucket"), F.col("u").alias("u0"), F.col("v").alias("v0")).distinct().select(
+        "bucket", "u0", "v0", F.col("u0").alias("u"), F.col("v0").alias("v"), F.lit("").alias("out"),
+        F.lit(0).cast("bigint").alias("made"), F.lit(False).alias("done"))
+    state = state.mapInArrow(lambda batches: next_words.placed(batches, n), fields)
     finished = []
-    two, one = model.by_two.withColumnRenamed("next", "_two"), model.by_one.withColumnRenamed("next", "_one")
     for step in range(1, max_new + 1):
-        found = state.join(two, ["u", "v"], "left").join(one, "v", "left")
-        word = F.coalesce("_two", "_one", F.lit(model.overall), F.lit(END))
-        ends = F.col("done") | (word == END)
-        state = found.select("u0", "v0", F.when(ends, F.col("u")).otherwise(F.col("v")).alias("u"),
-                             F.when(ends, F.col("v")).otherwise(word).alias("v"),
-                             F.when(ends, F.col("out")).otherwise(F.concat("out", F.array(word))).alias("out"), ends.alias("done"))
+        known = state.groupBy("bucket").cogroup(model.by_two.groupBy("bucket"))
+        if step > 2:  # the model has followed (u, v): by two words or one in step 2, as even ``overall`` has a next word
+            state = known.applyInArrow(lambda rows, piece: next_words.seen(rows, piece, n), fields)
+        else:
+            asked = known.applyInArrow(lambda rows, piece: next_words.by_two(rows, piece, n), fields + ", word string")
+            state = asked.groupBy("bucket").cogroup(model.by_one.groupBy("bucket")).applyInArrow(lambda rows, piece: next_words.by_one(rows, piece, n, overall), fields)
         if step % every == 0 or step == max_new:
             state = reliable_checkpoint(state)
             finished.append(state if step == max_new else state.where("done"))
             state = state.where(~F.col("done"))
             if step < max_new and state.isEmpty():
                 break
-    schema = "u0 string, v0 string, out array<string>"
-    out = spark.createDataFrame([], schema)
+    out = spark.createDataFrame([], "u0 string, v0 string, out string, made bigint")
     for part in finished:
-        out = out.unionByName(part.select("u0", "v0", "out"))
+        out = out.unionByName(part.select("u0", "v0", "out", "made"))
     joined = keyed.join(out, (F.col("u") == F.col("u0")) & (F.col("v") == F.col("v0")), "left")
-    words_out = F.coalesce("out", F.array().cast("array<string>"))
-    return joined.select(*prompts.columns, F.array_join(words_out, " ").alias("continuation"), F.size(words_out).cast("bigint").alias("n_new"))
+    return joined.select(*prompts.columns, F.coalesce("out", F.lit("")).alias("continuation"), F.coalesce("made", F.lit(0)).cast("bigint").alias("n_new"))
 
 
 # ------------------------------------------------------------- Kneser-Ney --

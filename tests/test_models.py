@@ -2,13 +2,15 @@
 
 import collections
 import math
+import random
+import re
 
 import numpy as np
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from tessera.operators import evaluation, language_model, profile
+from tessera.operators import evaluation, language_model, next_words, profile
 from tessera.plans import catalog_models
 from tessera.sources.tables import table
 
@@ -68,6 +70,49 @@ def test_frontier_holds_each_context_once(spark, texts):
     assert language_model.contexts(prompts).select("u", "v").distinct().count() == 1
 
 
+def test_packed_words_and_columns_come_back():
+    import pyarrow as pa
+    rnd = random.Random(5)
+    for words in ([b"a"], [b"", b"a", b"ab", b"abc" * 200, b"abc" * 200 + b"d"], sorted({bytes(rnd.choices(b"ab\xc3\xa9", k=rnd.randint(1, 40))) for _ in range(500)})):
+        assert next_words.unpack_words(*next_words.pack_words(pa.array([b"z", *words], pa.large_binary()).slice(1))).to_pylist() == words
+    for n in (0, 1, 1000):
+        cols = [np.sort(np.array([rnd.randrange(70_000) for _ in range(n)], np.int32)), np.array([rnd.randrange(1 << 30) for _ in range(n)], np.int32),
+                np.array([rnd.randrange(1 << 40) for _ in range(n)], np.int64)]
+        for want, got in zip(cols, next_words.unpack_columns(*next_words.pack_columns(cols), 2)):
+            assert want.tolist() == got.tolist()
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_tables_hold_a_packed_row_a_bucket(monkeypatch, small):
+    import pyarrow as pa
+    if small:  # many slices, merges in between, keys by columns
+        for name, value in (("SLICE_WORDS", 40), ("SLICE_BYTES", 100), ("MERGE_ROWS", 30), ("NARROW", 2)):
+            monkeypatch.setattr(next_words, name, value)
+    rnd = random.Random(11)
+    names = ["a", "b", "</s>", "<s>", "é", "\x0bx\xa0", "long" * 30, *(f"w{i}" for i in range(40))]
+    texts = ["", None, " \n a\tb\r\f", *(rnd.choice(" \t\n").join(rnd.choices(names, k=rnd.randint(0, 30))) for _ in range(120))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k::2])], names=["text"]) for k in range(2)]
+    want = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for t in texts:
+        ws = ["<s>", "<s>", *(w for w in re.split(r"[ \t\n\r\f]+", t or "") if w), "</s>"]
+        for u, v, w in zip(ws, ws[1:], ws[2:]):
+            want[1][u, v][w] += 1
+            want[0][v,][w] += 1
+    for order, n in ((1, 3), (2, 3), (2, 130)):
+        model = pa.Table.from_batches(next_words.chosen(next_words.counted(batches, order, n), order, n))
+        assert model.num_rows == len(set(model.column("bucket").to_pylist())) <= n
+        found = {}
+        for k, row in enumerate(model.to_pylist()):
+            words = next_words.unpack_words(row["size"], row["words"]).to_pylist()
+            *context, nxt, count = next_words.unpack_columns(row["n"], row["codes"], order + 1)
+            named = [[words[i].decode() for i in x] for x in (*context, nxt)]
+            found |= {tuple(c): (w, int(m)) for *c, w, m in zip(*named, count)}
+            asked = [pa.array([*x, "nowhere"]) for x in named[:-1]]
+            assert next_words.lookup(model.slice(k, 1), asked).to_pylist() == [*named[-1], None]
+            assert set(next_words._buckets(n, *(x.slice(0, len(x) - 1) for x in asked)).to_pylist()) == {row["bucket"]}
+        assert found == {c: (min(x, key=lambda w: (-x[w], w.encode())), sum(x.values())) for c, x in want[order - 1].items()}
+
+
 def test_kneser_ney_sums_to_one_and_backs_off(spark, texts):
     model = language_model.kneser_ney(texts)
     vocab = sorted({w for t in TEXTS for w in (t or "").split()})
